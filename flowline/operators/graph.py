@@ -336,17 +336,27 @@ def downstream(vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = No
 # -- processor reports ------------------------------------------------------
 
 
-def _placed_processors(vertices: DataFrame, edges: DataFrame, proc_ids: DataFrame | None) -> DataFrame:
-    """Requested processors with their parent group; one vertex per processor id."""
+def _placed_processors(
+    vertices: DataFrame, edges: DataFrame, proc_ids: DataFrame | None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Processors with their parent group, and the groups needed; None means all of both.
+
+    Requested processors are written out once: they decide which groups are
+    walked and are then joined with the result.
+    """
     procs = filter_label(vertices, PROCESSOR)
     if proc_ids is not None:
         wanted = proc_ids.select("flow_id", "proc_id").distinct()
         procs = procs.join(wanted, ["flow_id", "proc_id"], "left_semi")
     procs = procs.select("flow_id", "id", "proc_id", "proc_name")
-    return procs.join(immediate_parent(vertices, edges), ["flow_id", "id"]).select(
+    placed = procs.join(immediate_parent(vertices, edges), ["flow_id", "id"]).select(
         "flow_id", "id", "proc_id", "proc_name", F.col("parent.id").alias("group_id"),
         F.col("parent.pg_id").alias("immediate_parent_pg_id"),
     )
+    if proc_ids is None:
+        return placed, None
+    placed = cut_lineage(placed, "placed-processors")
+    return placed, placed.select("flow_id", F.col("immediate_parent_pg_id").alias("pg_id")).distinct()
 
 
 def _group_lists(
@@ -377,10 +387,7 @@ def processor_report(
     ``ord`` orders a list: the depth for parents, the edge id for neighbours.
     Unknown processor ids are absent.
     """
-    placed = _placed_processors(vertices, edges, proc_ids)
-    groups = None
-    if proc_ids is not None:
-        groups = placed.select("flow_id", F.col("immediate_parent_pg_id").alias("pg_id")).distinct()
+    placed, groups = _placed_processors(vertices, edges, proc_ids)
     lists = _group_lists(vertices, edges, groups, max_depth, with_dependents)
     return placed.join(lists, ["flow_id", "group_id"]).drop("group_id")
 
@@ -399,10 +406,7 @@ def nested_processor_report(
     """
     if with_dependents and max_depth < 0:
         raise ValueError("an unlimited report has no nested form; use processor_report")
-    placed = _placed_processors(vertices, edges, proc_ids)
-    groups = None
-    if proc_ids is not None:
-        groups = placed.select("flow_id", F.col("immediate_parent_pg_id").alias("pg_id")).distinct()
+    placed, groups = _placed_processors(vertices, edges, proc_ids)
     lists = _group_lists(vertices, edges, groups, max_depth, with_dependents)
 
     def nested(name: str) -> Column:

@@ -118,7 +118,7 @@ def upsert_variables(registry: DataFrame, params: DataFrame) -> DataFrame:
 
 def update_variables(registry: DataFrame, params: DataFrame) -> DataFrame:
     """Registry after setting non-blank ``params`` on exactly equal names; nothing is added."""
-    filled = params.filter(F.trim("value") != "")
+    filled = params.filter(F.col("value").rlike(r"[^\x00-\x20]"))
     values = filled.groupBy(*GROUP, "name").agg(F.max("value").alias("new_value"))
     return registry.join(values, [*GROUP, "name"], "left").select(
         *GROUP, "name", F.coalesce("new_value", "value").alias("value")

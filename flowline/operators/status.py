@@ -93,13 +93,15 @@ def _descend(groups: DataFrame, roots: DataFrame, worth_visiting: Column) -> Dat
     """(flow_id, root_id, entity_id) of each root and the groups visited below it.
 
     Level by level; a child is visited only where ``worth_visiting`` holds, so
-    whatever lies below a pruned child stays out. Each level is written out and
-    read back with its true size, hence a small frontier is broadcast against
-    the group table instead of shuffling it.
+    whatever lies below a pruned child stays out. The links worth following are
+    written out once, narrow and pruned, and so is each level: read back with
+    its true size, a small frontier is broadcast against the links instead of
+    shuffling them.
     """
     children = groups.filter(worth_visiting).select(
         "flow_id", F.col("entity_id").alias("child_id"), F.col("parent_id").alias("entity_id")
     )
+    children = cut_lineage(children, "descent-links")
     frontier = roots.select("flow_id", F.col("entity_id").alias("root_id"), "entity_id").distinct()
     visited = frontier
     while True:

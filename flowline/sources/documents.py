@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 HEADER_SCHEMA = (
@@ -44,27 +44,26 @@ SNIPPET_KINDS = {
 }
 
 
-def read_templates(spark: SparkSession, path: str) -> DataFrame:
-    """(template, kind, name): distinct names of the top-level members of each snippet."""
+def template_rows(documents: DataFrame) -> DataFrame:
+    """Template documents (column ``document``) -> (template, kind, name).
+
+    Distinct names of the top-level members of each snippet; what lies inside a
+    group does not count.
+    """
     members = ", ".join(f"{tag}: array<struct<name:string>>" for tag in SNIPPET_KINDS)
-    rows = (
-        spark.read.format("xml")
-        .option("rowTag", "template")
-        .schema(f"name string, snippet struct<{members}>")
-        .load(path)
-    )
-    listed = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(f"snippet.{tag}"), F.array().cast("array<struct<name:string>>")),
-                    lambda m, kind=kind: F.struct(F.lit(kind).alias("kind"), m["name"].alias("name")),
-                )
-                for tag, kind in SNIPPET_KINDS.items()
-            ]
-        )
-    )
-    return rows.select(F.col("name").alias("template"), F.explode(listed).alias("m")).select("template", "m.*").distinct()
+    rows = documents.select(F.from_xml("document", f"name string, snippet struct<{members}>").alias("t"))
+
+    def members_of(tag: str, kind: str) -> Column:
+        found = F.coalesce(F.col(f"t.snippet.{tag}"), F.array().cast("array<struct<name:string>>"))
+        return F.transform(found, lambda m: F.struct(F.lit(kind).alias("kind"), m["name"].alias("name")))
+
+    listed = F.flatten(F.array(*[members_of(tag, kind) for tag, kind in SNIPPET_KINDS.items()]))
+    return rows.select(F.col("t.name").alias("template"), F.explode(listed).alias("m")).select("template", "m.*").distinct()
+
+
+def read_templates(spark: SparkSession, path: str) -> DataFrame:
+    """Template files, one document each."""
+    return template_rows(spark.read.text(path, wholetext=True).select(F.col("value").alias("document")))
 
 
 _COUNTS = "runningCount:int, stoppedCount:int, disabledCount:int, invalidCount:int, activeRemotePortCount:int, inactiveRemotePortCount:int"
@@ -94,18 +93,12 @@ def status_rows(documents: DataFrame) -> DataFrame:
 
     Remote groups report their transmission flag as state.
     """
-    empty = F.array().cast(f"array<{_ENTITY}>")
-    tagged = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(f"processGroupFlow.flow.{field}"), empty),
-                    lambda e, kind=kind: F.struct(F.lit(kind).alias("kind"), e.alias("e")),
-                )
-                for field, kind in STATUS_KINDS.items()
-            ]
-        )
-    )
+
+    def entities(field: str, kind: str) -> Column:
+        found = F.coalesce(F.col(f"processGroupFlow.flow.{field}"), F.array().cast(f"array<{_ENTITY}>"))
+        return F.transform(found, lambda e: F.struct(F.lit(kind).alias("kind"), e.alias("e")))
+
+    tagged = F.flatten(F.array(*[entities(field, kind) for field, kind in STATUS_KINDS.items()]))
     rows = documents.select("flow_id", "ts", F.col("processGroupFlow.id").alias("doc_group"), F.explode(tagged).alias("r"))
     state = F.coalesce("r.e.component.state", "r.e.status.aggregateSnapshot.runStatus", "r.e.component.transmitting")
     return rows.select(

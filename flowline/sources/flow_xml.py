@@ -49,117 +49,100 @@ _FIELDS = {
 }
 
 
-def _parse_batches(batch_rows: int = 20_000):
-    """The function for ``mapInPandas``.
+def _parse_batches(batch_rows: int = 10_000):
+    """The function for ``mapInArrow``.
 
     Everything it needs is local to it, so executors do not have to have this
     package installed.
     """
-    kinds, fields, block = frozenset(_KINDS), dict(_FIELDS), SEQ_BLOCK
-    columns = [f.name for f in PARSED_SCHEMA.fields]
+    kinds, fields = frozenset(_KINDS), dict(_FIELDS)
+    blocks = {"processGroup": SEQ_BLOCK, "processor": 2 * SEQ_BLOCK, "connection": 3 * SEQ_BLOCK}
+    other_block = 4 * SEQ_BLOCK
+    texts = list(_TEXT)
 
     def parse(batches):
         import gzip
-        import io
         import xml.etree.ElementTree as ET
         import zlib
 
-        import pandas as pd
-
-        class Rejected(Exception):
-            pass
+        import pyarrow as pa
+
+        schema = pa.schema(
+            [("path", pa.string()), ("reject_reason", pa.string()), ("seq", pa.int64()), ("group_depth", pa.int32())]
+            + [(c, pa.string()) for c in texts]
+            + [("properties", pa.map_(pa.string(), pa.string())), ("relationships", pa.list_(pa.string()))]
+        )
+
+        def local(el):
+            return el.tag.rsplit("}", 1)[-1]
+
+        def component(el, kind, seq, parent, depth):
+            row = {"kind": kind, "seq": seq, "parent_group_id": parent, "group_depth": depth}
+            properties = {}
+            for child in el:
+                tag = local(child)
+                if tag in fields:
+                    row.setdefault(fields[tag], child.text or "")
+                elif tag == "relationship":
+                    row.setdefault("relationships", []).append(child.text or "")
+                elif tag == "property":
+                    pair = {local(c): c.text or "" for c in child}
+                    properties[pair.get("name", "")] = pair.get("value")
+            if kind == "processor":
+                row["properties"] = list(properties.items())
+            return row
 
         def rows_of(content):
-            if not content:
-                raise Rejected("empty file")
-            if content[:2] == b"\x1f\x8b":
+            """All components of a document, numbered in document order; or why there are none."""
+            if content and content[:2] == b"\x1f\x8b":
                 content = gzip.decompress(content)
-                if not content:
-                    raise Rejected("empty file")
-            rows, open_tags, groups = [], [], []
-            counters = {"processGroup": 0, "processor": 0, "connection": 0, "other": 0}
-            root_seen = False
-
-            def numbered(kind):
-                slot = kind if kind in counters else "other"
-                counters[slot] += 1
-                return list(counters).index(slot) * block + block + counters[slot]
-
-            for event, el in ET.iterparse(io.BytesIO(content), ("start", "end")):
-                tag = el.tag.rsplit("}", 1)[-1]
-                if event == "start":
-                    inside = groups and len(open_tags) == groups[-1]["level"] + 1
-                    if tag == "rootGroup" and not root_seen:
-                        root_seen = True
-                        version = el.get("encoding-version")
-                        groups.append({"level": len(open_tags), "row": {"kind": tag, "seq": 0, "group_depth": 0, "encoding_version": version}, "late": []})
-                    elif tag == "processGroup" and inside:
-                        outer = groups[-1]
-                        row = {"kind": tag, "seq": numbered(tag), "group_depth": len(groups) - 1}
-                        outer["late"].append((row, outer["row"]))
-                        groups.append({"level": len(open_tags), "row": row, "late": []})
-                    open_tags.append(tag)
+            if not content:
+                return None, "empty file"
+            root = next((el for el in ET.fromstring(content).iter() if local(el) == "rootGroup"), None)
+            if root is None:
+                return None, "no rootGroup"
+            own = {local(el): el.text or "" for el in reversed(root) if local(el) in ("id", "name")}
+            for needed in ("id", "name"):
+                if needed not in own:
+                    return None, f"rootGroup without {needed}"
+            rows = [{"kind": "rootGroup", "seq": 0, "group_depth": 0, "encoding_version": root.get("encoding-version"), **own}]
+            seen = {}
+            open_groups = [(iter(root), own["id"], 0)]
+            while open_groups:
+                members, group_id, depth = open_groups[-1]
+                el = next(members, None)
+                if el is None:
+                    open_groups.pop()
                     continue
-                open_tags.pop()
-                if not groups:
+                kind = local(el)
+                if kind not in kinds:
                     continue
-                group, level = groups[-1], len(open_tags)
-                if level == group["level"]:  # the group itself ends
-                    groups.pop()
-                    rows.append(group["row"])
-                    for row, parent in group["late"]:
-                        row["parent_group_id"] = parent.get("id")
-                    el.clear()
-                elif level == group["level"] + 1:  # a direct child of the group
-                    if tag in ("id", "name"):
-                        group["row"].setdefault(tag, el.text or "")
-                    elif tag in kinds:
-                        row = {"kind": tag, "seq": numbered(tag), "group_depth": len(groups) - 1}
-                        for child in el:
-                            key = child.tag.rsplit("}", 1)[-1]
-                            if key in fields:
-                                row.setdefault(fields[key], child.text or "")
-                            elif key == "property":
-                                name, value = child.find("{*}name"), child.find("{*}value")
-                                if name is not None:
-                                    row.setdefault("properties", {})[name.text or ""] = (
-                                        None if value is None else value.text or ""
-                                    )
-                            elif key == "relationship":
-                                row.setdefault("relationships", []).append(child.text or "")
-                        if tag == "processor":
-                            row.setdefault("properties", {})
-                        group["late"].append((row, group["row"]))
-                        rows.append(row)
-                    el.clear()
-            if not root_seen:
-                raise Rejected("no rootGroup")
-            root = next(r for r in rows if r["kind"] == "rootGroup")
-            for needed in ("id", "name"):
-                if needed not in root:
-                    raise Rejected(f"rootGroup without {needed}")
-            return rows
+                block = blocks.get(kind, other_block)
+                seen[block] = seen.get(block, 0) + 1
+                row = component(el, kind, block + seen[block], group_id, depth)
+                rows.append(row)
+                if kind == "processGroup":
+                    open_groups.append((iter(el), row.get("id"), depth + 1))
+            return rows, None
 
-        def frame(rows):
-            return pd.DataFrame({c: pd.Series([r.get(c) for r in rows], dtype=object) for c in columns})
+        def batch_of(rows):
+            return pa.RecordBatch.from_pylist(rows, schema)
 
         pending = []
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 try:
-                    found = rows_of(content)
-                except Rejected as reason:
-                    found = [{"reject_reason": str(reason)}]
+                    rows, reason = rows_of(content)
                 except (ET.ParseError, EOFError, OSError, zlib.error) as error:
-                    found = [{"reject_reason": f"unreadable: {type(error).__name__}"}]
-                for row in found:
+                    rows, reason = None, f"unreadable: {type(error).__name__}"
+                for row in rows or [{"reject_reason": reason}]:
                     row["path"] = path
-                pending += found
+                    pending.append(row)
                 while len(pending) >= batch_rows:
-                    yield frame(pending[:batch_rows])
+                    yield batch_of(pending[:batch_rows])
                     pending = pending[batch_rows:]
         if pending:
-            yield frame(pending)
+            yield batch_of(pending)
 
     return parse
 
@@ -171,7 +154,7 @@ def parse_flow_documents(documents: DataFrame, flow_id: Column | None = None) ->
     :func:`components` and :func:`rejects` on the result, materialised first if
     both are wanted.
     """
-    parsed = documents.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(
+    parsed = documents.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(
         _parse_batches(), PARSED_SCHEMA
     )
     return parsed.select((F.col("path") if flow_id is None else flow_id).alias("flow_id"), "*")
