@@ -74,7 +74,8 @@ def _parse_batches(batch_rows: int = 10_000):
         )
 
         def local(el):
-            return el.tag.rsplit("}", 1)[-1]
+            tag = el.tag
+            return tag if tag[0] != "{" else tag[tag.index("}") + 1 :]
 
         def component(el, kind, seq, parent, depth):
             row = {"kind": kind, "seq": seq, "parent_group_id": parent, "group_depth": depth}

@@ -40,16 +40,16 @@ def _as_vertices(df: DataFrame) -> DataFrame:
     )
 
 
-def _all_properties() -> Column:
-    """One map of a vertex's own fields and its properties, without nulls."""
-    own = F.map_from_arrays(
-        F.array(*[F.lit(k) for k in OWN_FIELDS]), F.array(*[F.col(c).cast("string") for c in OWN_FIELDS.values()])
-    )
-    extra = F.coalesce(
-        F.map_filter("properties", lambda k, _: ~F.array_contains(F.array(*[F.lit(o) for o in OWN_FIELDS]), k)),
-        F.create_map().cast("map<string,string>"),
-    )
-    return F.map_filter(F.map_concat(own, extra), lambda _, v: v.isNotNull())
+def _own() -> dict[str, Column]:
+    """A vertex's own fields as text, by the name they have in files."""
+    return {key: F.col(name).cast("string") for key, name in OWN_FIELDS.items()}
+
+
+def _extra() -> Column:
+    """Entries of the open properties; own names and nulls are left out."""
+    own = F.array(*[F.lit(k) for k in OWN_FIELDS])
+    kept = F.map_filter("properties", lambda k, v: v.isNotNull() & ~F.array_contains(own, k))
+    return F.coalesce(F.map_entries(kept), F.array().cast("array<struct<key:string,value:string>>"))
 
 
 def _with_flow(df: DataFrame, flow_id: str | None) -> DataFrame:
@@ -108,20 +108,26 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
     def datum(key: Column, value: Column) -> Column:
         return F.concat(F.lit('<data key="'), _xml(key), F.lit('">'), _xml(value), F.lit("</data>"))
 
-    entries = F.map_entries(_all_properties())
-    node = F.concat(
+    node = F.concat_ws(
+        "",
         F.format_string('<node id="%d">', "id"),
         datum(F.lit("labelV"), F.col("label")),
-        F.array_join(F.transform(entries, lambda e: datum(e["key"], e["value"])), ""),
+        *[datum(F.lit(key), value) for key, value in _own().items()],
+        F.transform("extra", lambda e: datum(e["key"], e["value"])),
         F.lit("</node>"),
     )
+    keys = F.array_compact(F.array(*[F.when(value.isNotNull(), key) for key, value in _own().items()]))
     edge = F.concat(
         F.format_string('<edge id="%d" source="%d" target="%d">', "id", "src", "dst"),
         datum(F.lit("labelE"), F.col("label")),
         F.lit("</edge>"),
     )
-    elements = vertices.select(
-        "flow_id", F.lit(0).alias("kind"), "id", node.alias("xml"), F.map_keys(_all_properties()).alias("keys")
+    elements = vertices.withColumn("extra", _extra()).select(
+        "flow_id",
+        F.lit(0).alias("kind"),
+        "id",
+        node.alias("xml"),
+        F.concat(keys, F.transform("extra", lambda e: e["key"])).alias("keys"),
     ).unionByName(
         edges.select(
             "flow_id", F.lit(1).alias("kind"), "id", edge.alias("xml"), F.array().cast("array<string>").alias("keys")
@@ -139,11 +145,11 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
         )
 
     body = F.transform(F.array_sort(F.collect_list(F.struct("kind", "id", "xml"))), lambda e: e["xml"])
-    keys = F.array_sort(F.array_distinct(F.flatten(F.collect_set("keys"))))
+    all_keys = F.array_sort(F.array_distinct(F.flatten(F.collect_set("keys"))))
     return (
         elements.join(parts, "flow_id")
         .groupBy("flow_id", part.alias("part"))
-        .agg(body.alias("body"), keys.alias("keys"))
+        .agg(body.alias("body"), all_keys.alias("keys"))
         .select(
             "flow_id",
             "part",
@@ -219,27 +225,24 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, per_line: int = EDGES_
         ).alias("s"),
     ).select("flow_id", F.col("s.v").alias("v"), "s.side", "label", "edge_id", "s.other")
     lines = ends.groupBy("flow_id", "v").agg(F.ceil(F.count("*") / F.lit(per_line)).alias("lines"))
-    out_edge = F.struct(_typed(F.col("edge_id")).alias("id"), _typed(F.col("other")).alias("inV"))
-    in_edge = F.struct(_typed(F.col("edge_id")).alias("id"), _typed(F.col("other")).alias("outV"))
-
-    def by_label(side: str, edge: Column) -> Column:
-        listed = F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("edge_id", "label", edge.alias("e")))))
-        labels = F.array_distinct(F.transform(listed, lambda x: x["label"]))
-        return F.map_from_arrays(
-            labels,
-            F.transform(
-                labels, lambda lb: F.transform(F.filter(listed, lambda x: x["label"] == lb), lambda x: x["e"])
-            ),
-        )
-
     chunk = F.pmod(F.xxhash64("edge_id"), F.col("lines"))
-    adjacency = (
+    # Hash-partitioned by vertex line first, so that grouping per label and then
+    # per line needs no further shuffle.
+    links = (
         ends.join(lines, ["flow_id", "v"])
-        .groupBy("flow_id", "v", chunk.alias("chunk"))
-        .agg(by_label("inE", in_edge).alias("inE"), by_label("outE", out_edge).alias("outE"))
-        .withColumnRenamed("v", "id")
+        .select("flow_id", F.col("v").alias("id"), chunk.alias("chunk"), "side", "label", "edge_id", "other")
+        .repartition("flow_id", "id", "chunk")
+        .groupBy("flow_id", "id", "chunk", "side", "label")
+        .agg(F.array_sort(F.collect_list(F.struct("edge_id", "other"))).alias("links"))
     )
 
+    def by_label(side: str, end: str) -> Column:
+        edge = lambda e: F.struct(_typed(e["edge_id"]).alias("id"), _typed(e["other"]).alias(end))
+        entry = F.struct("label", F.transform("links", edge).alias("links"))
+        return F.map_from_entries(F.collect_list(F.when(F.col("side") == side, entry))).alias(side)
+
+    adjacency = links.groupBy("flow_id", "id", "chunk").agg(by_label("inE", "outV"), by_label("outE", "inV"))
+
     def property_json(key: Column, value: Column) -> Column:
         number = F.xxhash64("flow_id", "id", key)
         text = F.when(key == "isRoot", value).otherwise(_json_text(value))
@@ -248,10 +251,12 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, per_line: int = EDGES_
             F.lit('},"value":'), text, F.lit("}]"),
         )
 
-    properties = F.array_join(
-        F.transform(F.map_entries(_all_properties()), lambda e: property_json(e["key"], e["value"])), ","
+    properties = F.concat_ws(
+        ",",
+        *[property_json(F.lit(key), value) for key, value in _own().items()],
+        F.transform("extra", lambda e: property_json(e["key"], e["value"])),
     )
-    heads = vertices.select("flow_id", "id", "label", F.lit(0).cast("bigint").alias("chunk"), properties.alias("props"))
+    heads = vertices.withColumn("extra", _extra()).select("flow_id", "id", "label", F.lit(0).cast("bigint").alias("chunk"), properties.alias("props"))
     joined = heads.join(adjacency, ["flow_id", "id", "chunk"], "left").unionByName(
         adjacency.filter("chunk > 0")
         .join(vertices.select("flow_id", "id", "label"), ["flow_id", "id"])

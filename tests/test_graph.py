@@ -1,0 +1,259 @@
+import pytest
+from pyspark.sql import functions as F
+
+from flowline.operators import graph as g
+from flowline.operators.status import active_search, filter_active, group_activity
+
+# A small graph by vertex id: parent -> child groups / processors, and dependent edges.
+GROUPS = {0: None, 4: 0, 14: 0, 24: 0, 34: 0, 9: 4, 19: 14, 29: 24, 39: 34, 44: 39}
+PROCS = {
+    14: [49, 58, 64, 75, 81, 99, 105, 115, 123],
+    19: [129, 138, 146],
+    24: [154, 163],
+    29: [173, 182, 190],
+}
+LINKS = [(198, 14, 19), (199, 24, 29), (200, 14, 24)]
+NAMES = {138: "Log Warn", 190: "warnings out", 105: "GenerateFlowFile", 129: "GenerateFlowFile", 163: "generateflowfile"}
+PROPERTIES = {173: {"source": "a GENERATEFLOWFILE of sorts", "text": "two\nlines"}}
+
+
+@pytest.fixture(scope="module")
+def graph(spark):
+    vertices = [("f", v, "processGroup", p is None, f"pg{v}", f"Group {v}", None, None, None) for v, p in GROUPS.items()]
+    edges = [("f", v, p, v, "parent") for v, p in GROUPS.items() if p is not None]
+    for parent, children in PROCS.items():
+        for v in children:
+            vertices.append(("f", v, "processor", None, None, None, f"p{v}", NAMES.get(v, f"Proc {v}"), PROPERTIES.get(v, {})))
+            edges.append(("f", v, parent, v, "parent"))
+    edges += [("f", i, a, b, "dependent") for i, a, b in LINKS]
+    return (
+        spark.createDataFrame(
+            vertices,
+            "flow_id string, id bigint, label string, is_root boolean, pg_id string, pg_name string, "
+            "proc_id string, proc_name string, properties map<string,string>",
+        ),
+        spark.createDataFrame(edges, "flow_id string, id bigint, src bigint, dst bigint, label string"),
+    )
+
+
+def ids(spark, *vertices, prefix="pg", column="pg_id"):
+    return spark.createDataFrame([("f", f"{prefix}{v}") for v in vertices], f"flow_id string, {column} string")
+
+
+def listed(df, order, value="pg"):
+    return [r[value]["id"] for r in df.orderBy(order).collect()]
+
+
+def test_lists(graph):
+    vertices, _ = graph
+    assert [r.id for r in g.list_groups(vertices, 3).collect()] == [0, 4, 9]
+    assert [r.id for r in g.list_processors(vertices, 3).collect()] == [49, 58, 64]
+    assert [g.list_groups(vertices, n).count() for n in (-1, 0, -2)] == [10, 0, 0]
+
+
+def test_result_structs(graph):
+    vertices, _ = graph
+    group = vertices.filter("id = 4").select(g.group_struct().alias("s")).first().s
+    assert tuple(group) == (False, 4, "Group 4", "pg4")
+    proc = vertices.filter("id = 49").select(g.processor_struct().alias("s")).first().s
+    assert tuple(proc) == (49, "p49", "Proc 49")
+
+
+def test_label_counts(graph, rows):
+    assert rows(g.label_counts(*graph)) == [
+        ("edge", "dependent", 3), ("edge", "parent", 26), ("vertex", "processGroup", 10), ("vertex", "processor", 17),
+    ]
+
+
+@pytest.mark.parametrize("depth, expected", [(10, [44, 39, 34, 0]), (1, [44, 39]), (0, [44]), (-1, [44]), (2, [44, 39, 34])])
+def test_ancestors(spark, graph, depth, expected):
+    found = g.group_ancestors(*graph, ids(spark, 44), depth)
+    assert listed(found, "depth") == expected
+
+
+def test_ancestors_of_all_groups_end_at_the_root(graph):
+    last = g.group_ancestors(*graph).groupBy("group_id").agg(F.max_by("pg.is_root", "depth").alias("at_root"))
+    assert last.count() == len(GROUPS) and last.filter("not at_root").isEmpty()
+
+
+def test_long_chain_needs_several_steps(spark):
+    n = 23
+    vertices = spark.range(n).selectExpr(
+        "'f' flow_id", "id", "'processGroup' label", "id = 0 is_root", "concat('g', id) pg_id", "'x' pg_name"
+    )
+    edges = spark.range(1, n).selectExpr("'f' flow_id", "id", "id - 1 src", "id dst", "'parent' label")
+    start = spark.createDataFrame([("f", f"g{n - 1}")], "flow_id string, pg_id string")
+    assert listed(g.group_ancestors(vertices, edges, start, 100), "depth") == list(range(n - 1, -1, -1))
+    assert listed(g.group_ancestors(vertices, edges, start, 12), "depth") == list(range(n - 1, n - 14, -1))
+    assert g.group_ancestors(vertices, edges, None, 100).count() == n * (n + 1) // 2
+
+
+def test_circle_is_bounded(spark):
+    vertices = spark.range(3).selectExpr(
+        "'f' flow_id", "id", "'processGroup' label", "false is_root", "concat('g', id) pg_id", "'x' pg_name"
+    )
+    edges = spark.range(3).selectExpr("'f' flow_id", "id", "(id + 1) % 3 src", "id dst", "'parent' label")
+    start = spark.createDataFrame([("f", "g0")], "flow_id string, pg_id string")
+    assert listed(g.group_ancestors(vertices, edges, start, 7), "depth") == [0, 1, 2, 0, 1, 2, 0, 1]
+
+
+@pytest.mark.parametrize(
+    "direction, vertex, limit, expected",
+    [
+        ("upstream", 24, 10, [14]),
+        ("downstream", 24, 10, [29]),
+        ("upstream", 24, 1, []),  # edge 199 is kept, then fails the direction
+        ("downstream", 14, 10, [19, 24]),
+        ("downstream", 14, 1, [19]),
+        ("downstream", 14, 0, []),
+        ("downstream", 14, -1, [19, 24]),
+        ("downstream", 14, 5000, [19, 24]),
+        ("upstream", 14, 10, []),
+    ],
+)
+def test_dependents(spark, graph, direction, vertex, limit, expected):
+    assert listed(getattr(g, direction)(*graph, ids(spark, vertex), limit), "edge_id") == expected
+
+
+def test_dependents_refuse_odd_arguments(graph):
+    with pytest.raises(ValueError):
+        g.dependents(*graph, limit=-2)
+    with pytest.raises(ValueError):
+        g.dependents(*graph, direction="sideways")
+
+
+def test_repeated_edges_repeat_and_self_links_count_towards_the_limit(spark):
+    vertices = spark.range(3).selectExpr(
+        "'f' flow_id", "id", "'processGroup' label", "false is_root", "concat('g', id) pg_id", "'x' pg_name"
+    )
+    edges = spark.createDataFrame(
+        [("f", 1, 0, 0, "dependent"), ("f", 2, 0, 1, "dependent"), ("f", 3, 0, 1, "dependent"), ("f", 4, 0, 2, "dependent")],
+        "flow_id string, id bigint, src bigint, dst bigint, label string",
+    )
+    start = spark.createDataFrame([("f", "g0")], "flow_id string, pg_id string")
+    assert listed(g.downstream(vertices, edges, start, 10), "edge_id") == [1, 1, 2]
+    assert listed(g.downstream(vertices, edges, start, 3), "edge_id") == [1]  # the self link is met twice
+
+
+def test_upstream_and_downstream_are_transposes(graph, rows):
+    down = g.downstream(*graph, limit=-1).selectExpr("group_id a", "pg.id b", "edge_id")
+    up = g.upstream(*graph, limit=-1).selectExpr("pg.id a", "group_id b", "edge_id")
+    assert rows(down) == rows(up) == [(14, 19, 198), (14, 24, 200), (24, 29, 199)]
+
+
+def test_immediate_parent(graph):
+    parents = {r.id: r.parent.id for r in g.immediate_parent(*graph).collect()}
+    assert parents[173] == 29 and parents[29] == 24 and 0 not in parents and len(parents) == 26
+
+
+def test_first_edge(graph):
+    first = {r.vertex: r.id for r in g.first_edge_per_vertex(graph[1], "dependent").collect()}
+    assert first == {14: 198, 19: 198, 24: 199, 29: 199}
+
+
+def test_endpoints(graph):
+    edge = g.attach_endpoints(graph[1], graph[0]).filter("id = 173").first()
+    assert edge.out_vertex.pg_id == "pg29" and edge.in_vertex.proc_id == "p173"
+
+
+def test_groups_by_id(spark, graph):
+    vertices = graph[0]
+    copies = spark.createDataFrame(
+        [("f", 1000 + i, "processGroup", False, "pg9", f"copy {i}", None, None, None) for i in range(6)], vertices.schema
+    )
+    found = {r.pg_id: r.pg for r in g.groups_by_id(vertices.union(copies), ids(spark, 9, 24, 77, 9)).collect()}
+    assert found["pg24"].id == 24
+    assert found["pg9"].id == 1003  # the last of the first five
+    assert tuple(found["pg77"]) == (None, None, None, None)
+
+
+def report_of(df, name):
+    return [r.pg.id for r in df.filter(F.col("list") == name).orderBy("ord").collect()]
+
+
+def test_processor_report(spark, graph):
+    wanted = ids(spark, 173, 154, 999, prefix="p", column="proc_id")
+    report = g.processor_report(*graph, wanted, 10)
+    assert {r.proc_id for r in report.collect()} == {"p173", "p154"}
+    one = report.filter("id = 173")
+    assert report_of(one, "parents") == [29, 24, 0]
+    assert report_of(one, "upstream") == [24] and report_of(one, "downstream") == []
+    assert {r.immediate_parent_pg_id for r in one.collect()} == {"pg29"}
+    assert report_of(report.filter("id = 154"), "downstream") == [29]
+
+
+def test_depth_zero_still_finds_the_parent(spark, graph):
+    one = g.processor_report(*graph, ids(spark, 173, prefix="p", column="proc_id"), 0)
+    assert report_of(one, "parents") == [29] and report_of(one, "upstream") == []
+
+
+def test_unlimited_depth_means_self_for_parents_and_all_for_neighbours(spark, graph):
+    one = g.processor_report(*graph, ids(spark, 154, prefix="p", column="proc_id"), -1)
+    assert report_of(one, "parents") == [24]
+    assert report_of(one, "upstream") == [14] and report_of(one, "downstream") == [29]
+
+
+def test_nested_report(spark, graph):
+    wanted = ids(spark, 173, prefix="p", column="proc_id")
+    one = g.nested_processor_report(*graph, wanted, 10).first()
+    assert [p.id for p in one.parent_process_groups] == [29, 24, 0]
+    assert [p.pg_name for p in one.upstream_dependent_process_groups] == ["Group 24"]
+    assert one.downstream_dependent_process_groups == []
+    bare = g.nested_processor_report(*graph, wanted, 10, with_dependents=False).first()
+    assert bare.upstream_dependent_process_groups is None and len(bare.parent_process_groups) == 3
+    with pytest.raises(ValueError):
+        g.nested_processor_report(*graph, wanted, -1)
+
+
+def test_search(graph):
+    vertices, edges = graph
+    assert {r.id for r in g.search_properties(vertices, "WARN").collect()} == {138, 190}
+    hits = g.search_processors(vertices, edges, "generateflowfile", 10, with_dependents=False)
+    assert {r.id for r in hits.collect()} == {105, 129, 163, 173}
+    assert g.search_properties(vertices, "").count() == 17
+    assert {r.id for r in g.search_properties(vertices, "two\nLINES").collect()} == {173}
+    assert g.search_properties(vertices, "Group 4").isEmpty()  # groups are not searched
+    assert g.search_properties(vertices, "p138\0Log").isEmpty()
+
+
+def test_search_many(graph, rows):
+    hits = g.search_properties(graph[0], ["warn", "LOG", "nothing"])
+    assert rows(hits, "id", "matched") == [(138, "LOG"), (138, "warn"), (190, "warn")]
+
+
+def test_drop_empty_processors(spark, rows):
+    df = spark.createDataFrame([(None,), (0,), (-1,), (5,)], "id bigint")
+    assert rows(g.drop_empty_processors(df)) == [(5,)]
+
+
+def test_dedupe_matches(graph):
+    twice = graph[0].union(graph[0]).filter("label = 'processor'")
+    assert g.dedupe_matches(twice).count() == 17
+
+
+@pytest.fixture
+def activity(spark):
+    counts = [("pg14", 1, 9), ("pg19", 2, 8), ("pg24", 0, 0), ("pg29", 5, 0)]
+    return spark.createDataFrame(
+        [("f", pg, r, s, 0, 0) for pg, r, s in counts],
+        "flow_id string, entity_id string, running int, stopped int, disabled int, invalid int",
+    )
+
+
+def test_activity_boundary(activity):
+    active = {r.entity_id: r.is_active for r in group_activity(activity).collect()}
+    assert active == {"pg14": False, "pg19": True, "pg24": False, "pg29": True}
+
+
+def test_active_search(graph, activity):
+    found = active_search(*graph, activity, "generateflowfile", 10, with_dependents=False, nested=True)
+    assert {r.id for r in found.collect()} == {129, 173}
+    assert filter_active(found, activity).count() == 2
+
+
+def test_flows_do_not_mix(spark, graph):
+    vertices, edges = graph
+    other = lambda df: df.withColumn("flow_id", F.lit("g"))
+    both = vertices.union(other(vertices)), edges.union(other(edges))
+    assert g.group_ancestors(*both, ids(spark, 44)).count() == 4
+    assert g.processor_report(*both).count() == 2 * g.processor_report(*graph).count()

@@ -1,0 +1,159 @@
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as hst
+from pyspark.sql import functions as F
+
+from flowline.operators import status as st
+
+T = datetime(2024, 1, 1, 12)
+
+
+def at(seconds):
+    return T + timedelta(seconds=seconds)
+
+
+def test_latest_per_entity(spark, rows):
+    df = spark.createDataFrame(
+        [("f", "a", "x", 1, at(9)), ("f", "a", "y", 2, at(1)), ("f", "a", "z", 2, at(2)), ("g", "a", "w", 0, at(0))],
+        "flow_id string, entity_id string, state string, version bigint, ts timestamp",
+    )
+    assert rows(st.latest_per_entity(df), "flow_id", "state") == [("f", "z"), ("g", "w")]
+
+
+def test_controllable(spark, rows):
+    df = spark.createDataFrame([("a", "RUNNING"), ("b", "invalid"), ("c", None)], "id string, state string")
+    assert rows(st.filter_controllable(df), "id") == [("a",), ("c",)]
+    assert rows(st.filter_controllable(df, keep_skipped=True), "id", "skipped") == [("a", False), ("b", True), ("c", False)]
+    assert rows(df.filter(st.known_state("state")), "id") == [("a",)]
+
+
+@pytest.fixture
+def tree(spark):
+    """root -> a (queued) -> a1 (empty) -> a11 (queued), a2 (queued); root -> b (empty) -> b1 (queued)."""
+    groups = [("a", "root", "1,234"), ("a1", "a", "0"), ("a11", "a1", "5"), ("a2", "a", "7"), ("b", "root", "0"), ("b1", "b", "9")]
+    return spark.createDataFrame(
+        [("f", e, p, q, int(q[0] != "0"), int(q[0] == "0")) for e, p, q in groups],
+        "flow_id string, entity_id string, parent_id string, queued_count string, active_remote int, inactive_remote int",
+    )
+
+
+def members(spark, queued="12"):
+    places = ["root", "a", "a1", "a11", "a2", "b", "b1"]
+    return spark.createDataFrame(
+        [("f", p, f"in-{p}", queued) for p in places] + [("f", p, f"empty-{p}", "0") for p in places],
+        "flow_id string, parent_id string, entity_id string, queued_count string",
+    )
+
+
+def start(spark, *entities):
+    return spark.createDataFrame([("f", e) for e in entities], "flow_id string, entity_id string")
+
+
+def test_drain_prunes_empty_groups(spark, tree, rows):
+    found = st.connections_to_drain(tree, members(spark), start(spark, "root"))
+    assert rows(found, "entity_id", "queued") == [("in-a", 12), ("in-a2", 12), ("in-root", 12)]
+
+
+def test_drain_enters_an_empty_root_and_serves_several_roots(spark, tree, rows):
+    found = st.connections_to_drain(tree, members(spark), start(spark, "b", "a1", "a"))
+    assert rows(found, "root_id", "parent_id") == [("a", "a"), ("a", "a2"), ("a1", "a1"), ("a1", "a11"), ("b", "b"), ("b", "b1")]
+
+
+def test_drain_own_connections(spark, tree, rows):
+    found = st.connections_to_drain(tree, members(spark), start(spark, "a"), recursive=False)
+    assert rows(found, "entity_id") == [("in-a",)]
+
+
+def test_descent_ends_in_a_circle(spark, rows):
+    ring = spark.createDataFrame(
+        [("f", "x", "y", "1"), ("f", "y", "x", "1")], "flow_id string, entity_id string, parent_id string, queued_count string"
+    )
+    links = spark.createDataFrame([("f", "x", "c1", "1"), ("f", "y", "c2", "1")], "flow_id string, parent_id string, entity_id string, queued_count string")
+    assert rows(st.connections_to_drain(ring, links, start(spark, "x")), "entity_id") == [("c1",), ("c2",)]
+
+
+def test_remote_toggle(spark, tree, rows):
+    remotes = members(spark).filter("queued_count <> '0'")
+    disable = st.remote_groups_to_toggle(tree, remotes, start(spark, "root"), enable=False)
+    assert rows(disable, "parent_id") == [("a",), ("a2",), ("root",)]
+    enable = st.remote_groups_to_toggle(tree, remotes, start(spark, "root"), enable=True)
+    assert rows(enable, "parent_id") == [("b",), ("root",)]
+
+
+def test_queued_totals(spark, rows):
+    df = spark.createDataFrame(
+        [("f", "a", "1,234"), ("f", "a", "0"), ("f", "a", "12"), ("f", "b", "0")], "flow_id string, parent_id string, queued_count string"
+    )
+    assert rows(st.queued_totals(df), "parent_id", "queued", "non_empty") == [("a", 1246, 2), ("b", 0, 0)]
+
+
+def test_children_converged(spark):
+    groups = spark.createDataFrame(
+        [("f", "c1", "p", 0, 0, "0"), ("f", "c2", "p", 0, 1, "0"), ("f", "d1", "q", 1, 0, "0"), ("f", "e1", "r", 0, 0, "1,000"),
+         ("f", "p", None, 0, 0, "0"), ("f", "q", None, 0, 0, "0"), ("f", "r", None, 0, 0, "0"), ("f", "alone", None, 2, 0, "0")],
+        "flow_id string, entity_id string, parent_id string, running int, stopped int, queued_count string",
+    )
+    parents = groups.filter("parent_id is null")
+
+    def done(state):
+        return {r.entity_id: (r.children_converged, r.converged) for r in st.children_converged(groups, parents, state).collect()}
+
+    assert done("stopped") == {"p": (True, True), "q": (False, False), "r": (False, False), "alone": (True, False)}
+    assert done("RUNNING") == {"p": (False, False), "q": (True, True), "r": (True, True), "alone": (True, True)}
+
+
+def test_references_and_revisions(spark, rows):
+    refs = spark.createDataFrame(
+        [("f", "s1", "a", "Running", 1), ("f", "s1", "b", "RUNNING", 2), ("f", "s2", "a", None, 3), ("f", "s2", "a", "RUNNING", 4)],
+        "flow_id string, service_id string, ref_id string, state string, revision bigint",
+    )
+    services = spark.createDataFrame([("f", s) for s in ("s1", "s2", "s3")], "flow_id string, service_id string")
+    assert rows(st.references_converged(services, refs, "running"), "service_id", "converged") == [("s1", True), ("s2", False), ("s3", True)]
+    assert rows(st.collect_revisions(refs), "service_id", "ref_id", "revision") == [("s1", "a", 1), ("s1", "b", 2), ("s2", "a", 4)]
+
+
+def commands_and_statuses(spark, commands, statuses):
+    return (
+        spark.createDataFrame([("f", e, s, t) for e, s, t in commands], "flow_id string, entity_id string, target_state string, ts timestamp"),
+        spark.createDataFrame([("f", e, s, t) for e, s, t in statuses], "flow_id string, entity_id string, state string, ts timestamp"),
+    )
+
+
+def test_reached_at_the_very_end_of_the_window(spark, rows):
+    sides = commands_and_statuses(
+        spark,
+        [("a", "RUNNING", at(0)), ("b", "running", at(0)), ("c", "RUNNING", at(0)), ("d", "RUNNING", at(0))],
+        [("a", "Running", at(10)), ("b", "RUNNING", at(10) + timedelta(microseconds=1)), ("c", "STOPPED", at(5)), ("d", "RUNNING", at(0))],
+    )
+    got = rows(st.reached_state(*sides, 10), "entity_id", "reached", "reached_ts")
+    assert got == [("a", True, at(10)), ("b", False, None), ("c", False, None), ("d", True, at(0))]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    commands=hst.lists(hst.tuples(hst.sampled_from("ab"), hst.sampled_from(["UP", "down"]), hst.integers(0, 400)), max_size=12),
+    statuses=hst.lists(hst.tuples(hst.sampled_from("ab"), hst.sampled_from(["up", "DOWN"]), hst.integers(0, 400)), max_size=25),
+    within=hst.integers(0, 150),
+    bucket=hst.sampled_from([1, 7, 60, 3600]),
+)
+def test_reached_state_equals_brute_force(spark, commands, statuses, within, bucket):
+    sides = commands_and_statuses(
+        spark, [(e, s, at(t)) for e, s, t in commands], [(e, s, at(t)) for e, s, t in statuses]
+    )
+    got = sorted(
+        ((r.entity_id, r.target_state, r.ts, r.reached, r.reached_ts) for r in st.reached_state(*sides, within, bucket).collect()),
+        key=str,
+    )
+    want = []
+    for e, s, t in commands:
+        hits = [u for f, x, u in statuses if f == e and x.lower() == s.lower() and t <= u <= t + within]
+        want.append((e, s, at(t), bool(hits), at(min(hits)) if hits else None))
+    assert got == sorted(want, key=str)
+
+
+def test_revision_default(spark):
+    df = spark.createDataFrame([("a", None)], "id string, revision struct<client_id:string,version:bigint>")
+    assert tuple(st.with_revision(df).first().revision) == (None, None)
+    assert st.with_revision(df).filter(F.col("revision").isNull()).isEmpty()
