@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowline.functions import contains_ignore_case, equals_ignore_case
+from flowline.operators.keys import group_apart
 from flowline.session import cut_lineage
 from flowline.sources.flow_xml import cross_group_connections, processors
 
@@ -413,7 +414,9 @@ def nested_processor_report(
         entries = F.collect_list(F.when(F.col("list") == name, F.struct("ord", "pg")))
         return F.transform(F.array_sort(entries), lambda e: e["pg"])
 
-    per_group = lists.groupBy("flow_id", "group_id").agg(
+    per_group = group_apart(
+        lists,
+        ["flow_id", "group_id"],
         nested("parents").alias("parent_process_groups"),
         *[
             (nested(d) if with_dependents else F.lit(None).cast(_PG_LIST)).alias(f"{d}_dependent_process_groups")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from flowline.functions import audit_time, key_value, row_checksum
 from flowline.operators.catalog import TableSpec
+from flowline.operators.keys import distinct_apart
+from flowline.session import cut_lineage
 
 
 def read_source_incremental(
@@ -58,10 +60,12 @@ def _with_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _delta_by_key(delta: DataFrame, spec: TableSpec, on_duplicate: str) -> DataFrame:
-    """One delta row per key as struct ``d``.
+    """One delta row per key as struct ``d``, written out.
 
-    Several rows for one key either fail the job when it runs ("error") or the
-    one with the newest watermark wins ("latest", checksum as tie break).
+    Several rows for one key either fail the job ("error") or the one with the
+    newest watermark wins ("latest", checksum as tie break). The merge reads the
+    result three times; from the written form it knows the exact size, on which
+    Spark decides whether to broadcast it.
     """
     if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
@@ -75,7 +79,7 @@ def _delta_by_key(delta: DataFrame, spec: TableSpec, on_duplicate: str) -> DataF
         failure = F.raise_error(F.concat(F.lit(f"duplicate delta key for {spec.name}: "), shown))
         checked = F.when(F.col("copies") > 1, failure.cast("string")).otherwise(F.col("d.checksum"))
         grouped = grouped.withColumn("d", F.col("d").withField("checksum", checked))
-    return grouped.select(*keys, "d")
+    return cut_lineage(grouped.select(*keys, "d"), f"delta-{spec.name}")
 
 
 def _classified(target: DataFrame, delta: DataFrame, spec: TableSpec, on_duplicate: str):
@@ -96,7 +100,7 @@ def _classified(target: DataFrame, delta: DataFrame, spec: TableSpec, on_duplica
         "action",
         F.when(F.col("d").isNull(), "keep").when(changed, "update").otherwise("same"),
     )
-    known = current.select(*keys).join(incoming.select(*keys), keys, "left_semi").distinct()
+    known = distinct_apart(current.select(*keys).join(incoming.select(*keys), keys, "left_semi"), *keys)
     inserted = incoming.join(known, keys, "left_anti").withColumn("action", F.lit("insert"))
     return existing, inserted
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowline.functions import strip_whitespace
+from flowline.operators.keys import distinct_apart, group_apart
 
 
 def template_names(components: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def template_names(components: DataFrame) -> DataFrame:
 
 def covered_by_template(live: DataFrame, template: DataFrame) -> DataFrame:
     """Live components whose kind and (case-sensitive) name the template holds."""
-    return live.join(template.select("kind", "name").distinct(), ["kind", "name"], "left_semi")
+    return live.join(distinct_apart(template, "kind", "name"), ["kind", "name"], "left_semi")
 
 
 def find_by_name(
@@ -41,14 +42,14 @@ def find_by_name(
     entry = F.struct("id", "name")
     keyed = live.withColumn("name_key", F.lower("name"))
     by_name = (
-        keyed.join(wanted.select(*by, "name_key").distinct(), [*by, "name_key"], "left_semi")
+        keyed.join(distinct_apart(wanted, *by, "name_key"), [*by, "name_key"], "left_semi")
         .groupBy(*by, "name_key")
         .agg(F.min_by(entry, pos).alias("hit"))
     )
     found = wanted.join(by_name, [*by, "name_key"], "left")
     chosen = F.col("hit")
     if fallback:
-        first = live.groupBy(*by).agg(F.min_by(entry, pos).alias("first"))
+        first = group_apart(live, by, F.min_by(entry, pos).alias("first"))
         found = found.join(first, by, "left")
         chosen = F.coalesce("hit", "first")
     return found.select(
@@ -78,7 +79,7 @@ def match_name_ignoring_space(df: DataFrame, wanted: str | DataFrame) -> DataFra
 
     if isinstance(wanted, str):
         return df.filter(bare(F.col("name")) == bare(F.lit(wanted)))
-    keys = wanted.select(bare(F.col("name")).alias("bare_name")).distinct()
+    keys = distinct_apart(wanted.select(bare(F.col("name")).alias("bare_name")), "bare_name")
     return df.withColumn("bare_name", bare(F.col("name"))).join(keys, "bare_name", "left_semi").drop("bare_name")
 
 

@@ -162,6 +162,7 @@ def parse_flow_documents(documents: DataFrame, flow_id: Column | None = None) ->
 
 
 def read_flow_configs(spark: SparkSession, path: str, flow_id: Column | None = None) -> DataFrame:
+    """Parses all files below ``path``; files without a single byte are skipped by the scan."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return parse_flow_documents(files.select("path", "content"), flow_id)
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowline.operators.keys import group_apart
+
 ELEMENTS_PER_DOCUMENT = 50_000
 EDGES_PER_LINE = 10_000
 
@@ -133,7 +135,7 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
             "flow_id", F.lit(1).alias("kind"), "id", edge.alias("xml"), F.array().cast("array<string>").alias("keys")
         )
     )
-    parts = elements.groupBy("flow_id").agg(F.ceil(F.count("*") / F.lit(per_document)).alias("parts"))
+    parts = group_apart(elements, ["flow_id"], F.ceil(F.count("*") / F.lit(per_document)).alias("parts"))
     part = F.pmod(F.xxhash64("kind", "id"), F.col("parts"))
 
     def key_line(key: Column) -> Column:
@@ -146,16 +148,15 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
 
     body = F.transform(F.array_sort(F.collect_list(F.struct("kind", "id", "xml"))), lambda e: e["xml"])
     all_keys = F.array_sort(F.array_distinct(F.flatten(F.collect_set("keys"))))
+    placed = elements.join(parts, "flow_id").withColumn("part", part)
     return (
-        elements.join(parts, "flow_id")
-        .groupBy("flow_id", part.alias("part"))
-        .agg(body.alias("body"), all_keys.alias("keys"))
+        group_apart(placed, ["flow_id", "part"], body.alias("body"), all_keys.alias("all_keys"))
         .select(
             "flow_id",
             "part",
             F.concat(
                 F.lit(_GRAPHML_HEAD),
-                F.array_join(F.transform("keys", key_line), ""),
+                F.array_join(F.transform("all_keys", key_line), ""),
                 F.lit('<key id="labelV" for="node" attr.name="labelV" attr.type="string"/>'),
                 F.lit('<key id="labelE" for="edge" attr.name="labelE" attr.type="string"/>'),
                 F.lit('<graph id="G" edgedefault="directed">'),
@@ -224,7 +225,7 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, per_line: int = EDGES_
             )
         ).alias("s"),
     ).select("flow_id", F.col("s.v").alias("v"), "s.side", "label", "edge_id", "s.other")
-    lines = ends.groupBy("flow_id", "v").agg(F.ceil(F.count("*") / F.lit(per_line)).alias("lines"))
+    lines = group_apart(ends, ["flow_id", "v"], F.ceil(F.count("*") / F.lit(per_line)).alias("lines"))
     chunk = F.pmod(F.xxhash64("edge_id"), F.col("lines"))
     # Hash-partitioned by vertex line first, so that grouping per label and then
     # per line needs no further shuffle.

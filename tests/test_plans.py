@@ -1,0 +1,106 @@
+"""The physical plans that matter at scale."""
+
+import contextlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import binding as b
+from flowline.operators import graph as g
+from flowline.operators import merge as m
+from flowline.operators import status as st
+from flowline.operators.catalog import TableSpec
+from flowline.plans.ingestion import compacted
+
+SPEC = TableSpec("item", (("id", "bigint"), ("v", "string"), ("grp", "int")), ("id",), "grp")
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    keys = {k.replace("__", "."): str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    """The plan after adaptive execution, once the query has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def sides(spark, tmp_path_factory):
+    """A target of which a third has no key, and a delta, as stored tables."""
+    path = str(tmp_path_factory.mktemp("merge"))
+    target = spark.range(90_000).selectExpr("if(id % 3 = 0, null, id) id", "repeat('x', 50) v", "cast(id % 7 as int) grp")
+    delta = spark.range(1, 30_000).selectExpr("id * 4 id", "'y' v", "1 grp")
+    m.stage_to_delta(delta, SPEC, F.lit("2024-01-01").cast("timestamp")).write.parquet(f"{path}/delta")
+    audited = target.select("*", F.lit("old").alias("checksum"), F.current_timestamp().alias("watermark"))
+    audited.write.parquet(f"{path}/target")
+    return spark.read.parquet(f"{path}/target"), spark.read.parquet(f"{path}/delta")
+
+
+def test_small_delta_is_broadcast_and_the_target_is_not_shuffled(sides):
+    plan = final_plan(m.merge_current(*sides, SPEC))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    left = re.search(r"BroadcastHashJoin \[[^\n]*LeftOuter, BuildRight", plan)
+    assert left, plan
+
+
+def test_large_delta_joins_with_the_hot_key_split(spark, sides):
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor=2,
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
+    ):
+        df = m.merge_current(*sides, SPEC)
+        plan = final_plan(df)
+        assert df.count() == 90_000 + 29_999 - len([i for i in range(4, 4 * 30_000, 4) if i < 90_000 and i % 3])
+    assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*LeftOuter", plan), plan
+
+
+def test_incremental_filter_and_columns_reach_the_scan(spark):
+    df = b.table(spark, "/root/testdata/sf0.001", "orders").select("o_orderkey", "o_orderdate")
+    seen = {"o_orderkey": 100}
+    plan = m.read_source_incremental(df, ["o_orderkey"], seen)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_orderkey,100)" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_fan_out_limit_is_pruned_before_the_shuffle(spark):
+    vertices = spark.range(10).selectExpr("'f' flow_id", "id", "'processGroup' label", "false is_root", "cast(id as string) pg_id", "'x' pg_name")
+    edges = spark.range(100).selectExpr("'f' flow_id", "id", "0L src", "id % 10 dst", "'dependent' label")
+    plan = g.dependents(vertices, edges, limit=10)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_latest_and_first_edge_combine_before_the_shuffle(spark):
+    df = spark.range(10).selectExpr("'f' flow_id", "id entity_id", "id version", "id ts", "'x' state")
+    plan = st.latest_per_entity(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_descent_broadcasts_its_frontier(spark):
+    groups = b.group_status(spark, "/root/testdata/sf0.001")
+    found = st.connections_to_drain(groups, b.order_connections(spark, "/root/testdata/sf0.001"), b.roots(spark))
+    assert "SortMergeJoin" not in final_plan(found)
+
+
+def test_compaction_spreads_a_hot_cluster_value(spark, tmp_path):
+    hot = spark.range(200_000).selectExpr("id", "uuid() v", "if(id % 3 > 0, 1, cast(id as int)) grp")
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="500KB"):
+        compacted(hot, SPEC).write.parquet(str(tmp_path / "out"))
+    files = spark.read.parquet(str(tmp_path / "out")).withColumn("file", F.input_file_name())
+    per_file = [r.n for r in files.groupBy("file").agg(F.count("*").alias("n")).collect()]
+    assert len(per_file) > 3 and max(per_file) < 100_000
+    assert files.filter("grp = 1").select("file").distinct().count() > 1
