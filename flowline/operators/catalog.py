@@ -44,6 +44,11 @@ class TableSpec:
     def column_names(self) -> list[str]:
         return [name for name, _ in self.columns]
 
+    @property
+    def bucket_column(self) -> str:
+        """The cluster column; the first key where there is none."""
+        return self.clustered_by or self.keys[0]
+
     def type_of(self, column: str) -> str:
         return dict(self.columns)[column]
 
@@ -108,19 +113,18 @@ def object_names(headers: DataFrame) -> DataFrame:
     )
 
 
-def table_specs(catalog: DataFrame, requests: Sequence[dict]) -> list[TableSpec]:
-    """Specs of the requested tables, read from the catalog on the driver.
+def table_specs(headers: DataFrame, details: DataFrame, requests: Sequence[dict]) -> list[TableSpec]:
+    """Specs of the requested tables, for use on the driver.
 
-    ``catalog`` is the output of :func:`object_columns`; only the columns of the
-    tables named in the (driver-side) request list are fetched.
+    A request names namespace, package_id and db_object_name and may carry
+    buckets and clustered_by. What is fetched are the column lists of the
+    requested tables only.
     """
     by_object = {tuple(r[k] for k in OBJECT_KEYS): r for r in requests}
+    wanted = headers.sparkSession.createDataFrame(list(by_object), ", ".join(f"{k} string" for k in OBJECT_KEYS))
     found: dict[tuple, list] = {key: [] for key in by_object}
-    rows = catalog.select(*OBJECT_KEYS, "column_name", "infer_data_type", "is_key", "col_order", "id")
-    for row in rows.orderBy("col_order", "id").collect():
-        key = tuple(row[k] for k in OBJECT_KEYS)
-        if key in found:
-            found[key].append(row)
+    for row in object_columns(headers, details, wanted).orderBy("col_order", "id").collect():
+        found[tuple(row[k] for k in OBJECT_KEYS)].append(row)
     specs = []
     for key, request in by_object.items():
         if not found[key]:

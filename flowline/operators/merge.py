@@ -62,8 +62,9 @@ def _with_keys(df: DataFrame, spec: TableSpec) -> DataFrame:
 def _delta_by_key(delta: DataFrame, spec: TableSpec, on_duplicate: str) -> DataFrame:
     """One delta row per key as struct ``d``, written out.
 
-    Several rows for one key either fail the job ("error") or the one with the
-    newest watermark wins ("latest", checksum as tie break). The merge reads the
+    Different rows for one key either fail the job ("error") or the one with
+    the newest watermark wins ("latest", checksum as tie break). Copies of one
+    row, as a repeated insert leaves them, are no conflict. The merge reads the
     result three times; from the written form it knows the exact size, on which
     Spark decides whether to broadcast it.
     """
@@ -72,12 +73,13 @@ def _delta_by_key(delta: DataFrame, spec: TableSpec, on_duplicate: str) -> DataF
     keys = _key_names(spec)
     row = F.struct(*[F.col(c) for c in [*spec.column_names, "checksum"]])
     grouped = _with_keys(delta, spec).groupBy(*keys).agg(
-        F.max_by(row, F.struct("watermark", "checksum")).alias("d"), F.count("*").alias("copies")
+        F.max_by(row, F.struct("watermark", "checksum")).alias("d"),
+        (F.min("checksum") != F.max("checksum")).alias("differ"),
     )
     if on_duplicate == "error":
         shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
         failure = F.raise_error(F.concat(F.lit(f"duplicate delta key for {spec.name}: "), shown))
-        checked = F.when(F.col("copies") > 1, failure.cast("string")).otherwise(F.col("d.checksum"))
+        checked = F.when(F.col("differ"), failure.cast("string")).otherwise(F.col("d.checksum"))
         grouped = grouped.withColumn("d", F.col("d").withField("checksum", checked))
     return cut_lineage(grouped.select(*keys, "d"), f"delta-{spec.name}")
 

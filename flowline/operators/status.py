@@ -204,7 +204,7 @@ def with_revision(entities: DataFrame) -> DataFrame:
 
 
 def reached_state(
-    commands: DataFrame, statuses: DataFrame, within_seconds: float, bucket_seconds: int = 3600
+    commands: DataFrame, statuses: DataFrame, within_seconds: float, bucket_seconds: int = 60
 ) -> DataFrame:
     """For every command: first time its entity was in the target state in time.
 
@@ -212,27 +212,27 @@ def reached_state(
     entity_id, state, ts) give the commands with ``reached_ts`` and ``reached``;
     the window is closed, ``[ts, ts + within_seconds]``.
 
-    No command-status pairs are formed. Both sides are cut into time buckets per
-    entity; within a bucket one running minimum finds the next status, and the
-    next later bucket's first status comes from the (pre-aggregated) bucket
-    minima. An entity that holds much of the data is thus spread over its
-    buckets.
+    No command-status pairs are formed. Only distinct instants matter, so copies
+    go before the shuffle, and these are cut into time buckets per entity: a
+    running minimum finds the next status inside the bucket, the bucket minima
+    tell the first one after it. Whatever share of the rows one entity has, a
+    bucket holds no more instants than fit into its seconds, and an entity no
+    more buckets than its time span.
     """
     key = ["flow_id", "entity_id", "state_key"]
 
-    def bucketed(df: DataFrame, state: str, is_command: bool) -> DataFrame:
-        bucket = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(bucket_seconds))
+    def instants(df: DataFrame, state: str, is_command: bool) -> DataFrame:
         return df.select(
-            "flow_id",
-            "entity_id",
-            F.col(state).alias("state"),
-            F.lower(state).alias("state_key"),
-            "ts",
-            bucket.alias("bucket"),
-            F.lit(is_command).alias("is_command"),
+            "flow_id", "entity_id", F.lower(state).alias("state_key"), "ts", F.lit(is_command).alias("is_command")
         )
 
-    events = bucketed(commands, "target_state", True).unionByName(bucketed(statuses, "state", False))
+    bucket = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(bucket_seconds))
+    events = (
+        instants(commands, "target_state", True)
+        .unionByName(instants(statuses, "state", False))
+        .distinct()
+        .withColumn("bucket", bucket)
+    )
     status_ts = F.when(~F.col("is_command"), F.col("ts"))
     # Newest first, statuses before commands of the same instant: the last
     # status seen is the earliest one not before the command.
@@ -251,13 +251,16 @@ def reached_state(
         .withColumn("after_bucket", F.last("first_ts", ignorenulls=True).over(following))
         .select(*key, "bucket", "after_bucket")
     )
-    first = F.coalesce("in_bucket", "after_bucket")
-    in_time = first <= F.col("ts") + F.make_dt_interval(secs=F.lit(within_seconds).cast("decimal(18,6)"))
-    return asked.join(buckets, [*key, "bucket"]).select(
+    answers = asked.join(buckets, [*key, "bucket"]).select(
+        *key, "ts", F.coalesce("in_bucket", "after_bucket").alias("next_ts")
+    )
+    in_time = F.col("next_ts") <= F.col("ts") + F.make_dt_interval(secs=F.lit(within_seconds).cast("decimal(18,6)"))
+    asked_for = commands.select("flow_id", "entity_id", "target_state", "ts", F.lower("target_state").alias("state_key"))
+    return asked_for.join(answers, [*key, "ts"], "left").select(
         "flow_id",
         "entity_id",
-        F.col("state").alias("target_state"),
+        "target_state",
         "ts",
-        F.when(in_time, first).alias("reached_ts"),
+        F.when(in_time, F.col("next_ts")).alias("reached_ts"),
         F.coalesce(in_time, F.lit(False)).alias("reached"),
     )

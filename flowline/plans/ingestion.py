@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from flowline.operators.catalog import TableSpec
 from flowline.operators.merge import high_water_marks, merge_current, merge_report, read_source_incremental, stage_to_delta
+from flowline.session import scratch_scope
 from flowline.sources import tables
 
 
@@ -24,7 +25,7 @@ class IngestionRequest:
 
 
 def prepare_tables(spark: SparkSession, specs: Sequence[TableSpec], database: str, base: str) -> DataFrame:
-    """Creates staging, delta and current tables; returns the statements that were run."""
+    """Creates staging, delta and current tables; returns all rendered statements."""
     rows = []
     for spec in specs:
         rows += [(spec.name, name, sql) for name, sql in tables.create_tables(spark, spec, database, base).items()]
@@ -37,57 +38,61 @@ def run_ingestion(
     base: str,
     as_of: Column | None = None,
     files: int | None = None,
+    database: str | None = None,
 ) -> dict[str, dict]:
     """Runs the pipeline for every requested table; the loop is over metadata only.
 
     clear stage, pull what is new, stage it, insert the delta, merge, truncate
     the delta, clear stage. The merge result is compacted as it is written, so
-    no separate pass over the table is needed. Returns per table the version
-    written and the next high-water marks.
+    no separate pass over the table is needed. Tables are folders below
+    ``base``, or the prepared tables of ``database``. Returns per table the
+    version written (folders only) and the next high-water marks.
     """
     done = {}
     for request in requests:
         spec = request.spec
+        store = tables.open_store(spark, base, spec, database)
         tables.clear_stage(spark, base, spec)
         extract = read_source_incremental(request.source(spark), request.max_cols, request.high_water)
         tables.stage(extract, base, spec)
         staged = tables.read_stage(spark, base, spec)
-        tables.insert_delta(stage_to_delta(staged, spec, as_of), base, spec)
+        store.insert_delta(stage_to_delta(staged, spec, as_of))
         marks = dict(request.high_water)
         if request.max_cols:
             newest = high_water_marks(staged, request.max_cols).first().asDict()
             marks.update({c: v for c, v in newest.items() if v is not None})
-        current = tables.current_table(spark, base, spec)
-        delta = tables.read_delta(spark, base, spec)
-        merged = merge_current(current.read(), delta, spec, as_of, request.on_duplicate)
-        version = current.commit(compacted(merged, spec, files))
-        tables.truncate_delta(spark, base, spec)
+        with scratch_scope(spark, f"ingest-{spec.name}"):
+            merged = merge_current(store.read(), store.read_delta(), spec, as_of, request.on_duplicate)
+            version = store.commit(compacted(merged, spec, files))
+        store.truncate_delta()
         tables.clear_stage(spark, base, spec)
         done[spec.name] = {"version": version, "high_water": marks}
     return done
 
 
-def merge_preview(spark: SparkSession, base: str, spec: TableSpec, on_duplicate: str = "error") -> DataFrame:
+def merge_preview(
+    spark: SparkSession, base: str, spec: TableSpec, on_duplicate: str = "error", database: str | None = None
+) -> DataFrame:
     """What merging the waiting delta would insert, update and keep."""
-    return merge_report(
-        tables.current_table(spark, base, spec).read(), tables.read_delta(spark, base, spec), spec, on_duplicate
-    )
+    store = tables.open_store(spark, base, spec, database)
+    return merge_report(store.read(), store.read_delta(), spec, on_duplicate)
 
 
 def compacted(df: DataFrame, spec: TableSpec, files: int | None = None) -> DataFrame:
     """``df`` arranged for few, evenly sized files, sorted by key within each.
 
-    By default a rebalance on the cluster column: adaptive execution merges
+    By default a rebalance on the bucket column: adaptive execution merges
     small partitions up to the advisory size and splits those above it, so a
     value holding much of the table is spread over several files. ``files``
     asks for an exact number instead.
     """
-    by = spec.clustered_by or spec.keys[0]
-    spread = df.repartition(files) if files else df.hint("rebalance", by)
-    return spread.sortWithinPartitions(*dict.fromkeys([by, *spec.keys]))
+    spread = df.repartition(files) if files else df.hint("rebalance", spec.bucket_column)
+    return spread.sortWithinPartitions(*dict.fromkeys([spec.bucket_column, *spec.keys]))
 
 
-def compact(spark: SparkSession, base: str, spec: TableSpec, files: int | None = None) -> int:
+def compact(
+    spark: SparkSession, base: str, spec: TableSpec, files: int | None = None, database: str | None = None
+) -> int | None:
     """Rewrites the current state with few files as its next version."""
-    current = tables.current_table(spark, base, spec)
-    return current.commit(compacted(current.read(), spec, files))
+    store = tables.open_store(spark, base, spec, database)
+    return store.commit(compacted(store.read(), spec, files))

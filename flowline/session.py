@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,8 +46,38 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+class _Scopes(threading.local):
+    """Open scopes of a thread; streams run their batches in threads of their own."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+
+
+_scopes = _Scopes()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, inside the current scope if there is one."""
+    open_scopes = _scopes.folders
+    folder = open_scopes[-1] if open_scopes else f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end.
+
+    For jobs that store their result; a DataFrame that reads such a table must
+    not leave the scope.
+    """
+    folder = scratch_path(spark, name)
+    _scopes.folders.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.folders.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame, name: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from flowline.operators.keys import group_apart
 
 ELEMENTS_PER_DOCUMENT = 50_000
+CHARS_PER_DOCUMENT = 64_000_000
 EDGES_PER_LINE = 10_000
 
 # Names under which a vertex's own fields appear among its properties.
@@ -135,7 +136,9 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
             "flow_id", F.lit(1).alias("kind"), "id", edge.alias("xml"), F.array().cast("array<string>").alias("keys")
         )
     )
-    parts = group_apart(elements, ["flow_id"], F.ceil(F.count("*") / F.lit(per_document)).alias("parts"))
+    by_count = F.ceil(F.count("*") / F.lit(per_document))
+    by_size = F.ceil(F.sum(F.length("xml")) / F.lit(CHARS_PER_DOCUMENT))
+    parts = group_apart(elements, ["flow_id"], F.greatest(by_count, by_size).alias("parts"))
     part = F.pmod(F.xxhash64("kind", "id"), F.col("parts"))
 
     def key_line(key: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowline.functions.scalars import ZERO_DEFAULT_TYPES
 from flowline.operators.catalog import TableSpec
 
 
@@ -92,13 +93,72 @@ def current_table(spark: SparkSession, base: str, spec: TableSpec) -> VersionedT
     return VersionedTable(spark, f"{base.rstrip('/')}/{spec.name}", spec.ddl(audit=True))
 
 
-def table_statements(spec: TableSpec, database: str, base: str) -> dict[str, str]:
-    """CREATE statements of the three tables; delta and current are bucketed.
+class PathStore:
+    """Delta and current table of one object as folders below ``base``."""
+
+    def __init__(self, spark: SparkSession, base: str, spec: TableSpec):
+        self.spark, self.base, self.spec = spark, base, spec
+        self.current = current_table(spark, base, spec)
+
+    def read(self) -> DataFrame:
+        return self.current.read()
+
+    def commit(self, df: DataFrame) -> int:
+        return self.current.commit(df)
+
+    def insert_delta(self, delta: DataFrame) -> None:
+        insert_delta(delta, self.base, self.spec)
+
+    def read_delta(self) -> DataFrame:
+        return read_delta(self.spark, self.base, self.spec)
+
+    def truncate_delta(self) -> None:
+        truncate_delta(self.spark, self.base, self.spec)
+
 
-    Without a cluster column the first key takes its place.
+class CatalogStore:
+    """Delta and current table of one object as the bucketed tables of ``create_tables``.
+
+    A new state is written as a table of its own and takes the current name by
+    renaming, as a table cannot be overwritten with a result read from it.
     """
-    by = spec.clustered_by or spec.keys[0]
-    bucketed = f"USING ORC CLUSTERED BY (`{by}`) INTO {spec.buckets} BUCKETS"
+
+    def __init__(self, spark: SparkSession, database: str, spec: TableSpec):
+        self.spark, self.spec, self.name = spark, spec, f"{database}.{spec.name}"
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def commit(self, df: DataFrame) -> None:
+        spec, following, previous = self.spec, f"{self.name}__next", f"{self.name}__previous"
+        for leftover in (following, previous):
+            self.spark.sql(f"DROP TABLE IF EXISTS {leftover}")
+        writer = df.write.format("orc").bucketBy(spec.buckets, spec.bucket_column).sortBy(*spec.keys)
+        writer.saveAsTable(following)
+        self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {previous}")
+        self.spark.sql(f"ALTER TABLE {following} RENAME TO {self.name}")
+        self.spark.sql(f"DROP TABLE {previous}")
+
+    def insert_delta(self, delta: DataFrame) -> None:
+        delta.write.insertInto(f"{self.name}_delta")
+
+    def read_delta(self) -> DataFrame:
+        return self.spark.table(f"{self.name}_delta")
+
+    def truncate_delta(self) -> None:
+        self.spark.sql(f"TRUNCATE TABLE {self.name}_delta")
+
+
+def open_store(spark: SparkSession, base: str, spec: TableSpec, database: str | None = None) -> PathStore | CatalogStore:
+    return PathStore(spark, base, spec) if database is None else CatalogStore(spark, database, spec)
+
+
+# -- statements -----------------------------------------------------------------
+
+
+def table_statements(spec: TableSpec, database: str, base: str) -> dict[str, str]:
+    """CREATE statements of the three tables; delta and current are bucketed."""
+    bucketed = f"USING ORC CLUSTERED BY (`{spec.bucket_column}`) INTO {spec.buckets} BUCKETS"
     return {
         "external_table_sql": (
             f"CREATE TABLE IF NOT EXISTS {database}.stg_{spec.name} ({spec.ddl()}) "
@@ -109,8 +169,37 @@ def table_statements(spec: TableSpec, database: str, base: str) -> dict[str, str
     }
 
 
+def pipeline_statements(spec: TableSpec, database: str) -> dict[str, str]:
+    """The pipeline's steps as SQL, for engines and table formats that can MERGE."""
+    columns = spec.column_names
+    current, delta = f"{database}.{spec.name}", f"{database}.{spec.name}_delta"
+    texts = ", ".join(f"coalesce(cast({c} AS string), '')" for c in columns)
+
+    def key(side: str, name: str) -> str:
+        zero = spec.type_of(name) in ZERO_DEFAULT_TYPES
+        return f"coalesce({side}.{name}, 0)" if zero else f"coalesce(cast({side}.{name} AS string), '')"
+
+    matches = " AND ".join(f"{key('t', k)} = {key('d', k)}" for k in spec.keys)
+    cluster = (spec.clustered_by or "").lower()
+    changes = ", ".join(f"{c} = d.{c}" for c in [*(c for c in columns if c.lower() != cluster), "checksum"])
+    values = ", ".join(f"d.{c}" for c in [*columns, "checksum"])
+    return {
+        "delta_insert_sql": (
+            f"INSERT INTO {delta} SELECT DISTINCT {', '.join(columns)}, md5(concat({texts})), current_timestamp() "
+            f"FROM {database}.stg_{spec.name}"
+        ),
+        "txn_merge_sql": (
+            f"MERGE INTO {current} AS t USING {delta} AS d ON {matches} "
+            f"WHEN MATCHED AND t.checksum <> d.checksum THEN UPDATE SET {changes}, watermark = current_timestamp() "
+            f"WHEN NOT MATCHED THEN INSERT ({', '.join(columns)}, checksum, watermark) VALUES ({values}, current_timestamp())"
+        ),
+        "delta_truncate_sql": f"TRUNCATE TABLE {delta}",
+    }
+
+
 def create_tables(spark: SparkSession, spec: TableSpec, database: str, base: str) -> dict[str, str]:
+    """Creates the three tables; returns these statements and those of the pipeline."""
     statements = table_statements(spec, database, base)
     for statement in statements.values():
         spark.sql(statement)
-    return statements
+    return {**statements, **pipeline_statements(spec, database)}

@@ -8,8 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowline.operators.catalog import TableSpec
 from flowline.operators.merge import merge_current, stage_to_delta
-from flowline.operators.status import ENTITY, latest_per_entity, reached_state
+from flowline.operators.status import latest_per_entity, reached_state
 from flowline.plans.ingestion import compacted
+from flowline.session import scratch_scope
 from flowline.sources.tables import VersionedTable, current_table, stage_path
 
 
@@ -39,7 +40,9 @@ def stream_ingest(
 
     def merge(batch: DataFrame, _: int) -> None:
         delta = stage_to_delta(batch, spec, as_of)
-        current.commit(compacted(merge_current(current.read(), delta, spec, as_of, on_duplicate), spec))
+        with scratch_scope(spark, f"stream-{spec.name}"):
+            merged = merge_current(current.read(), delta, spec, as_of, on_duplicate)
+            current.commit(compacted(merged, spec))
 
     staged = spark.readStream.schema(spec.ddl()).option("maxFilesPerTrigger", max_files).orc(stage_path(base, spec))
     writer = staged.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -13,11 +13,17 @@ DETAILS = [
 
 
 @pytest.fixture
-def catalog(spark):
+def tables(spark):
     headers = spark.createDataFrame(HEADERS, "id bigint, namespace string, package_id string, db_object_name string")
     details = spark.createDataFrame(
         DETAILS, "id bigint, haoid bigint, column_name string, is_key boolean, col_order int, infer_data_type string"
     )
+    return headers, details
+
+
+@pytest.fixture
+def catalog(tables):
+    headers, details = tables
     requests = headers.drop("id").union(headers.drop("id"))
     return cat.object_columns(headers, details, requests)
 
@@ -48,19 +54,19 @@ def test_schema_is_ordered_and_lower_case(catalog):
     assert lists(cat.schema_for(catalog, audit=True))[2] == "partid int , checksum string , watermark timestamp"
 
 
-def test_table_specs(catalog):
+def test_table_specs(tables):
     request = {"namespace": "NS", "package_id": "pkg", "db_object_name": "Orders", "buckets": "4", "clustered_by": "UNITS"}
-    (spec,) = cat.table_specs(catalog, [request])
+    (spec,) = cat.table_specs(*tables, [request])
     assert spec.name == "orders" and spec.keys == ("orderid", "units")
     assert spec.clustered_by == "units" and spec.buckets == 4
     assert spec.ddl(audit=True).endswith("`checksum` string, `watermark` timestamp")
 
 
-def test_table_without_keys_is_refused(catalog):
+def test_table_without_keys_is_refused(tables):
     with pytest.raises(ValueError, match="no key columns"):
-        cat.table_specs(catalog, [{"namespace": "NS", "package_id": "pkg", "db_object_name": "Parts"}])
+        cat.table_specs(*tables, [{"namespace": "NS", "package_id": "pkg", "db_object_name": "Parts"}])
 
 
-def test_unknown_table_is_refused(catalog):
+def test_unknown_table_is_refused(tables):
     with pytest.raises(ValueError, match="no catalog entry"):
-        cat.table_specs(catalog, [{"namespace": "NS", "package_id": "pkg", "db_object_name": "Nope"}])
+        cat.table_specs(*tables, [{"namespace": "NS", "package_id": "pkg", "db_object_name": "Nope"}])

@@ -74,6 +74,8 @@ def test_duplicate_keys(spark):
     empty = table(spark, [])
     with pytest.raises(Exception, match="duplicate delta key for item: 1, a"):
         m.merge_current(empty, double, SPEC).collect()
+    copies = delta(spark, [(1, "a", "x", 1)]).union(delta(spark, [(1, "a", "x", 1)], T2))
+    assert m.merge_current(empty, copies, SPEC).count() == 1
     newer = delta(spark, [(1, "a", "z", 1)], T2)
     got = m.merge_current(empty, double.union(newer), SPEC, on_duplicate="latest").collect()
     assert [r.v for r in got] == ["z"]
@@ -147,14 +149,71 @@ def test_pipeline_runs_compacts_and_survives_a_failed_run(spark, rows, tmp_path)
     assert current.versions() == [1, 2]
 
 
-def test_prepared_tables_are_bucketed_orc(spark, tmp_path):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS flowline_prepare LOCATION '{tmp_path}/db'")
-    try:
-        statements = ingestion.prepare_tables(spark, [SPEC], "flowline_prepare", str(tmp_path))
-        assert statements.count() == 3
-        described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED flowline_prepare.item").collect()}
-        assert described["Num Buckets"] == "4" and described["Provider"].lower() == "orc"
-        assert described["Bucket Columns"] == "[`grp`]"
-        assert spark.table("flowline_prepare.stg_item").columns == SPEC.column_names
-    finally:
-        spark.sql("DROP DATABASE flowline_prepare CASCADE")
+@pytest.fixture
+def database(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE flowline_prepare LOCATION '{tmp_path}/db'")
+    yield "flowline_prepare"
+    spark.sql("DROP DATABASE flowline_prepare CASCADE")
+
+
+def test_prepared_tables_are_bucketed_orc(spark, tmp_path, database):
+    statements = ingestion.prepare_tables(spark, [SPEC], database, str(tmp_path))
+    assert statements.count() == 6
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {database}.item").collect()}
+    assert described["Num Buckets"] == "4" and described["Provider"].lower() == "orc"
+    assert described["Bucket Columns"] == "[`grp`]"
+    assert spark.table(f"{database}.stg_item").columns == SPEC.column_names
+
+
+def test_pipeline_on_prepared_tables(spark, rows, tmp_path, database):
+    base = str(tmp_path)
+    ingestion.prepare_tables(spark, [SPEC], database, base)
+
+    def run(values, t):
+        request = ingestion.IngestionRequest(SPEC, lambda s: stage(s, values))
+        ingestion.run_ingestion(spark, [request], base, at(t), database=database)
+
+    run([(1, "a", "x", 1), (2, "a", "x", 1)], T0)
+    run([(2, "a", "y", 7), (3, "a", "x", 1)], T1)
+    expected = [(1, "x", 1, T0), (2, "y", 1, T1), (3, "x", 1, T1)]
+    assert rows(spark.table(f"{database}.item"), "id", "v", "grp", "watermark") == expected
+    assert spark.table(f"{database}.item_delta").isEmpty()
+    ingestion.compact(spark, base, SPEC, database=database)
+    assert rows(spark.table(f"{database}.item"), "id", "v", "grp", "watermark") == expected
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {database}.item").collect()}
+    assert described["Num Buckets"] == "4"
+    assert {t.name for t in spark.catalog.listTables(database)} == {"item", "item_delta", "stg_item"}
+
+
+def test_rendered_statements(spark, rows, tmp_path, database):
+    """The insert runs in Spark; the MERGE, in DuckDB, does what merge_current does."""
+    duckdb = pytest.importorskip("duckdb")
+    statements = {s.statement: s.sql for s in ingestion.prepare_tables(spark, [SPEC], database, str(tmp_path)).collect()}
+    incoming = [(1, "a", "new", 9), (2, "a", "same", 1), (None, "b", "x", 2), (4, None, None, 4)]
+    tables.stage(stage(spark, incoming * 2), str(tmp_path), SPEC)
+    spark.sql(statements["delta_insert_sql"])
+    inserted = spark.table(f"{database}.item_delta")
+    plain = [*SPEC.column_names, "checksum"]
+    assert rows(inserted, *plain) == rows(delta(spark, incoming), *plain)
+
+    before = delta(spark, [(1, "a", "old", 1), (2, "a", "same", 1), (0, "b", "y", 1), (9, "a", "gone", 1)])
+    want = rows(m.merge_current(before, inserted, SPEC), *plain)
+    spark.sql(statements["delta_truncate_sql"])
+    duck = duckdb.connect()
+    duck.execute(f"CREATE SCHEMA {database}")
+    for name, df in (("item", before), ("item_delta", delta(spark, incoming))):
+        duck.execute(f"CREATE TABLE {database}.{name} ({SPEC.ddl(audit=True).replace('`', '')})")
+        duck.executemany(f"INSERT INTO {database}.{name} VALUES (?, ?, ?, ?, ?, ?)", [list(r) for r in df.collect()])
+    duck.execute(statements["txn_merge_sql"].replace("current_timestamp()", "TIMESTAMP '2024-01-03'"))
+    got = duck.execute(f"SELECT {', '.join(plain)} FROM {database}.item").fetchall()
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_scratch_of_a_run_is_deleted(spark, tmp_path):
+    import glob
+
+    from flowline.session import scratch_root
+
+    request = ingestion.IngestionRequest(SPEC, lambda s: stage(s, [(1, "a", "x", 1)]))
+    ingestion.run_ingestion(spark, [request], str(tmp_path))
+    assert glob.glob(f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/ingest-item-*") == []
