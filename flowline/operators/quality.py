@@ -75,16 +75,22 @@ def _rules() -> list[tuple[str, tuple[str, ...] | None, str, Column]]:
 
 
 def validate_components(components: DataFrame) -> DataFrame:
-    """(flow_id, component_id, rule, value), one row per broken rule, in a single pass."""
+    """(flow_id, component_id, rule, value), one row per broken rule, in a single pass.
+
+    Each rule is null or the violation; all of them are exploded and the nulls
+    dropped, which stays in generated code where a lambda over the array would not.
+    """
     checks = []
     for rule, kinds, column, holds in _rules():
         applies = F.lit(True) if kinds is None else F.col("kind").isin(*kinds)
         value = F.lit(None).cast("string") if column == "relationships" else F.col(column)
         broken = F.struct(F.lit(rule).alias("rule"), value.alias("value"))
         checks.append(F.when(applies & ~holds, broken))
-    return components.select(
-        "flow_id", F.col("id").alias("component_id"), F.explode(F.array_compact(F.array(*checks))).alias("v")
-    ).select("flow_id", "component_id", "v.rule", "v.value")
+    return (
+        components.select("flow_id", F.col("id").alias("component_id"), F.explode(F.array(*checks)).alias("v"))
+        .filter(F.col("v").isNotNull())
+        .select("flow_id", "component_id", "v.rule", "v.value")
+    )
 
 
 # Connection fields that came with version 1.8 of the format.

@@ -42,8 +42,8 @@ def run_ingestion(
 ) -> dict[str, dict]:
     """Runs the pipeline for every requested table; the loop is over metadata only.
 
-    clear stage, pull what is new, stage it, insert the delta, merge, truncate
-    the delta, clear stage. The merge result is compacted as it is written, so
+    Replace what is staged by what is new, insert the delta, merge, truncate
+    the delta, clear the stage. The merge result is compacted as it is written, so
     no separate pass over the table is needed. Tables are folders below
     ``base``, or the prepared tables of ``database``. Returns per table the
     version written (folders only) and the next high-water marks.
@@ -52,7 +52,6 @@ def run_ingestion(
     for request in requests:
         spec = request.spec
         store = tables.open_store(spark, base, spec, database)
-        tables.clear_stage(spark, base, spec)
         extract = read_source_incremental(request.source(spark), request.max_cols, request.high_water)
         tables.stage(extract, base, spec)
         staged = tables.read_stage(spark, base, spec)

@@ -136,9 +136,12 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
             "flow_id", F.lit(1).alias("kind"), "id", edge.alias("xml"), F.array().cast("array<string>").alias("keys")
         )
     )
+    # How many documents a flow needs, from the raw texts rather than the finished XML.
+    raw = F.length(F.concat_ws("", "pg_name", "proc_name", F.map_keys("properties"), F.map_values("properties")))
+    sizes = vertices.select("flow_id", raw.alias("chars")).unionByName(edges.select("flow_id", F.lit(0).alias("chars")))
     by_count = F.ceil(F.count("*") / F.lit(per_document))
-    by_size = F.ceil(F.sum(F.length("xml")) / F.lit(CHARS_PER_DOCUMENT))
-    parts = group_apart(elements, ["flow_id"], F.greatest(by_count, by_size).alias("parts"))
+    by_size = F.ceil(F.sum("chars") / F.lit(CHARS_PER_DOCUMENT))
+    parts = group_apart(sizes, ["flow_id"], F.greatest(by_count, by_size).alias("parts"))
     part = F.pmod(F.xxhash64("kind", "id"), F.col("parts"))
 
     def key_line(key: Column) -> Column:
