@@ -94,7 +94,7 @@ def report_rows(df):
 @check(
     "graph_vertices",
     WITH + GROUPS + """
-    SELECT id, 'processGroup' AS label, is_root, pg_id, pg_name, NULL AS proc_id, NULL AS proc_name,
+    SELECT id, 'processGroup' AS label, CAST(is_root AS VARCHAR) AS is_root, pg_id, pg_name, NULL AS proc_id, NULL AS proc_name,
         NULL AS prop_status, NULL AS prop_priority, NULL AS prop_total, NULL AS prop_balance FROM vgroups
     UNION ALL
     SELECT id, 'processor', NULL, NULL, NULL, proc_id, proc_name, prop_status, prop_priority, prop_total, prop_balance FROM vprocs""",
@@ -102,7 +102,7 @@ def report_rows(df):
 def graph_vertices(spark, sf_dir):
     vertices, _ = tree(spark, sf_dir)
     return vertices.select(
-        "id", "label", "is_root", "pg_id", "pg_name", "proc_id", "proc_name",
+        "id", "label", F.col("is_root").cast("string").alias("is_root"), "pg_id", "pg_name", "proc_id", "proc_name",
         *[F.col("properties")[p].alias(f"prop_{p}") for p in ("status", "priority", "total", "balance")],
     )
 
@@ -145,14 +145,17 @@ def graph_list_processors(spark, sf_dir):
     f"""{WITH}{GROUPS},
     wanted AS (SELECT DISTINCT 'customer-' || o_custkey AS requested FROM orders
                UNION SELECT 'region-' || s_suppkey FROM supplier)
-    SELECT requested, is_root, id, pg_name, pg_id FROM wanted LEFT JOIN vgroups ON pg_id = requested""",
+    SELECT requested, CAST(is_root AS VARCHAR) AS is_root, CAST(id AS VARCHAR) AS id, pg_name, pg_id FROM wanted LEFT JOIN vgroups ON pg_id = requested""",
 )
 def graph_groups_by_id(spark, sf_dir):
     ids = b.table(spark, sf_dir, "orders").select(b.named("customer", "o_custkey").alias("pg_id")).unionByName(
         b.table(spark, sf_dir, "supplier").select(b.named("region", "s_suppkey").alias("pg_id"))
     )
     found = g.groups_by_id(tree(spark, sf_dir)[0], ids.withColumn("flow_id", F.lit(b.FLOW)))
-    return found.select(F.col("pg_id").alias("requested"), "pg.*")
+    return found.select(
+        F.col("pg_id").alias("requested"), F.col("pg.is_root").cast("string").alias("is_root"),
+        F.col("pg.id").cast("string").alias("id"), "pg.pg_name", "pg.pg_id",
+    )
 
 
 @check(

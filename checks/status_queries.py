@@ -179,6 +179,19 @@ def status_controllable(spark, sf_dir):
     return local_time(st.filter_controllable(latest), "ts").drop("flow_id")
 
 
+@check(
+    "status_revision_default",
+    """SELECT event_id AS id, CASE WHEN event_type <> 'error' THEN 'user-' || user_id END AS client_id,
+        CASE WHEN event_type <> 'error' THEN CAST(event_id AS VARCHAR) END AS version FROM events""",
+)
+def status_revision_default(spark, sf_dir):
+    """Events in error have no revision; they get the empty one."""
+    revision = F.struct(F.col("entity_id").alias("client_id"), F.col("version"))
+    events = b.event_states(spark, sf_dir).withColumn("revision", F.when(F.col("state") != "INVALID", revision))
+    found = st.with_revision(events).select(F.col("version").alias("id"), "revision.*")
+    return found.withColumn("version", F.col("version").cast("string"))
+
+
 REACHED = """
 SELECT 'user-' || c.user_id AS entity_id, c.ts, min(p.ts) AS reached_ts, min(p.ts) IS NOT NULL AS reached
 FROM events c LEFT JOIN events p ON p.user_id = c.user_id AND p.event_type = 'purchase'

@@ -172,16 +172,18 @@ def attach_endpoints(edges: DataFrame, vertices: DataFrame) -> DataFrame:
 def first_edge_per_vertex(edges: DataFrame, label: str, direction: str = "both") -> DataFrame:
     """The lowest-id incident edge of every vertex.
 
-    An aggregate rather than a ranking window: it is combined on the map side,
-    so a vertex with very many edges costs one row per task.
+    Aggregates rather than a ranking window: they are combined on the map side,
+    so a vertex with very many edges costs one row per task. One per plain
+    column, as these are hashed where a struct would be sorted.
     """
     chosen = edges.filter(F.col("label") == label)
-    ends = {"in": ["dst"], "out": ["src"], "both": ["src", "dst"]}[direction]
-    incident = chosen.select("flow_id", "id", "src", "dst", F.explode(F.array(*ends)).alias("vertex"))
-    return (
-        incident.groupBy("flow_id", "vertex")
-        .agg(F.min_by(F.struct("id", "src", "dst"), "id").alias("e"))
-        .select("flow_id", "vertex", F.col("e.id").alias("id"), "e.src", "e.dst")
+    if direction == "both":
+        ends = F.explode(F.array("src", "dst"))
+    else:
+        ends = F.col({"in": "dst", "out": "src"}[direction])
+    incident = chosen.select("flow_id", "id", "src", "dst", ends.alias("vertex"))
+    return incident.groupBy("flow_id", "vertex").agg(
+        F.min("id").alias("id"), F.min_by("src", "id").alias("src"), F.min_by("dst", "id").alias("dst")
     )
 
 

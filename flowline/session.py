@@ -33,12 +33,14 @@ def local_session(cpus: int | str = "*", app: str = "flowline", **conf: str) ->
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset (a
-    local run) is a machine-local folder created and remembered in the session.
+    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset in
+    a local run is a machine-local folder created and remembered in the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = spark.conf.get("flowline.local.scratch", None)
     if not root:
         root = tempfile.mkdtemp(prefix="flowline-scratch-")

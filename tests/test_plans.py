@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks import binding as b
 from flowline.operators import graph as g
 from flowline.operators import merge as m
+from flowline.operators import reconcile as r
 from flowline.operators import status as st
 from flowline.operators.catalog import TableSpec
 from flowline.plans.ingestion import compacted
@@ -29,6 +30,16 @@ def settings(spark, **values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+# Sizes at which the small tables of a test count as large and skewed.
+SKEW = {
+    "spark__sql__autoBroadcastJoinThreshold": -1,
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": -1,
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "100KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": 2,
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "100KB",
+}
+
+
 def final_plan(df):
     """The plan after adaptive execution, once the query has run."""
     df.collect()
@@ -55,14 +66,7 @@ def test_small_delta_is_broadcast_and_the_target_is_not_shuffled(sides):
 
 
 def test_large_delta_joins_with_the_hot_key_split(spark, sides):
-    with settings(
-        spark,
-        spark__sql__autoBroadcastJoinThreshold=-1,
-        spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor=2,
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
-    ):
+    with settings(spark, **SKEW):
         df = m.merge_current(*sides, SPEC)
         plan = final_plan(df)
         assert df.count() == 90_000 + 29_999 - len([i for i in range(4, 4 * 30_000, 4) if i < 90_000 and i % 3])
@@ -104,3 +108,42 @@ def test_compaction_spreads_a_hot_cluster_value(spark, tmp_path):
     per_file = [r.n for r in files.groupBy("file").agg(F.count("*").alias("n")).collect()]
     assert len(per_file) > 3 and max(per_file) < 100_000
     assert files.filter("grp = 1").select("file").distinct().count() > 1
+
+
+@pytest.fixture(scope="module")
+def hot_graph(spark, tmp_path_factory):
+    """60 groups below a root; one of them holds half of the processors."""
+    path = str(tmp_path_factory.mktemp("hot"))
+    groups = spark.range(61).selectExpr(
+        "'f' flow_id", "id", "'processGroup' label", "id = 0 is_root", "concat('g', id) pg_id", "'group' pg_name",
+        "cast(null as string) proc_id", "cast(null as string) proc_name", "cast(null as map<string,string>) properties",
+    )
+    procs = spark.range(1000, 61_000).selectExpr(
+        "'f' flow_id", "id", "'processor' label", "cast(null as boolean) is_root", "cast(null as string) pg_id",
+        "cast(null as string) pg_name", "concat('p', id) proc_id", "uuid() proc_name", "map('a', 'b') properties",
+    )
+    groups.union(procs).write.parquet(f"{path}/v")
+    inner = spark.range(1, 61).selectExpr("'f' flow_id", "id", "0L src", "id dst", "'parent' label")
+    outer = spark.range(1000, 61_000).selectExpr("'f' flow_id", "id", "if(id % 2 = 0, 7, id % 60 + 1) src", "id dst", "'parent' label")
+    links = spark.range(40).selectExpr("'f' flow_id", "id + 100000 id", "7L src", "id + 10 dst", "'dependent' label")
+    inner.union(outer).union(links).write.parquet(f"{path}/e")
+    return spark.read.parquet(f"{path}/v"), spark.read.parquet(f"{path}/e")
+
+
+@pytest.mark.parametrize("report", [g.processor_report, g.nested_processor_report])
+def test_reports_split_a_hot_group(spark, hot_graph, report):
+    with settings(spark, **SKEW):
+        df = report(*hot_graph, max_depth=10)
+        plan = final_plan(df)
+        assert df.select("id").distinct().count() == 60_000
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_coverage_splits_a_hot_name(spark, tmp_path):
+    spark.range(90_000).selectExpr(
+        "'f' flow_id", "'processor' kind", "uuid() id", "if(id % 3 = 0, 'Log', concat('n', id % 500)) name", "'p' parent_id"
+    ).write.parquet(f"{tmp_path}/live")
+    template = spark.range(400).selectExpr("'t' template", "'processor' kind", "if(id = 0, 'Log', concat('n', id)) name")
+    with settings(spark, **SKEW):
+        df = r.covered_by_template(spark.read.parquet(f"{tmp_path}/live"), template)
+        assert "SortMergeJoin(skew=true)" in final_plan(df)
