@@ -160,8 +160,10 @@ def star_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     every line, one per pair of nations.
     """
     t = lambda name: table(spark, sf_dir, name)
+    # As a column rather than a literal: joins on a constant would lose their key.
+    root = t("region").agg(F.max(F.lit("root")).alias("root"))
     parts = [
-        _component(spark.range(1), "rootGroup", seq=F.lit(0).cast("bigint"), id=F.lit("root"), name=F.lit("TPCH")),
+        _component(root, "rootGroup", seq=F.lit(0).cast("bigint"), id=F.col("root"), name=F.lit("TPCH")),
         _component(
             t("region"), "processGroup", seq=F.col("r_regionkey").cast("bigint") + 1, id=named("region", "r_regionkey"),
             parent_group_id=F.lit("root"), name=F.col("r_name"),
