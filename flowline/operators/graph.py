@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from flowline.functions import contains_ignore_case, equals_ignore_case
 from flowline.operators.keys import group_apart
 from flowline.session import cut_lineage
-from flowline.sources.flow_xml import cross_group_connections, processors
+from flowline.sources.flow_xml import cross_group_connections, is_processor
 
 # Vertex and edge labels.
 GROUP = "processGroup"
@@ -45,7 +45,7 @@ def build_vertices(components: DataFrame, include_root_processors: bool = False)
     order within blocks per kind, so no per-flow numbering pass is needed.
     """
     groups = F.col("kind").isin("rootGroup", GROUP)
-    wanted = components.filter(groups).unionByName(processors(components, include_root_processors))
+    wanted = components.filter(groups | is_processor(include_root_processors))
     only = lambda when, c: F.when(when, F.col(c))
     is_proc = F.col("kind") == PROCESSOR
     return wanted.select(
@@ -70,9 +70,7 @@ def build_edges(components: DataFrame, include_root_processors: bool = False) ->
         side = by_id.withColumnsRenamed({"group_ref": ref, "vid": alias})
         return df.join(side, ["flow_id", ref])
 
-    children = groups.filter(F.col("kind") == GROUP).unionByName(
-        processors(components, include_root_processors)
-    )
+    children = components.filter((F.col("kind") == GROUP) | is_processor(include_root_processors))
     parent = resolve(
         children.select("flow_id", F.col("seq").alias("id"), F.col("seq").alias("dst"), "parent_group_id"),
         "parent_group_id",

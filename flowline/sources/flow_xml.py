@@ -182,10 +182,14 @@ def flatten_groups(components: DataFrame) -> DataFrame:
     )
 
 
-def processors(components: DataFrame, include_root_processors: bool = False) -> DataFrame:
+def is_processor(include_root: bool = False) -> Column:
     """Processors of nested groups; those directly under the root only on request."""
-    found = components.filter(F.col("kind") == "processor")
-    return found if include_root_processors else found.filter(F.col("group_depth") > 0)
+    processor = F.col("kind") == "processor"
+    return processor if include_root else processor & (F.col("group_depth") > 0)
+
+
+def processors(components: DataFrame, include_root_processors: bool = False) -> DataFrame:
+    return components.filter(is_processor(include_root_processors))
 
 
 def cross_group_connections(components: DataFrame) -> DataFrame:
