@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.llm import bpe, counting, frames
+from flowline.llm import bpe, counting, frames, simhash
 from flowline.llm.tables import table
 from flowline.llm.units import read_definition
 from flowline.session import scratch_path
@@ -30,6 +30,13 @@ def byte_bpe_definition() -> str:
     return bpe.tokenizer_definition(ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    written = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", written.alias("fingerprint"), "component_id")
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe_definition())
