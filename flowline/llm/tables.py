@@ -3,11 +3,41 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_shipped: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Gives the executors this package, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="flowline-package-"), "flowline.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as target:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """``df.mapInArrow`` with a function that imports this package."""
+    _ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,3 +76,20 @@ def one_thread() -> None:
     """Spark gives a task one core; native libraries must not start threads of their own."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     os.environ["RAYON_NUM_THREADS"] = "1"
+
+
+def keep_rows(df: DataFrame, text_col: str, make_keep: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
+    """The rows of ``df``, all columns as they are, whose texts a function of many texts keeps.
+
+    ``make_keep`` is called once per task. Null texts count as empty ones.
+    """
+    rows = numbered(df)
+    place = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make_keep()
+        for part in slices(batches):
+            texts = [t or "" for t in part.column(place).to_pylist()]
+            yield part.filter(pa.array(keep(texts), pa.bool_()))
+
+    return map_arrow(rows, run, rows.schema).toDF(*df.columns)
