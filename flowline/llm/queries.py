@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.llm import bpe, counting, decontaminate, frames, quality, simhash, toxicity
+from flowline.llm import bpe, counting, decontaminate, frames, quality, simhash, sketches, toxicity
 from flowline.llm.tables import table
 from flowline.llm.units import read_definition
 from flowline.session import scratch_path
@@ -67,6 +67,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return sketches.compare_with_edits(table(spark, sf_dir, "documents"), parts)
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition = read_definition(public_tokenizers.path("byte_bpe_50k.json"))
