@@ -43,7 +43,9 @@ def _seed_hashes(words: Column, at: Column) -> Column:
 
 
 def _starts(words: Column) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.size(words) - SPAN))
+    """Every place where the longest seed fits; the size is asked here so that words are split once."""
+    places = F.sequence(F.lit(0), F.size(words) - SPAN)
+    return F.explode(F.when(F.size(words) >= SPAN, places).otherwise(F.array().cast("array<int>")))
 
 
 def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -70,10 +72,8 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str
 
 def _equal_places() -> Column:
     """Places in the context whose word equals the document's word beside it."""
-    beside = lambda k: F.get("words", F.col("at") - F.col("before") + k)
-    return F.filter(
-        F.sequence(F.lit(0), F.size("context") - 1), lambda k: F.coalesce(beside(k) == F.get("context", k), F.lit(False))
-    )
+    same = lambda k: F.get("beside", k) == F.get("context", k)
+    return F.filter(F.sequence(F.lit(0), F.size("context") - 1), lambda k: F.coalesce(same(k), F.lit(False)))
 
 
 def _close_enough() -> Column:
@@ -84,6 +84,14 @@ def _close_enough() -> Column:
     return F.when(F.size("equal") >= F.col("needed"), near).otherwise(False)
 
 
+def _beside() -> Column:
+    """The document's words beside the context; null where the document has not begun yet or has ended."""
+    start = F.col("at") - F.col("before")
+    missing = F.greatest(-start, F.lit(0))
+    there = F.slice("words", F.greatest(start, F.lit(0)) + 1, F.greatest(F.size("context") - missing, F.lit(0)))
+    return F.concat(F.array_repeat(F.lit(None).cast("string"), missing), there)
+
+
 def find_passages(
     documents: DataFrame, seeds: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_seeds: int = BLOCK_SEEDS
 ) -> DataFrame:
@@ -99,12 +107,16 @@ def find_passages(
     texts = pick(documents, doc_id=id_col, text=text_col).select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words_of(F.col("text")).alias("words")
     )
-    own = texts.filter(F.size("words") >= SPAN).select("*", _starts(F.col("words")).alias("at"))
+    own = texts.select("*", _starts(F.col("words")).alias("at"))
     own = own.select("*", F.explode(_seed_hashes(F.col("words"), F.col("at"))).alias("seed"))
 
     def hits(block: int) -> DataFrame:
         mine = seeds if blocks == 1 else seeds.filter(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block)
-        return own.join(F.broadcast(mine), "seed").withColumn("equal", _equal_places()).filter(_close_enough())
+        met = own.join(F.broadcast(mine), "seed")
+        # An array of one, taken apart again, keeps the comparison out of the join: it is made for hits only, and
+        # the join stays compiled together with the scan, so that no row of a position holds a copy of the words.
+        met = met.select("doc_id", "text_hash", "item_id", "needed", "context", F.explode(F.array(_beside())).alias("beside"))
+        return met.withColumn("equal", _equal_places()).filter(_close_enough())
 
     found = reduce(DataFrame.union, [hits(b).select("doc_id", "text_hash", "item_id", F.size("equal").alias("n")) for b in range(blocks)])
     return found.groupBy("doc_id", "text_hash").agg(F.min("item_id").alias("item_id"), F.max("n").alias("n_equal"))
