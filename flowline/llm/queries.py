@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.llm import bpe, counting, decontaminate, frames, quality, simhash, sketches, toxicity
+from flowline.llm import bpe, counting, decontaminate, frames, htmltext, quality, simhash, sketches, toxicity
 from flowline.llm.tables import table
 from flowline.llm.units import read_definition
 from flowline.session import scratch_path
@@ -30,6 +30,12 @@ def byte_bpe_definition() -> str:
     return bpe.tokenizer_definition(ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.fit(pages))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
