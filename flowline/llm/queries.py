@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.llm import bpe, counting, decontaminate, frames, htmltext, quality, simhash, sketches, toxicity
+from flowline.llm import bpe, counting, decontaminate, frames, htmltext, pseudolikelihood, quality, simhash, sketches, toxicity
 from flowline.llm.tables import table
 from flowline.llm.units import read_definition
 from flowline.session import scratch_path
@@ -101,3 +101,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames.write_token_files(table(spark, sf_dir, "documents"), folder, definition, end_id=2, n_files=n_files)
     found = frames.read_token_files(spark, folder)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudolikelihood.score(table(spark, sf_dir, "documents"))
