@@ -30,6 +30,17 @@ def byte_bpe_definition() -> str:
     return bpe.tokenizer_definition(ranks, public_tokenizers.PATTERN)
 
 
+def token_digests(encoded: DataFrame) -> DataFrame:
+    """Digests of the ids and decoded bytes that :func:`bpe.round_trip` gives."""
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "n_split",
+    )
+
+
 @query
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
@@ -45,14 +56,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe_definition())
-    return found.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        "n_split",
-    )
+    return token_digests(bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe_definition()))
 
 
 @query
