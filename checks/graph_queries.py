@@ -11,7 +11,8 @@ from flowline.operators import status as st
 from flowline.plans.flow_graph import store_graph
 from flowline.session import scratch_path
 
-DEPTH = 10
+# Edges looked at per group in the limited forms.
+LIMIT = 10
 GROUPS = """
 vgroups AS (
     SELECT CAST(0 AS BIGINT) AS id, TRUE AS is_root, 'root' AS pg_id, 'TPCH' AS pg_name, CAST(NULL AS BIGINT) AS parent
@@ -43,13 +44,17 @@ anc AS (
     SELECT id AS group_id, CAST(0 AS BIGINT) AS ord, id AS anc, is_root, parent FROM vgroups
     UNION ALL
     SELECT a.group_id, a.ord + 1, p.id, p.is_root, p.parent FROM anc a JOIN vgroups p ON p.id = a.parent
-    WHERE NOT a.is_root AND a.ord < 10)"""
-INCIDENT = """
+    WHERE NOT a.is_root)"""
+
+
+def incident(kept: str) -> str:
+    """Neighbours and processor reports; ``kept`` says which incident edges count."""
+    return f"""
 incident AS (
     SELECT src AS vertex, dst AS other, 'downstream' AS direction, id FROM dep
     UNION ALL SELECT dst, src, 'upstream', id FROM dep),
 kept AS (
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vertex ORDER BY id, direction) AS rn FROM incident) WHERE rn <= 10),
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vertex ORDER BY id, direction) AS rn FROM incident) WHERE {kept}),
 lists AS (
     SELECT group_id, 'parents' AS list, ord, anc AS other FROM anc
     UNION ALL SELECT vertex, direction, id, other FROM kept WHERE vertex <> other),
@@ -57,8 +62,11 @@ report AS (
     SELECT p.id, p.proc_id, p.proc_name, o.pg_id AS immediate_parent_pg_id, l.list, l.ord,
         x.is_root AS pg_is_root, x.id AS pg_vertex, x.pg_name, x.pg_id
     FROM vprocs p JOIN vgroups o ON o.id = p.parent JOIN lists l ON l.group_id = p.parent JOIN vgroups x ON x.id = l.other)"""
+
+
 WITH = "WITH RECURSIVE "
-FULL = ",".join([WITH + GROUPS, EDGES, ANCESTORS, INCIDENT]) + "\n"
+FULL = ",".join([WITH + GROUPS, EDGES, ANCESTORS, incident("TRUE")]) + "\n"
+LIMITED = ",".join([WITH + GROUPS, EDGES, ANCESTORS, incident(f"rn <= {LIMIT}")]) + "\n"
 
 
 def graph(spark, sf_dir):
@@ -66,21 +74,9 @@ def graph(spark, sf_dir):
     return g.build_vertices(parts), g.build_edges(parts)
 
 
-def tree(spark, sf_dir):
-    """The graph without connections, for questions about parents only."""
-    parts = b.star_components(spark, sf_dir).filter(F.col("kind") != "connection")
-    return g.build_vertices(parts), g.build_edges(parts)
-
-
-_stored: dict[tuple, tuple] = {}
-
-
 def stored_graph(spark, sf_dir):
-    """The graph as stored tables: written once per application, then questioned many times."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        _stored[key] = store_graph(*graph(spark, sf_dir), scratch_path(spark, "graph"))
-    return _stored[key]
+    """The graph as stored tables, built and written anew by every query that asks it."""
+    return store_graph(*graph(spark, sf_dir), scratch_path(spark, "graph"))
 
 
 def report_rows(df):
@@ -100,7 +96,7 @@ def report_rows(df):
     SELECT id, 'processor', NULL, NULL, NULL, proc_id, proc_name, prop_status, prop_priority, prop_total, prop_balance FROM vprocs""",
 )
 def graph_vertices(spark, sf_dir):
-    vertices, _ = tree(spark, sf_dir)
+    vertices, _ = graph(spark, sf_dir)
     return vertices.select(
         "id", "label", F.col("is_root").cast("string").alias("is_root"), "pg_id", "pg_name", "proc_id", "proc_name",
         *[F.col("properties")[p].alias(f"prop_{p}") for p in ("status", "priority", "total", "balance")],
@@ -132,26 +128,37 @@ def graph_store(spark, sf_dir):
 
 @check("graph_list_groups", f"{WITH}{GROUPS} SELECT is_root, id, pg_name, pg_id FROM vgroups ORDER BY id LIMIT 100")
 def graph_list_groups(spark, sf_dir):
-    return g.list_groups(tree(spark, sf_dir)[0], 100).drop("flow_id")
+    return g.list_groups(graph(spark, sf_dir)[0], 100).drop("flow_id")
 
 
 @check("graph_list_processors", f"{WITH}{GROUPS} SELECT id, proc_id, proc_name FROM vprocs ORDER BY id LIMIT 100")
 def graph_list_processors(spark, sf_dir):
-    return g.list_processors(tree(spark, sf_dir)[0], 100).drop("flow_id")
+    return g.list_processors(graph(spark, sf_dir)[0], 100).drop("flow_id")
 
 
 @check(
     "graph_groups_by_id",
     f"""{WITH}{GROUPS},
-    wanted AS (SELECT DISTINCT 'customer-' || o_custkey AS requested FROM orders
+    copies AS (
+        SELECT id, is_root, pg_id, pg_name FROM vgroups
+        UNION ALL SELECT 2000000000000 + o_orderkey, FALSE, 'customer-' || o_custkey, 'copy ' || o_orderkey FROM orders),
+    lasts AS (SELECT * FROM copies QUALIFY row_number() OVER (PARTITION BY pg_id ORDER BY id DESC) = 1),
+    wanted AS (SELECT DISTINCT 'customer-' || c_custkey AS requested FROM customer
                UNION SELECT 'region-' || s_suppkey FROM supplier)
-    SELECT requested, CAST(is_root AS VARCHAR) AS is_root, CAST(id AS VARCHAR) AS id, pg_name, pg_id FROM wanted LEFT JOIN vgroups ON pg_id = requested""",
+    SELECT requested, CAST(is_root AS VARCHAR) AS is_root, CAST(id AS VARCHAR) AS id, pg_name, pg_id FROM wanted LEFT JOIN lasts ON pg_id = requested""",
 )
 def graph_groups_by_id(spark, sf_dir):
-    ids = b.table(spark, sf_dir, "orders").select(b.named("customer", "o_custkey").alias("pg_id")).unionByName(
+    """Every customer group has a copy per order, so any number of groups carry one id."""
+    vertices = graph(spark, sf_dir)[0]
+    copies = b.table(spark, sf_dir, "orders").select(
+        F.lit(b.FLOW).alias("flow_id"), (F.lit(2 * 10**12) + F.col("o_orderkey")).alias("id"), F.lit(g.GROUP).alias("label"),
+        F.lit(False).alias("is_root"), b.named("customer", "o_custkey").alias("pg_id"),
+        F.concat(F.lit("copy "), F.col("o_orderkey").cast("string")).alias("pg_name"),
+    )
+    ids = b.table(spark, sf_dir, "customer").select(b.named("customer", "c_custkey").alias("pg_id")).unionByName(
         b.table(spark, sf_dir, "supplier").select(b.named("region", "s_suppkey").alias("pg_id"))
     )
-    found = g.groups_by_id(tree(spark, sf_dir)[0], ids.withColumn("flow_id", F.lit(b.FLOW)))
+    found = g.groups_by_id(vertices.unionByName(copies, allowMissingColumns=True), ids.withColumn("flow_id", F.lit(b.FLOW)))
     return found.select(
         F.col("pg_id").alias("requested"), F.col("pg.is_root").cast("string").alias("is_root"),
         F.col("pg.id").cast("string").alias("id"), "pg.pg_name", "pg.pg_id",
@@ -181,7 +188,7 @@ def graph_endpoints(spark, sf_dir):
     SELECT vertex, min(id) AS id FROM ends GROUP BY vertex""",
 )
 def graph_first_edge(spark, sf_dir):
-    return g.first_edge_per_vertex(tree(spark, sf_dir)[1], g.PARENT).select("vertex", "id")
+    return g.first_edge_per_vertex(graph(spark, sf_dir)[1], g.PARENT).select("vertex", "id")
 
 
 @check(
@@ -191,7 +198,7 @@ def graph_first_edge(spark, sf_dir):
     FROM (SELECT id, parent FROM vgroups UNION ALL SELECT id, parent FROM vprocs) c JOIN vgroups p ON p.id = c.parent""",
 )
 def graph_parent(spark, sf_dir):
-    return g.immediate_parent(*tree(spark, sf_dir)).select(
+    return g.immediate_parent(*graph(spark, sf_dir)).select(
         "id", F.col("parent.id").alias("parent_vertex"), F.col("parent.pg_id").alias("parent_pg_id"),
         F.col("parent.is_root").alias("parent_is_root"),
     )
@@ -203,7 +210,7 @@ def graph_parent(spark, sf_dir):
     SELECT a.group_id, a.ord AS depth, x.id AS vertex, x.pg_id, x.pg_name, x.is_root FROM anc a JOIN vgroups x ON x.id = a.anc""",
 )
 def graph_ancestors(spark, sf_dir):
-    found = g.group_ancestors(*tree(spark, sf_dir), max_depth=DEPTH)
+    found = g.group_ancestors(*graph(spark, sf_dir))
     return found.select(
         "group_id", F.col("depth").cast("bigint").alias("depth"), F.col("pg.id").alias("vertex"),
         F.col("pg.pg_id").alias("pg_id"), F.col("pg.pg_name").alias("pg_name"), F.col("pg.is_root").alias("is_root"),
@@ -214,29 +221,34 @@ def neighbours(df):
     return df.select("group_id", "edge_id", F.col("pg.id").alias("vertex"), F.col("pg.pg_id").alias("pg_id"))
 
 
-def neighbour_sql(direction):
-    return FULL + f"""SELECT k.vertex AS group_id, k.id AS edge_id, x.id AS vertex, x.pg_id
+def neighbour_sql(direction, source=FULL):
+    return source + f"""SELECT k.vertex AS group_id, k.id AS edge_id, x.id AS vertex, x.pg_id
     FROM kept k JOIN vgroups x ON x.id = k.other WHERE k.direction = '{direction}' AND k.vertex <> k.other"""
 
 
 @check("graph_upstream", neighbour_sql("upstream"))
 def graph_upstream(spark, sf_dir):
-    return neighbours(g.upstream(*stored_graph(spark, sf_dir), limit=DEPTH))
+    return neighbours(g.upstream(*stored_graph(spark, sf_dir)))
 
 
 @check("graph_downstream", neighbour_sql("downstream"))
 def graph_downstream(spark, sf_dir):
-    return neighbours(g.downstream(*stored_graph(spark, sf_dir), limit=DEPTH))
+    return neighbours(g.downstream(*stored_graph(spark, sf_dir)))
+
+
+@check("graph_downstream_limited", neighbour_sql("downstream", LIMITED))
+def graph_downstream_limited(spark, sf_dir):
+    return neighbours(g.downstream(*stored_graph(spark, sf_dir), limit=LIMIT))
 
 
 @check("graph_processor_report", FULL + "SELECT * FROM report")
 def graph_processor_report(spark, sf_dir):
-    return report_rows(g.processor_report(*stored_graph(spark, sf_dir), max_depth=DEPTH))
+    return report_rows(g.processor_report(*stored_graph(spark, sf_dir)))
 
 
 @check(
     "graph_processor_nested",
-    FULL + """SELECT id, proc_id, proc_name, immediate_parent_pg_id,
+    LIMITED + """SELECT id, proc_id, proc_name, immediate_parent_pg_id,
         string_agg(pg_id, '>' ORDER BY ord) FILTER (WHERE list = 'parents') AS parents,
         coalesce(string_agg(pg_id, '>' ORDER BY ord) FILTER (WHERE list = 'upstream'), '') AS upstream,
         coalesce(string_agg(pg_id, '>' ORDER BY ord) FILTER (WHERE list = 'downstream'), '') AS downstream
@@ -244,7 +256,7 @@ def graph_processor_report(spark, sf_dir):
 )
 def graph_processor_nested(spark, sf_dir):
     path = lambda c: F.concat_ws(">", F.col(c)["pg_id"])
-    return g.nested_processor_report(*stored_graph(spark, sf_dir), max_depth=DEPTH).select(
+    return g.nested_processor_report(*stored_graph(spark, sf_dir), max_edges=LIMIT).select(
         "id", "proc_id", "proc_name", "immediate_parent_pg_id",
         path("parent_process_groups").alias("parents"),
         path("upstream_dependent_process_groups").alias("upstream"),
@@ -257,7 +269,7 @@ MATCHES = "lower(concat_ws(chr(1), proc_id, proc_name, prop_status, prop_priorit
 
 @check("graph_search", FULL + f"SELECT * FROM report WHERE id IN (SELECT id FROM vprocs WHERE contains({MATCHES}, 'urgent'))")
 def graph_search(spark, sf_dir):
-    return report_rows(g.search_processors(*stored_graph(spark, sf_dir), text="URGENT", max_depth=DEPTH))
+    return report_rows(g.search_processors(*stored_graph(spark, sf_dir), text="URGENT"))
 
 
 @check(
@@ -266,7 +278,7 @@ def graph_search(spark, sf_dir):
     JOIN (VALUES ('Low'), ('supplier#'), ('99.9')) t(text) ON contains({MATCHES}, lower(t.text))""",
 )
 def graph_search_many(spark, sf_dir):
-    hits = g.search_properties(tree(spark, sf_dir)[0], ["Low", "supplier#", "99.9"])
+    hits = g.search_properties(graph(spark, sf_dir)[0], ["Low", "supplier#", "99.9"])
     return hits.select("id", "proc_id", "matched")
 
 
@@ -298,5 +310,5 @@ def graph_search_documents(spark, sf_dir):
 )
 def status_active_processors(spark, sf_dir):
     status = b.group_status(spark, sf_dir)
-    found = st.active_search(*stored_graph(spark, sf_dir), status, "urgent", DEPTH)
+    found = st.active_search(*stored_graph(spark, sf_dir), status, "urgent")
     return report_rows(found)

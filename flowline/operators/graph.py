@@ -9,6 +9,7 @@ the same for all processors of a group is done once per group and joined on.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,9 +26,6 @@ PROCESSOR = "processor"
 PARENT = "parent"
 DEPENDENT = "dependent"
 
-# Group lookups by id take the last of the first five groups carrying that id.
-GROUPS_PER_ID = 5
-
 # Spark prunes row_number() <= n before the shuffle up to this n
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 PRUNED_RANK_LIMIT = 1000
@@ -124,31 +122,24 @@ def list_groups(vertices: DataFrame, max_rows: int) -> DataFrame:
 
 def list_processors(vertices: DataFrame, max_rows: int) -> DataFrame:
     return _first_by_id(
-        filter_label(vertices, PROCESSOR).select("flow_id", "id", "proc_id", "proc_name"), max_rows
+        filter_label(vertices, PROCESSOR).select("flow_id", processor_struct().alias("p")).select("flow_id", "p.*"), max_rows
     )
 
 
 def groups_by_id(vertices: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row per requested (flow_id, pg_id); struct ``pg`` is all null when unknown."""
+    """One row per requested (flow_id, pg_id); struct ``pg`` is all null when unknown.
+
+    Of several groups with one id the last by vertex id is taken. The ids are
+    compared first, as numbers are hashed; the fields are then looked up.
+    """
     wanted = ids.select("flow_id", "pg_id").distinct()
-    rank = F.row_number().over(Window.partitionBy("flow_id", "pg_id").orderBy("id"))
-    found = (
-        filter_label(vertices, GROUP)
-        .join(wanted, ["flow_id", "pg_id"], "left_semi")
-        .withColumn("rank", rank)
-        .filter(F.col("rank") <= GROUPS_PER_ID)
-        .groupBy("flow_id", "pg_id")
-        .agg(F.max_by(F.struct("is_root", "id", "pg_name"), "id").alias("g"))
-    )
+    groups = filter_label(vertices, GROUP).join(wanted, ["flow_id", "pg_id"], "left_semi")
+    last = groups.groupBy("flow_id", "pg_id").agg(F.max("id").alias("id"))
+    found = groups.select("flow_id", "id", "is_root", "pg_name").join(last, ["flow_id", "id"])
     return wanted.join(found, ["flow_id", "pg_id"], "left").select(
         "flow_id",
         "pg_id",
-        F.struct(
-            F.col("g.is_root"),
-            F.col("g.id"),
-            F.col("g.pg_name"),
-            F.when(F.col("g.id").isNotNull(), F.col("pg_id")).alias("pg_id"),
-        ).alias("pg"),
+        F.struct("is_root", "id", "pg_name", F.when(F.col("id").isNotNull(), F.col("pg_id")).alias("pg_id")).alias("pg"),
     )
 
 
@@ -204,16 +195,20 @@ def _requested_groups(vertices: DataFrame, ids: DataFrame | None) -> DataFrame:
 
 
 def group_ancestors(
-    vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = None, max_depth: int = 10
+    vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = None, max_depth: int = -1
 ) -> DataFrame:
-    """Each group followed by its parents up to the root or ``max_depth`` hops.
+    """Each group followed by its parents up to the root, or ``max_depth`` hops if that is not -1.
 
     (flow_id, group_id, depth, pg), depth 0 being the group itself. One hop is
     one equi join along the parent links; finished groups leave the walk, and
-    the walk ends as soon as nothing is left, whatever ``max_depth`` says. The
-    parent's fields travel with the link, so ancestors are never looked up again
-    (all of them converge on a few hot groups near the root).
+    the walk ends as soon as nothing is left. Without a limit a group met again
+    ends its walk, so circles end too. The parent's fields travel with the link,
+    so ancestors are never looked up again (all of them converge on a few hot
+    groups near the root).
     """
+    if max_depth < -1:
+        raise ValueError("max_depth must be -1 (no limit) or at least 0")
+    unlimited = max_depth == -1
     walk = _requested_groups(vertices, ids).select(
         "flow_id", F.col("id").alias("group_id"), F.array(group_struct()).alias("path")
     )
@@ -223,13 +218,14 @@ def group_ancestors(
         .join(groups.filter(~F.col("is_root")).select("flow_id", "id"), ["flow_id", "id"], "left_semi")
         .select("flow_id", F.col("id").alias("last"), F.lit(True).alias("open"), F.col("parent").alias("next"))
     )
-    if max_depth > HOPS_PER_STEP:
+    if unlimited or max_depth > HOPS_PER_STEP:
         links = cut_lineage(links, "parent-links")
 
     finished = []
-    hops = 0
-    while hops < max_depth:
-        steps = min(HOPS_PER_STEP, max_depth - hops)
+    for hops in itertools.count(0, HOPS_PER_STEP):
+        if not unlimited and hops >= max_depth:
+            break
+        steps = HOPS_PER_STEP if unlimited else min(HOPS_PER_STEP, max_depth - hops)
         # A walk is open while its last hop found a parent. The group's own id
         # stands in as the key of a closed one, so closed walks spread evenly
         # instead of meeting in one null-keyed task.
@@ -238,14 +234,15 @@ def group_ancestors(
             last = F.when(F.col("open"), F.element_at("path", -1)["id"]).otherwise(F.col("group_id"))
             walk = walk.withColumn("last", last).join(links, ["flow_id", "last", "open"], "left")
             found = F.col("next").isNotNull()
+            if unlimited:
+                found = found & ~F.array_contains(F.col("path")["id"], F.col("next")["id"])
             walk = walk.select(
                 "flow_id",
                 "group_id",
                 F.when(found, F.concat("path", F.array("next"))).otherwise(F.col("path")).alias("path"),
-                found.alias("open"),
+                F.coalesce(found, F.lit(False)).alias("open"),
             )
-        hops += steps
-        if hops < max_depth:
+        if unlimited or hops + steps < max_depth:
             walk = cut_lineage(walk, "ancestors")
             finished.append(walk.filter(~F.col("open")).drop("open"))
             walk = walk.filter("open").drop("open")
@@ -283,7 +280,7 @@ def dependents(
     vertices: DataFrame,
     edges: DataFrame,
     ids: DataFrame | None = None,
-    limit: int = 10,
+    limit: int = -1,
     direction: str = "both",
 ) -> DataFrame:
     """Groups one ``dependent`` hop away: (flow_id, group_id, direction, edge_id, pg).
@@ -326,11 +323,11 @@ def dependents(
     )
 
 
-def upstream(vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = None, limit: int = 10) -> DataFrame:
+def upstream(vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = None, limit: int = -1) -> DataFrame:
     return dependents(vertices, edges, ids, limit, "upstream")
 
 
-def downstream(vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = None, limit: int = 10) -> DataFrame:
+def downstream(vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = None, limit: int = -1) -> DataFrame:
     return dependents(vertices, edges, ids, limit, "downstream")
 
 
@@ -342,18 +339,35 @@ def _placed_processors(
 ) -> tuple[DataFrame, DataFrame | None]:
     """Processors with their parent group, and the groups needed; None means all of both.
 
-    Requested processors are written out once: they decide which groups are
-    walked and are then joined with the result.
+    There is one row per processor id: of several vertices with it the last by
+    vertex id, under the parent of the first of their parent edges. Requested
+    processors are written out once: they decide which groups are walked and are
+    then joined with the result.
     """
     procs = filter_label(vertices, PROCESSOR)
     if proc_ids is not None:
         wanted = proc_ids.select("flow_id", "proc_id").distinct()
         procs = procs.join(wanted, ["flow_id", "proc_id"], "left_semi")
     procs = procs.select("flow_id", "id", "proc_id", "proc_name")
-    placed = procs.join(immediate_parent(vertices, edges), ["flow_id", "id"]).select(
-        "flow_id", "id", "proc_id", "proc_name", F.col("parent.id").alias("group_id"),
-        F.col("parent.pg_id").alias("immediate_parent_pg_id"),
+    first = first_edge_per_vertex(edges, PARENT, "in").select(
+        "flow_id", F.col("vertex").alias("id"), F.col("id").alias("edge_id")
+    )
+    # Which of an id's vertices is shown, and which one says where it hangs.
+    one = (
+        procs.select("flow_id", "id", "proc_id")
+        .join(first, ["flow_id", "id"], "left")
+        .groupBy("flow_id", "proc_id")
+        .agg(F.max("id").alias("id"), F.min_by("id", "edge_id").alias("placed_by"))
     )
+    parents = immediate_parent(vertices, edges).withColumnRenamed("id", "placed_by")
+    placed = (
+        one.join(procs.select("flow_id", "id", "proc_name"), ["flow_id", "id"])
+        .join(parents, ["flow_id", "placed_by"])
+        .select(
+            "flow_id", "id", "proc_id", "proc_name", F.col("parent.id").alias("group_id"),
+            F.col("parent.pg_id").alias("immediate_parent_pg_id"),
+        )
+    )
     if proc_ids is None:
         return placed, None
     placed = cut_lineage(placed, "placed-processors")
@@ -361,14 +375,14 @@ def _placed_processors(
 
 
 def _group_lists(
-    vertices: DataFrame, edges: DataFrame, groups: DataFrame | None, max_depth: int, with_dependents: bool
+    vertices: DataFrame, edges: DataFrame, groups: DataFrame | None, max_depth: int, max_edges: int, with_dependents: bool
 ) -> DataFrame:
     """(flow_id, group_id, list, ord, pg): ancestors and neighbours once per group."""
     lists = group_ancestors(vertices, edges, groups, max_depth).select(
         "flow_id", "group_id", F.lit("parents").alias("list"), F.col("depth").cast("bigint").alias("ord"), "pg"
     )
     if with_dependents:
-        near = dependents(vertices, edges, groups, max_depth)
+        near = dependents(vertices, edges, groups, max_edges)
         lists = lists.unionByName(
             near.select("flow_id", "group_id", F.col("direction").alias("list"), F.col("edge_id").alias("ord"), "pg")
         )
@@ -379,17 +393,18 @@ def processor_report(
     vertices: DataFrame,
     edges: DataFrame,
     proc_ids: DataFrame | None = None,
-    max_depth: int = 10,
+    max_depth: int = -1,
+    max_edges: int = -1,
     with_dependents: bool = True,
 ) -> DataFrame:
     """Parents, upstream and downstream groups of processors, one row per list entry.
 
-    ``max_depth`` bounds the hops to the root and the incident edges looked at.
-    ``ord`` orders a list: the depth for parents, the edge id for neighbours.
-    Unknown processor ids are absent.
+    ``max_depth`` bounds the hops to the root and ``max_edges`` the incident
+    edges looked at; -1 means no limit in both. ``ord`` orders a list: the depth
+    for parents, the edge id for neighbours. Unknown processor ids are absent.
     """
     placed, groups = _placed_processors(vertices, edges, proc_ids)
-    lists = _group_lists(vertices, edges, groups, max_depth, with_dependents)
+    lists = _group_lists(vertices, edges, groups, max_depth, max_edges, with_dependents)
     return placed.join(lists, ["flow_id", "group_id"]).drop("group_id")
 
 
@@ -397,18 +412,20 @@ def nested_processor_report(
     vertices: DataFrame,
     edges: DataFrame,
     proc_ids: DataFrame | None = None,
-    max_depth: int = 10,
+    max_depth: int = -1,
+    max_edges: int = -1,
     with_dependents: bool = True,
 ) -> DataFrame:
     """The report with one row per processor and its lists as arrays.
 
-    Arrays are built per group and hold at most ``max_depth`` + 1 entries; an
-    unlimited report has to use the row form.
+    Arrays are built per group. Those of parents are as long as the tree is
+    deep; those of neighbours need a limit, ``max_edges``, as one group may have
+    any number: without one the row form has to be used.
     """
-    if with_dependents and max_depth < 0:
-        raise ValueError("an unlimited report has no nested form; use processor_report")
+    if with_dependents and max_edges < 0:
+        raise ValueError("neighbours without a limit have no nested form; use processor_report")
     placed, groups = _placed_processors(vertices, edges, proc_ids)
-    lists = _group_lists(vertices, edges, groups, max_depth, with_dependents)
+    lists = _group_lists(vertices, edges, groups, max_depth, max_edges, with_dependents)
 
     def nested(name: str) -> Column:
         entries = F.collect_list(F.when(F.col("list") == name, F.struct("ord", "pg")))
@@ -429,13 +446,15 @@ def nested_processor_report(
 _PG_LIST = "array<struct<is_root:boolean,id:bigint,pg_name:string,pg_id:string>>"
 
 
-def _any_value_contains(text: str) -> Column:
-    values = [F.col("proc_id"), F.col("proc_name"), F.map_values("properties")]
+def _values() -> list[Column]:
+    return [F.col("proc_id"), F.col("proc_name"), F.map_values("properties")]
+
+
+def _any_value_contains(text: str, joined: Column) -> Column:
     if "\0" in text:
+        values = _values()
         return F.exists(F.flatten(F.array(F.array(*values[:2]), values[2])), lambda v: contains_ignore_case(v, F.lit(text)))
-    # One joined text instead of a lambda per value keeps the test in generated
-    # code; the separator cannot occur in the searched text.
-    return contains_ignore_case(F.concat_ws("\0", *values), F.lit(text))
+    return contains_ignore_case(joined, F.lit(text))
 
 
 def search_properties(vertices: DataFrame, text: str | Sequence[str]) -> DataFrame:
@@ -445,10 +464,14 @@ def search_properties(vertices: DataFrame, text: str | Sequence[str]) -> DataFra
     which of them a processor contains.
     """
     procs = filter_label(vertices, PROCESSOR)
+    # One joined text instead of a lambda per value keeps the test in generated
+    # code; the separator cannot occur in the searched text.
+    joined = F.concat_ws("\0", *_values())
     if isinstance(text, str):
-        return procs.filter(_any_value_contains(text))
-    hits = F.array_compact(F.array(*[F.when(_any_value_contains(t), F.lit(t)) for t in text]))
-    return procs.withColumn("matched", F.explode(hits))
+        return procs.filter(_any_value_contains(text, joined))
+    procs = procs.withColumn("_joined", joined)
+    hits = F.array_compact(F.array(*[F.when(_any_value_contains(t, F.col("_joined")), F.lit(t)) for t in text]))
+    return procs.withColumn("matched", F.explode(hits)).drop("_joined")
 
 
 def dedupe_matches(matches: DataFrame) -> DataFrame:
@@ -463,11 +486,12 @@ def search_processors(
     vertices: DataFrame,
     edges: DataFrame,
     text: str,
-    max_depth: int = 10,
+    max_depth: int = -1,
+    max_edges: int = -1,
     with_dependents: bool = True,
     nested: bool = False,
 ) -> DataFrame:
-    """Report of every processor matching ``text``."""
+    """Report of every processor matching ``text``; the nested form needs ``max_edges`` for neighbours."""
     matches = dedupe_matches(search_properties(vertices, text).select("flow_id", "proc_id"))
     report = nested_processor_report if nested else processor_report
-    return drop_empty_processors(report(vertices, edges, matches, max_depth, with_dependents))
+    return drop_empty_processors(report(vertices, edges, matches, max_depth, max_edges, with_dependents))

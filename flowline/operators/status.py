@@ -15,9 +15,8 @@ from flowline.functions import equals_ignore_case, grouped_count, percentage, re
 from flowline.operators.graph import search_processors
 from flowline.session import cut_lineage
 
-# Entity states, and the share of running processors (percent)
-# up to which a group counts as inactive.
-STATES = ("ENABLED", "DISABLED", "RUNNING", "STOPPED", "DELETE", "INVALID", "true", "false")
+# Fixed value: the share of running processors (percent) up to which a group
+# counts as inactive.
 INACTIVE_UP_TO = 10.0
 
 ENTITY = ("flow_id", "entity_id")
@@ -33,10 +32,6 @@ def latest_per_entity(status: DataFrame, by: Sequence[str] = ENTITY) -> DataFram
     return status.groupBy(*by).agg(newest).select(*by, "s.*")
 
 
-def known_state(state: Column | str) -> Column:
-    return F.col(state).isin(*STATES) if isinstance(state, str) else state.isin(*STATES)
-
-
 # -- activity -----------------------------------------------------------------
 
 
@@ -62,11 +57,12 @@ def active_search(
     edges: DataFrame,
     status: DataFrame,
     text: str,
-    max_depth: int = 10,
+    max_depth: int = -1,
+    max_edges: int = -1,
     with_dependents: bool = True,
     nested: bool = False,
 ) -> DataFrame:
-    found = search_processors(vertices, edges, text, max_depth, with_dependents, nested)
+    found = search_processors(vertices, edges, text, max_depth, max_edges, with_dependents, nested)
     return filter_active(found, status)
 
 
@@ -93,23 +89,25 @@ def _descend(groups: DataFrame, roots: DataFrame, worth_visiting: Column) -> Dat
     """(flow_id, root_id, entity_id) of each root and the groups visited below it.
 
     Level by level; a child is visited only where ``worth_visiting`` holds, so
-    whatever lies below a pruned child stays out. The links worth following are
-    written out once, narrow and pruned, and so is each level: read back with
-    its true size, a small frontier is broadcast against the links instead of
-    shuffling them.
+    whatever lies below a pruned child stays out. ``groups`` may be an archive
+    of snapshots: a group that moved hangs under every parent it had, and a
+    group reached before is not entered again, so circles and repeated rows end.
+    The links worth following are written out once, narrow, pruned and distinct,
+    and so is each level: read back with its true size, a small frontier is
+    broadcast against the links instead of shuffling them.
     """
     children = groups.filter(worth_visiting).select(
         "flow_id", F.col("entity_id").alias("child_id"), F.col("parent_id").alias("entity_id")
     )
-    children = cut_lineage(children, "descent-links")
+    children = cut_lineage(children.distinct(), "descent-links")
+    key = ["flow_id", "root_id", "entity_id"]
     frontier = roots.select("flow_id", F.col("entity_id").alias("root_id"), "entity_id").distinct()
     visited = frontier
     while True:
         below = frontier.join(children, ["flow_id", "entity_id"]).select(
             "flow_id", "root_id", F.col("child_id").alias("entity_id")
         )
-        # A root can come up again only if the parent links form a circle.
-        frontier = cut_lineage(below.filter(F.col("entity_id") != F.col("root_id")), "descent")
+        frontier = cut_lineage(below.distinct().join(visited, key, "left_anti"), "descent")
         if frontier.isEmpty():
             return visited
         visited = visited.unionByName(frontier)
@@ -152,17 +150,25 @@ def remote_groups_to_toggle(
 
 
 def _settled(target_state: str) -> Column:
-    """Whether one group is where ``target_state`` wants it; other states ask nothing."""
+    """Whether one group is where ``target_state`` wants it; other states ask nothing.
+
+    A count that is not known settles nothing.
+    """
     wanted = target_state.upper()
     if wanted == "STOPPED":
-        return (F.col("running") <= 0) & (grouped_count("queued_count") <= 0)
-    if wanted == "RUNNING":
-        return F.col("stopped") <= 0
-    return F.lit(True)
+        settled = (F.col("running") <= 0) & (grouped_count("queued_count") <= 0)
+    elif wanted == "RUNNING":
+        settled = F.col("stopped") <= 0
+    else:
+        return F.lit(True)
+    return F.coalesce(settled, F.lit(False))
 
 
 def children_converged(groups: DataFrame, parents: DataFrame, target_state: str) -> DataFrame:
-    """Per parent: have all direct children, and the parent itself, reached the state?"""
+    """Per parent: have all direct children, and the parent itself, reached the state?
+
+    One row per group is expected; reduce an archive by :func:`latest_per_entity` first.
+    """
     children = (
         groups.filter(F.col("parent_id").isNotNull())
         .groupBy("flow_id", F.col("parent_id").alias("entity_id"))

@@ -65,7 +65,7 @@ def test_label_counts(graph, rows):
     ]
 
 
-@pytest.mark.parametrize("depth, expected", [(10, [44, 39, 34, 0]), (1, [44, 39]), (0, [44]), (-1, [44]), (2, [44, 39, 34])])
+@pytest.mark.parametrize("depth, expected", [(10, [44, 39, 34, 0]), (1, [44, 39]), (0, [44]), (-1, [44, 39, 34, 0]), (2, [44, 39, 34])])
 def test_ancestors(spark, graph, depth, expected):
     found = g.group_ancestors(*graph, ids(spark, 44), depth)
     assert listed(found, "depth") == expected
@@ -84,6 +84,7 @@ def test_long_chain_needs_several_steps(spark):
     edges = spark.range(1, n).selectExpr("'f' flow_id", "id", "id - 1 src", "id dst", "'parent' label")
     start = spark.createDataFrame([("f", f"g{n - 1}")], "flow_id string, pg_id string")
     assert listed(g.group_ancestors(vertices, edges, start, 100), "depth") == list(range(n - 1, -1, -1))
+    assert listed(g.group_ancestors(vertices, edges, start), "depth") == list(range(n - 1, -1, -1))
     assert listed(g.group_ancestors(vertices, edges, start, 12), "depth") == list(range(n - 1, n - 14, -1))
     assert g.group_ancestors(vertices, edges, None, 100).count() == n * (n + 1) // 2
 
@@ -95,6 +96,9 @@ def test_circle_is_bounded(spark):
     edges = spark.range(3).selectExpr("'f' flow_id", "id", "(id + 1) % 3 src", "id dst", "'parent' label")
     start = spark.createDataFrame([("f", "g0")], "flow_id string, pg_id string")
     assert listed(g.group_ancestors(vertices, edges, start, 7), "depth") == [0, 1, 2, 0, 1, 2, 0, 1]
+    assert listed(g.group_ancestors(vertices, edges, start), "depth") == [0, 1, 2]
+    with pytest.raises(ValueError):
+        g.group_ancestors(vertices, edges, start, -2)
 
 
 @pytest.mark.parametrize(
@@ -163,7 +167,7 @@ def test_groups_by_id(spark, graph):
     )
     found = {r.pg_id: r.pg for r in g.groups_by_id(vertices.union(copies), ids(spark, 9, 24, 77, 9)).collect()}
     assert found["pg24"].id == 24
-    assert found["pg9"].id == 1003  # the last of the first five
+    assert found["pg9"].id == 1005  # the last of all
     assert tuple(found["pg77"]) == (None, None, None, None)
 
 
@@ -183,26 +187,45 @@ def test_processor_report(spark, graph):
 
 
 def test_depth_zero_still_finds_the_parent(spark, graph):
-    one = g.processor_report(*graph, ids(spark, 173, prefix="p", column="proc_id"), 0)
+    one = g.processor_report(*graph, ids(spark, 173, prefix="p", column="proc_id"), 0, 0)
     assert report_of(one, "parents") == [29] and report_of(one, "upstream") == []
 
 
-def test_unlimited_depth_means_self_for_parents_and_all_for_neighbours(spark, graph):
-    one = g.processor_report(*graph, ids(spark, 154, prefix="p", column="proc_id"), -1)
-    assert report_of(one, "parents") == [24]
+def test_no_limit_means_all(spark, graph):
+    one = g.processor_report(*graph, ids(spark, 154, prefix="p", column="proc_id"))
+    assert report_of(one, "parents") == [24, 0]
     assert report_of(one, "upstream") == [14] and report_of(one, "downstream") == [29]
 
 
+def test_hops_and_edges_have_limits_of_their_own(spark, graph):
+    wanted = ids(spark, 154, prefix="p", column="proc_id")
+    near = g.processor_report(*graph, wanted, max_depth=0, max_edges=-1)
+    assert report_of(near, "parents") == [24] and report_of(near, "upstream") == [14] and report_of(near, "downstream") == [29]
+    far = g.processor_report(*graph, wanted, max_depth=-1, max_edges=0)
+    assert report_of(far, "parents") == [24, 0] and report_of(far, "upstream") == report_of(far, "downstream") == []
+
+
+def test_one_report_per_processor_id(spark, graph):
+    """A processor that occurs twice: the later vertex, under the parent of the first edge."""
+    vertices, edges = graph
+    twice = vertices.union(vertices.filter("proc_id = 'p154'").withColumn("id", F.lit(9154).cast("bigint")))
+    more = edges.union(spark.createDataFrame([("f", 99_000, 14, 9154, "parent")], edges.schema))
+    found = g.processor_report(twice, more, ids(spark, 154, prefix="p", column="proc_id"))
+    assert {(r.id, r.immediate_parent_pg_id) for r in found.collect()} == {(9154, "pg24")}
+    assert g.processor_report(twice, more).filter("proc_id = 'p154'").select("id").distinct().count() == 1
+    assert {r.id for r in g.search_processors(twice, more, "p154").collect()} == {9154}
+
+
 def test_nested_report(spark, graph):
     wanted = ids(spark, 173, prefix="p", column="proc_id")
-    one = g.nested_processor_report(*graph, wanted, 10).first()
+    one = g.nested_processor_report(*graph, wanted, max_edges=10).first()
     assert [p.id for p in one.parent_process_groups] == [29, 24, 0]
     assert [p.pg_name for p in one.upstream_dependent_process_groups] == ["Group 24"]
     assert one.downstream_dependent_process_groups == []
-    bare = g.nested_processor_report(*graph, wanted, 10, with_dependents=False).first()
+    bare = g.nested_processor_report(*graph, wanted, with_dependents=False).first()
     assert bare.upstream_dependent_process_groups is None and len(bare.parent_process_groups) == 3
     with pytest.raises(ValueError):
-        g.nested_processor_report(*graph, wanted, -1)
+        g.nested_processor_report(*graph, wanted)
 
 
 def test_search(graph):

@@ -133,7 +133,7 @@ def hot_graph(spark, tmp_path_factory):
 @pytest.mark.parametrize("report", [g.processor_report, g.nested_processor_report])
 def test_reports_split_a_hot_group(spark, hot_graph, report):
     with settings(spark, **SKEW):
-        df = report(*hot_graph, max_depth=10)
+        df = report(*hot_graph, max_edges=10)
         plan = final_plan(df)
         assert df.select("id").distinct().count() == 60_000
     assert "SortMergeJoin(skew=true)" in plan
