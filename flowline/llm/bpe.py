@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import base64
 import functools
-import itertools
+
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from flowline.llm.tables import documents_of, pick, slices
-from flowline.llm.units import UNIT, Memory, tokenizer_of
+from flowline.llm.tables import documents_of, map_arrow, pick, slices
+from flowline.llm.units import UnitEncoder, byte_characters
 
 ENCODED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
 SPANNED = T.StructType(
@@ -31,14 +31,6 @@ ROUND_TRIP = T.StructType(
 )
 
 
-@functools.lru_cache(maxsize=1)
-def byte_characters() -> tuple[str, ...]:
-    """The character for each byte: itself if it is printable, else one from U+0100 on."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = itertools.count(0x100)
-    return tuple(chr(b) if b in plain else chr(next(others)) for b in range(256))
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as file:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
@@ -53,14 +45,14 @@ def tokenizer_definition(ranks: dict[bytes, int], pattern: str) -> str:
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
     table = byte_characters()
-    written = {token: "".join(table[b] for b in token) for token in ranks}
+    names = {token: "".join(table[b] for b in token) for token in ranks}
     merges = [
-        (written[token[:cut]], written[token[cut:]])
+        (names[token[:cut]], names[token[cut:]])
         for token in sorted(ranks, key=ranks.get)
         for cut in range(1, len(token))
         if token[:cut] in ranks and token[cut:] in ranks
     ]
-    vocabulary = {written[token]: rank for token, rank in ranks.items()}
+    vocabulary = {names[token]: rank for token, rank in ranks.items()}
     tokenizer = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True))
     tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
         [
@@ -75,41 +67,41 @@ class Codec:
     """Encoder and decoder of one tokenizer, kept per Python worker."""
 
     def __init__(self, definition: str) -> None:
-        self.tokenizer = tokenizer_of(definition)
+        self.units = UnitEncoder(definition)
         back = {c: b for b, c in enumerate(byte_characters())}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = {i: bytes(back[c] for c in written) for written, i in vocabulary.items()}
-        self.memory = Memory(self._encode_units)
-
-    def _encode_units(self, units: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        units = [UNIT.findall(text) for text in texts]
-        self.memory.learn(itertools.chain.from_iterable(units))
-        ids_of = self.memory.__getitem__
-        return [list(itertools.chain.from_iterable(map(ids_of, own))) for own in units]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
-    def byte_ends(self, ids: list[int]) -> np.ndarray:
-        return np.cumsum(np.fromiter(map(len, map(self.bytes_of.__getitem__, ids)), np.int64, len(ids)))
-
-    def spans(self, raw: bytes, ids: list[int]) -> tuple[np.ndarray, np.ndarray, int]:
-        """First and past-the-last character of each token, and how many tokens end inside a character."""
-        if not ids:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        leading = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
-        character = np.cumsum(leading) - 1
-        ends = self.byte_ends(ids)
-        starts = np.concatenate([[0], ends[:-1]])
-        inside = int((~leading[ends[:-1]]).sum())
-        return character[starts], character[ends - 1] + 1, inside
-
-    def n_split(self, raw: bytes, ids: list[int]) -> int:
-        """How many tokens end inside a character; none do in a text of ASCII."""
-        return 0 if raw.isascii() else self.spans(raw, ids)[2]
+        vocabulary = self.units.tokenizer.get_vocab(with_added_tokens=False)
+        tokens = [b""] * (max(vocabulary.values()) + 1)
+        for name, number in vocabulary.items():
+            tokens[number] = bytes(back[c] for c in name)
+        self.tokens = tokens
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.lengths = np.array(list(map(len, tokens)), np.int64)
+        self.places = np.cumsum(self.lengths) - self.lengths
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        self.units.tidy()
+        return [np.frombuffer(self.units.encode(text), "<u4").astype(np.int32) for text in texts]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the tokens in a row: a gather from the table of all tokens' bytes."""
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.tokens):
+            raise ValueError("an id that is not in the vocabulary")
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ids) else 0
+        return self.flat[np.arange(total) + np.repeat(self.places[ids] - ends + lengths, lengths)].tobytes()
+
+    def spans(self, raw: bytes, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and past-the-last character of each token."""
+        if not len(ids):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        character = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80) - 1
+        ends = np.cumsum(self.lengths[ids])
+        return character[ends - self.lengths[ids]], character[ends - 1] + 1
+
+    def n_split(self, ids: np.ndarray) -> int:
+        """How many tokens start inside a character."""
+        return int(((self.flat[self.places[ids]] & 0xC0) == 0x80).sum())
 
 
 @functools.lru_cache(maxsize=2)
@@ -117,10 +109,9 @@ def codec_of(definition: str) -> Codec:
     return Codec(definition)
 
 
-def _ids_array(ids: list[list[int]]) -> pa.Array:
-    flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, sum(map(len, ids)))
-    ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+def _ids_array(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
 
 
 def _shared(df: DataFrame, definition: str):
@@ -145,10 +136,10 @@ def encode(
             columns = [part.column("doc_id"), _ids_array(ids)]
             if spans:
                 found = [codec.spans(text.encode(), own) for text, own in zip(texts, ids)]
-                columns += [_ids_array([list(f[k]) for f in found]) for k in (0, 1)]
+                columns += [_ids_array([f[k] for f in found]) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, (SPANNED if spans else ENCODED).names)
 
-    return documents_of(df, id_col, text_col).mapInArrow(run, SPANNED if spans else ENCODED)
+    return map_arrow(documents_of(df, id_col, text_col), run, SPANNED if spans else ENCODED)
 
 
 def decode(df: DataFrame, definition: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -158,16 +149,16 @@ def decode(df: DataFrame, definition: str, id_col: str = "doc_id", ids_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
         for part in slices(batches):
-            decoded = [codec.decode(ids or []) for ids in part.column("ids").to_pylist()]
+            decoded = [codec.decode(np.array(ids or [], np.int64)) for ids in part.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(decoded, pa.binary())], DECODED.names)
 
-    return pick(df, doc_id=id_col, ids=ids_col).mapInArrow(run, DECODED)
+    return map_arrow(pick(df, doc_id=id_col, ids=ids_col), run, DECODED)
 
 
 def round_trip(df: DataFrame, definition: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """:func:`encode` and :func:`decode` in one pass: doc_id, ids, decoded, n_split.
 
-    n_split counts the tokens that end inside a character.
+    n_split counts the tokens that start inside a character.
     """
     shared = _shared(df, definition)
 
@@ -180,8 +171,8 @@ def round_trip(df: DataFrame, definition: str, id_col: str = "doc_id", text_col:
                 part.column("doc_id"),
                 _ids_array(ids),
                 pa.array(decoded, pa.binary()),
-                pa.array([codec.n_split(raw, own) for raw, own in zip(decoded, ids)], pa.int64()),
+                pa.array([codec.n_split(own) for own in ids], pa.int64()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ROUND_TRIP.names)
 
-    return documents_of(df, id_col, text_col).mapInArrow(run, ROUND_TRIP)
+    return map_arrow(documents_of(df, id_col, text_col), run, ROUND_TRIP)

@@ -11,7 +11,6 @@ or the text ends.
 from __future__ import annotations
 
 import functools
-import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -20,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from flowline.llm.tables import documents_of, slices
-from flowline.llm.units import UNIT, WHITE_SPACE, Memory, tokenizer_of
+from flowline.llm.tables import documents_of, map_arrow, slices
+from flowline.llm.units import WHITE_SPACE, UnitEncoder
 
 #: Characters of a chunk, and of the overlap that is tried first.
 CHUNK_CHARS = 16_384
@@ -77,23 +76,20 @@ class Counter:
     """Counts with one tokenizer, kept per Python worker."""
 
     def __init__(self, definition: str) -> None:
-        self.tokenizer = tokenizer_of(definition)
-        self.memory = Memory(self._count_units)
-
-    def _count_units(self, units: list[str]) -> list[int]:
-        return [len(e) for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        self.units = UnitEncoder(definition)
+        self.tokenizer = self.units.tokenizer
 
     def offsets(self, chunk: str) -> Offsets:
         found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
         return found[:, 0], found[:, 1]
 
     def count(self, texts: list[str], chunk: int, overlap: int) -> list[int]:
-        units = [UNIT.findall(text) if len(text) <= chunk else None for text in texts]
-        self.memory.learn(itertools.chain.from_iterable(filter(None, units)))
-        number = self.memory.__getitem__
+        self.units.tidy()
         return [
-            sum(map(number, own)) if own is not None else count_in_chunks(text, self.offsets, chunk, overlap)
-            for text, own in zip(texts, units)
+            len(self.units.encode(text)) // 4
+            if len(text) <= chunk
+            else count_in_chunks(text, self.offsets, chunk, overlap)
+            for text in texts
         ]
 
 
@@ -129,4 +125,4 @@ def count_tokens(
             ]
             yield pa.RecordBatch.from_arrays(columns, COUNTED.names)
 
-    return documents_of(df, id_col, text_col).mapInArrow(run, COUNTED)
+    return map_arrow(documents_of(df, id_col, text_col), run, COUNTED)

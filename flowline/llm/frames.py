@@ -18,7 +18,7 @@ from __future__ import annotations
 import itertools
 import struct
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowline.llm.tables import documents_of, slices
-from flowline.llm.units import Memory, tokenizer_of
+from flowline.llm.tables import documents_of, map_arrow, slices
+from flowline.llm.units import UnitEncoder
 
 SKIPPABLE = struct.Struct("<II")
 SKIPPABLE_MAGIC = 0x184D2A50  # fixed value of the zstandard format
@@ -48,6 +48,8 @@ READ = T.StructType(
 
 #: Documents that a reading task takes from the seek table at a time.
 DOCS_PER_READ = 4096
+#: Bytes that a reader takes at once where frames follow each other.
+READ_BYTES = 1 << 20
 
 
 def open_folder(uri: str):
@@ -94,37 +96,40 @@ class FrameReader:
         length = n * ENTRY.itemsize
         if magic != MAGIC or length > size - FOOTER.size:
             raise ValueError("not a token-id file, or one that was cut")
-        self.entries = np.frombuffer(source.read_at(length, size - FOOTER.size - length), ENTRY)
+        self.end = size - FOOTER.size - length
+        self.entries = np.frombuffer(source.read_at(length, self.end), ENTRY)
 
-    def frames(self, chosen: np.ndarray) -> Iterator[tuple[np.void, bytes]]:
-        """Entry and ids of the entries numbered in ``chosen``; a wrong checksum is an error."""
+    def frames(self, chosen: np.ndarray) -> Iterator[tuple[int | None, int, int, bytes]]:
+        """(doc_id, ids before it in the file, number of ids, their bytes) of the entries numbered in ``chosen``.
+
+        Frames that lie side by side are read together, up to READ_BYTES. A wrong
+        checksum is an error.
+        """
         import zstandard
 
         decompress = zstandard.ZstdDecompressor().decompress
-        for entry in self.entries[chosen]:
-            wanted = int(entry["n_ids"]) * ID_TYPE.itemsize
-            raw = decompress(self.source.read_at(int(entry["size"]), int(entry["place"])), max_output_size=wanted)
-            if len(raw) != wanted or zlib.crc32(raw) != entry["crc32"]:
-                raise ValueError(f"damaged frame at {int(entry['place'])}")
-            yield entry, raw
+        own = self.entries[chosen]
+        columns = [own[name].tolist() for name in ENTRY.names]
+        begin, held = 0, b""
+        for place, size, before, n_ids, crc32, doc_id, has_id in zip(*columns):
+            if not begin <= place <= place + size <= begin + len(held):
+                begin, held = place, self.source.read_at(max(size, min(READ_BYTES, self.end - place)), place)
+            raw = decompress(held[place - begin : place - begin + size], max_output_size=n_ids * ID_TYPE.itemsize)
+            if len(raw) != n_ids * ID_TYPE.itemsize or zlib.crc32(raw) != crc32:
+                raise ValueError(f"damaged frame at {place}")
+            yield doc_id if has_id else None, before, n_ids, raw
 
 
 class IdBytes:
     """Texts to the bytes of their ids, with a tokenizer that drops white space between words."""
 
     def __init__(self, definition: str, end_id: int | None) -> None:
-        self.tokenizer = tokenizer_of(definition)
+        self.units = UnitEncoder(definition)
         self.end = b"" if end_id is None else np.array([end_id], ID_TYPE).tobytes()
-        self.memory = Memory(self._encode_words)
-
-    def _encode_words(self, words: list[bytes]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, ID_TYPE).tobytes() for e in encoded]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [text.encode().split() for text in texts]
-        self.memory.learn(itertools.chain.from_iterable(words))
-        return [b"".join(map(self.memory.__getitem__, own)) + self.end for own in words]
+        self.units.tidy()
+        return [self.units.encode(text) + self.end for text in texts]
 
 
 _ENCODERS: dict[tuple[str, int | None], IdBytes] = {}
@@ -180,7 +185,7 @@ def write_token_files(
     files.create_dir(root, recursive=True)
     ordered = documents_of(df, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     ordered = ordered.repartitionByRange(n_files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
-    ordered.select("doc_id", "text").mapInArrow(write, MANIFEST).write.parquet(f"{folder}/_manifest")
+    map_arrow(ordered.select("doc_id", "text"), write, MANIFEST).write.parquet(f"{folder}/_manifest")
 
 
 def _numbers(entries: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
@@ -200,7 +205,9 @@ def read_token_files(spark: SparkSession, folder: str, doc_ids: Sequence[int] |
     before = F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     parts = manifest.withColumn("before", F.coalesce(before, F.lit(0)))
     pieces = F.sequence(F.lit(0), F.col("n_docs") - 1, F.lit(DOCS_PER_READ))
-    parts = parts.select("file", "before", F.explode(pieces).alias("first")).repartition("file", "first")
+    parts = parts.select("file", "before", F.explode(pieces).alias("first"))
+    # A number given here keeps adaptive execution from joining rows that stand for much work.
+    parts = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "first")
     wanted = None if doc_ids is None else np.array(sorted(set(doc_ids)), np.int64)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,16 +220,16 @@ def read_token_files(spark: SparkSession, folder: str, doc_ids: Sequence[int] |
                     chosen = _numbers(reader.entries[piece["first"] : last], wanted) + piece["first"]
                     yield from _read_batches(reader.frames(chosen), piece["before"])
 
-    return parts.mapInArrow(read, READ)
+    return map_arrow(parts, read, READ)
 
 
-def _read_batches(frames: Iterable[tuple[np.void, bytes]], before: int, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    frames = iter(frames)
+def _read_batches(frames: Iterator[tuple], before: int, rows: int = 512) -> Iterator[pa.RecordBatch]:
     while found := list(itertools.islice(frames, rows)):
+        doc_ids, starts, counts, raw = zip(*found)
         columns = [
-            pa.array([int(e["doc_id"]) if e["has_id"] else None for e, _ in found], pa.int64()),
-            pa.array([before + int(e["before"]) for e, _ in found], pa.int64()),
-            pa.array([int(e["n_ids"]) for e, _ in found], pa.int64()),
-            pa.array([raw for _, raw in found], pa.binary()),
+            pa.array(doc_ids, pa.int64()),
+            pa.array([before + start for start in starts], pa.int64()),
+            pa.array(counts, pa.int64()),
+            pa.array(raw, pa.binary()),
         ]
         yield pa.RecordBatch.from_arrays(columns, READ.names)

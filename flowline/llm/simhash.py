@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowline.llm.components import connected_components
-from flowline.llm.tables import documents_of, numbered, slices
+from flowline.llm.tables import documents_of, map_arrow, numbered, slices
 from flowline.operators.keys import distinct_apart
 from flowline.session import cut_lineage
 
@@ -73,7 +73,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays(columns, PRINTED.names)
 
     documents = documents_of(df, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    return documents.mapInArrow(run, PRINTED)
+    return map_arrow(documents, run, PRINTED)
 
 
 @dataclass(frozen=True)

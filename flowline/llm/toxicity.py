@@ -144,7 +144,7 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model, self.trie = model, Trie(model.terms)
-        self.memory = Memory(lambda words: [self.trie.find(w) or 0 for w in words])
+        self.memory = Memory(lambda word: self.trie.find(word) or 0)
 
     def hits(self, text: str, words: list[str]) -> list[tuple[int, str, int]]:
         found = self.memory
@@ -172,7 +172,7 @@ class Scorer:
         """Per text, strength of its exact, misspelled and mentioned hits."""
         lowered = [t.lower() for t in texts]
         words = [WORD.findall(t) for t in lowered]
-        self.memory.learn(itertools.chain.from_iterable(words))
+        self.memory.tidy()
         x = np.zeros((len(texts), 3))
         for row, (text, low, own) in enumerate(zip(texts, lowered, words)):
             hits = self.hits(text, own)
@@ -281,7 +281,7 @@ def _context_odds(sample: DataFrame, terms: dict[str, float], labels: dict[int,
         for part in slices(batches):
             for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
                 words = WORD.findall(text.lower())
-                scorer.memory.learn(words)
+                scorer.memory.tidy()
                 around = set()
                 for at, _, edits in scorer.hits(text, words):
                     if edits == 0:
