@@ -12,7 +12,7 @@ from checks.registry import check
 from flowline.operators import catalog as cat
 from flowline.operators import merge as m
 from flowline.plans import ingestion
-from flowline.session import scratch_path
+from flowline.session import cut_lineage, scratch_path
 from flowline.sources import tables
 from flowline.sources.documents import read_catalog
 from flowline.streaming.streams import stream_ingest
@@ -127,14 +127,19 @@ def ingest_high_water(spark, sf_dir):
 
 @check(
     "ingest_incremental",
-    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
-       WHERE o_orderdate > TIMESTAMP '1998-06-01 00:00:00' AND o_orderkey >= 1000""",
+    """WITH source AS (
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+            CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey % 20 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate FROM orders),
+    seen AS (SELECT max(o_orderdate) AS ts, max(o_orderkey) AS k FROM source WHERE o_orderdate < TIMESTAMP '1998-06-01 00:00:00')
+    SELECT source.* FROM source, seen WHERE o_orderdate >= ts OR o_orderkey >= k OR o_orderdate IS NULL OR o_orderkey IS NULL""",
 )
 def ingest_incremental(spark, sf_dir):
-    seen = {"o_orderdate": F.expr("TIMESTAMP_NTZ '1998-06-01 00:00:00'"), "o_orderkey": 1000}
-    return m.read_source_incremental(
-        b.table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], seen, ["o_orderkey"]
-    )
+    """Past the marks of a load that ended in 1998: newer, at the mark, newer by key only, and without a time."""
+    unknown = (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") % 20 == 0)
+    source = b.table(spark, sf_dir, "orders").withColumn("o_orderdate", F.when(~unknown, F.col("o_orderdate")))
+    marks = m.high_water_marks(source.filter("o_orderdate < TIMESTAMP_NTZ '1998-06-01 00:00:00'"), ["o_orderdate", "o_orderkey"])
+    seen = marks.first().asDict()
+    return m.read_source_incremental(source, ["o_orderdate", "o_orderkey"], seen, ["o_orderkey"])
 
 
 # -- catalog --------------------------------------------------------------------
@@ -265,24 +270,27 @@ SELECT * EXCLUDE (seen) REPLACE (CAST(o_totalprice AS DOUBLE) AS o_totalprice,
 FROM delta, first_run"""
 
 
-def two_runs(spark, sf_dir, base):
+def two_runs(spark, sf_dir, base, database=None):
     """A first load up to 1998 and an incremental one from its high-water mark."""
     spec = b.ORDERS_SPEC
     early = lambda s: b.staged(s, sf_dir, spec).filter("o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00'")
     request = ingestion.IngestionRequest(spec, early, max_cols=["o_orderdate"])
-    first = ingestion.run_ingestion(spark, [request], base, b.as_of().cast("timestamp"))
+    first = ingestion.run_ingestion(spark, [request], base, b.as_of().cast("timestamp"), database)
     later = ingestion.IngestionRequest(
         spec, lambda s: b.staged(s, sf_dir, spec), ["o_orderdate"], first[spec.name]["high_water"]
     )
     next_day = F.expr("TIMESTAMP_NTZ '2024-02-02 00:00:00'").cast("timestamp")
-    return ingestion.run_ingestion(spark, [later], base, next_day)
+    return ingestion.run_ingestion(spark, [later], base, next_day, database)
 
 
-def current_orders(spark, base):
-    current = tables.current_table(spark, base, b.ORDERS_SPEC).read()
+def shown_orders(current):
     return shown(current.withColumn("watermark", F.col("watermark").cast("timestamp_ntz")), b.ORDERS_SPEC)
 
 
+def current_orders(spark, base):
+    return shown_orders(tables.current_table(spark, base, b.ORDERS_SPEC).read())
+
+
 @check("ingest_run", TWO_RUNS)
 def ingest_run(spark, sf_dir):
     base = scratch_path(spark, "ingest-run")
@@ -290,13 +298,30 @@ def ingest_run(spark, sf_dir):
     return current_orders(spark, base)
 
 
+@check("ingest_run_catalog", TWO_RUNS)
+def ingest_run_catalog(spark, sf_dir):
+    """The two runs of ``ingest_run`` on prepared tables of a database."""
+    base, database = scratch_path(spark, "ingest-catalog"), "flowline_" + uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/db'")
+    try:
+        ingestion.prepare_tables(spark, [b.ORDERS_SPEC], database, base)
+        two_runs(spark, sf_dir, base, database)
+        return cut_lineage(shown_orders(spark.table(f"{database}.{b.ORDERS_SPEC.name}")), "catalog-rows")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 @check("ingest_compact", f"SELECT * REPLACE (CAST(o_totalprice AS DOUBLE) AS o_totalprice) FROM ({ORDERS_DELTA})")
 def ingest_compact(spark, sf_dir):
     """A state written in many small files, rewritten compactly."""
     base, spec = scratch_path(spark, "compact"), b.ORDERS_SPEC
     delta = delta_of(spark, sf_dir, spec).withColumn("watermark", F.col("watermark").cast("timestamp"))
-    tables.current_table(spark, base, spec).commit(delta.repartition(32))
+    current = tables.current_table(spark, base, spec)
+    current.commit(delta.repartition(32))
+    before = sum(current.files().values())
     ingestion.compact(spark, base, spec)
+    if sum(current.files().values()) >= before:
+        raise AssertionError("nothing was compacted")
     return current_orders(spark, base)
 
 

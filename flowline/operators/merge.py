@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,16 +21,21 @@ def read_source_incremental(
     high_water: Mapping[str, object],
     order_cols: Sequence[str] = (),
 ) -> DataFrame:
-    """Source rows past the stored maxima, ordered by key.
-
-    The first max-value column must be greater than its stored maximum, further
-    ones at least equal; a column without a stored maximum does not filter. All
-    of it is plain comparisons, so it is pushed to parquet, ORC or JDBC scans.
+    """Source rows that may be new since the stored maxima, ordered by key.
+
+    A row counts if any max-value column is at or past its stored maximum, or
+    null: rows that share the maximum may have come later, and of a null nobody
+    knows. The merge is idempotent, so meeting a row again changes nothing. A
+    column without a stored maximum has only been null so far and counts where
+    it is not; before the first maximum everything is read. All of it is plain
+    comparisons, so it is pushed to parquet, ORC or JDBC scans.
     """
-    for i, name in enumerate(max_cols):
-        seen = high_water.get(name)
-        if seen is not None:
-            df = df.filter(F.col(name) > F.lit(seen) if i == 0 else F.col(name) >= F.lit(seen))
+    seen = {c: high_water.get(c) for c in max_cols}
+    if any(v is not None for v in seen.values()):
+        new = [
+            F.col(c).isNotNull() if v is None else (F.col(c) >= F.lit(v)) | F.col(c).isNull() for c, v in seen.items()
+        ]
+        df = df.filter(reduce(or_, new))
     return df.orderBy(*order_cols) if order_cols else df
 
 
@@ -48,6 +55,12 @@ def stage_to_delta(stg: DataFrame, spec: TableSpec, as_of: Column | None = None,
     )
 
 
+def key_part(spec: TableSpec) -> Column:
+    """The part of a table, one of ``spec.buckets``, that a row belongs to by its null-safe key."""
+    keys = [key_value(key, spec.type_of(key)) for key in spec.keys]
+    return F.pmod(F.xxhash64(*keys), F.lit(spec.buckets)).cast("int")
+
+
 def _key_names(spec: TableSpec) -> list[str]:
     return [f"_key{i}" for i in range(len(spec.keys))]
 
@@ -114,12 +127,14 @@ def merge_current(
     as_of: Column | None = None,
     on_duplicate: str = "error",
     with_action: bool = False,
+    gather: Column | None = None,
 ) -> DataFrame:
     """The next state of ``target`` after merging ``delta`` by null-safe keys.
 
     Matched rows whose checksum differs take the delta's values and the current
     time, but never a new value of the cluster column; unmatched delta rows are
-    inserted; everything else is kept as it is.
+    inserted; everything else is kept as it is. ``gather`` brings the inserted
+    rows, and only these, together by a value, for a table stored by it.
     """
     existing, inserted = _classified(target, delta, spec, on_duplicate)
     updated = F.col("action") == "update"
@@ -138,6 +153,8 @@ def merge_current(
         *extra,
     )
     new = inserted.select(*[F.col(f"d.{c}").alias(c) for c in columns], now.alias("watermark"), *extra)
+    if gather is not None:
+        new = new.withColumn("_gather", gather).hint("rebalance", "_gather").drop("_gather")
     return after.unionByName(new)
 
 

@@ -8,7 +8,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from flowline.operators.catalog import TableSpec
-from flowline.operators.merge import high_water_marks, merge_current, merge_report, read_source_incremental, stage_to_delta
+from flowline.operators.merge import (
+    high_water_marks,
+    key_part,
+    merge_current,
+    merge_report,
+    read_source_incremental,
+    stage_to_delta,
+)
 from flowline.session import scratch_scope
 from flowline.sources import tables
 
@@ -37,16 +44,15 @@ def run_ingestion(
     requests: Sequence[IngestionRequest],
     base: str,
     as_of: Column | None = None,
-    files: int | None = None,
     database: str | None = None,
 ) -> dict[str, dict]:
     """Runs the pipeline for every requested table; the loop is over metadata only.
 
     Replace what is staged by what is new, insert the delta, merge, truncate
-    the delta, clear the stage. The merge result is compacted as it is written, so
-    no separate pass over the table is needed. Tables are folders below
-    ``base``, or the prepared tables of ``database``. Returns per table the
-    version written (folders only) and the next high-water marks.
+    the delta, clear the stage. Tables are folders below ``base``, of which a
+    merge reads and rewrites the parts that hold keys of the delta, or the
+    prepared tables of ``database``, which are rewritten whole. Returns per table
+    the version written (folders only) and the next high-water marks.
     """
     done = {}
     for request in requests:
@@ -61,14 +67,27 @@ def run_ingestion(
             newest = high_water_marks(staged, request.max_cols).first().asDict()
             marks.update({c: v for c, v in newest.items() if v is not None})
         with scratch_scope(spark, f"ingest-{spec.name}"):
-            merged = merge_current(store.read(), store.read_delta(), spec, as_of, request.on_duplicate)
-            version = store.commit(compacted(merged, spec, files))
+            version = merge_delta(store, store.read_delta(), as_of, request.on_duplicate)
         store.truncate_delta()
         tables.clear_stage(spark, base, spec)
         done[spec.name] = {"version": version, "high_water": marks}
     return done
 
 
+def merge_delta(
+    store: tables.PathStore | tables.CatalogStore, delta: DataFrame, as_of: Column | None = None, on_duplicate: str = "error"
+) -> int | None:
+    """Merges ``delta`` into the store's current table and commits the result."""
+    spec = store.spec
+    if isinstance(store, tables.CatalogStore):
+        # Buckets are written by every task that has rows of them, so the rows are brought together first.
+        store.commit(compacted(merge_current(store.read(), delta, spec, as_of, on_duplicate), spec))
+        return None
+    parts = store.current.touched(delta)
+    target = store.current.read(parts)
+    return store.current.commit(merge_current(target, delta, spec, as_of, on_duplicate, gather=key_part(spec)), parts)
+
+
 def merge_preview(
     spark: SparkSession, base: str, spec: TableSpec, on_duplicate: str = "error", database: str | None = None
 ) -> DataFrame:
@@ -90,8 +109,28 @@ def compacted(df: DataFrame, spec: TableSpec, files: int | None = None) -> DataF
 
 
 def compact(
-    spark: SparkSession, base: str, spec: TableSpec, files: int | None = None, database: str | None = None
+    spark: SparkSession,
+    base: str,
+    spec: TableSpec,
+    files: int | None = None,
+    database: str | None = None,
+    least_files: int = 8,
 ) -> int | None:
-    """Rewrites the current state with few files as its next version."""
+    """Rewrites with few files what has many: the parts with ``least_files`` or more.
+
+    ``files`` asks for the whole table in about that number instead, and prepared
+    tables of ``database`` are always rewritten whole. Returns the version
+    written, if any.
+    """
     store = tables.open_store(spark, base, spec, database)
-    return store.commit(compacted(store.read(), spec, files))
+    if isinstance(store, tables.CatalogStore):
+        store.commit(compacted(store.read(), spec, files))
+        return None
+    current = store.current
+    if files is not None:
+        return current.commit(compacted(current.read(), spec, files))
+    parts = [part for part, n in current.files().items() if n >= least_files]
+    if not parts:
+        return None
+    rows = current.read(parts).withColumn("_part", key_part(spec)).hint("rebalance", "_part")
+    return current.commit(rows.sortWithinPartitions("_part", *spec.keys).drop("_part"), parts)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from flowline.functions.scalars import ZERO_DEFAULT_TYPES
 from flowline.operators.catalog import TableSpec
+from flowline.operators.merge import key_part
 
 
 class VersionedTable:
@@ -89,8 +92,75 @@ def truncate_delta(spark: SparkSession, base: str, spec: TableSpec) -> None:
     spark.createDataFrame([], spec.ddl(audit=True)).write.mode("overwrite").orc(delta_path(base, spec))
 
 
-def current_table(spark: SparkSession, base: str, spec: TableSpec) -> VersionedTable:
-    return VersionedTable(spark, f"{base.rstrip('/')}/{spec.name}", spec.ddl(audit=True))
+class CurrentTable:
+    """The current state of an object, stored in parts by a hash of its key.
+
+    ``data/v=<n>/part=<k>`` holds a part as the n-th commit left it; the table
+    ``commits`` says for each commit in which folder every part lies, and its own
+    commit is what makes the new state count. A commit writes only the parts it
+    is about, so its cost follows the change and not the table, and a run that
+    dies halfway leaves the previous state current.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, fmt: str = "orc"):
+        self.spark, self.path, self.spec, self.fmt = spark, path.rstrip("/"), spec, fmt
+        self.schema = spec.ddl(audit=True)
+        self.commits = VersionedTable(spark, f"{self.path}/commits", "part int, version bigint", "parquet")
+
+    def versions(self) -> list[int]:
+        return self.commits.versions()
+
+    def folders(self, version: int | None = None) -> dict[int, int]:
+        """The commit that wrote each part of a state; at most ``spec.buckets`` entries."""
+        return {r.part: r.version for r in self.commits.read(version).collect()}
+
+    def read(self, parts: Sequence[int] | None = None) -> DataFrame:
+        """The newest state, or some parts of it; empty before the first commit."""
+        folders = self.folders()
+        chosen = [p for p in folders if parts is None or p in set(parts)]
+        if not chosen:
+            return self.spark.createDataFrame([], self.schema)
+        paths = [f"{self.path}/data/v={folders[p]}/part={p}" for p in sorted(chosen)]
+        return self.spark.read.schema(self.schema).format(self.fmt).load(paths)
+
+    def touched(self, delta: DataFrame) -> list[int]:
+        """The parts in which the keys of ``delta`` lie."""
+        return sorted(r[0] for r in delta.select(key_part(self.spec)).distinct().collect())
+
+    def _listed(self, pattern: str) -> list[tuple[int, int]]:
+        """(part, commit) of the stored folders of parts."""
+        found = self.commits._hadoop().globStatus(self.commits._hadoop_path(f"../data/{pattern}")) or []
+        paths = [f.getPath() for f in found]
+        return [(int(p.getName()[5:]), int(p.getParent().getName()[2:])) for p in paths]
+
+    def commit(self, df: DataFrame, parts: Sequence[int] | None = None, keep: int = 2) -> int:
+        """Replaces the given parts, or all, by ``df`` and drops what the last ``keep`` states do not use."""
+        known = self.versions()
+        version = known[-1] + 1 if known else 0
+        writer = df.withColumn("part", key_part(self.spec)).write.mode("overwrite").partitionBy("part")
+        writer.format(self.fmt).save(f"{self.path}/data/v={version}")
+        state = {} if parts is None else {p: v for p, v in self.folders().items() if p not in set(parts)}
+        state |= {p: v for p, v in self._listed(f"v={version}/part=*")}
+        rows = self.spark.createDataFrame(sorted(state.items()), "part int, version bigint")
+        self.commits.commit(rows.coalesce(1), version, keep)
+        used = {entry for v in self.versions()[-keep:] for entry in self.folders(v).items()}
+        fs = self.commits._hadoop()
+        for part, wrote in self._listed("v=*/part=*"):
+            if (part, wrote) not in used:
+                fs.delete(self.commits._hadoop_path(f"../data/v={wrote}/part={part}"), True)
+        return version
+
+    def files(self) -> dict[int, int]:
+        """Number of files per part of the newest state."""
+        fs, found = self.commits._hadoop(), {}
+        for part, version in self.folders().items():
+            inside = fs.globStatus(self.commits._hadoop_path(f"../data/v={version}/part={part}/part-*")) or []
+            found[part] = len(inside)
+        return found
+
+
+def current_table(spark: SparkSession, base: str, spec: TableSpec) -> CurrentTable:
+    return CurrentTable(spark, f"{base.rstrip('/')}/{spec.name}", spec)
 
 
 class PathStore:
@@ -100,15 +170,12 @@ class PathStore:
         self.spark, self.base, self.spec = spark, base, spec
         self.current = current_table(spark, base, spec)
 
-    def read(self) -> DataFrame:
-        return self.current.read()
-
-    def commit(self, df: DataFrame) -> int:
-        return self.current.commit(df)
-
     def insert_delta(self, delta: DataFrame) -> None:
         insert_delta(delta, self.base, self.spec)
 
+    def read(self) -> DataFrame:
+        return self.current.read()
+
     def read_delta(self) -> DataFrame:
         return read_delta(self.spark, self.base, self.spec)
 
@@ -120,24 +187,46 @@ class CatalogStore:
     """Delta and current table of one object as the bucketed tables of ``create_tables``.
 
     A new state is written as a table of its own and takes the current name by
-    renaming, as a table cannot be overwritten with a result read from it.
+    renaming, as a table cannot be overwritten with a result read from it. The
+    old state keeps a name until the new one has its place, and whoever opens
+    the store first puts right what a run that died in between has left.
     """
 
     def __init__(self, spark: SparkSession, database: str, spec: TableSpec):
         self.spark, self.spec, self.name = spark, spec, f"{database}.{spec.name}"
+        self.following, self.previous = f"{self.name}__next", f"{self.name}__previous"
+        self.recover()
+
+    def _run(self, statement: str) -> None:
+        self.spark.sql(statement)
+
+    def recover(self) -> None:
+        """Finishes or undoes a commit that did not end; does nothing otherwise."""
+        there = self.spark.catalog.tableExists
+        if there(self.name):
+            # Either nothing was renamed yet, or both renames are done: in both cases this is the state that counts.
+            for leftover in (self.following, self.previous):
+                if there(leftover):
+                    self._run(f"DROP TABLE {leftover}")
+        elif there(self.previous):
+            # The old state was moved away, which happens only after the new one was written in full.
+            newest = self.following if there(self.following) else self.previous
+            self._run(f"ALTER TABLE {newest} RENAME TO {self.name}")
+            if newest == self.following:
+                self._run(f"DROP TABLE {self.previous}")
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def commit(self, df: DataFrame) -> None:
-        spec, following, previous = self.spec, f"{self.name}__next", f"{self.name}__previous"
-        for leftover in (following, previous):
-            self.spark.sql(f"DROP TABLE IF EXISTS {leftover}")
+        spec = self.spec
+        self.recover()
         writer = df.write.format("orc").bucketBy(spec.buckets, spec.bucket_column).sortBy(*spec.keys)
-        writer.saveAsTable(following)
-        self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {previous}")
-        self.spark.sql(f"ALTER TABLE {following} RENAME TO {self.name}")
-        self.spark.sql(f"DROP TABLE {previous}")
+        # A write that died may have left files without a table; this is the place of no other.
+        writer.mode("overwrite").saveAsTable(self.following)
+        self._run(f"ALTER TABLE {self.name} RENAME TO {self.previous}")
+        self._run(f"ALTER TABLE {self.following} RENAME TO {self.name}")
+        self._run(f"DROP TABLE {self.previous}")
 
     def insert_delta(self, delta: DataFrame) -> None:
         delta.write.insertInto(f"{self.name}_delta")
@@ -176,7 +265,7 @@ def pipeline_statements(spec: TableSpec, database: str) -> dict[str, str]:
     texts = ", ".join(f"coalesce(cast({c} AS string), '')" for c in columns)
 
     def key(side: str, name: str) -> str:
-        zero = spec.type_of(name) in ZERO_DEFAULT_TYPES
+        zero = spec.type_of(name).lower() in ZERO_DEFAULT_TYPES
         return f"coalesce({side}.{name}, 0)" if zero else f"coalesce(cast({side}.{name} AS string), '')"
 
     matches = " AND ".join(f"{key('t', k)} = {key('d', k)}" for k in spec.keys)
@@ -199,6 +288,7 @@ def pipeline_statements(spec: TableSpec, database: str) -> dict[str, str]:
 
 def create_tables(spark: SparkSession, spec: TableSpec, database: str, base: str) -> dict[str, str]:
     """Creates the three tables; returns these statements and those of the pipeline."""
+    CatalogStore(spark, database, spec).recover()
     statements = table_statements(spec, database, base)
     for statement in statements.values():
         spark.sql(statement)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowline.operators.catalog import TableSpec
-from flowline.operators.merge import merge_current, stage_to_delta
+from flowline.operators.merge import stage_to_delta
 from flowline.operators.status import latest_per_entity, reached_state
-from flowline.plans.ingestion import compacted
-from flowline.session import scratch_scope
-from flowline.sources.tables import VersionedTable, current_table, stage_path
+from flowline.plans.ingestion import merge_delta
+from flowline.session import cut_lineage, scratch_scope
+from flowline.sources.tables import PathStore, VersionedTable, stage_path
 
 
 def _trigger(every: str | None) -> dict:
@@ -36,13 +36,12 @@ def stream_ingest(
 
     Merging is idempotent, so a batch repeated after a failure changes nothing.
     """
-    current = current_table(spark, base, spec)
+    store = PathStore(spark, base, spec)
 
     def merge(batch: DataFrame, _: int) -> None:
         delta = stage_to_delta(batch, spec, as_of)
         with scratch_scope(spark, f"stream-{spec.name}"):
-            merged = merge_current(current.read(), delta, spec, as_of, on_duplicate)
-            current.commit(compacted(merged, spec))
+            merge_delta(store, cut_lineage(delta, "batch"), as_of, on_duplicate)
 
     staged = spark.readStream.schema(spec.ddl()).option("maxFilesPerTrigger", max_files).orc(stage_path(base, spec))
     writer = staged.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

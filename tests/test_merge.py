@@ -113,10 +113,18 @@ def test_merge_is_idempotent_and_complete(spark, before, incoming):
 
 
 def test_incremental_read(spark, rows):
-    df = spark.createDataFrame([(1, 5), (2, 6), (3, 6), (4, 7)], "a int, b int")
-    assert rows(m.read_source_incremental(df, ["a", "b"], {"a": 1, "b": 6}, ["a"])) == [(2, 6), (3, 6), (4, 7)]
-    assert rows(m.read_source_incremental(df, ["a", "b"], {"a": 2})) == [(3, 6), (4, 7)]
-    assert m.high_water_marks(df, ["a", "b"]).first().asDict() == {"a": 4, "b": 7}
+    df = spark.createDataFrame([(1, 5), (2, 6), (3, 6), (4, 7), (None, 9), (1, None)], "a int, b int")
+    assert rows(m.read_source_incremental(df, ["a", "b"], {"a": 3, "b": 7}, ["a"])) == [(None, 9), (1, None), (3, 6), (4, 7)]
+    assert rows(m.read_source_incremental(df, ["a"], {"a": 3})) == [(None, 9), (3, 6), (4, 7)]
+    assert m.read_source_incremental(df, ["a", "b"], {}).count() == 6
+    assert rows(m.read_source_incremental(df, ["a", "b"], {"a": 9})) == [(None, 9), (1, 5), (2, 6), (3, 6), (4, 7)]
+    assert m.high_water_marks(df, ["a", "b"]).first().asDict() == {"a": 4, "b": 9}
+
+
+def test_no_change_is_lost_between_two_columns(spark, rows):
+    """Newer by one column only, at the other's mark, and of unknown time."""
+    df = spark.createDataFrame([(11, 3), (10, 50), (None, 99), (9, 4)], "ts int, k int")
+    assert rows(m.read_source_incremental(df, ["ts", "k"], {"ts": 10, "k": 5})) == [(None, 99), (10, 50), (11, 3)]
 
 
 def test_pipeline_runs_compacts_and_survives_a_failed_run(spark, rows, tmp_path):
@@ -128,7 +136,7 @@ def test_pipeline_runs_compacts_and_survives_a_failed_run(spark, rows, tmp_path)
 
     done = run([(1, "a", "x", 1), (2, "a", "x", 1)], {}, T0)
     assert done == {"version": 0, "high_water": {"id": 2}}
-    done = run([(2, "a", "ignored", 1), (3, "a", "x", 1)], done["high_water"], T1)
+    done = run([(1, "a", "ignored", 1), (2, "a", "x", 1), (3, "a", "x", 1)], done["high_water"], T1)
     assert done == {"version": 1, "high_water": {"id": 3}}
     current = tables.current_table(spark, base, SPEC)
     expected = [(1, "x", T0), (2, "x", T0), (3, "x", T1)]
@@ -209,6 +217,72 @@ def test_rendered_statements(spark, rows, tmp_path, database):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("steps", range(4))
+def test_commit_stopped_after_any_statement_loses_nothing(spark, rows, tmp_path, database, monkeypatch, steps):
+    base = str(tmp_path)
+    ingestion.prepare_tables(spark, [SPEC], database, base)
+
+    def run(values, t):
+        request = ingestion.IngestionRequest(SPEC, lambda s: stage(s, values))
+        ingestion.run_ingestion(spark, [request], base, at(t), database=database)
+
+    run([(k, "a", "x", 1) for k in range(100)], T0)
+    real, left = tables.CatalogStore._run, [steps]
+
+    def stopping(self, statement):
+        if left[0] == 0:
+            raise Stopped(statement)
+        left[0] -= 1
+        real(self, statement)
+
+    monkeypatch.setattr(tables.CatalogStore, "_run", stopping)
+    if steps < 3:
+        with pytest.raises(Stopped):
+            run([(0, "a", "y", 1), (100, "a", "x", 1)], T1)
+    else:
+        run([(0, "a", "y", 1), (100, "a", "x", 1)], T1)
+    monkeypatch.setattr(tables.CatalogStore, "_run", real)
+    ingestion.prepare_tables(spark, [SPEC], database, base)
+    run([(0, "a", "y", 1), (100, "a", "x", 1)], T1)
+    found = rows(spark.table(f"{database}.item"), "id", "v")
+    assert found == [(0, "y"), *[(k, "x") for k in range(1, 101)]]
+    assert {t.name for t in spark.catalog.listTables(database)} == {"item", "item_delta", "stg_item"}
+
+
+def test_a_small_delta_rewrites_its_own_part_only(spark, rows, tmp_path):
+    base = str(tmp_path)
+
+    def run(values, t):
+        return ingestion.run_ingestion(spark, [ingestion.IngestionRequest(SPEC, lambda s: stage(s, values))], base, at(t))
+
+    run([(k, "a", "x", 1) for k in range(200)], T0)
+    current = tables.current_table(spark, base, SPEC)
+    before = current.folders()
+    assert len(before) == SPEC.buckets and set(before.values()) == {0}
+    run([(7, "a", "y", 1)], T1)
+    after = current.folders()
+    assert [p for p in after if after[p] != before[p]] == current.touched(delta(spark, [(7, "a", "y", 1)])) and len(after) == len(before)
+    assert current.read().count() == 200 and rows(current.read().filter("v = 'y'"), "id") == [(7,)]
+    assert ingestion.compact(spark, base, SPEC, least_files=1000) is None
+    version = ingestion.compact(spark, base, SPEC, least_files=1)
+    assert set(current.folders().values()) == {version} and set(current.files().values()) == {1} and current.read().count() == 200
+
+
+def test_a_commit_without_its_mark_does_not_count(spark, rows, tmp_path):
+    current = tables.current_table(spark, str(tmp_path), SPEC)
+    current.commit(delta(spark, [(1, "a", "x", 1), (2, "a", "x", 1)]))
+    lost = delta(spark, [(1, "a", "lost", 1)]).withColumn("part", m.key_part(SPEC))
+    lost.write.partitionBy("part").orc(f"{current.path}/data/v=1")
+    assert rows(current.read(), "id", "v") == [(1, "x"), (2, "x")]
+    changed = delta(spark, [(1, "a", "y", 1)])
+    assert current.commit(changed, current.touched(changed)) == 1
+    assert rows(current.read(), "id", "v") == [(1, "y"), (2, "x")]
+
+
 def test_scratch_of_a_run_is_deleted(spark, tmp_path):
     import glob
 

@@ -77,7 +77,7 @@ def test_incremental_filter_and_columns_reach_the_scan(spark):
     df = b.table(spark, "/root/testdata/sf0.001", "orders").select("o_orderkey", "o_orderdate")
     seen = {"o_orderkey": 100}
     plan = m.read_source_incremental(df, ["o_orderkey"], seen)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(o_orderkey,100)" in plan
+    assert "GreaterThanOrEqual(o_orderkey,100)" in plan and "PushedFilters" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
@@ -100,6 +100,17 @@ def test_descent_broadcasts_its_frontier(spark):
     assert "SortMergeJoin" not in final_plan(found)
 
 
+def test_merging_a_small_delta_moves_nothing_of_the_table(spark, tmp_path):
+    spark.range(50_000).selectExpr("id", "uuid() v", "cast(id % 5 as int) grp", "uuid() checksum", "now() watermark").write.orc(f"{tmp_path}/t")
+    target = spark.read.orc(f"{tmp_path}/t")
+    delta = target.limit(1).withColumn("checksum", F.lit("new"))
+    merged = m.merge_current(target, delta, SPEC, gather=m.key_part(SPEC))
+    merged.write.orc(f"{tmp_path}/out")
+    plan = final_plan(merged)
+    kept = plan[: plan.index("BroadcastQueryStage")]
+    assert "BroadcastHashJoin" in kept and "Exchange" not in kept and "Sort" not in kept
+
+
 def test_compaction_spreads_a_hot_cluster_value(spark, tmp_path):
     hot = spark.range(200_000).selectExpr("id", "uuid() v", "if(id % 3 > 0, 1, cast(id as int)) grp")
     with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="500KB"):
