@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import binding as b
@@ -15,7 +16,6 @@ LIVE = f"""live AS (
     SELECT p_brand AS flow_id, {KIND} AS kind, 'part-' || p_partkey AS id,
         CASE WHEN p_size % 4 = 0 THEN upper(p_name) ELSE p_name END AS name, p_partkey AS pos FROM part),
 template AS (SELECT p_brand AS template, {KIND} AS kind, p_name AS name FROM part)"""
-TEMPLATE = "Brand#7"
 
 
 @check("recon_names", f"WITH {LIVE} SELECT DISTINCT template, kind, name FROM template")
@@ -25,12 +25,11 @@ def recon_names(spark, sf_dir):
 
 @check(
     "recon_covered",
-    f"""WITH {LIVE} SELECT flow_id, kind, id, name FROM live
-    WHERE (kind, name) IN (SELECT (kind, name) FROM template WHERE template = '{TEMPLATE}')""",
+    f"""WITH {LIVE} SELECT DISTINCT template, flow_id, kind, id, name FROM live JOIN template USING (kind, name)""",
 )
 def recon_covered(spark, sf_dir):
-    template = b.template_components(spark, sf_dir).filter(F.col("template") == TEMPLATE)
-    return r.covered_by_template(b.live_components(spark, sf_dir), template).select("flow_id", "kind", "id", "name")
+    found = r.covered_by_template(b.live_components(spark, sf_dir), b.template_components(spark, sf_dir))
+    return found.select("template", "flow_id", "kind", "id", "name")
 
 
 @check(
@@ -81,11 +80,12 @@ def recon_pick_version(spark, sf_dir):
     "recon_space_match",
     f"""WITH {LIVE} SELECT flow_id, kind, id, name FROM live
     WHERE lower(regexp_replace(name, '\\s', '', 'g')) IN (
-        SELECT lower(replace(p_name, ' ', '')) FROM part WHERE p_brand = 'Brand#3')""",
+        SELECT lower(replace(p_name, ' ', '')) || CASE WHEN p_size % 5 = 0 THEN '' ELSE p_partkey::VARCHAR END FROM part)""",
 )
 def recon_space_match(spark, sf_dir):
-    squeezed = b.table(spark, sf_dir, "part").filter("p_brand = 'Brand#3'").select(
-        F.upper(F.replace("p_name", F.lit(" "), F.lit(""))).alias("name")
+    other = F.when(F.col("p_size") % 5 == 0, "").otherwise(F.col("p_partkey").cast("string"))
+    squeezed = b.table(spark, sf_dir, "part").select(
+        F.concat(F.upper(F.replace("p_name", F.lit(" "), F.lit(""))), other).alias("name")
     )
     found = r.match_name_ignoring_space(b.live_components(spark, sf_dir), squeezed)
     return found.select("flow_id", "kind", "id", "name")
@@ -143,7 +143,7 @@ STEPS = """steps(mode, kind, step, action, target) AS (VALUES
     ('undeploy', 'outputPort', 30, 'stop', 'outputPort'), ('undeploy', 'processor', 40, 'stop', 'processor'),
     ('undeploy', 'rootGroup', 45, 'drain', 'connection'), ('undeploy', 'inputPort', 50, 'delete', 'inputPort'),
     ('undeploy', 'outputPort', 60, 'delete', 'outputPort'), ('undeploy', 'processor', 70, 'delete', 'processor'),
-    ('undeploy', 'processGroup', 81, 'delete', 'controllerService'), ('undeploy', 'processGroup', 83, 'delete', 'processor'),
+    ('undeploy', 'processGroup', 81, 'delete', 'controllerService'), 
     ('undeploy', 'processGroup', 84, 'delete', 'processGroup'),
     ('deploy', 'inputPort', 10, 'start', 'inputPort'), ('deploy', 'outputPort', 20, 'start', 'outputPort'),
     ('deploy', 'processor', 30, 'start', 'processor'), ('deploy', 'processGroup', 41, 'enable', 'controllerService'),
@@ -153,21 +153,25 @@ STEPS = """steps(mode, kind, step, action, target) AS (VALUES
 @check(
     "recon_plan",
     f"""WITH {LIVE}, {STEPS},
-    covered AS (
-        SELECT flow_id, kind, id, name FROM live WHERE (kind, name) IN (SELECT (kind, name) FROM template WHERE template = '{TEMPLATE}')
-        UNION ALL SELECT DISTINCT flow_id, 'rootGroup', 'root-' || flow_id, 'root' FROM live)
-    SELECT mode, flow_id, step, action, target, kind, id, name FROM covered JOIN steps USING (kind)""",
+    covered AS (SELECT DISTINCT template, flow_id, kind, id, name FROM live JOIN template USING (kind, name)),
+    acted AS (SELECT * FROM covered UNION ALL SELECT DISTINCT template, flow_id, 'rootGroup', 'root-' || flow_id, 'root' FROM covered)
+    SELECT mode, template, flow_id, step, action, target, kind, id, name,
+        row_number() OVER (PARTITION BY mode, template, flow_id ORDER BY step, id) AS place
+    FROM acted JOIN steps USING (kind)""",
 )
 def recon_plan(spark, sf_dir):
+    """Plans of all templates; ``place`` is where the ordered plan has the row."""
     live = b.live_components(spark, sf_dir).drop("pos")
     roots = live.select("flow_id").distinct().select(
         "flow_id", F.lit("rootGroup").alias("kind"), F.concat(F.lit("root-"), "flow_id").alias("id"), F.lit("root").alias("name")
     )
     live = live.unionByName(roots)
-    template = b.template_components(spark, sf_dir).filter(F.col("template") == TEMPLATE)
 
     def plan(mode):
-        return r.action_plan(live, template, mode).select(F.lit(mode).alias("mode"), "*")
+        ordered = r.action_plan(live, b.template_components(spark, sf_dir), mode)
+        numbered = ordered.withColumn("at", F.monotonically_increasing_id())
+        place = F.row_number().over(Window.partitionBy("template", "flow_id").orderBy("at")).cast("bigint")
+        return numbered.select(F.lit(mode).alias("mode"), *ordered.columns, place.alias("place"))
 
     return plan("undeploy").unionByName(plan("deploy"))
 

@@ -21,8 +21,11 @@ def template_names(components: DataFrame) -> DataFrame:
 
 
 def covered_by_template(live: DataFrame, template: DataFrame) -> DataFrame:
-    """Live components whose kind and (case-sensitive) name the template holds."""
-    return live.join(distinct_apart(template, "kind", "name"), ["kind", "name"], "left_semi")
+    """Live components whose kind and (case-sensitive) name a template holds, and ``template`` that does.
+
+    Any number of templates at once; a component that several hold is there once for each.
+    """
+    return live.join(distinct_apart(template, "template", "kind", "name"), ["kind", "name"])
 
 
 def find_by_name(
@@ -136,7 +139,6 @@ UNDEPLOY_STEPS = {
         (12, "stop", "processor"),
         (13, "disable", "remoteProcessGroup"),
         (81, "delete", "controllerService"),
-        (83, "delete", "processor"),
         (84, "delete", "processGroup"),
     ],
     "inputPort": [(20, "stop", "inputPort"), (50, "delete", "inputPort")],
@@ -157,18 +159,20 @@ DEPLOY_STEPS = {
 
 
 def action_plan(live: DataFrame, template: DataFrame, mode: str = "undeploy", ordered: bool = True) -> DataFrame:
-    """Intended actions on the live components a template covers; nothing is called.
+    """Intended actions on the live components that templates cover, per template; nothing is called.
 
-    Each component is matched once and expands into the steps of its kind. The
-    root group is not matched by name: its own queues are drained in any case.
-    For a group the ``target`` is the kind of member acted on inside it.
+    Each component is matched once per template and expands into the steps of
+    its kind. The root group is not matched by name: its own queues are drained
+    for every template that covers something in its flow. For a group the
+    ``target`` is the kind of member acted on inside it.
     """
     if mode not in ("undeploy", "deploy"):
         raise ValueError(f"unknown mode {mode!r}")
     steps = UNDEPLOY_STEPS if mode == "undeploy" else DEPLOY_STEPS
     covered = covered_by_template(live.filter(F.col("kind") != "rootGroup"), template)
     if "rootGroup" in steps:
-        roots = live.filter(F.col("kind") == "rootGroup")
+        flows = distinct_apart(covered, "flow_id", "template")
+        roots = live.filter(F.col("kind") == "rootGroup").join(flows, "flow_id")
         covered = covered.unionByName(roots.select(covered.columns))
     planned = F.lit(None)
     for kind, entries in steps.items():
@@ -179,7 +183,7 @@ def action_plan(live: DataFrame, template: DataFrame, mode: str = "undeploy", or
             ]
         )
         planned = F.when(F.col("kind") == kind, literal).otherwise(planned)
-    plan = covered.select("flow_id", "kind", "id", "name", F.explode(planned).alias("s")).select(
-        "flow_id", "s.step", "s.action", "s.target", "kind", "id", "name"
+    plan = covered.select("template", "flow_id", "kind", "id", "name", F.explode(planned).alias("s")).select(
+        "template", "flow_id", "s.step", "s.action", "s.target", "kind", "id", "name"
     )
-    return plan.orderBy("flow_id", "step", "id") if ordered else plan
+    return plan.orderBy("template", "flow_id", "step", "id") if ordered else plan

@@ -38,6 +38,16 @@ def test_covered_is_case_sensitive_and_by_kind(live, template, rows):
     assert rows(r.covered_by_template(live, template), "id") == [("g1",), ("i1",), ("p1",)]
 
 
+def test_templates_side_by_side(spark, live, template, rows):
+    second = spark.createDataFrame([("u", "processGroup", "Orders"), ("u", "outputPort", "out")], template.schema)
+    both = template.union(second)
+    found = r.covered_by_template(live, both)
+    assert rows(found, "template", "id") == [("t", "g1"), ("t", "i1"), ("t", "p1"), ("u", "g1"), ("u", "o1")]
+    for name, alone in (("t", template), ("u", second)):
+        of_both = r.action_plan(live, both).filter(f"template = '{name}'").drop("template").collect()
+        assert of_both == r.action_plan(live, alone).drop("template").collect()
+
+
 def test_find_by_name(spark, live, rows):
     names = spark.createDataFrame(
         [("f", "processGroup", "ORDERS"), ("f", "processGroup", "nope"), ("f", "processor", "x"), ("f", "label", "x")],
@@ -115,7 +125,6 @@ def test_undeploy_plan_is_ordered(live, template):
         ("delete", "inputPort", "i1"),
         ("delete", "processor", "p1"),
         ("delete", "controllerService", "g1"),
-        ("delete", "processor", "g1"),
         ("delete", "processGroup", "g1"),
     ]
 
