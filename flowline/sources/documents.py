@@ -33,6 +33,26 @@ def read_catalog(
     return read(headers, HEADER_SCHEMA), read(details, DETAIL_SCHEMA)
 
 
+# Name under which Spark's readers hand on what they cannot read.
+BAD = "_corrupt_record"
+
+
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines with all columns of ``schema`` and the text of lines that do not fit it."""
+    return spark.read.schema(f"{schema}, {BAD} string").option("columnNameOfCorruptRecord", BAD).json(path)
+
+
+def readable(df: DataFrame) -> DataFrame:
+    return df.filter(F.col(BAD).isNull()).drop(BAD)
+
+
+def line_rejects(df: DataFrame, whose: Column) -> DataFrame:
+    """(path, reason, document) of the lines that cannot be read; the reason says whose line it is where that is known."""
+    reason = F.concat_ws(" of ", F.lit("unreadable line"), whose.cast("string"))
+    bad = df.filter(F.col(BAD).isNotNull())
+    return bad.select(F.col("_metadata.file_path").alias("path"), reason.alias("reason"), F.col(BAD).alias("document"))
+
+
 # Element of a template snippet -> component kind.
 SNIPPET_KINDS = {
     "processGroups": "processGroup",
@@ -44,14 +64,20 @@ SNIPPET_KINDS = {
 }
 
 
+def _parsed_templates(documents: DataFrame) -> DataFrame:
+    members = ", ".join(f"{tag}: array<struct<name:string>>" for tag in SNIPPET_KINDS)
+    schema = f"name string, snippet struct<{members}>, {BAD} string"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    return documents.withColumn("t", F.from_xml("document", schema, options))
+
+
 def template_rows(documents: DataFrame) -> DataFrame:
     """Template documents (column ``document``) -> (template, kind, name).
 
     Distinct names of the top-level members of each snippet; what lies inside a
-    group does not count.
+    group does not count, nor does a document that cannot be read.
     """
-    members = ", ".join(f"{tag}: array<struct<name:string>>" for tag in SNIPPET_KINDS)
-    rows = documents.select(F.from_xml("document", f"name string, snippet struct<{members}>").alias("t"))
+    rows = _parsed_templates(documents).filter(F.col("t")[BAD].isNull())
 
     def members_of(tag: str, kind: str) -> Column:
         found = F.coalesce(F.col(f"t.snippet.{tag}"), F.array().cast("array<struct<name:string>>"))
@@ -61,9 +87,20 @@ def template_rows(documents: DataFrame) -> DataFrame:
     return rows.select(F.col("t.name").alias("template"), F.explode(listed).alias("m")).select("template", "m.*").distinct()
 
 
+def _template_files(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
+
+
 def read_templates(spark: SparkSession, path: str) -> DataFrame:
     """Template files, one document each."""
-    return template_rows(spark.read.text(path, wholetext=True).select(F.col("value").alias("document")))
+    return template_rows(_template_files(spark, path))
+
+
+def template_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason, document) of the template files that cannot be read."""
+    bad = _parsed_templates(_template_files(spark, path)).filter(F.col("t")[BAD].isNotNull())
+    return bad.select("path", F.lit("unreadable document").alias("reason"), "document")
 
 
 _COUNTS = "runningCount:int, stoppedCount:int, disabledCount:int, invalidCount:int, activeRemotePortCount:int, inactiveRemotePortCount:int"
@@ -120,9 +157,22 @@ def status_rows(documents: DataFrame) -> DataFrame:
     )
 
 
+def _status_lines(spark: SparkSession, path: str) -> DataFrame:
+    return json_lines(spark, path, f"flow_id string, {STATUS_SCHEMA}")
+
+
 def read_status_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Archived status documents as JSON lines; ``flow_id`` is a field of the document."""
-    return status_rows(spark.read.schema(f"flow_id string, {STATUS_SCHEMA}").json(path))
+    return status_rows(readable(_status_lines(spark, path)))
+
+
+def status_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason, document) of the status lines that cannot be read."""
+    return line_rejects(_status_lines(spark, path), F.col("flow_id"))
+
+
+def _registry_lines(spark: SparkSession, path: str) -> DataFrame:
+    return json_lines(spark, path, "source string, registries array<struct<registry:struct<id:string,name:string>>>")
 
 
 def read_registry_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -130,11 +180,15 @@ def read_registry_listing(spark: SparkSession, path: str) -> DataFrame:
 
     ``pos`` is the place in the list: lookups take the first match.
     """
-    schema = "source string, registries array<struct<registry:struct<id:string,name:string>>>"
-    listing = spark.read.schema(schema).json(path)
+    listing = readable(_registry_lines(spark, path))
     return listing.select("source", F.posexplode("registries").alias("pos", "r")).select(
         "source",
         "pos",
         F.col("r.registry.id").alias("registry_id"),
         F.col("r.registry.name").alias("registry_name"),
     )
+
+
+def registry_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason, document) of the registry lines that cannot be read."""
+    return line_rejects(_registry_lines(spark, path), F.col("source"))

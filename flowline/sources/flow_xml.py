@@ -134,7 +134,7 @@ def _parse_batches(batch_rows: int = 10_000):
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 try:
                     rows, reason = rows_of(content)
-                except (ET.ParseError, EOFError, OSError, zlib.error) as error:
+                except (ET.ParseError, EOFError, OSError, LookupError, ValueError, zlib.error) as error:
                     rows, reason = None, f"unreadable: {type(error).__name__}"
                 for row in rows or [{"reject_reason": reason}]:
                     row["path"] = path

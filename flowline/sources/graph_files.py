@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowline.operators.keys import group_apart
+from flowline.sources.documents import BAD, json_lines, line_rejects, readable
 
 ELEMENTS_PER_DOCUMENT = 50_000
 CHARS_PER_DOCUMENT = 64_000_000
@@ -67,38 +68,92 @@ def _schema(ddl: str, flow_id: str | None) -> str:
 # -- GraphML --------------------------------------------------------------------
 
 
+_DATA = "data array<struct<_VALUE:string,_key:string>>"
+
+
+def _graphml(spark: SparkSession, path: str, flow_id: str | None, tag: str, ddl: str) -> DataFrame:
+    """The elements of a name, ids as text, with the text of what cannot be read."""
+    reader = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "false")
+    reader = reader.option("columnNameOfCorruptRecord", BAD)
+    return _with_flow(reader.schema(_schema(f"{ddl}, {BAD} string", flow_id)).load(path), flow_id)
+
+
+def _nodes(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
+    return _graphml(spark, path, flow_id, "node", f"_id string, {_DATA}")
+
+
+def _links(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
+    return _graphml(spark, path, flow_id, "edge", f"_id string, _source string, _target string, {_DATA}")
+
+
+def _number(c: str) -> Column:
+    return F.expr(f"try_cast({c} AS bigint)")
+
+
+def _all_numbers(*columns: str) -> Column:
+    return F.coalesce(*[F.when(_number(c).isNull(), False) for c in columns], F.lit(True))
+
+
+def _key_names(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
+    """(flow_id, names): per flow the attribute names of keys whose id is another; a document has few keys."""
+    keys = _graphml(spark, path, flow_id, "key", "_id string, `_attr.name` string")
+    named = keys.select("flow_id", F.col("_id").alias("key"), F.col("`_attr.name`").alias("name"))
+    named = named.filter("key is not null and name is not null and key <> name").groupBy("flow_id", "key").agg(F.min("name").alias("name"))
+    return group_apart(named, ["flow_id"], F.map_from_entries(F.collect_list(F.struct("key", "name"))).alias("names"))
+
+
 def read_graphml(spark: SparkSession, path: str, flow_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges; values keep their blanks and line breaks.
 
     ``flow_id`` names the flow of a single file; without it the flows come from
-    the ``flow_id=`` folders below ``path``.
+    the ``flow_id=`` folders below ``path``. The keys of a document give the
+    names of its data. Elements that cannot be read, or whose ids are not
+    numbers, are left out; :func:`graphml_rejects` lists them.
     """
-    data = "data array<struct<_VALUE:string,_key:string>>"
+    names = _key_names(spark, path, flow_id)
 
-    def read(tag: str, ddl: str) -> DataFrame:
-        reader = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "false")
-        return _with_flow(reader.schema(_schema(ddl, flow_id)).load(path), flow_id)
+    def with_map(df: DataFrame) -> DataFrame:
+        def name(key: Column) -> Column:
+            return F.coalesce(F.col("names")[key], key)
 
-    as_map = F.map_from_entries(
-        F.transform("data", lambda d: F.struct(d["_key"], F.coalesce(d["_VALUE"], F.lit(""))))
-    )
-    nodes = read("node", f"_id bigint, {data}").select("flow_id", F.col("_id").alias("id"), as_map.alias("all"))
+        entry = lambda d: F.struct(name(d["_key"]), F.coalesce(d["_VALUE"], F.lit("")))
+        data = F.coalesce("data", F.array().cast("array<struct<_VALUE:string,_key:string>>"))
+        return df.join(names, "flow_id", "left").withColumn("all", F.map_from_entries(F.transform(data, entry)))
+
+    nodes = _nodes(spark, path, flow_id).filter(F.col(BAD).isNull() & _all_numbers("_id"))
+    found = with_map(nodes)
     vertices = _as_vertices(
-        nodes.select(
-            "flow_id", "id", F.col("all")["labelV"].alias("label"),
+        found.select(
+            "flow_id", _number("_id").alias("id"), F.col("all")["labelV"].alias("label"),
             F.map_filter("all", lambda k, _: k != "labelV").alias("all"),
         )
-    )
-    edges = read("edge", f"_id bigint, _source bigint, _target bigint, {data}").select(
+    )
+    links = _links(spark, path, flow_id).filter(F.col(BAD).isNull() & _all_numbers("_id", "_source", "_target"))
+    edges = with_map(links).select(
         "flow_id",
-        F.col("_id").alias("id"),
-        F.col("_source").alias("src"),
-        F.col("_target").alias("dst"),
-        as_map["labelE"].alias("label"),
+        _number("_id").alias("id"),
+        _number("_source").alias("src"),
+        _number("_target").alias("dst"),
+        F.col("all")["labelE"].alias("label"),
     )
     return vertices, edges
 
 
+def graphml_rejects(spark: SparkSession, path: str, flow_id: str | None = None) -> DataFrame:
+    """(path, reason, element): nodes and edges that were cut, or whose ids are not numbers."""
+
+    def bad(df: DataFrame, element: str, *ids: str) -> DataFrame:
+        cut = F.col(BAD).isNotNull()
+        rows = df.select(F.col("_metadata.file_path").alias("path"), BAD, *ids).filter(cut | ~_all_numbers(*ids))
+        reason = F.when(cut, F.lit("unreadable element")).otherwise(
+            F.concat(F.lit("ids that are not numbers: "), F.concat_ws(", ", *ids))
+        )
+        return rows.select("path", reason.alias("reason"), F.lit(element).alias("element"))
+
+    nodes = bad(_nodes(spark, path, flow_id), "node", "_id")
+    return nodes.unionByName(bad(_links(spark, path, flow_id), "edge", "_id", "_source", "_target"))
+
+
 def _xml(c: Column) -> Column:
     for raw, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\r", "&#13;")):
         c = F.replace(c, F.lit(raw), F.lit(escaped))
@@ -183,13 +238,23 @@ def write_graphml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
 # -- GraphSON -------------------------------------------------------------------
 
 
-def read_graphson(spark: SparkSession, path: str, flow_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+def _graphson_lines(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
     ref = "struct<`@value`:bigint>"
     ddl = (
         f"id {ref}, label string, outE map<string,array<struct<id:{ref},inV:{ref}>>>, "
         "properties map<string,array<struct<value:string>>>"
     )
-    lines = _with_flow(spark.read.schema(_schema(ddl, flow_id)).json(path), flow_id)
+    return _with_flow(json_lines(spark, path, _schema(ddl, flow_id)), flow_id)
+
+
+def graphson_rejects(spark: SparkSession, path: str, flow_id: str | None = None) -> DataFrame:
+    """(path, reason, document) of the lines that cannot be read."""
+    return line_rejects(_graphson_lines(spark, path, flow_id), F.col("id")["@value"])
+
+
+def read_graphson(spark: SparkSession, path: str, flow_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Vertices and edges; :func:`graphson_rejects` lists the lines that cannot be read."""
+    lines = readable(_graphson_lines(spark, path, flow_id))
     lines = lines.withColumn("vid", F.col("id")["@value"])
     # Only a vertex's first line carries properties; every vertex has some.
     vertices = _as_vertices(

@@ -192,6 +192,66 @@ def test_empty_graph_file(spark, tmp_path):
     assert vertices.isEmpty() and edges.isEmpty()
 
 
+def test_bad_graphml_elements_are_listed(spark, rows, tmp_path):
+    (tmp_path / "a.graphml").write_text(
+        '<graphml><graph><node id="1"><data key="labelV">processGroup</data></node><node id="n2"><data key="labelV">processor</data></node>'
+        '<edge id="3" source="1" target="n2"><data key="labelE">parent</data></edge></graph></graphml>'
+    )
+    (tmp_path / "cut.graphml").write_text('<graphml><graph><node id="5"><data key="labelV">processor</data></node><node id="6"><data key="lab')
+    vertices, edges = gf.read_graphml(spark, str(tmp_path), "f")
+    assert rows(vertices, "id") == [(1,), (5,)] and edges.isEmpty()
+    bad = gf.graphml_rejects(spark, str(tmp_path), "f").select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason", "element")
+    assert rows(bad) == [
+        ("a.graphml", "ids that are not numbers: 3, 1, n2", "edge"), ("a.graphml", "ids that are not numbers: n2", "node"),
+        ("cut.graphml", "unreadable element", "node"),
+    ]
+
+
+def test_graphml_keys_name_the_data(spark, rows, tmp_path):
+    path = tmp_path / "keys.graphml"
+    path.write_text(
+        '<graphml><key id="d0" for="node" attr.name="labelV"/><key id="d1" for="node" attr.name="procId"/><key id="d2" for="edge" attr.name="labelE"/>'
+        '<key id="d3" for="node" attr.name="queue size"/><graph><node id="1"><data key="d0">processor</data><data key="d1">p1</data>'
+        '<data key="d3">7</data><data key="own">x</data></node><edge id="3" source="1" target="1"><data key="d2">dependent</data></edge></graph></graphml>'
+    )
+    vertices, edges = gf.read_graphml(spark, str(path), "f")
+    found = vertices.first()
+    assert (found.label, found.proc_id, found.properties) == ("processor", "p1", {"queue size": "7", "own": "x"})
+    assert rows(edges, "id", "label") == [(3, "dependent")]
+
+
+def test_bad_lines_and_documents_are_listed(spark, rows, tmp_path):
+    line = {"id": {"@value": 1}, "label": "processor", "properties": {"procId": [{"value": "p"}]}}
+    status = {"flow_id": "f", "processGroupFlow": {"id": "r", "flow": {"connections": [{"id": "c"}]}}}
+    listing = {"source": "a", "registries": [{"registry": {"id": "1", "name": "x"}}]}
+    good = "<template><name>A</name><snippet><processors><name>P</name></processors></snippet></template>"
+    for name, text in (("g", line), ("s", status), ("r", listing)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "f.json").write_text(json.dumps(text) + "\n" + json.dumps(text)[:-9] + "\n")
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "good.xml").write_text(good)
+    (tmp_path / "t" / "cut.xml").write_text(good[:-30])
+    at = lambda name: str(tmp_path / name)
+    assert gf.read_graphson(spark, at("g"), "f")[0].count() == 1
+    assert docs.read_status_snapshots(spark, at("s")).count() == 1
+    assert docs.read_registry_listing(spark, at("r")).count() == 1
+    assert rows(docs.read_templates(spark, at("t"))) == [("A", "processor", "P")]
+    assert rows(gf.graphson_rejects(spark, at("g"), "f"), "document") == [(json.dumps(line)[:-9],)]
+    assert rows(docs.status_rejects(spark, at("s")), "document") == [(json.dumps(status)[:-9],)]
+    assert rows(docs.registry_rejects(spark, at("r")), "document") == [(json.dumps(listing)[:-9],)]
+    assert [(r.path[-7:], r.document) for r in docs.template_rejects(spark, at("t")).collect()] == [("cut.xml", good[:-30])]
+
+
+def test_unknown_encodings_are_rejects(spark, rows, tmp_path):
+    flow = "<?xml version='1.0' encoding='{}'?><flowController><rootGroup><id>r</id><name>R</name></rootGroup></flowController>"
+    for name in ("utf-8", "no-such-code", "utf-32"):
+        (tmp_path / f"{name}.xml").write_text(flow.format(name))
+    parsed = fx.read_flow_configs(spark, str(tmp_path))
+    assert rows(fx.components(parsed), "id") == [("r",)]
+    bad = fx.rejects(parsed).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.substring("reason", 1, 10).alias("why"))
+    assert rows(bad) == [("no-such-code.xml", "unreadable"), ("utf-32.xml", "unreadable")]
+
+
 def test_templates(spark, rows, tmp_path):
     (tmp_path / "t.xml").write_text(
         """<?xml version="1.0"?>
