@@ -46,11 +46,17 @@ def readable(df: DataFrame) -> DataFrame:
     return df.filter(F.col(BAD).isNull()).drop(BAD)
 
 
-def line_rejects(df: DataFrame, whose: Column) -> DataFrame:
-    """(path, reason, document) of the lines that cannot be read; the reason says whose line it is where that is known."""
-    reason = F.concat_ws(" of ", F.lit("unreadable line"), whose.cast("string"))
-    bad = df.filter(F.col(BAD).isNotNull())
-    return bad.select(F.col("_metadata.file_path").alias("path"), reason.alias("reason"), F.col(BAD).alias("document"))
+def line_rejects(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """(path, reason, document) of the JSON lines that do not fit ``schema``.
+
+    Read as text and parsed as a column: a scan of JSON files refuses to give
+    nothing but the lines it cannot read.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    parsed = F.from_json("document", f"{schema}, {BAD} string", options)
+    bad = lines.filter(F.trim("document") != "").withColumn("t", parsed).filter(F.col("t")[BAD].isNotNull())
+    return bad.select("path", F.lit("unreadable line").alias("reason"), "document")
 
 
 # Element of a template snippet -> component kind.
@@ -157,22 +163,20 @@ def status_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def _status_lines(spark: SparkSession, path: str) -> DataFrame:
-    return json_lines(spark, path, f"flow_id string, {STATUS_SCHEMA}")
+_STATUS_LINE = f"flow_id string, {STATUS_SCHEMA}"
 
 
 def read_status_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Archived status documents as JSON lines; ``flow_id`` is a field of the document."""
-    return status_rows(readable(_status_lines(spark, path)))
+    return status_rows(readable(json_lines(spark, path, _STATUS_LINE)))
 
 
 def status_rejects(spark: SparkSession, path: str) -> DataFrame:
     """(path, reason, document) of the status lines that cannot be read."""
-    return line_rejects(_status_lines(spark, path), F.col("flow_id"))
+    return line_rejects(spark, path, _STATUS_LINE)
 
 
-def _registry_lines(spark: SparkSession, path: str) -> DataFrame:
-    return json_lines(spark, path, "source string, registries array<struct<registry:struct<id:string,name:string>>>")
+_REGISTRY_LINE = "source string, registries array<struct<registry:struct<id:string,name:string>>>"
 
 
 def read_registry_listing(spark: SparkSession, path: str) -> DataFrame:
@@ -180,7 +184,7 @@ def read_registry_listing(spark: SparkSession, path: str) -> DataFrame:
 
     ``pos`` is the place in the list: lookups take the first match.
     """
-    listing = readable(_registry_lines(spark, path))
+    listing = readable(json_lines(spark, path, _REGISTRY_LINE))
     return listing.select("source", F.posexplode("registries").alias("pos", "r")).select(
         "source",
         "pos",
@@ -191,4 +195,4 @@ def read_registry_listing(spark: SparkSession, path: str) -> DataFrame:
 
 def registry_rejects(spark: SparkSession, path: str) -> DataFrame:
     """(path, reason, document) of the registry lines that cannot be read."""
-    return line_rejects(_registry_lines(spark, path), F.col("source"))
+    return line_rejects(spark, path, _REGISTRY_LINE)

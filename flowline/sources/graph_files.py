@@ -238,23 +238,21 @@ def write_graphml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
 # -- GraphSON -------------------------------------------------------------------
 
 
-def _graphson_lines(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
-    ref = "struct<`@value`:bigint>"
-    ddl = (
-        f"id {ref}, label string, outE map<string,array<struct<id:{ref},inV:{ref}>>>, "
-        "properties map<string,array<struct<value:string>>>"
-    )
-    return _with_flow(json_lines(spark, path, _schema(ddl, flow_id)), flow_id)
+_REF = "struct<`@value`:bigint>"
+_GRAPHSON_LINE = (
+    f"id {_REF}, label string, outE map<string,array<struct<id:{_REF},inV:{_REF}>>>, "
+    "properties map<string,array<struct<value:string>>>"
+)
 
 
-def graphson_rejects(spark: SparkSession, path: str, flow_id: str | None = None) -> DataFrame:
+def graphson_rejects(spark: SparkSession, path: str) -> DataFrame:
     """(path, reason, document) of the lines that cannot be read."""
-    return line_rejects(_graphson_lines(spark, path, flow_id), F.col("id")["@value"])
+    return line_rejects(spark, path, _GRAPHSON_LINE)
 
 
 def read_graphson(spark: SparkSession, path: str, flow_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges; :func:`graphson_rejects` lists the lines that cannot be read."""
-    lines = readable(_graphson_lines(spark, path, flow_id))
+    lines = _with_flow(readable(json_lines(spark, path, _schema(_GRAPHSON_LINE, flow_id))), flow_id)
     lines = lines.withColumn("vid", F.col("id")["@value"])
     # Only a vertex's first line carries properties; every vertex has some.
     vertices = _as_vertices(

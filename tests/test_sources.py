@@ -236,9 +236,10 @@ def test_bad_lines_and_documents_are_listed(spark, rows, tmp_path):
     assert docs.read_status_snapshots(spark, at("s")).count() == 1
     assert docs.read_registry_listing(spark, at("r")).count() == 1
     assert rows(docs.read_templates(spark, at("t"))) == [("A", "processor", "P")]
-    assert rows(gf.graphson_rejects(spark, at("g"), "f"), "document") == [(json.dumps(line)[:-9],)]
+    assert rows(gf.graphson_rejects(spark, at("g")), "document") == [(json.dumps(line)[:-9],)]
     assert rows(docs.status_rejects(spark, at("s")), "document") == [(json.dumps(status)[:-9],)]
     assert rows(docs.registry_rejects(spark, at("r")), "document") == [(json.dumps(listing)[:-9],)]
+    assert gf.graphson_rejects(spark, at("g")).count() == docs.status_rejects(spark, at("s")).count() == 1
     assert [(r.path[-7:], r.document) for r in docs.template_rejects(spark, at("t")).collect()] == [("cut.xml", good[:-30])]
 
 
