@@ -8,7 +8,13 @@ from checks import binding as b
 from checks.registry import check
 from flowline.operators import status as st
 from flowline.session import scratch_path
-from flowline.streaming.streams import read_latest_state, read_reached_state, stream_latest_state, stream_reached_state
+from flowline.streaming.streams import (
+    command_outcomes,
+    read_latest_state,
+    read_reached_state,
+    stream_latest_state,
+    stream_reached_state,
+)
 
 DAY = 86400
 
@@ -234,17 +240,24 @@ def stream_latest(spark, sf_dir):
 
 @check(
     "stream_reached",
-    f"""SELECT * FROM ({REACHED}) WHERE reached OR ts + INTERVAL 1 DAY < (
-        SELECT least(max(ts) FILTER (WHERE event_type = 'signup'), max(ts) FILTER (WHERE event_type = 'purchase'))
-        FROM events) - INTERVAL 1 HOUR""",
+    f"""SELECT entity_id, ts, reached_ts, CASE WHEN reached THEN 'reached' WHEN ts + INTERVAL 1 DAY < passed THEN 'missed' ELSE 'open' END AS outcome
+    FROM ({REACHED}), (
+        SELECT least(max(ts) FILTER (WHERE event_type = 'signup'), max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 1 HOUR AS passed
+        FROM events)""",
 )
 def stream_reached(spark, sf_dir):
+    """The events arrive in four files by time; every command is answered or listed as open."""
     base = scratch_path(spark, "stream-reached")
-    events = event_stream(spark, sf_dir)
-    query = stream_reached_state(
-        spark, signups(events), events.filter(F.col("state") == "purchase"), DAY, 3600,
-        f"{base}/out", f"{base}/state", f"{base}/checkpoint",
-    )
-    query.awaitTermination()
-    found = read_reached_state(spark, f"{base}/out")
-    return local_time(found, "ts", "reached_ts").select("entity_id", "ts", "reached_ts", "reached")
+    events = b.event_states(spark, sf_dir)
+    cuts = events.select(F.percentile_approx(F.unix_micros("ts"), [0.25, 0.5, 0.75])).first()[0]
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        after = F.lit(True) if low is None else F.unix_micros("ts") > low
+        until = F.lit(True) if high is None else F.unix_micros("ts") <= high
+        events.filter(after & until).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    purchases = lambda df: df.filter(F.col("state") == "purchase")
+    stream_reached_state(signups(arriving), purchases(arriving), DAY, 3600, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    newest = [df.agg(F.max("ts")).first()[0] for df in (signups(events), purchases(events))]
+    passed = F.lit(min(newest)) - F.expr("INTERVAL 1 HOUR")
+    found = command_outcomes(signups(events), read_reached_state(spark, f"{base}/out"), passed, DAY)
+    return local_time(found, "ts", "reached_ts").select("entity_id", "ts", "reached_ts", "outcome")

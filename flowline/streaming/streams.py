@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowline.operators.catalog import TableSpec
 from flowline.operators.merge import stage_to_delta
-from flowline.operators.status import latest_per_entity, reached_state
+from flowline.operators.status import latest_per_entity
 from flowline.plans.ingestion import merge_delta
 from flowline.session import cut_lineage, scratch_scope
-from flowline.sources.tables import PathStore, VersionedTable, stage_path
+from flowline.sources.tables import PathStore, stage_path
 
 
 def _trigger(every: str | None) -> dict:
@@ -71,93 +74,67 @@ def read_latest_state(spark: SparkSession, out: str) -> DataFrame:
 
 # -- reached state --------------------------------------------------------------
 
-OPEN_SCHEMA = "flow_id string, entity_id string, is_command boolean, state string, ts timestamp"
-MARKS_SCHEMA = "newest_command timestamp, newest_status timestamp"
-KEY = ["flow_id", "entity_id", "state_key"]
+COMMAND = ["flow_id", "entity_id", "target_state", "ts"]
 
 
 def _seconds(n: float) -> Column:
     return F.make_dt_interval(secs=F.lit(n).cast("decimal(18,6)"))
 
 
-def _tagged(df: DataFrame, state: str, is_command: bool) -> DataFrame:
-    return df.select("flow_id", "entity_id", F.lit(is_command).alias("is_command"), F.col(state).alias("state"), "ts")
-
-
 def stream_reached_state(
-    spark: SparkSession,
     commands: DataFrame,
     statuses: DataFrame,
     within_seconds: float,
     delay_seconds: float,
     out: str,
-    state: str,
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Answers every command once its state is reached or its window has passed.
-
-    Each micro-batch runs the batch operator over the new rows and those still
-    open: commands that are waiting or that a late status could still improve
-    on, and the statuses these commands, or late ones, may need. The watermark
-    is the smaller of the two sides' newest times less the delay; rows older
-    than it are dropped on arrival. The open rows after batch n are version n
-    of a table, so repeating a batch gives the same result.
-
-    A built-in stream-stream join would form every command-status pair of the
-    window, which one busy entity turns into a product.
+    """Answers every command once its state is reached, and once more if its window passes without.
+
+    Both streams carry a watermark of ``delay_seconds`` and lose their copies;
+    then the engine's outer join over the time interval keeps, per key, what can
+    still meet. A command is answered by every status in its window as it comes
+    in, of which :func:`read_reached_state` takes the first, and by none when
+    the watermark has passed the window. Rows behind the watermark are dropped
+    on arrival; :func:`command_outcomes` tells which commands that concerns.
     """
-    open_rows = VersionedTable(spark, f"{state}/open", OPEN_SCHEMA, "parquet")
-    marks = VersionedTable(spark, f"{state}/marks", MARKS_SCHEMA, "parquet")
-    events = _tagged(commands, "target_state", True).unionByName(_tagged(statuses, "state", False))
-
-    def watermark(newest: tuple) -> Column:
-        if None in newest:
-            return F.lit(None).cast("timestamp")
-        return F.lit(min(newest)) - _seconds(delay_seconds)
-
-    def before(table: VersionedTable, batch_id: int) -> DataFrame:
-        known = [v for v in table.versions() if v < batch_id]
-        return table.read(known[-1]) if known else spark.createDataFrame([], table.schema)
-
-    def answer(batch: DataFrame, batch_id: int) -> None:
-        last = before(marks, batch_id).first() or (None, None)
-        in_time = F.coalesce(F.col("ts") >= watermark(tuple(last)), F.lit(True))
-        rows = before(open_rows, batch_id).unionByName(batch.filter(in_time)).persist()
-        is_command = F.col("is_command")
-        seen = rows.agg(F.max(F.when(is_command, F.col("ts"))), F.max(F.when(~is_command, F.col("ts")))).first()
-        newest = tuple(max((t for t in pair if t is not None), default=None) for pair in zip(seen, last))
-        passed = watermark(newest)
-
-        asked = rows.filter(is_command).withColumnRenamed("state", "target_state")
-        reported = rows.filter(~is_command)
-        answers = reached_state(asked, reported, within_seconds).persist()
-        expired = F.coalesce(F.col("ts") + _seconds(within_seconds) < passed, F.lit(False))
-        answers.filter(F.col("reached") | expired).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-        settled = F.coalesce(F.col("reached_ts") < passed, F.lit(False))
-        waiting = _tagged(answers.filter(~expired & ~settled), "target_state", True)
-        oldest = waiting.groupBy("flow_id", "entity_id", F.lower("state").alias("state_key")).agg(
-            F.min("ts").alias("from_ts")
-        )
-        # Statuses after the watermark may be asked for by commands yet to come,
-        # older ones only by the commands that are waiting.
-        recent = F.coalesce(F.col("ts") >= passed, F.lit(True))
-        useful = reported.withColumn("state_key", F.lower("state")).join(oldest, KEY, "left")
-        useful = useful.filter(recent | (F.col("ts") >= F.col("from_ts"))).select(*waiting.columns)
-        open_rows.commit(waiting.unionByName(useful), batch_id)
-        marks.commit(spark.createDataFrame([newest], MARKS_SCHEMA), batch_id)
-        answers.unpersist()
-        rows.unpersist()
-
-    writer = events.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
-    return writer.trigger(**_trigger(every)).start()
+    delay = f"{int(delay_seconds * 1000)} milliseconds"
+    asked = commands.select(*COMMAND, F.lower("target_state").alias("state_key"))
+    asked = asked.withWatermark("ts", delay).dropDuplicates(COMMAND)
+    reported = statuses.select(
+        F.col("flow_id").alias("s_flow_id"), F.col("entity_id").alias("s_entity_id"), F.lower("state").alias("s_state_key"),
+        F.col("ts").alias("status_ts"),
+    )
+    reported = reported.withWatermark("status_ts", delay).dropDuplicates(["s_flow_id", "s_entity_id", "s_state_key", "status_ts"])
+    same = [F.col(f"s_{c}") == F.col(c) for c in ("flow_id", "entity_id", "state_key")]
+    # As text: the engine derives the limits of its state from an interval it can read as a literal.
+    within = F.expr(f"status_ts >= ts AND status_ts <= ts + INTERVAL '{within_seconds:.6f}' SECOND")
+    answers = asked.join(reported, reduce(and_, [*same, within]), "leftOuter").select(*COMMAND, "status_ts")
+    writer = answers.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(**_trigger(every)).start()
 
 
 def read_reached_state(spark: SparkSession, out: str) -> DataFrame:
-    """One row per command (entity, target, time); a later batch may have found an earlier time."""
-    return (
-        spark.read.parquet(out)
-        .groupBy("flow_id", "entity_id", "target_state", "ts")
-        .agg(F.min("reached_ts").alias("reached_ts"), F.bool_or("reached").alias("reached"))
+    """One row per answered command: the first status in its window, and whether there was one."""
+    schema = "flow_id string, entity_id string, target_state string, ts timestamp, status_ts timestamp"
+    found = spark.read.schema(schema).parquet(out).groupBy(*COMMAND).agg(F.min("status_ts").alias("reached_ts"))
+    return found.withColumn("reached", F.col("reached_ts").isNotNull())
+
+
+def command_outcomes(commands: DataFrame, answers: DataFrame, watermark: Column, within_seconds: float) -> DataFrame:
+    """Every command with what became of it: reached, missed, open, or late.
+
+    ``answers`` is what :func:`read_reached_state` gives and ``watermark`` how
+    far the stream has come. Unanswered commands whose window it has not passed
+    are open; others came behind it and were dropped.
+    """
+    still_open = F.col("ts") + _seconds(within_seconds) >= watermark
+    outcome = (
+        F.when(F.col("reached"), "reached")
+        .when(~F.col("reached"), "missed")
+        .otherwise(F.when(still_open, "open").otherwise("late"))
     )
+    keyed = answers.select(*[F.col(c).alias(f"a_{c}") for c in COMMAND], "reached_ts", "reached")
+    same = reduce(and_, [F.col(c) == F.col(f"a_{c}") for c in COMMAND])
+    return commands.join(keyed, same, "left").select(*commands.columns, "reached_ts", outcome.alias("outcome"))

@@ -78,8 +78,8 @@ def run_reached(spark, tmp_path):
             add_command([("f", e, s, at(t)) for e, s, t in new_commands])
         if new_statuses:
             add_status([("f", e, s, at(t)) for e, s, t in new_statuses])
-        paths = [str(tmp_path / p) for p in ("out", "state", "cp")]
-        streams.stream_reached_state(spark, commands, statuses, within, delay, *paths).awaitTermination()
+        paths = [str(tmp_path / p) for p in ("out", "cp")]
+        streams.stream_reached_state(commands, statuses, within, delay, *paths).awaitTermination()
         found = streams.read_reached_state(spark, paths[0])
         return {(r.entity_id, (r.ts - T).seconds): r.reached_ts and (r.reached_ts - T).seconds for r in found.collect()}
 
