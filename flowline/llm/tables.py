@@ -32,11 +32,24 @@ def _ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Bytes of an Arrow batch between Spark and Python. Spark's own limit of 64 MB, taken by several stages one after
+#: the other, is memory that an executor keeps beside its heap.
+BATCH_BYTES = "4m"
+_BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
 ) -> DataFrame:
-    """``df.mapInArrow`` with a function that imports this package."""
-    _ship_package(df.sparkSession)
+    """``df.mapInArrow`` with a function that imports this package.
+
+    Sets the session's limit for Arrow batches to BATCH_BYTES, unless the
+    session was started with one of its own.
+    """
+    spark = df.sparkSession
+    _ship_package(spark)
+    if _BATCH_BYTES_KEY not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set(_BATCH_BYTES_KEY, BATCH_BYTES)
     return df.mapInArrow(function, schema)
 
 
@@ -93,3 +106,15 @@ def keep_rows(df: DataFrame, text_col: str, make_keep: Callable[[], Callable[[li
             yield part.filter(pa.array(keep(texts), pa.bool_()))
 
     return map_arrow(rows, run, rows.schema).toDF(*df.columns)
+
+
+def bounded_sample(df: DataFrame, rows: int, total: int, *key: str) -> DataFrame:
+    """At most ``rows`` of the ``total`` rows of ``df``, spread over it by a hash of the ``key`` columns.
+
+    The hash alone keeps about twice as many rows, so that what tasks rank and
+    hand on is bounded too, however many tasks there are.
+    """
+    spread = F.xxhash64(F.lit(rows), *key)
+    parts = 1 << 30
+    df = df.filter(F.pmod(spread, F.lit(parts)) < F.lit(min(parts, 2 * rows * parts // max(1, total))))
+    return df.orderBy(spread, *key).limit(rows)
