@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowline.llm import lstm
-from flowline.llm.tables import map_arrow, pick, slices
+from flowline.llm.tables import bounded_sample, map_arrow, pick, slices
 from flowline.llm.units import Memory
 
 #: Pages of the table that are learned from, and made-up ones; the longest html among the former.
@@ -299,8 +299,10 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> by
 
     Without pages it learns from made-up ones alone.
     """
-    found = pick(pages, page_id=id_col, html=html_col).filter(F.length("html") <= TRAIN_HTML_CHARS)
-    sample = found.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(TRAIN_PAGES).collect()
+    found = pick(pages, page_id=id_col, html=html_col)
+    total = found.count()
+    short = found.filter(F.length("html") <= TRAIN_HTML_CHARS)
+    sample = bounded_sample(short, TRAIN_PAGES, total, "page_id", "html").collect()
     return pickle.dumps(learn([r.html for r in sample]))
 
 

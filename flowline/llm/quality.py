@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowline.llm.logistic import sigmoid
-from flowline.llm.tables import documents_of, keep_rows, map_arrow, slices
+from flowline.llm.tables import bounded_sample, documents_of, keep_rows, map_arrow, slices
 from flowline.session import cut_lineage
 
 ABSTAIN = -1
@@ -277,11 +277,11 @@ def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
     patterns = {r.pattern: r["count"] for r in voted.groupBy("pattern").count().collect()}
     labels = estimate(patterns)
     good = [p for p in patterns if labels.posterior(p) >= 0.5]
-    # A hash of the text orders the rows, so that every part of the corpus has its share.
     one_each = voted.groupBy("text_hash").agg(F.min("pattern").alias("pattern"), F.min("buckets").alias("buckets"))
-    order = [F.xxhash64(F.lit(1), "text_hash"), "text_hash"]
     is_good = F.col("pattern").isin(good)
-    rows = [r for side in (is_good, ~is_good) for r in one_each.filter(side).orderBy(*order).limit(TRAIN_ROWS).collect()]
+    n_good = sum(patterns[p] for p in good)
+    sides = ((is_good, n_good), (~is_good, sum(patterns.values()) - n_good))
+    rows = [r for side, n in sides for r in bounded_sample(one_each.filter(side), TRAIN_ROWS, n, "text_hash").collect()]
     targets = np.array([labels.posterior(r.pattern) for r in rows])
     weights, intercept = train_linear([r.buckets for r in rows], targets)
     return Model(labels, weights, intercept)

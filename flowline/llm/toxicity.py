@@ -21,6 +21,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowline.llm.logistic import fit_logistic, sigmoid
-from flowline.llm.tables import documents_of, keep_rows, map_arrow, pick, slices
+from flowline.llm.tables import bounded_sample, documents_of, keep_rows, map_arrow, pick, slices
 from flowline.llm.units import Memory
 from flowline.session import cut_lineage
 
@@ -237,11 +238,9 @@ def _sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
     known = pick(labels, doc_id="doc_id", toxic="toxic").filter("doc_id is not null and toxic is not null")
     known = known.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     known = known.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    order = [F.xxhash64("doc_id"), "doc_id"]
-    chosen = (
-        known.filter("toxic = 1").orderBy(*order).limit(TRAIN_TOXIC)
-        .union(known.filter("toxic = 0").orderBy(*order).limit(TRAIN_CLEAN))
-    )
+    n = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect() if r.toxic in (0, 1)}
+    sides = ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))
+    chosen = reduce(DataFrame.union, [bounded_sample(known.filter(F.col("toxic") == t), most, n.get(t, 0), "doc_id") for t, most in sides])
     # The limits above bound what is broadcast.
     rows = documents.join(F.broadcast(cut_lineage(chosen, "toxic-training-ids")), "doc_id")
 
