@@ -390,6 +390,8 @@ def checked_components(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(priority == "3-MEDIUM", "LOUD").otherwise("WARN").alias("bulletin_level"),
         F.when(status == "P", "primary").when(status == "O", "PRIMARY").alias("execution_node"),
         F.floor(F.col("o_totalprice") / 1000 - 100).cast("string").alias("max_concurrent_tasks"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.when(status == "P", "perhaps").otherwise("false")).alias("loss_tolerant"),
+        F.create_map(F.when(F.col("o_orderkey") % 11 == 0, "").otherwise("Key"), status).alias("properties"),
     )
     flag = F.col("l_returnflag")
     lines = table(spark, sf_dir, "lineitem").select(
@@ -412,7 +414,23 @@ def checked_components(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((flag == "R") & (F.col("l_linenumber") == 6) & (F.col("l_quantity") > 48), "attr").alias("partitioning_attribute"),
         F.lit(None).cast("string").alias("load_balance_compression"),
     )
-    return procs.unionByName(lines, allowMissingColumns=True)
+    number = F.col("s_suppkey")
+    services = table(spark, sf_dir, "supplier").select(
+        F.lit("services").alias("flow_id"), F.lit("controllerService").alias("kind"), F.lit(1).alias("group_depth"),
+        named("service", "s_suppkey").alias("id"), F.when(number % 4 != 0, F.col("s_name")).alias("name"),
+        F.when(number % 5 == 0, "").otherwise("Service").alias("class"),
+        F.when(number % 6 == 0, "on").otherwise("true").alias("enabled"),
+        F.create_map(F.when(number % 9 == 0, "").otherwise("Key"), F.lit("v")).alias("properties"),
+    )
+    nation = F.col("n_nationkey")
+    remotes = table(spark, sf_dir, "nation").select(
+        F.lit("remotes").alias("flow_id"), F.lit("remoteProcessGroup").alias("kind"), F.lit(1).alias("group_depth"),
+        named("remote", "n_nationkey").alias("id"), F.col("n_name").alias("name"),
+        F.when(nation % 2 == 0, "http://host").alias("url"), F.when(nation % 3 == 0, "30 sec").alias("timeout"),
+        F.when(nation % 4 == 0, "yes").when(nation % 4 == 1, "false").alias("transmitting"),
+    )
+    rows = procs.unionByName(lines, allowMissingColumns=True).unionByName(services, allowMissingColumns=True)
+    return rows.unionByName(remotes, allowMissingColumns=True)
 
 
 # -- flow documents ---------------------------------------------------------------

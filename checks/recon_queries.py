@@ -186,8 +186,20 @@ CHECKED = """WITH procs AS (
         CASE WHEN o_orderpriority <> '2-HIGH' THEN (o_custkey % 60) || 'mins' END AS yield_period,
         CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'LOUD' ELSE 'WARN' END AS bulletin_level,
         CASE o_orderstatus WHEN 'P' THEN 'primary' WHEN 'O' THEN 'PRIMARY' END AS execution_node,
-        CAST(CAST(floor(o_totalprice / 1000 - 100) AS BIGINT) AS VARCHAR) AS max_concurrent_tasks
+        CAST(CAST(floor(o_totalprice / 1000 - 100) AS BIGINT) AS VARCHAR) AS max_concurrent_tasks,
+        CASE WHEN o_orderkey % 7 <> 0 THEN CASE WHEN o_orderstatus = 'P' THEN 'perhaps' ELSE 'false' END END AS loss_tolerant,
+        o_orderkey % 11 = 0 AS nameless
     FROM orders),
+services AS (
+    SELECT 'services' AS flow_id, 'service-' || s_suppkey AS id, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS name,
+        CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE 'Service' END AS class, CASE WHEN s_suppkey % 6 = 0 THEN 'on' ELSE 'true' END AS enabled,
+        s_suppkey % 9 = 0 AS nameless
+    FROM supplier),
+remotes AS (
+    SELECT 'remotes' AS flow_id, 'remote-' || n_nationkey AS id, CASE WHEN n_nationkey % 2 = 0 THEN 'http://host' END AS url,
+        CASE WHEN n_nationkey % 3 = 0 THEN '30 sec' END AS timeout,
+        CASE n_nationkey % 4 WHEN 0 THEN 'yes' WHEN 1 THEN 'false' END AS transmitting
+    FROM nation),
 conns AS (
     SELECT 'supp-' || l_suppkey AS flow_id,
         'line-' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
@@ -228,6 +240,15 @@ def broken(source, rule, value, bad):
             broken("conns", "max_work_queue_size", "max_work_queue_size", "CAST(max_work_queue_size AS BIGINT) < 0"),
             broken("conns", "max_work_queue_data_size", "max_work_queue_data_size", "max_work_queue_data_size = 'plenty'"),
             broken("conns", "flow_file_expiration", "flow_file_expiration", "flow_file_expiration = 'never'"),
+            broken("procs", "loss_tolerant", "loss_tolerant", "coalesce(loss_tolerant, 'perhaps') = 'perhaps'"),
+            broken("procs", "property_name_not_empty", "NULL", "nameless"),
+            broken("services", "name_not_empty", "name", "name IS NULL"),
+            broken("services", "class_not_empty", "class", "class = ''"),
+            broken("services", "enabled", "enabled", "enabled = 'on'"),
+            broken("services", "property_name_not_empty", "NULL", "nameless"),
+            broken("remotes", "url_present", "url", "url IS NULL"),
+            broken("remotes", "timeout_present", "timeout", "timeout IS NULL"),
+            broken("remotes", "transmitting", "transmitting", "coalesce(transmitting, 'yes') = 'yes'"),
         ]
     ),
 )
@@ -241,7 +262,8 @@ def dq_violations(spark, sf_dir):
     + """SELECT flow_id, bool_or(balanced) AS has_load_balance_strategy, bool_or(partitioned) AS has_partitioning_attribute,
         FALSE AS has_load_balance_compression,
         CASE WHEN bool_or(balanced) OR bool_or(partitioned) THEN '1.8' ELSE '1.7' END AS schema_version
-    FROM (SELECT flow_id, balanced, partitioned FROM conns UNION ALL SELECT flow_id, FALSE, FALSE FROM procs) GROUP BY flow_id""",
+    FROM (SELECT flow_id, balanced, partitioned FROM conns UNION ALL SELECT flow_id, FALSE, FALSE FROM procs
+        UNION ALL SELECT flow_id, FALSE, FALSE FROM services UNION ALL SELECT flow_id, FALSE, FALSE FROM remotes) GROUP BY flow_id""",
 )
 def dq_version(spark, sf_dir):
     return q.schema_version_diff(b.checked_components(spark, sf_dir))

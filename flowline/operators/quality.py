@@ -19,7 +19,9 @@ DATA_SIZE = r"^\d+\s*(B|KB|MB|GB|TB|b|kb|mb|gb|tb)$"
 COUNT = r"^\+?\d+$"
 POSITIVE = r"^\+?0*[1-9]\d*$"
 
-NAMED = ("rootGroup", "processGroup", "processor", "inputPort", "outputPort")
+BOOLEAN = r"^\s*(true|false|1|0)\s*$"
+
+NAMED = ("rootGroup", "processGroup", "processor", "inputPort", "outputPort", "controllerService")
 PORTS = ("inputPort", "outputPort")
 
 
@@ -37,13 +39,20 @@ def _required(c: str, ok: Column) -> Column:
 
 def _rules() -> list[tuple[str, tuple[str, ...] | None, str, Column]]:
     """(rule name, kinds it applies to, column, condition that must hold)."""
-    proc, conn = ("processor",), ("connection",)
+    proc, conn, service, remote = ("processor",), ("connection",), ("controllerService",), ("remoteProcessGroup",)
+    nameless = F.coalesce(F.map_contains_key("properties", F.lit("")), F.lit(False))
     root_ports = F.col("kind").isin(*PORTS) & (F.col("group_depth") == 0)
     rules = [
         ("id_not_empty", None, "id", _present("id")),
         ("name_not_empty", NAMED, "name", _present("name")),
-        ("name_present", conn + ("remoteProcessGroup",), "name", F.col("name").isNotNull()),
-        ("class_not_empty", proc, "class", _present("class")),
+        ("name_present", conn + remote, "name", F.col("name").isNotNull()),
+        ("class_not_empty", proc + service, "class", _present("class")),
+        ("loss_tolerant", proc, "loss_tolerant", _required("loss_tolerant", F.col("loss_tolerant").rlike(BOOLEAN))),
+        ("property_name_not_empty", proc + service, "properties", ~nameless),
+        ("enabled", service, "enabled", _required("enabled", F.col("enabled").rlike(BOOLEAN))),
+        ("url_present", remote, "url", F.col("url").isNotNull()),
+        ("timeout_present", remote, "timeout", F.col("timeout").isNotNull()),
+        ("transmitting", remote, "transmitting", _required("transmitting", F.col("transmitting").rlike(BOOLEAN))),
         ("scheduled_state", proc + PORTS, "scheduled_state",
          _required("scheduled_state", F.col("scheduled_state").isin(*SCHEDULED_STATES))),
         ("scheduling_strategy", proc, "scheduling_strategy",
@@ -52,7 +61,7 @@ def _rules() -> list[tuple[str, tuple[str, ...] | None, str, Column]]:
         ("penalization_period", proc, "penalization_period",
          _required("penalization_period", F.col("penalization_period").rlike(TIME_PERIOD))),
         ("yield_period", proc, "yield_period", _required("yield_period", F.col("yield_period").rlike(TIME_PERIOD))),
-        ("remote_yield_period", ("remoteProcessGroup",), "yield_period",
+        ("remote_yield_period", remote, "yield_period",
          _optional("yield_period", F.col("yield_period").rlike(TIME_PERIOD))),
         ("bulletin_level", proc, "bulletin_level",
          _required("bulletin_level", F.col("bulletin_level").isin(*LOG_LEVELS))),
@@ -83,7 +92,7 @@ def validate_components(components: DataFrame) -> DataFrame:
     checks = []
     for rule, kinds, column, holds in _rules():
         applies = F.lit(True) if kinds is None else F.col("kind").isin(*kinds)
-        value = F.lit(None).cast("string") if column == "relationships" else F.col(column)
+        value = F.lit(None).cast("string") if column in ("relationships", "properties") else F.col(column)
         broken = F.struct(F.lit(rule).alias("rule"), value.alias("value"))
         checks.append(F.when(applies & ~holds, broken))
     return (

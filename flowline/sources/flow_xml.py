@@ -16,7 +16,7 @@ _TEXT = [
     "max_concurrent_tasks", "source_id", "source_group_id", "source_type", "destination_id",
     "destination_group_id", "destination_type", "max_work_queue_size", "max_work_queue_data_size",
     "flow_file_expiration", "load_balance_strategy", "partitioning_attribute",
-    "load_balance_compression", "encoding_version",
+    "load_balance_compression", "encoding_version", "loss_tolerant", "url", "timeout", "transmitting", "enabled",
 ]
 
 PARSED_SCHEMA = T.StructType(
@@ -45,7 +45,8 @@ _FIELDS = {
     "destinationType": "destination_type", "maxWorkQueueSize": "max_work_queue_size",
     "maxWorkQueueDataSize": "max_work_queue_data_size", "flowFileExpiration": "flow_file_expiration",
     "loadBalanceStrategy": "load_balance_strategy", "partitioningAttribute": "partitioning_attribute",
-    "loadBalanceCompression": "load_balance_compression",
+    "loadBalanceCompression": "load_balance_compression", "lossTolerant": "loss_tolerant", "url": "url",
+    "timeout": "timeout", "transmitting": "transmitting", "enabled": "enabled",
 }
 
 
@@ -89,7 +90,7 @@ def _parse_batches(batch_rows: int = 10_000):
                 elif tag == "property":
                     pair = {local(c): c.text or "" for c in child}
                     properties[pair.get("name", "")] = pair.get("value")
-            if kind == "processor":
+            if kind in ("processor", "controllerService"):
                 row["properties"] = list(properties.items())
             return row
 

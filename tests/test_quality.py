@@ -6,8 +6,10 @@ from flowline.sources.flow_xml import PARSED_SCHEMA
 PROCESSOR = {
     "kind": "processor", "group_depth": 1, "id": "p", "name": "n", "class": "c", "scheduled_state": "RUNNING",
     "scheduling_period": "0 sec", "penalization_period": "30 sec", "yield_period": "1sec", "bulletin_level": "WARN",
-    "max_concurrent_tasks": "1",
+    "max_concurrent_tasks": "1", "loss_tolerant": "false", "properties": {"Key": None},
 }
+SERVICE = {"kind": "controllerService", "group_depth": 1, "id": "s", "name": "S", "class": "c", "enabled": "true"}
+REMOTE = {"kind": "remoteProcessGroup", "group_depth": 1, "id": "r", "name": "", "url": "", "timeout": "", "transmitting": "0"}
 CONNECTION = {
     "kind": "connection", "group_depth": 1, "id": "c", "name": "", "source_id": "a", "source_group_id": "g",
     "source_type": "PROCESSOR", "destination_id": "b", "destination_group_id": "h", "destination_type": "PROCESSOR",
@@ -33,8 +35,19 @@ def broken(components, *items):
     return sorted((v.component_id, v.rule, v.value) for v in validate_components(components(*items)).collect())
 
 
+def test_service_and_remote_rules(components):
+    bad = [
+        ({**SERVICE, "name": None}, "name_not_empty", None), ({**SERVICE, "class": ""}, "class_not_empty", ""),
+        ({**SERVICE, "enabled": None}, "enabled", None), ({**SERVICE, "properties": {"": "x"}}, "property_name_not_empty", None),
+        ({**PROCESSOR, "properties": {"": "x"}}, "property_name_not_empty", None), ({**REMOTE, "url": None}, "url_present", None),
+        ({**REMOTE, "timeout": None}, "timeout_present", None), ({**REMOTE, "transmitting": "no"}, "transmitting", "no"),
+    ]
+    rows = [{**item, "id": f"{k}"} for k, (item, _, _) in enumerate(bad)]
+    assert broken(components, *rows) == [(f"{k}", rule, value) for k, (_, rule, value) in enumerate(bad)]
+
+
 def test_good_components_have_no_violations(components):
-    assert broken(components, PROCESSOR, CONNECTION, PORT) == []
+    assert broken(components, PROCESSOR, CONNECTION, PORT, SERVICE, REMOTE) == []
 
 
 @pytest.mark.parametrize(
@@ -52,6 +65,7 @@ def test_good_components_have_no_violations(components):
         ({"execution_node": "SOME"}, "execution_node"),
         ({"max_concurrent_tasks": "-1"}, "max_concurrent_tasks"),
         ({"max_concurrent_tasks": "many"}, "max_concurrent_tasks"),
+        ({"loss_tolerant": "TRUE"}, "loss_tolerant"),
     ],
 )
 def test_processor_rules(components, change, rule):
