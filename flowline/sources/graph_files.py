@@ -1,9 +1,11 @@
 """Lineage graphs as GraphML and GraphSON files.
 
 Both formats put much into one unit: GraphML a whole graph into one document,
-GraphSON a vertex with all its edges into one line. Units are therefore split
-at a fixed size: ordinary flows and vertices stay one document or line, larger
-ones become several, each valid by itself, that the readers put together again.
+GraphSON a vertex with all its edges into one line, and a unit is made by one
+task. The writers take a number of parts: with more than one, the elements of
+every graph, or the edges of every vertex, are dealt out over as many documents
+or lines, each valid by itself, that the readers put together again. The form
+follows that number alone, never the size of a graph.
 """
 
 from __future__ import annotations
@@ -14,10 +16,6 @@ from pyspark.sql import functions as F
 from flowline.operators.keys import group_apart
 from flowline.sources.documents import BAD, json_lines, line_rejects, readable
 
-ELEMENTS_PER_DOCUMENT = 50_000
-CHARS_PER_DOCUMENT = 64_000_000
-EDGES_PER_LINE = 10_000
-
 # Names under which a vertex's own fields appear among its properties.
 OWN_FIELDS = {"isRoot": "is_root", "pgId": "pg_id", "pgName": "pg_name", "procId": "proc_id", "procName": "proc_name"}
 
@@ -160,8 +158,8 @@ def _xml(c: Column) -> Column:
     return c
 
 
-def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int = ELEMENTS_PER_DOCUMENT) -> DataFrame:
-    """(flow_id, part, document): whole GraphML documents, split for large flows."""
+def graphml_documents(vertices: DataFrame, edges: DataFrame, parts: int = 1) -> DataFrame:
+    """(flow_id, part, document): GraphML documents, up to ``parts`` for each flow."""
 
     def datum(key: Column, value: Column) -> Column:
         return F.concat(F.lit('<data key="'), _xml(key), F.lit('">'), _xml(value), F.lit("</data>"))
@@ -191,13 +189,7 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
             "flow_id", F.lit(1).alias("kind"), "id", edge.alias("xml"), F.array().cast("array<string>").alias("keys")
         )
     )
-    # How many documents a flow needs, from the raw texts rather than the finished XML.
-    raw = F.length(F.concat_ws("", "pg_name", "proc_name", F.map_keys("properties"), F.map_values("properties")))
-    sizes = vertices.select("flow_id", raw.alias("chars")).unionByName(edges.select("flow_id", F.lit(0).alias("chars")))
-    by_count = F.ceil(F.count("*") / F.lit(per_document))
-    by_size = F.ceil(F.sum("chars") / F.lit(CHARS_PER_DOCUMENT))
-    parts = group_apart(sizes, ["flow_id"], F.greatest(by_count, by_size).alias("parts"))
-    part = F.pmod(F.xxhash64("kind", "id"), F.col("parts"))
+    part = F.pmod(F.xxhash64("kind", "id"), F.lit(parts))
 
     def key_line(key: Column) -> Column:
         kind = F.when(key == "isRoot", "boolean").otherwise("string")
@@ -209,7 +201,7 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
 
     body = F.transform(F.array_sort(F.collect_list(F.struct("kind", "id", "xml"))), lambda e: e["xml"])
     all_keys = F.array_sort(F.array_distinct(F.flatten(F.collect_set("keys"))))
-    placed = elements.join(parts, "flow_id").withColumn("part", part)
+    placed = elements.withColumn("part", part)
     return (
         group_apart(placed, ["flow_id", "part"], body.alias("body"), all_keys.alias("all_keys"))
         .select(
@@ -228,9 +220,9 @@ def graphml_documents(vertices: DataFrame, edges: DataFrame, per_document: int =
     )
 
 
-def write_graphml(vertices: DataFrame, edges: DataFrame, path: str) -> None:
+def write_graphml(vertices: DataFrame, edges: DataFrame, path: str, parts: int = 1) -> None:
     """One folder per flow and part, each holding one document."""
-    graphml_documents(vertices, edges).select("flow_id", "part", "document").write.mode("overwrite").partitionBy(
+    graphml_documents(vertices, edges, parts).select("flow_id", "part", "document").write.mode("overwrite").partitionBy(
         "flow_id", "part"
     ).text(path)
 
@@ -281,8 +273,8 @@ def _json_text(c: Column) -> Column:
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
-def graphson_lines(vertices: DataFrame, edges: DataFrame, per_line: int = EDGES_PER_LINE) -> DataFrame:
-    """(flow_id, line): a vertex per line with its in and out edges, several for hubs."""
+def graphson_lines(vertices: DataFrame, edges: DataFrame, parts: int = 1) -> DataFrame:
+    """(flow_id, line): a vertex with its in and out edges on a line, or these over up to ``parts`` lines."""
     ends = edges.select(
         "flow_id",
         F.col("id").alias("edge_id"),
@@ -294,13 +286,11 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, per_line: int = EDGES_
             )
         ).alias("s"),
     ).select("flow_id", F.col("s.v").alias("v"), "s.side", "label", "edge_id", "s.other")
-    lines = group_apart(ends, ["flow_id", "v"], F.ceil(F.count("*") / F.lit(per_line)).alias("lines"))
-    chunk = F.pmod(F.xxhash64("edge_id"), F.col("lines"))
+    chunk = F.pmod(F.xxhash64("edge_id"), F.lit(parts).cast("bigint"))
     # Hash-partitioned by vertex line first, so that grouping per label and then
     # per line needs no further shuffle.
     links = (
-        ends.join(lines, ["flow_id", "v"])
-        .select("flow_id", F.col("v").alias("id"), chunk.alias("chunk"), "side", "label", "edge_id", "other")
+        ends.select("flow_id", F.col("v").alias("id"), chunk.alias("chunk"), "side", "label", "edge_id", "other")
         .repartition("flow_id", "id", "chunk")
         .groupBy("flow_id", "id", "chunk", "side", "label")
         .agg(F.array_sort(F.collect_list(F.struct("edge_id", "other"))).alias("links"))
@@ -338,5 +328,5 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, per_line: int = EDGES_
     return joined.select("flow_id", line.alias("line"))
 
 
-def write_graphson(vertices: DataFrame, edges: DataFrame, path: str) -> None:
-    graphson_lines(vertices, edges).write.mode("overwrite").partitionBy("flow_id").text(path)
+def write_graphson(vertices: DataFrame, edges: DataFrame, path: str, parts: int = 1) -> None:
+    graphson_lines(vertices, edges, parts).write.mode("overwrite").partitionBy("flow_id").text(path)

@@ -143,9 +143,9 @@ def test_large_units_are_split_and_put_together(spark, rows):
     edges = spark.range(1, n).selectExpr("'f' flow_id", "id", "0L src", "id dst", "'parent' label").unionByName(
         spark.range(2).selectExpr("'f' flow_id", "id + 100 id", "id src", "1 - id dst", "'dependent' label")
     )
-    documents = gf.graphml_documents(vertices, edges, per_document=25)
+    documents = gf.graphml_documents(vertices, edges, parts=5)
     assert documents.count() == 5
-    lines = gf.graphson_lines(vertices, edges, per_line=10)
+    lines = gf.graphson_lines(vertices, edges, parts=6)
     hub = [json.loads(r.line) for r in lines.collect() if json.loads(r.line)["id"]["@value"] == 0]
     assert len(hub) > 3 and sum("properties" in h for h in hub) == 1
     assert sum(len(e) for h in hub for e in h["outE"].values()) == n
