@@ -8,13 +8,14 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from flowline.operators.catalog import TableSpec
 from flowline.operators.merge import stage_to_delta
 from flowline.operators.status import latest_per_entity
 from flowline.plans.ingestion import merge_delta
 from flowline.session import cut_lineage, scratch_scope
-from flowline.sources.tables import PathStore, stage_path
+from flowline.sources.tables import PathStore, VersionedTable, stage_path
 
 
 def _trigger(every: str | None) -> dict:
@@ -54,22 +55,58 @@ def stream_ingest(
 # -- latest state ---------------------------------------------------------------
 
 
-def stream_latest_state(statuses: DataFrame, out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def stream_latest_state(
+    statuses: DataFrame, out: str, checkpoint: str, every: str | None = None, merge_every: int = 50
+) -> StreamingQuery:
     """Keeps the newest row per entity; every batch writes the entities that changed.
 
-    One folder per batch id makes a repeated batch overwrite itself.
+    One folder per batch id makes a repeated batch overwrite itself. After
+    ``merge_every`` batches they are merged into one table, the next version of
+    the last one, and dropped, so readers never meet more folders than that.
     """
     latest = latest_per_entity(statuses)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{out}/batches/batch={batch_id}")
+        if (batch_id + 1) % merge_every == 0:
+            merged = _merged(spark, out, batch.schema)
+            # A batch that is repeated after its merge has nothing to add to it.
+            if batch_id not in merged.versions():
+                merged.commit(_latest(spark, out, batch.schema), batch_id)
+            for old in _batches(merged):
+                if old <= batch_id:
+                    merged._hadoop().delete(merged._hadoop_path(f"../batches/batch={old}"), True)
 
     writer = latest.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(every)).start()
 
 
+def _merged(spark: SparkSession, out: str, schema: StructType) -> VersionedTable:
+    return VersionedTable(spark, f"{out}/merged", schema, "parquet")
+
+
+def _batches(merged: VersionedTable) -> list[int]:
+    found = merged._hadoop().globStatus(merged._hadoop_path("../batches/batch=*")) or []
+    return sorted(int(f.getPath().getName()[6:]) for f in found)
+
+
+def _latest(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """The newest rows of the last merged table and the batches since."""
+    merged = _merged(spark, out, schema)
+    done = merged.versions()[-1:]
+    newer = [n for n in _batches(merged) if not done or n > done[0]]
+    rows = merged.read()
+    if newer:
+        rows = rows.unionByName(spark.read.schema(schema).parquet(*[f"{out}/batches/batch={n}" for n in newer]))
+    return latest_per_entity(rows)
+
+
 def read_latest_state(spark: SparkSession, out: str) -> DataFrame:
-    return latest_per_entity(spark.read.parquet(out)).drop("batch")
+    """The newest row per entity that the stream has written."""
+    known = _merged(spark, out, StructType())
+    folders = [known.location(v) for v in known.versions()] + [f"{out}/batches/batch={n}" for n in _batches(known)]
+    return _latest(spark, out, spark.read.parquet(folders[-1]).schema)
 
 
 # -- reached state --------------------------------------------------------------

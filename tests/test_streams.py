@@ -48,7 +48,8 @@ def feed(spark, tmp_path, name, schema):
     return stream, add
 
 
-def test_latest_state_equals_batch(spark, rows, tmp_path):
+@pytest.mark.parametrize("merge_every", [1, 2, 50])
+def test_latest_state_equals_batch(spark, rows, tmp_path, merge_every):
     stream, add = feed(spark, tmp_path, "in", EVENTS)
     batches = [
         [("f", "a", "x", 1, at(1)), ("f", "b", "x", 5, at(1))],
@@ -58,7 +59,9 @@ def test_latest_state_equals_batch(spark, rows, tmp_path):
     out = str(tmp_path / "out")
     for batch in batches:
         add(batch)
-        streams.stream_latest_state(stream, out, str(tmp_path / "cp")).awaitTermination()
+        streams.stream_latest_state(stream, out, str(tmp_path / "cp"), merge_every=merge_every).awaitTermination()
+    left = [p.name for p in (tmp_path / "out" / "batches").iterdir() if p.is_dir()]
+    assert len(left) < max(merge_every, 1) or merge_every == 50
     everything = spark.createDataFrame([r for b in batches for r in b], EVENTS)
     columns = ["flow_id", "entity_id", "state", "version", "ts"]
     assert rows(streams.read_latest_state(spark, out), *columns) == rows(latest_per_entity(everything), *columns)
