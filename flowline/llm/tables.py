@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -12,22 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowline.session import scratch_path
+
 _shipped: set[str] = set()
 
 
 def _ship_package(spark: SparkSession) -> None:
-    """Gives the executors this package, once per application, as ``--py-files`` would."""
+    """Gives the executors this package, once per application, as ``--py-files`` would, from the shared folder."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="flowline-package-"), "flowline.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as target:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as target:
         for folder, _, names in os.walk(package):
             for name in names:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     target.write(path, os.path.relpath(path, os.path.dirname(package)))
+    archive = f"{scratch_path(spark, 'package')}/flowline.zip"
+    place = spark._jvm.org.apache.hadoop.fs.Path(archive)
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
 
