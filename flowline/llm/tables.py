@@ -57,7 +57,12 @@ def map_arrow(
     _ship_package(spark)
     if _BATCH_BYTES_KEY not in dict(spark.sparkContext.getConf().getAll()):
         spark.conf.set(_BATCH_BYTES_KEY, BATCH_BYTES)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

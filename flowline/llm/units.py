@@ -22,7 +22,7 @@ from flowline.llm.tables import one_thread
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
 
 UNIT = re.compile(
-    f"[{WHITE_SPACE}]*(?:[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?$#%&*])|[^{WHITE_SPACE}]+)|[{WHITE_SPACE}]+"
+    f"[{WHITE_SPACE}]*+(?:[0-9A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,;:!?$#%&*])|[^{WHITE_SPACE}]++)|[{WHITE_SPACE}]++"
 )
 # An array type of four bytes per item.
 _ID_CODE = next(code for code in "IL" if array(code).itemsize == 4)
@@ -51,7 +51,7 @@ class Memory(dict):
     between pieces.
     """
 
-    def __init__(self, make: Callable, limit: int = 250_000) -> None:
+    def __init__(self, make: Callable, limit: int = 200_000) -> None:
         super().__init__()
         self.make, self.limit, self.before = make, limit, {}
 
