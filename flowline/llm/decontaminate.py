@@ -22,6 +22,8 @@ from flowline.session import cut_lineage
 
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7))
 SPAN = max(m[-1] for m in MASKS) + 1
+#: Words of the shortest seed; it starts at more places than the others.
+SHORTEST = min(m[-1] for m in MASKS) + 1
 #: A passage is found where EQUAL of at most WINDOW aligned words are equal.
 WINDOW = 12
 EQUAL = 10
@@ -37,15 +39,15 @@ def words_of(text: Column) -> Column:
 
 
 def _seed_hashes(words: Column, at: Column) -> Column:
-    return F.array(
-        *[F.xxhash64(F.lit(number), *[F.get(words, at + k) for k in mask]) for number, mask in enumerate(MASKS)]
-    )
+    """A seed per mask; null for the masks that do not fit any more at the end of the words."""
+    hashed = [F.xxhash64(F.lit(number), *[F.get(words, at + k) for k in mask]) for number, mask in enumerate(MASKS)]
+    return F.array(*[F.when(F.get(words, at + mask[-1]).isNotNull(), seed) for mask, seed in zip(MASKS, hashed)])
 
 
 def _starts(words: Column) -> Column:
-    """Every place where the longest seed fits; the size is asked here so that words are split once."""
-    places = F.sequence(F.lit(0), F.size(words) - SPAN)
-    return F.explode(F.when(F.size(words) >= SPAN, places).otherwise(F.array().cast("array<int>")))
+    """Every place where the shortest seed fits; the size is asked here so that words are split once."""
+    places = F.sequence(F.lit(0), F.size(words) - SHORTEST)
+    return F.explode(F.when(F.size(words) >= SHORTEST, places).otherwise(F.array().cast("array<int>")))
 
 
 def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -67,6 +69,7 @@ def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str
         F.when(F.size(words) < WINDOW, F.size(words)).otherwise(EQUAL).alias("needed"),
         "item_id",
     )
+    placed = placed.filter(F.col("seed").isNotNull())
     return placed.groupBy("seed", "context", "before", "needed").agg(F.min("item_id").alias("item_id"))
 
 
@@ -109,6 +112,7 @@ def find_passages(
     )
     own = texts.select("*", _starts(F.col("words")).alias("at"))
     own = own.select("*", F.explode(_seed_hashes(F.col("words"), F.col("at"))).alias("seed"))
+    own = own.filter(F.col("seed").isNotNull())
 
     def hits(block: int) -> DataFrame:
         mine = seeds if blocks == 1 else seeds.filter(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block)

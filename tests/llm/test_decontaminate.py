@@ -82,6 +82,23 @@ def test_empty_tables(spark):
     assert D.without_passages(documents, benchmark.limit(0)).count() == len(docs)
 
 
+def test_seeds_miss_no_window_at_either_end(spark):
+    """Every way to replace the spare words of a window that begins or ends an item and a document."""
+    docs, items = [], []
+    for size in (12, 13, 14, 15):
+        own = [f"w{size}x{k}" for k in range(size)]
+        items.append((size, " ".join(own)))
+        for first in (0, size - D.WINDOW):
+            for changed in itertools.combinations(range(D.WINDOW), D.WINDOW - D.EQUAL):
+                passage = [("other" if k in changed else w) for k, w in enumerate(own[first : first + D.WINDOW])]
+                for front, behind in (([], []), (["x"] * 9, []), ([], ["x"] * 9)):
+                    docs.append((len(docs), " ".join([*front, *passage, *behind])))
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    texts = dict(docs)
+    assert [texts[r.doc_id] for r in D.contamination(documents, benchmark).collect() if not r.contaminated] == []
+
+
 def test_query_and_plan(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
