@@ -58,12 +58,15 @@ RAW_TAGS = frozenset("script style noscript template textarea iframe svg math ob
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}}
 
+# A tag whose quoted values hold no '>' is matched whole, any other one up to its name. No part goes past a '>' in vain.
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:"[^"]{0,4096}+"[^>"']*+|'[^']{0,4096}+'[^>"']*+)*+)>"""
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:"[^">]*+"[^>"']*+|'[^'>]*+'[^>"']*+)*+)>"""
+    r"|<(/?)([a-zA-Z][^\s/>]*+)",
     re.DOTALL,
 )
+_DECLARED = re.compile("<[!?]")
+_QUOTE_OR_END = re.compile("[\"'>]")
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")
 
@@ -89,12 +92,35 @@ def _element(tag: str, attributes: str) -> tuple[str, ...]:
     return tag, *words
 
 
+def _tag_end(page: str, at: int, unclosed: set[int]) -> int:
+    """Where the tag whose name ends at ``at`` has its '>', or -1.
+
+    That is the first one outside of quoted values; if a quote is never closed,
+    the first one at all. ``unclosed`` keeps the quotes that led to no end, so
+    that each is followed once a page and the whole page is read in linear time.
+    """
+    tried, place = [], at
+    while found := _QUOTE_OR_END.search(page, place):
+        here = found.start()
+        if found[0] == ">":
+            return here
+        if here in unclosed:
+            break
+        tried.append(here)
+        place = page.find(found[0], here + 1) + 1
+        if not place:
+            break
+    unclosed.update(tried)
+    return page.find(">", at)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The leaf blocks of a page in order; forgives missing and wrong end tags."""
     out: list[Block] = []
     path: list[tuple[str, ...]] = []
     parts: list[str] = []
     linked = at = 0
+    unclosed: set[int] = set()
 
     def finish() -> None:
         nonlocal linked
@@ -117,8 +143,17 @@ def blocks_of(page: str) -> list[Block]:
         found = _MARKUP.search(page, at)
         if found is None:
             break
+        attributes, end = found[3], found.end()
+        if found[5]:
+            close = _tag_end(page, end, unclosed)
+            if close < 0:  # no tag ends any more; an open comment or declaration still takes the rest
+                rest = _DECLARED.search(page, found.start())
+                take(page[at : rest.start() if rest else len(page)])
+                at = len(page)
+                break
+            attributes, end = page[end:close], close + 1
         take(page[at : found.start()])
-        at = found.end()
+        at = end
         tag = found[2] or found[5]
         if tag is None:
             continue
@@ -147,7 +182,7 @@ def blocks_of(page: str) -> list[Block]:
                     break
                 if path[depth][0] in BLOCK_TAGS and path[depth][0] not in ("tbody", "thead"):
                     break
-            path.append(_element(tag, found[3] or found[6] or ""))
+            path.append(_element(tag, attributes))
     take(page[at:])
     finish()
     return out

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -58,6 +59,21 @@ def test_blocks():
     assert texts("<a '" * 3000 + "<p>end") != []
 
 
+def test_long_quoted_values():
+    for n in (10, 4_000, 5_000, 100_000):
+        for quote in "\"'":
+            assert texts(f"<p data-x={quote}{'a' * n}<b>x</b> tail text{quote}>Main words.</p>") == ["Main words."]
+    assert texts('<p title="never closed>one</p><p>two</p>') == ["one", "two"]
+    assert texts('<p>one<a title="x>two</a>') == ["onetwo"] and texts('<b "x" <p>one') == ["one"]
+
+
+def test_reading_is_linear():
+    for page in ('<a "' * 200_000, '<a "' * 200_000 + ">", '<p ">" ' * 200_000 + "'", "<a " * 300_000, "<p '\">" * 200_000, "<" * 300_000):
+        start = time.process_time()
+        blocks_of(page)
+        assert time.process_time() - start < 10
+
+
 @pytest.fixture(scope="module")
 def learned():
     chance = random.Random(1)
