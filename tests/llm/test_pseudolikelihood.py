@@ -52,6 +52,22 @@ def test_scores_as_a_plain_loop(monkeypatch):
     assert L.document_scores(p, [b"", b""]).tolist() == [0, 0]
 
 
+def test_every_token_is_a_target_once(monkeypatch):
+    documents = [bytes(range(1, n + 1)) for n in (1, 0, 2, 3, 1, 7, 50, 1)]
+    seen = Counter()
+
+    def spy(p, windows, target):
+        seen.update(target.tolist())
+        return {k: np.zeros_like(v) for k, v in p.items() if k in L.NAMES}
+
+    monkeypatch.setattr(L, "gradients", spy)
+    for number in range(L.ROUNDS):
+        trainer = L.Trainer(L.initial())
+        trainer.learn(documents[:3], number, L.ROUNDS)
+        trainer.learn(documents[3:], number, L.ROUNDS)
+    assert seen == Counter(c for d in documents for c in d)
+
+
 def sentences(chance, n):
     return " ".join(f"{chance.choice(['the', 'a'])} {chance.choice(['dog', 'cat', 'hen'])} {chance.choice(['sees', 'hears'])} {chance.choice(['me', 'you'])} ." for _ in range(n))
 
