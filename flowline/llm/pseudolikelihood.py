@@ -3,12 +3,16 @@
 Every token of a text is predicted from the tokens on both sides of it, as if it
 alone were hidden; the sum of the logarithms of these probabilities scores the
 text. The probability of a token is that of its class, from a network that sees
-the classes of a window around it, times that of the token within its class,
-from counts of all words of the corpus.
+a window around it, times that of the token within its class.
 
-The frequent words are classes of their own; the others share classes by their
-endings, and within a class the words are counted in hashed buckets. So the
-model has a fixed size however large the vocabulary is.
+The OWN most frequent words are classes of their own; the others share classes
+by their endings. Of the words of a class the network knows the more frequent
+ones, in number a power of the vocabulary: it sees them as themselves and tells
+them apart from both sides. All further words of a class have the probability
+of their own count in the corpus. These counts stay a Spark table, joined to the
+tokens; only those of frequent words are broadcast. Words that were never
+counted share the mass that the different words of the class make likely, spread
+over all strings of bytes.
 
 Training is data-parallel: each task trains a copy of the network on its
 documents, and the copies are averaged, weighted by what they have seen.
@@ -24,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,8 +39,10 @@ from flowline.session import cut_lineage
 #: Classes: 0 stands outside of texts, the next OWN are frequent words, the others are endings.
 CLASSES = 128
 OWN = 95
-#: Buckets of the words of a class.
-BUCKETS = 2048
+#: Other words that the network knows: as many as there are different words, to this power.
+KNOWN_POWER = 0.4
+#: Counts of words that make up one of so many tokens or more are broadcast, so there are at most so many of these.
+FREQUENT = 500_000
 #: Tokens on either side that the network sees, and its hidden units.
 SIDE = 2
 HIDDEN = 24
@@ -48,43 +54,72 @@ RATE = 0.1
 STEP_WINDOWS = 512
 SCORE_TOKENS = 8192
 
-NAMES = ("near", "hidden", "out", "bias")
-COUNTS = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("n", T.LongType())])
+NAMES = ("near", "hidden", "out", "bias", "inner", "inner_bias")
 ENCODED = T.StructType(
-    [T.StructField("doc_id", T.LongType()), T.StructField("classes", T.BinaryType()), T.StructField("within", T.DoubleType())]
+    [T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("ids", T.BinaryType())]
+    + [T.StructField("within", T.DoubleType()), T.StructField("rare", T.ArrayType(T.StringType()))]
 )
 WEIGHTS = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("value", T.DoubleType())])
 SCORED = T.StructType(
-    [T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType())]
-    + [T.StructField(c, T.DoubleType()) for c in ("log_likelihood", "mean_log_likelihood")]
+    [T.StructField(c, T.LongType()) for c in ("row", "doc_id", "n_tokens")] + [T.StructField("known", T.DoubleType())]
 )
 
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """The frequent words in order, and log probabilities of the buckets within each class."""
+    """What tasks know of the words.
+
+    ``own`` and ``known`` are the words of the network, the latter in the order of their classes, where those of the
+    n-th class of endings begin at ``first[n]``. ``frequent`` has counts of further words. Per class, ``within`` has
+    the log probabilities that a word outside of these was counted, and that it was not; ``totals`` and ``kinds``
+    have the tokens and the different words that were.
+    """
 
     own: tuple[bytes, ...]
-    within: np.ndarray | None = None
+    known: tuple[bytes, ...]
+    first: np.ndarray
+    frequent: dict[bytes, int]
+    totals: np.ndarray
+    kinds: np.ndarray
+
+    @property
+    def within(self) -> np.ndarray:
+        # Classes of one word have no others.
+        whole = np.maximum(self.totals + self.kinds + 1, 1)
+        seen = np.where(np.arange(CLASSES) <= OWN, 1 - 1e-6, np.maximum(self.totals, 1e-6) / whole)
+        return np.log(np.stack([seen, 1 - seen], 1)).ravel()
 
     def place(self) -> Memory:
-        """word -> class * BUCKETS + bucket."""
-        own = {word: k + 1 for k, word in enumerate(self.own)}
-        others = CLASSES - OWN - 1
+        """word -> its id << 40 | its count; the count is 1 for words of the network and 0 for those to be looked up."""
+        ids = {word: k + 1 for k, word in enumerate(self.own)} | {word: CLASSES + k for k, word in enumerate(self.known)}
 
         def find(word: bytes) -> int:
-            cls = own.get(word)
-            if cls is None:
-                cls = OWN + 1 + zlib.crc32(word[-2:]) % others
-            return cls * BUCKETS + zlib.crc32(word) % BUCKETS
+            own = ids.get(word)
+            return own << 40 | 1 if own is not None else class_of(word) << 40 | self.frequent.get(word, 0)
 
         return Memory(find)
 
+    def base(self) -> np.ndarray:
+        """By id, what is added to the logarithm of a word's count; 0 for words of the network."""
+        out = np.zeros(CLASSES + len(self.known))
+        out[OWN + 1 : CLASSES] = -np.log(self.totals + self.kinds + 1)[OWN + 1 :]
+        return out
+
+
+def class_of(word: bytes) -> int:
+    """The class of a word's ending."""
+    return OWN + 1 + zlib.crc32(word[-2:]) % (CLASSES - OWN - 1)
+
+
+def _class_column(word: Column) -> Column:
+    """The same in Spark."""
+    return OWN + 1 + F.crc32(F.substring(F.encode(word, "utf-8"), -2, 2)) % (CLASSES - OWN - 1)
+
 
 @functools.lru_cache(maxsize=2)
-def _vocabulary_of(pickled: bytes) -> tuple[Vocabulary, Memory]:
+def _vocabulary_of(pickled: bytes) -> tuple[np.ndarray, Memory]:
     vocabulary = pickle.loads(pickled)
-    return vocabulary, vocabulary.place()
+    return vocabulary.base(), vocabulary.place()
 
 
 def count_words(df: DataFrame) -> DataFrame:
@@ -94,56 +129,91 @@ def count_words(df: DataFrame) -> DataFrame:
 
 
 def learn_vocabulary(df: DataFrame) -> Vocabulary:
-    """From the words of all texts. The driver gets OWN words and CLASSES * BUCKETS counts, however many words there are."""
-    counted = cut_lineage(count_words(df), "word-counts")
-    top = counted.orderBy(F.desc("n"), "word").limit(OWN).collect()
-    vocabulary = Vocabulary(tuple(r.word.encode() for r in top))
-    pickled = pickle.dumps(vocabulary)
+    """From the words of all texts."""
+    return vocabulary_of_counts(cut_lineage(count_words(df), "word-counts"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, places = _vocabulary_of(pickled)
-        total = np.zeros(CLASSES * BUCKETS, np.int64)
-        for part in slices(batches, 4096):
-            places.tidy()
-            at = [places[w.encode()] for w in part.column("word").to_pylist()]
-            np.add.at(total, np.array(at, np.int64), np.array(part.column("n").to_pylist(), np.int64))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], COUNTS.names)
 
-    counts = np.zeros(CLASSES * BUCKETS)
-    for r in map_arrow(counted, run, COUNTS).groupBy("place").agg(F.sum("n").alias("n")).collect():
-        counts[r.place] = r.n
-    counts = counts.reshape(CLASSES, BUCKETS)
-    # A bucket never seen counts as half a word; a class of one word has one bucket.
-    smooth = counts + np.where(np.arange(CLASSES)[:, None] <= OWN, 1e-6, 0.5)
-    return Vocabulary(vocabulary.own, np.log(smooth / smooth.sum(1, keepdims=True)).astype(np.float32).ravel())
+def vocabulary_of_counts(counted: DataFrame) -> Vocabulary:
+    """From :func:`count_words`, written. The driver gets the network's words, at most FREQUENT counts, and sums by class."""
+    size = counted.agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n")).first()
+    top = counted.orderBy(F.desc("n"), "word").limit(OWN + int(size.kinds**KNOWN_POWER)).collect()
+    own = tuple(r.word.encode() for r in top[:OWN])
+    known = sorted((class_of(r.word.encode()), r.word.encode()) for r in top[OWN:])
+    first = np.searchsorted([k for k, _ in known], np.arange(OWN + 1, CLASSES + 1))
+
+    frequent = {r.word.encode(): r.n for r in counted.filter(F.col("n") * FREQUENT >= (size.n or 0)).collect()}
+    totals, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    sums = counted.groupBy(_class_column(F.col("word")).alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+    for r in sums.collect():
+        totals[r["class"]], kinds[r["class"]] = r.n, r.kinds
+    for r in top:
+        word = r.word.encode()
+        frequent.pop(word, None)
+        totals[class_of(word)] -= r.n
+        kinds[class_of(word)] -= 1
+    return Vocabulary(own, tuple(w for _, w in known), first, frequent, totals, kinds)
+
+
+def _code(ids: int) -> type:
+    return np.uint8 if ids <= 1 << 8 else np.uint16 if ids <= 1 << 16 else np.uint32
 
 
 def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, a byte for each token's class, and the summed log probability of the tokens within their classes."""
+    """A row number, doc_id, the tokens' ids, the summed log probability of the tokens within their classes, and rare words.
+
+    The sum lacks the logarithms of the counts of the words in ``rare``; :func:`rare_sums` looks them up. The row
+    numbers hold once the table is written.
+    """
     shared = df.sparkSession.sparkContext.broadcast(pickle.dumps(vocabulary))
+    code = _code(CLASSES + len(vocabulary.known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, places = _vocabulary_of(shared.value)
+        base, places = _vocabulary_of(shared.value)
         for part in slices(batches):
             places.tidy()
-            classes, within = [], []
+            ids, within, rare = [], [], []
             for text in part.column("text").to_pylist():
                 words = text.encode().split()
                 at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                classes.append((at // BUCKETS).astype(np.uint8).tobytes())
-                within.append(float(known.within[at].sum(dtype=np.float64)))
-            columns = [part.column("doc_id"), pa.array(classes, pa.binary()), pa.array(within, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, ENCODED.names)
+                own, n = at >> 40, at & (1 << 40) - 1
+                ids.append(own.astype(code).tobytes())
+                within.append(float(base[own].sum() + np.log(np.maximum(n, 1)).sum()))
+                rare.append([words[k].decode() for k in np.flatnonzero(n == 0)])
+            columns = [part.column("row"), part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(within, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(rare, pa.list_(pa.string()))], ENCODED.names)
 
-    return map_arrow(documents_of(df, id_col, text_col), run, ENCODED)
+    rows = documents_of(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    return map_arrow(rows, run, ENCODED)
 
 
-def initial(seed: int = 0) -> dict[str, np.ndarray]:
-    """``near`` has a row per place of the window and class, ``hidden`` the units' biases, ``out`` and ``bias`` the output."""
+def rare_sums(encoded: DataFrame, counted: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(row, rare): the summed logarithms of the counts of each row's rare words.
+
+    A word that was never counted has the class's mass for such words, times (1 / 257) ** (bytes + 1): a string of
+    256 possible bytes each and an end.
+    """
+    words = encoded.select("row", F.explode("rare").alias("word"))
+    mass = F.array(*[F.lit(float(np.log(k + 1))) for k in vocabulary.kinds])
+    unseen = F.get(mass, _class_column(F.col("word")).cast("int")) - (F.octet_length("word") + 1) * float(np.log(257))
+    return words.join(counted, "word", "left").groupBy("row").agg(F.sum(F.coalesce(F.log("n"), unseen)).alias("rare"))
+
+
+def initial(seed: int = 0, first: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """``near`` has a row per place of the window and id, ``hidden`` the units' biases, ``out`` and ``bias`` the classes.
+
+    ``inner`` and ``inner_bias`` have, for each class of endings, a row for all unknown words and one for each known
+    word; ``first`` says where the latter begin. ``group`` has the class of each id.
+    """
     chance = np.random.default_rng(seed)
+    first = np.zeros(CLASSES - OWN, np.int64) if first is None else first
+    known = int(first[-1])
+    groups = np.repeat(np.arange(OWN + 1, CLASSES), np.diff(first))
     return {
-        "near": chance.normal(0, 0.3, (2 * SIDE * CLASSES, HIDDEN)).astype(np.float32),
+        "first": first,
+        "group": np.concatenate([np.arange(CLASSES), groups]),
+        "inner": np.zeros((known + CLASSES - OWN - 1, HIDDEN), np.float32),
+        "inner_bias": np.zeros(known + CLASSES - OWN - 1, np.float32),
+        "near": chance.normal(0, 0.3, (2 * SIDE * (CLASSES + known), HIDDEN)).astype(np.float32),
         "hidden": np.zeros(HIDDEN, np.float32),
         "out": chance.normal(0, HIDDEN**-0.5, (HIDDEN, CLASSES)).astype(np.float32),
         "bias": np.zeros(CLASSES, np.float32),
@@ -154,27 +224,29 @@ def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[name].ravel() for name in NAMES])
 
 
-def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for name, like in initial().items():
-        out[name] = flat[at : at + like.size].reshape(like.shape).astype(np.float32)
-        at += like.size
+def _shaped(flat: np.ndarray, p: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The values of :func:`_flat` in the shapes of ``p``."""
+    out, at = dict(p), 0
+    for name in NAMES:
+        out[name] = flat[at : at + p[name].size].reshape(p[name].shape).astype(np.float32)
+        at += p[name].size
     return out
 
 
-def _joined(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All classes in a row with SIDE zeros around each document, the places of the tokens, and their documents."""
-    gap = bytes(SIDE)
-    row = np.frombuffer(gap + gap.join(documents) + gap, np.uint8)
-    lengths = np.array([len(d) for d in documents])
+def _joined(documents: list[bytes], ids: int = CLASSES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids in a row with SIDE zeros around each document, the places of the tokens, and their documents."""
+    code = np.dtype(_code(ids))
+    gap = bytes(SIDE * code.itemsize)
+    row = np.frombuffer(gap + gap.join(documents) + gap, code)
+    lengths = np.array([len(d) // code.itemsize for d in documents])
     owner = np.repeat(np.arange(len(documents)), lengths)
     return row, np.arange(len(owner)) + SIDE * (owner + 1), owner
 
 
-def _windows(row: np.ndarray, places: np.ndarray) -> np.ndarray:
+def _windows(row: np.ndarray, places: np.ndarray, ids: int = CLASSES) -> np.ndarray:
     """Rows of ``near`` for the tokens on both sides of each place."""
     offsets = [d for d in range(-SIDE, SIDE + 1) if d]
-    return np.stack([row[places + d].astype(np.int64) + k * CLASSES for k, d in enumerate(offsets)], 1)
+    return np.stack([row[places + d].astype(np.int64) + k * ids for k, d in enumerate(offsets)], 1)
 
 
 def _forward(p: dict[str, np.ndarray], windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,19 +262,44 @@ def _forward(p: dict[str, np.ndarray], windows: np.ndarray) -> tuple[np.ndarray,
     return h, z
 
 
+def _inner(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray, group: np.ndarray) -> Iterator[tuple]:
+    """For each class of endings with known words: its rows of ``inner``, the places of its targets, and the log
+    probabilities of their words within the class, the first column being all unknown words."""
+    first = p["first"].astype(np.int64)
+    order = np.argsort(group, kind="stable")
+    bounds = np.searchsorted(group[order], np.arange(OWN + 1, CLASSES + 1))
+    for k in np.flatnonzero((np.diff(first) > 0) & (np.diff(bounds) > 0)):
+        rows = slice(int(first[k] + k), int(first[k + 1] + k + 1))
+        at = order[bounds[k] : bounds[k + 1]]
+        z = h[at] @ p["inner"][rows].T
+        z += p["inner_bias"][rows]
+        z -= z.max(1, keepdims=True)
+        z -= np.log(np.exp(z).sum(1, keepdims=True))
+        yield rows, at, np.maximum(target[at].astype(np.int64) - (CLASSES + first[k]) + 1, 0), z
+
+
 def gradients(p: dict[str, np.ndarray], windows: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log probability of the targets."""
     n = len(target)
+    group = p["group"][target].astype(np.int64)
     h, z = _forward(p, windows)
     dz = np.exp(z)
-    dz[np.arange(n), target] -= 1
+    dz[np.arange(n), group] -= 1
     dz /= n
-    dh = (dz @ p["out"].T) * (1 - h**2)
+    dh = dz @ p["out"].T
+    inner, inner_bias = np.zeros_like(p["inner"]), np.zeros_like(p["inner_bias"])
+    for rows, at, word, within in _inner(p, h, target, group):
+        d = np.exp(within)
+        d[np.arange(len(at)), word] -= 1
+        d /= n
+        dh[at] += d @ p["inner"][rows]
+        inner[rows], inner_bias[rows] = d.T @ h[at], d.sum(0)
+    dh *= 1 - h**2
     # Sums of dh by row of ``near``; bincount is several times as fast as add.at.
     cells = (windows[:, :, None] * HIDDEN + np.arange(HIDDEN)).ravel()
     near = np.bincount(cells, np.repeat(dh[:, None], windows.shape[1], 1).ravel(), p["near"].size)
     near = near.reshape(p["near"].shape).astype(p["near"].dtype)
-    return {"near": near, "hidden": dh.sum(0), "out": h.T @ dz, "bias": dz.sum(0)}
+    return {"near": near, "hidden": dh.sum(0), "out": h.T @ dz, "bias": dz.sum(0), "inner": inner, "inner_bias": inner_bias}
 
 
 def _turn(owner: np.ndarray, rounds: int) -> np.ndarray:
@@ -216,23 +313,24 @@ class Trainer:
     def __init__(self, p: dict[str, np.ndarray]) -> None:
         self.p = {k: v.copy() for k, v in p.items()}
         self.seen = 0
-        self.memory = {k: np.full_like(v, 1e-4) for k, v in p.items()}
+        self.memory = {k: np.full_like(p[k], 1e-4) for k in NAMES}
 
     def learn(self, documents: list[bytes], number: int, rounds: int) -> None:
         """Predicts the tokens that round ``number`` of ``rounds`` takes from each document."""
-        row, places, owner = _joined(documents)
+        ids = len(self.p["group"])
+        row, places, owner = _joined(documents, ids)
         places = places[_turn(owner, rounds) == number]
         for at in range(0, len(places), STEP_WINDOWS):
             own = places[at : at + STEP_WINDOWS]
-            for name, gradient in gradients(self.p, _windows(row, own), row[own]).items():
+            for name, gradient in gradients(self.p, _windows(row, own, ids), row[own]).items():
                 self.memory[name] += gradient**2
                 self.p[name] -= RATE * gradient / np.sqrt(self.memory[name])
             self.seen += len(own)
 
 
-def train(encoded: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+def train(encoded: DataFrame, first: np.ndarray, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """``rounds`` rounds over all documents, in which every token is predicted once. The copies are summed by Spark, so the driver gets one network a round."""
-    p = initial()
+    p = initial(first=first)
     context = encoded.sparkSession.sparkContext
     for number in range(rounds):
         shared = context.broadcast(p)
@@ -240,31 +338,36 @@ def train(encoded: DataFrame, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch], number: int = number, shared=shared) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(shared.value)
             for part in slices(batches, 64):
-                trainer.learn(part.column("classes").to_pylist(), number, rounds)
+                trainer.learn(part.column("ids").to_pylist(), number, rounds)
             if trainer.seen:
                 # The last value is the weight itself.
                 values = np.append(_flat(trainer.p).astype(np.float64), 1.0) * trainer.seen
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], WEIGHTS.names)
 
-        copies = map_arrow(encoded.select("classes"), run, WEIGHTS)
+        copies = map_arrow(encoded.select("ids"), run, WEIGHTS)
         rows = copies.groupBy("place").agg(F.sum("value").alias("value")).collect()
         if not rows:
             break
         total = np.zeros(len(rows))
         for r in rows:
             total[r.place] = r.value
-        p = _shaped(total[:-1] / total[-1])
+        p = _shaped(total[:-1] / total[-1], p)
     return p
 
 
 def document_scores(p: dict[str, np.ndarray], documents: list[bytes]) -> np.ndarray:
-    """Per document the summed log probability of its tokens' classes, each seen from both sides."""
-    row, places, owner = _joined(documents)
+    """Per document the summed log probability of its tokens' classes and known words, each seen from both sides."""
+    ids = len(p["group"])
+    row, places, owner = _joined(documents, ids)
     out = np.zeros(len(documents))
     for at in range(0, len(places), SCORE_TOKENS):
         own = places[at : at + SCORE_TOKENS]
-        _, z = _forward(p, _windows(row, own))
-        out += np.bincount(owner[at : at + SCORE_TOKENS], z[np.arange(len(own)), row[own]], len(documents))
+        group = p["group"][row[own]].astype(np.int64)
+        h, z = _forward(p, _windows(row, own, ids))
+        found = z[np.arange(len(own)), group]
+        for _, of, word, within in _inner(p, h, row[own], group):
+            found[of] += within[np.arange(len(of)), word]
+        out += np.bincount(owner[at : at + SCORE_TOKENS], found, len(documents))
     return out
 
 
@@ -275,15 +378,24 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     rows and null ids give a row each; without a single token nothing is learned.
     """
     texts = documents_of(df, id_col, text_col)
-    encoded = cut_lineage(encode(texts, learn_vocabulary(texts)), "token-classes")
-    shared = df.sparkSession.sparkContext.broadcast(train(encoded))
+    counted = cut_lineage(count_words(texts), "word-counts")
+    vocabulary = vocabulary_of_counts(counted)
+    encoded = cut_lineage(encode(texts, vocabulary), "token-ids")
+    shared = df.sparkSession.sparkContext.broadcast(train(encoded, vocabulary.first))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 64):
-            documents = part.column("classes").to_pylist()
+            documents = part.column("ids").to_pylist()
             total = document_scores(shared.value, documents) + np.array(part.column("within").to_pylist())
-            n = np.array([len(d) for d in documents])
-            columns = [part.column("doc_id"), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))]
+            size = np.dtype(_code(len(shared.value["group"]))).itemsize
+            columns = [part.column("row"), part.column("doc_id"), pa.array([len(d) // size for d in documents]), pa.array(total)]
             yield pa.RecordBatch.from_arrays(columns, SCORED.names)
 
-    return map_arrow(encoded, run, SCORED)
+    scored = map_arrow(encoded.drop("rare"), run, SCORED)
+    likelihood = F.col("known") + F.coalesce("rare", F.lit(0.0))
+    return scored.join(rare_sums(encoded, counted, vocabulary), "row", "left").select(
+        "doc_id",
+        "n_tokens",
+        likelihood.alias("log_likelihood"),
+        (likelihood / F.greatest("n_tokens", F.lit(1))).alias("mean_log_likelihood"),
+    )

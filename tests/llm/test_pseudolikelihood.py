@@ -103,6 +103,65 @@ def test_vocabulary_counts_all_words(spark):
     assert np.allclose(np.exp(vocabulary.within.reshape(L.CLASSES, -1)).sum(1), 1, atol=1e-3)
 
 
+def test_gradients_and_scores_with_known_words():
+    chance = np.random.default_rng(2)
+    first = np.minimum(np.arange(L.CLASSES - L.OWN), 6) * 2
+    p = {k: v.astype(np.float64) for k, v in L.initial(4, first).items()}
+    p["inner"] += chance.normal(0, 0.5, p["inner"].shape)
+    p["inner_bias"] += chance.normal(0, 0.5, p["inner_bias"].shape)
+    ids = [*range(L.OWN - 1, L.OWN + 9), *range(L.CLASSES, L.CLASSES + 12)]
+    document = np.array(chance.choice(ids, 60), np.uint8).tobytes()
+    row, places, _ = L._joined([document], L.CLASSES + 12)
+    windows, target = L._windows(row, places, L.CLASSES + 12), row[places]
+    loss = lambda q: -L.document_scores(q, [document])[0] / len(target)
+    found = L.gradients(p, windows, target)
+    for name in L.NAMES:
+        for at in np.argwhere(np.abs(found[name]) > 1e-4)[:20:4]:
+            near = []
+            for step in (1e-5, -1e-5):
+                moved = {**p, name: p[name].copy()}
+                moved[name][tuple(at)] += step
+                near.append(loss(moved))
+            assert found[name][tuple(at)] == pytest.approx((near[0] - near[1]) / 2e-5, rel=1e-3, abs=1e-7)
+    # The probabilities of all words the network tells apart make one.
+    total = 0.0
+    for k in range(L.CLASSES + 12):
+        changed = np.frombuffer(document, np.uint8).copy()
+        changed[30] = k
+        at = slice(30, 31)
+        h, z = L._forward(p, windows[at])
+        group = p["group"][changed[at]].astype(int)
+        total += np.exp(z[0, group[0]] + sum(w[0, word[0]] for _, _, word, w in L._inner(p, h, changed[at], group)))
+    assert total == pytest.approx(1)
+
+
+def test_words_have_their_own_counts(spark, monkeypatch):
+    """However many words there are, and whether their counts are broadcast or joined."""
+    rows = [(i, " ".join(f"w{k}xq" for k in range(i % 40, 20_000, 40))) for i in range(80)] + [(80, "zzyxq zzyxq w7xq é z"), (81, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    other = spark.createDataFrame([(0, "nowherexq"), (1, "w9xq"), (2, "é"), (3, "zzyxq"), (4, "z")], "doc_id bigint, text string")
+    got = {}
+    for frequent in (1, 10**6):
+        monkeypatch.setattr(L, "FREQUENT", frequent)
+        counted = L.cut_lineage(L.count_words(df), "word-counts")
+        vocabulary = L.vocabulary_of_counts(counted)
+        assert len(vocabulary.known) == int((20_000 + 3) ** L.KNOWN_POWER) and vocabulary.within.size == 2 * L.CLASSES
+        encoded = L.cut_lineage(L.encode(df.unionAll(other), vocabulary), "ids")
+        rare = {r.row: r.rare for r in L.rare_sums(encoded, counted, vocabulary).collect()}
+        got[frequent] = [r.within + rare.get(r.row, 0) for r in sorted(encoded.collect(), key=lambda r: r.row)]
+        of = {w: L.class_of(w.encode()) for w in ("w9xq", "é", "zzyxq", "z", "nowherexq")}
+        log = lambda w, n, of=of, v=vocabulary: np.log(n / (v.totals[of[w]] + v.kinds[of[w]] + 1))
+        unseen, *seen = got[frequent][-5:]
+        counts = {r.word: r.n for r in counted.collect()}
+        words = {*vocabulary.own, *vocabulary.known}
+        for w, found in zip(("w9xq", "é", "zzyxq", "z"), seen):
+            assert found == pytest.approx(0 if w.encode() in words else log(w, counts[w]))
+        k = vocabulary.kinds[of["nowherexq"]]
+        assert unseen == pytest.approx(log("nowherexq", k + 1) - 10 * np.log(257)) and unseen < min(seen) - 20
+        assert vocabulary.totals.sum() + sum(counts[w.decode()] for w in words) == sum(counts.values())
+    assert np.allclose(got[1], got[10**6])
+
+
 def test_empty_table(spark):
     assert L.score(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
