@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowline.llm import bpe, counting, decontaminate, frames, htmltext, pseudolikelihood, quality, simhash, sketches, toxicity
+from flowline.llm import bpe, counting, decontaminate, frames, htmltext, periodic, piecebpe, pseudolikelihood, quality
+from flowline.llm import simhash, sketches, toxicity, whitening
 from flowline.llm.tables import table
 from flowline.llm.units import read_definition
 from flowline.session import scratch_path
@@ -110,3 +111,41 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudolikelihood.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), periodic.planted_period)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    # The greatest length; of several the smallest start, then the smallest period.
+    rated = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    return found.withColumn("best", F.array_max(rated)).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piecebpe.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    found = piecebpe.round_trip(table(spark, sf_dir, "documents"), model)
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model)
+    return whitening.transform(vectors, model).withColumn("identity_error", F.lit(error))
