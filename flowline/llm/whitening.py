@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,7 +80,7 @@ def _vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def _whole(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows and their whole numbers, by the size of the vector; rows that are not finite throughout are left out."""
     vectors = batch.column("vector")
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(vectors), -1)).astype(np.int64)
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(vectors), -1)).astype(np.int64)
     rows = np.flatnonzero(sizes >= 0)
     values = vectors.flatten().to_numpy(zero_copy_only=False).astype(float)  # null entries become NaN
     starts = np.cumsum(sizes[rows]) - sizes[rows]
