@@ -306,7 +306,7 @@ def ingest_run_catalog(spark, sf_dir):
     try:
         ingestion.prepare_tables(spark, [b.ORDERS_SPEC], database, base)
         two_runs(spark, sf_dir, base, database)
-        return cut_lineage(shown_orders(spark.table(f"{database}.{b.ORDERS_SPEC.name}")), "catalog-rows")
+        return cut_lineage(shown_orders(tables.CatalogStore(spark, database, b.ORDERS_SPEC).read()), "catalog-rows")
     finally:
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
@@ -317,10 +317,8 @@ def ingest_compact(spark, sf_dir):
     base, spec = scratch_path(spark, "compact"), b.ORDERS_SPEC
     delta = delta_of(spark, sf_dir, spec).withColumn("watermark", F.col("watermark").cast("timestamp"))
     current = tables.current_table(spark, base, spec)
-    current.commit(delta.repartition(32))
-    before = sum(current.files().values())
-    ingestion.compact(spark, base, spec)
-    if sum(current.files().values()) >= before:
+    current.overwrite(delta.repartition(8))
+    if not ingestion.compact(spark, base, spec):
         raise AssertionError("nothing was compacted")
     return current_orders(spark, base)
 
@@ -332,7 +330,7 @@ def stream_ingest_query(spark, sf_dir):
     as_of = b.as_of().cast("timestamp")
     delta = m.stage_to_delta(b.staged(spark, sf_dir, spec), spec, as_of)
     before = b.earlier_state(delta, spec, 1, 25).withColumn("watermark", F.col("watermark").cast("timestamp"))
-    tables.current_table(spark, base, spec).commit(before)
+    tables.current_table(spark, base, spec).overwrite(before)
     tables.stage(b.staged(spark, sf_dir, spec).repartition(4), base, spec)
     query = stream_ingest(spark, base, spec, f"{base}/checkpoint", as_of, max_files=2)
     query.awaitTermination()

@@ -11,6 +11,7 @@ from flowline.session import scratch_path
 from flowline.streaming.streams import (
     command_outcomes,
     read_latest_state,
+    read_open_commands,
     read_reached_state,
     stream_latest_state,
     stream_reached_state,
@@ -198,24 +199,29 @@ def status_revision_default(spark, sf_dir):
     return found.withColumn("version", F.col("version").cast("string"))
 
 
+# The state that an event of each type asks its user to reach.
+ASKED_FOR = {"signup": "PURCHASE", "purchase": "View", "view": "click", "click": "invalid", "INVALID": "SignUp"}
+
 REACHED = """
-SELECT 'user-' || c.user_id AS entity_id, c.ts, min(p.ts) AS reached_ts, min(p.ts) IS NOT NULL AS reached
-FROM events c LEFT JOIN events p ON p.user_id = c.user_id AND p.event_type = 'purchase'
-    AND p.ts BETWEEN c.ts AND c.ts + INTERVAL 1 DAY
-WHERE c.event_type = 'signup' GROUP BY c.event_id, c.user_id, c.ts"""
+SELECT 'user-' || c.user_id AS entity_id, c.target_state, c.ts, min(p.ts) AS reached_ts, min(p.ts) IS NOT NULL AS reached
+FROM (SELECT *, CASE event_type WHEN 'signup' THEN 'PURCHASE' WHEN 'purchase' THEN 'View' WHEN 'view' THEN 'click'
+        WHEN 'click' THEN 'invalid' ELSE 'SignUp' END AS target_state FROM events) c
+LEFT JOIN (SELECT user_id, ts, CASE event_type WHEN 'error' THEN 'invalid' ELSE event_type END AS state FROM events) p
+    ON p.user_id = c.user_id AND p.state = lower(c.target_state) AND p.ts BETWEEN c.ts AND c.ts + INTERVAL 1 DAY
+GROUP BY c.event_id, c.user_id, c.target_state, c.ts"""
 
 
-def signups(events):
-    return events.filter(F.col("state") == "signup").select(
-        "flow_id", "entity_id", F.lit("PURCHASE").alias("target_state"), "ts"
-    )
+def commands_of(events):
+    """Every event as a command to reach the state its type asks for."""
+    target = F.create_map(*[F.lit(x) for pair in ASKED_FOR.items() for x in pair])[F.col("state")]
+    return events.select("flow_id", "entity_id", target.alias("target_state"), "ts")
 
 
 @check("status_reached", REACHED)
 def status_reached(spark, sf_dir):
     events = b.event_states(spark, sf_dir)
-    found = st.reached_state(signups(events), events, DAY)
-    return local_time(found, "ts", "reached_ts").select("entity_id", "ts", "reached_ts", "reached")
+    found = st.reached_state(commands_of(events), events, DAY)
+    return local_time(found, "ts", "reached_ts").select("entity_id", "target_state", "ts", "reached_ts", "reached")
 
 
 # -- streams --------------------------------------------------------------------
@@ -234,19 +240,19 @@ def event_stream(spark, sf_dir):
 @check("stream_latest", LATEST)
 def stream_latest(spark, sf_dir):
     base = scratch_path(spark, "stream-latest")
-    stream_latest_state(event_stream(spark, sf_dir), f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return local_time(read_latest_state(spark, f"{base}/out"), "ts").drop("flow_id")
+    stream_latest_state(event_stream(spark, sf_dir), f"{base}/checkpoint").awaitTermination()
+    return local_time(read_latest_state(spark, f"{base}/checkpoint"), "ts").drop("flow_id")
 
 
 @check(
     "stream_reached",
-    f"""SELECT entity_id, ts, reached_ts, CASE WHEN reached THEN 'reached' WHEN ts + INTERVAL 1 DAY < passed THEN 'missed' ELSE 'open' END AS outcome
-    FROM ({REACHED}), (
-        SELECT least(max(ts) FILTER (WHERE event_type = 'signup'), max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 1 HOUR AS passed
-        FROM events)""",
+    f"""SELECT entity_id, target_state, ts, CASE WHEN outcome = 'reached' THEN reached_ts END AS reached_ts, outcome
+    FROM (SELECT *, CASE WHEN reached_ts <= passed THEN 'reached'
+            WHEN NOT reached AND ts + INTERVAL 1 DAY <= passed THEN 'missed' ELSE 'open' END AS outcome
+        FROM ({REACHED}), (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR AS passed FROM events))""",
 )
 def stream_reached(spark, sf_dir):
-    """The events arrive in four files by time; every command is answered or listed as open."""
+    """The events arrive in four files by time, all as commands and statuses; every command is answered or open."""
     base = scratch_path(spark, "stream-reached")
     events = b.event_states(spark, sf_dir)
     cuts = events.select(F.percentile_approx(F.unix_micros("ts"), [0.25, 0.5, 0.75])).first()[0]
@@ -255,9 +261,7 @@ def stream_reached(spark, sf_dir):
         until = F.lit(True) if high is None else F.unix_micros("ts") <= high
         events.filter(after & until).coalesce(1).write.mode("append").parquet(f"{base}/in")
     arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
-    purchases = lambda df: df.filter(F.col("state") == "purchase")
-    stream_reached_state(signups(arriving), purchases(arriving), DAY, 3600, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    newest = [df.agg(F.max("ts")).first()[0] for df in (signups(events), purchases(events))]
-    passed = F.lit(min(newest)) - F.expr("INTERVAL 1 HOUR")
-    found = command_outcomes(signups(events), read_reached_state(spark, f"{base}/out"), passed, DAY)
-    return local_time(found, "ts", "reached_ts").select("entity_id", "ts", "reached_ts", "outcome")
+    out, checkpoint = f"{base}/out", f"{base}/checkpoint"
+    stream_reached_state(commands_of(arriving), arriving, DAY, 3600, out, checkpoint).awaitTermination()
+    found = command_outcomes(commands_of(events), read_reached_state(spark, out), read_open_commands(spark, checkpoint))
+    return local_time(found, "ts", "reached_ts").select("entity_id", "target_state", "ts", "reached_ts", "outcome")

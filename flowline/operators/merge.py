@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowline.functions import audit_time, key_value, row_checksum
+from flowline.functions.scalars import ZERO_DEFAULT_TYPES
 from flowline.operators.catalog import TableSpec
-from flowline.operators.keys import distinct_apart
+from flowline.operators.keys import distinct_apart, group_apart
 from flowline.session import cut_lineage
 
 
@@ -55,10 +56,28 @@ def stage_to_delta(stg: DataFrame, spec: TableSpec, as_of: Column | None = None,
     )
 
 
-def key_part(spec: TableSpec) -> Column:
-    """The part of a table, one of ``spec.buckets``, that a row belongs to by its null-safe key."""
-    keys = [key_value(key, spec.type_of(key)) for key in spec.keys]
-    return F.pmod(F.xxhash64(*keys), F.lit(spec.buckets)).cast("int")
+def merge_key(spec: TableSpec, row: str = "") -> Column:
+    """The null-safe key as one column: rows merge where it is equal.
+
+    A single key keeps its own type, several become a text in which each is led
+    by its length, so that no two keys look alike. ``row`` names a struct that
+    holds the columns.
+    """
+    keys = [key_value(F.col(row + key), spec.type_of(key)) for key in spec.keys]
+    if len(keys) == 1:
+        return keys[0]
+    texts = [key.cast("string") for key in keys]
+    return F.concat(*[part for text in texts for part in (F.length(text).cast("string"), F.lit(":"), text)])
+
+
+def merge_key_type(spec: TableSpec) -> str:
+    kind = spec.type_of(spec.keys[0]).strip().lower()
+    return kind if len(spec.keys) == 1 and kind in ZERO_DEFAULT_TYPES else "string"
+
+
+def part_of(key: Column | str, parts: int) -> Column:
+    """The part of a table of ``parts`` parts in which a merge key lies."""
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
 def _key_names(spec: TableSpec) -> list[str]:
@@ -127,14 +146,12 @@ def merge_current(
     as_of: Column | None = None,
     on_duplicate: str = "error",
     with_action: bool = False,
-    gather: Column | None = None,
 ) -> DataFrame:
     """The next state of ``target`` after merging ``delta`` by null-safe keys.
 
     Matched rows whose checksum differs take the delta's values and the current
     time, but never a new value of the cluster column; unmatched delta rows are
-    inserted; everything else is kept as it is. ``gather`` brings the inserted
-    rows, and only these, together by a value, for a table stored by it.
+    inserted; everything else is kept as it is.
     """
     existing, inserted = _classified(target, delta, spec, on_duplicate)
     updated = F.col("action") == "update"
@@ -153,8 +170,6 @@ def merge_current(
         *extra,
     )
     new = inserted.select(*[F.col(f"d.{c}").alias(c) for c in columns], now.alias("watermark"), *extra)
-    if gather is not None:
-        new = new.withColumn("_gather", gather).hint("rebalance", "_gather").drop("_gather")
     return after.unionByName(new)
 
 
@@ -172,3 +187,44 @@ def merge_report(
     target: DataFrame, delta: DataFrame, spec: TableSpec, on_duplicate: str = "error"
 ) -> DataFrame:
     return merge_actions(target, delta, spec, on_duplicate).groupBy("action").agg(F.count("*").alias("n"))
+
+
+# -- merging into a stored table ------------------------------------------------
+
+
+def incoming_rows(delta: DataFrame, spec: TableSpec, on_duplicate: str = "error") -> DataFrame:
+    """One delta row per merge key, written out: merge_key and the row as struct ``d``."""
+    return _delta_by_key(delta, spec, on_duplicate).select(merge_key(spec, "d.").alias("merge_key"), "d")
+
+
+def changes_of(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The incoming rows that change anything: merge_key, d and action, insert or update.
+
+    Of ``stored`` only merge_key and checksum are read, and it is not shuffled
+    while the incoming keys are small enough for a broadcast or its buckets are
+    by merge_key. Rows that are known already are left out, so that meeting them
+    again costs no write.
+    """
+    sums = incoming.select("merge_key", F.col("d.checksum").alias("_new"))
+    met = stored.select("merge_key", "checksum").join(sums, "merge_key")
+    # A null checksum on either side is no change.
+    known = group_apart(met, ["merge_key"], F.max(F.col("checksum") != F.col("_new")).alias("_changed"), F.lit(1).alias("_known"))
+    action = F.when(F.col("_known").isNull(), "insert").when(F.col("_changed"), "update")
+    return incoming.join(known, "merge_key", "left").select("merge_key", "d", action.alias("action")).filter("action IS NOT NULL")
+
+
+def updated_rows(stored: DataFrame, changes: DataFrame, spec: TableSpec, as_of: Column | None = None) -> DataFrame:
+    """``stored`` with the updates among ``changes`` applied, by :func:`merge_current`'s rules; the other columns stay."""
+    updates = changes.filter("action = 'update'").select("merge_key", "d")
+    changed = F.coalesce(F.col("checksum") != F.col("d.checksum"), F.lit(False))
+    fixed = (spec.clustered_by or "").lower()
+    new = {c: F.col(f"d.{c}") for c in [*spec.column_names, "checksum"] if c.lower() != fixed}
+    new["watermark"] = audit_time(as_of)
+    picked = [F.when(changed, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in stored.columns]
+    return stored.join(updates, "merge_key", "left").select(*picked)
+
+
+def inserted_rows(changes: DataFrame, spec: TableSpec, as_of: Column | None = None) -> DataFrame:
+    """The inserts among ``changes`` as rows of the table, with their merge_key."""
+    columns = [F.col(f"d.{c}").alias(c) for c in [*spec.column_names, "checksum"]]
+    return changes.filter("action = 'insert'").select(*columns, audit_time(as_of).alias("watermark"), "merge_key")

@@ -2,59 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowline.functions.scalars import ZERO_DEFAULT_TYPES
-from flowline.operators.catalog import TableSpec
-from flowline.operators.merge import key_part
-
-
-class VersionedTable:
-    """A table whose states lie side by side as ``v=<n>`` folders.
-
-    A new state never overwrites the files it was computed from. A version
-    counts once its write job has committed, which Spark marks with _SUCCESS,
-    so a run that dies halfway leaves the previous state current.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, fmt: str = "orc"):
-        self.spark, self.path, self.schema, self.fmt = spark, path.rstrip("/"), schema, fmt
-
-    def _hadoop(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _hadoop_path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-
-    def versions(self) -> list[int]:
-        marks = self._hadoop().globStatus(self._hadoop_path("v=*/_SUCCESS")) or []
-        return sorted(int(m.getPath().getParent().getName()[2:]) for m in marks)
-
-    def location(self, version: int) -> str:
-        return f"{self.path}/v={version}"
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The given or newest state; empty before the first commit."""
-        if version is None:
-            known = self.versions()
-            if not known:
-                return self.spark.createDataFrame([], self.schema)
-            version = known[-1]
-        return self.spark.read.schema(self.schema).format(self.fmt).load(self.location(version))
-
-    def commit(self, df: DataFrame, version: int | None = None, keep: int = 2) -> int:
-        """Writes the next (or the given) state and drops all but the last ``keep`` ones."""
-        known = self.versions()
-        if version is None:
-            version = known[-1] + 1 if known else 0
-        df.write.mode("overwrite").format(self.fmt).save(self.location(version))
-        fs = self._hadoop()
-        for old in [v for v in known if v <= version - keep]:
-            fs.delete(self._hadoop_path(f"v={old}"), True)
-        return version
+from flowline.operators.catalog import AUDIT_COLUMNS, TableSpec
+from flowline.operators.merge import merge_key, merge_key_type, part_of
 
 
 def stage_path(base: str, spec: TableSpec) -> str:
@@ -92,75 +49,136 @@ def truncate_delta(spark: SparkSession, base: str, spec: TableSpec) -> None:
     spark.createDataFrame([], spec.ddl(audit=True)).write.mode("overwrite").orc(delta_path(base, spec))
 
 
+#: Stored bytes of a part of a current table. A merge rewrites the parts that hold a change.
+PART_BYTES = 1 << 30
+
+#: The database for tables that are known by their folder only.
+FOLDER_TABLES = "flowline"
+
+
+def parts_for(stored_bytes: int, part_bytes: int = PART_BYTES) -> int:
+    return max(1, -(-stored_bytes // part_bytes))
+
+
 class CurrentTable:
-    """The current state of an object, stored in parts by a hash of its key.
+    """The current state of an object: a catalog table partitioned by a hash of the merge key.
+
+    A merge replaces the partitions in which a row changes, by Spark's dynamic
+    partition overwrite; the others are not touched. The partition column
+    ``parts`` says into how many parts the table is dealt, ``part`` which one it
+    is. Rows that replace others are first written beside the table: a run that
+    dies while Spark exchanges the partitions is finished by the next one that
+    opens the table.
 
-    ``data/v=<n>/part=<k>`` holds a part as the n-th commit left it; the table
-    ``commits`` says for each commit in which folder every part lies, and its own
-    commit is what makes the new state count. A commit writes only the parts it
-    is about, so its cost follows the change and not the table, and a run that
-    dies halfway leaves the previous state current.
+    A table known by its folder also stores its merge key and is bucketed and
+    sorted by it, so that a join on it shuffles the other side only.
     """
 
-    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, fmt: str = "orc"):
-        self.spark, self.path, self.spec, self.fmt = spark, path.rstrip("/"), spec, fmt
-        self.schema = spec.ddl(audit=True)
-        self.commits = VersionedTable(spark, f"{self.path}/commits", "part int, version bigint", "parquet")
+    def __init__(self, spark: SparkSession, spec: TableSpec, name: str, by_key: bool):
+        self.spark, self.spec, self.name, self.by_key = spark, spec, name, by_key
+        self.columns = [*spec.column_names, *(name for name, _ in AUDIT_COLUMNS)]
+        self.stored = [*self.columns, *(["merge_key"] if by_key else []), "parts", "part"]
+        self.bucket_column = "merge_key" if by_key else spec.bucket_column
+        self.path = next(r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r.col_name == "Location")
+        self.following = f"{self.path.rstrip('/')}__next"
+        self._hadoop().mkdirs(self._hadoop_path(self.path))
+        self._learn_partitions()
+        if self._hadoop().exists(self._hadoop_path(f"{self.following}/_SUCCESS")):
+            self._exchange()
+
+    def _hadoop_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _hadoop(self):
+        return self._hadoop_path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _deal(self) -> dict[int, list[int]]:
+        """The parts there are, by the number of parts they are dealt into: one such number, save while it changes."""
+        found: dict[int, list[int]] = {}
+        for row in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect():
+            values = dict(item.split("=") for item in row.partition.split("/"))
+            found.setdefault(int(values["parts"]), []).append(int(values["part"]))
+        return found
 
-    def versions(self) -> list[int]:
-        return self.commits.versions()
+    def parts(self) -> int | None:
+        """Into how many parts the table is dealt; None before the first rows."""
+        return next(iter(self._deal()), None)
 
-    def folders(self, version: int | None = None) -> dict[int, int]:
-        """The commit that wrote each part of a state; at most ``spec.buckets`` entries."""
-        return {r.part: r.version for r in self.commits.read(version).collect()}
+    def rows(self, parts: Sequence[int] | None = None) -> DataFrame:
+        """The rows, or those of some parts, with their merge_key and part."""
+        rows = self.spark.table(self.name)
+        if parts is not None:
+            rows = rows.filter(F.col("part").isin(list(parts)))
+        key = "merge_key" if self.by_key else merge_key(self.spec).alias("merge_key")
+        return rows.select(*self.columns, key, "part")
 
     def read(self, parts: Sequence[int] | None = None) -> DataFrame:
-        """The newest state, or some parts of it; empty before the first commit."""
-        folders = self.folders()
-        chosen = [p for p in folders if parts is None or p in set(parts)]
-        if not chosen:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/data/v={folders[p]}/part={p}" for p in sorted(chosen)]
-        return self.spark.read.schema(self.schema).format(self.fmt).load(paths)
-
-    def touched(self, delta: DataFrame) -> list[int]:
-        """The parts in which the keys of ``delta`` lie."""
-        return sorted(r[0] for r in delta.select(key_part(self.spec)).distinct().collect())
-
-    def _listed(self, pattern: str) -> list[tuple[int, int]]:
-        """(part, commit) of the stored folders of parts."""
-        found = self.commits._hadoop().globStatus(self.commits._hadoop_path(f"../data/{pattern}")) or []
-        paths = [f.getPath() for f in found]
-        return [(int(p.getName()[5:]), int(p.getParent().getName()[2:])) for p in paths]
-
-    def commit(self, df: DataFrame, parts: Sequence[int] | None = None, keep: int = 2) -> int:
-        """Replaces the given parts, or all, by ``df`` and drops what the last ``keep`` states do not use."""
-        known = self.versions()
-        version = known[-1] + 1 if known else 0
-        writer = df.withColumn("part", key_part(self.spec)).write.mode("overwrite").partitionBy("part")
-        writer.format(self.fmt).save(f"{self.path}/data/v={version}")
-        state = {} if parts is None else {p: v for p, v in self.folders().items() if p not in set(parts)}
-        state |= {p: v for p, v in self._listed(f"v={version}/part=*")}
-        rows = self.spark.createDataFrame(sorted(state.items()), "part int, version bigint")
-        self.commits.commit(rows.coalesce(1), version, keep)
-        used = {entry for v in self.versions()[-keep:] for entry in self.folders(v).items()}
-        fs = self.commits._hadoop()
-        for part, wrote in self._listed("v=*/part=*"):
-            if (part, wrote) not in used:
-                fs.delete(self.commits._hadoop_path(f"../data/v={wrote}/part={part}"), True)
-        return version
-
-    def files(self) -> dict[int, int]:
-        """Number of files per part of the newest state."""
-        fs, found = self.commits._hadoop(), {}
-        for part, version in self.folders().items():
-            inside = fs.globStatus(self.commits._hadoop_path(f"../data/v={version}/part={part}/part-*")) or []
-            found[part] = len(inside)
-        return found
+        return self.rows(parts).select(*self.columns)
+
+    def replace(self, rows: DataFrame, parts: int) -> None:
+        """Replaces the parts in which ``rows`` lie; ``rows`` are those of :meth:`rows`, dealt into ``parts`` parts.
+
+        A number of parts other than the table's replaces the whole table.
+        """
+        dealt = rows.withColumn("parts", F.lit(parts)).select(*self.columns, "merge_key", "parts", "part")
+        dealt.write.mode("overwrite").partitionBy("parts", "part").orc(self.following)
+        self._exchange()
+
+    def _exchange(self) -> None:
+        schema = f"{self.spec.ddl(audit=True)}, merge_key {merge_key_type(self.spec)}, parts int, part int"
+        rows = self.spark.read.schema(schema).orc(self.following).select(*self.stored)
+        if not self.by_key:
+            rows = rows.hint("rebalance", self.spec.buckets, self.bucket_column)
+        rows.write.insertInto(self.name, overwrite=True)
+        statuses = self._hadoop().listStatus(self._hadoop_path(self.following))
+        new = {f.getPath().getName() for f in statuses if f.getPath().getName().startswith("parts=")}
+        self._drop([f"parts={old}" for old in self._deal() if new and f"parts={old}" not in new])
+        self._hadoop().delete(self._hadoop_path(self.following), True)
+
+    def _drop(self, folders: Sequence[str]) -> None:
+        for folder in folders:
+            self._hadoop().delete(self._hadoop_path(f"{self.path}/{folder}"), True)
+        if folders:
+            self._learn_partitions()
+
+    def _learn_partitions(self) -> None:
+        self.spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
+
+    def overwrite(self, df: DataFrame, parts: int | None = None) -> None:
+        """Makes ``df`` the table's content: its columns with audit columns, dealt into ``parts`` parts."""
+        parts = parts or self.parts() or 1
+        rows = df.select(*self.columns, merge_key(self.spec).alias("merge_key"))
+        gone = self._deal().get(parts, [])
+        self.replace(rows.withColumn("part", part_of("merge_key", parts)), parts)
+        if gone:
+            kept = {r.part for r in df.select(part_of(merge_key(self.spec), parts).alias("part")).distinct().collect()}
+            self._drop([f"parts={parts}/part={part}" for part in set(gone) - kept])
+
+    def files(self) -> DataFrame:
+        """The files of the table: part, bucket, file_path, file_size."""
+        found = self.spark.table(self.name).select("part", "_metadata.file_path", "_metadata.file_size").distinct()
+        return found.withColumn("bucket", F.regexp_extract("file_path", r"_(\d+)\.[^/]*$", 1).cast("int"))
+
+
+def _current_ddl(spec: TableSpec, name: str, bucket_column: str, more: str = "") -> str:
+    sort = f" SORTED BY ({bucket_column})" if more else ""
+    return (
+        f"CREATE TABLE IF NOT EXISTS {name} ({spec.ddl(audit=True)}{more}, parts INT, part INT) USING ORC "
+        f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (parts, part) "
+        f"CLUSTERED BY (`{bucket_column}`){sort} INTO {spec.buckets} BUCKETS"
+    )
 
 
 def current_table(spark: SparkSession, base: str, spec: TableSpec) -> CurrentTable:
-    return CurrentTable(spark, f"{base.rstrip('/')}/{spec.name}", spec)
+    """The current table of an object in a folder below ``base``, whose definition this session's catalog learns."""
+    path = f"{base.rstrip('/')}/{spec.name}"
+    if "://" not in path:
+        path = f"file://{os.path.abspath(path)}" if spark.sparkContext.master.startswith("local") else path
+    name = f"{FOLDER_TABLES}.t_{hashlib.md5(path.encode()).hexdigest()}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {FOLDER_TABLES}")
+    ddl = _current_ddl(spec, name, "merge_key", f", merge_key {merge_key_type(spec)}")
+    spark.sql(f"{ddl} LOCATION '{path}'")
+    return CurrentTable(spark, spec, name, by_key=True)
 
 
 class PathStore:
@@ -184,49 +202,14 @@ class PathStore:
 
 
 class CatalogStore:
-    """Delta and current table of one object as the bucketed tables of ``create_tables``.
-
-    A new state is written as a table of its own and takes the current name by
-    renaming, as a table cannot be overwritten with a result read from it. The
-    old state keeps a name until the new one has its place, and whoever opens
-    the store first puts right what a run that died in between has left.
-    """
+    """Delta and current table of one object as the bucketed tables of ``create_tables``."""
 
     def __init__(self, spark: SparkSession, database: str, spec: TableSpec):
         self.spark, self.spec, self.name = spark, spec, f"{database}.{spec.name}"
-        self.following, self.previous = f"{self.name}__next", f"{self.name}__previous"
-        self.recover()
-
-    def _run(self, statement: str) -> None:
-        self.spark.sql(statement)
-
-    def recover(self) -> None:
-        """Finishes or undoes a commit that did not end; does nothing otherwise."""
-        there = self.spark.catalog.tableExists
-        if there(self.name):
-            # Either nothing was renamed yet, or both renames are done: in both cases this is the state that counts.
-            for leftover in (self.following, self.previous):
-                if there(leftover):
-                    self._run(f"DROP TABLE {leftover}")
-        elif there(self.previous):
-            # The old state was moved away, which happens only after the new one was written in full.
-            newest = self.following if there(self.following) else self.previous
-            self._run(f"ALTER TABLE {newest} RENAME TO {self.name}")
-            if newest == self.following:
-                self._run(f"DROP TABLE {self.previous}")
+        self.current = CurrentTable(spark, spec, self.name, by_key=False)
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.name)
-
-    def commit(self, df: DataFrame) -> None:
-        spec = self.spec
-        self.recover()
-        writer = df.write.format("orc").bucketBy(spec.buckets, spec.bucket_column).sortBy(*spec.keys)
-        # A write that died may have left files without a table; this is the place of no other.
-        writer.mode("overwrite").saveAsTable(self.following)
-        self._run(f"ALTER TABLE {self.name} RENAME TO {self.previous}")
-        self._run(f"ALTER TABLE {self.following} RENAME TO {self.name}")
-        self._run(f"DROP TABLE {self.previous}")
+        return self.current.read()
 
     def insert_delta(self, delta: DataFrame) -> None:
         delta.write.insertInto(f"{self.name}_delta")
@@ -254,7 +237,7 @@ def table_statements(spec: TableSpec, database: str, base: str) -> dict[str, str
             f"USING ORC LOCATION '{stage_path(base, spec)}'"
         ),
         "delta_table_sql": f"CREATE TABLE IF NOT EXISTS {database}.{spec.name}_delta ({spec.ddl(audit=True)}) {bucketed}",
-        "txn_table_sql": f"CREATE TABLE IF NOT EXISTS {database}.{spec.name} ({spec.ddl(audit=True)}) {bucketed}",
+        "txn_table_sql": _current_ddl(spec, f"{database}.{spec.name}", spec.bucket_column),
     }
 
 
@@ -288,7 +271,6 @@ def pipeline_statements(spec: TableSpec, database: str) -> dict[str, str]:
 
 def create_tables(spark: SparkSession, spec: TableSpec, database: str, base: str) -> dict[str, str]:
     """Creates the three tables; returns these statements and those of the pipeline."""
-    CatalogStore(spark, database, spec).recover()
     statements = table_statements(spec, database, base)
     for statement in statements.values():
         spark.sql(statement)

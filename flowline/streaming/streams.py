@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import bisect
+import contextlib
+from collections.abc import Callable, Iterator
 from functools import reduce
 from operator import and_
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState
 
 from flowline.operators.catalog import TableSpec
 from flowline.operators.merge import stage_to_delta
 from flowline.operators.status import latest_per_entity
 from flowline.plans.ingestion import merge_delta
 from flowline.session import cut_lineage, scratch_scope
-from flowline.sources.tables import PathStore, VersionedTable, stage_path
+from flowline.sources.tables import PathStore, stage_path
 
 
 def _trigger(every: str | None) -> dict:
@@ -38,7 +42,10 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Merges whatever arrives in the staging directory into the current table.
 
-    Merging is idempotent, so a batch repeated after a failure changes nothing.
+    A batch writes the parts in which it changes a row. Merging is idempotent, so
+    a batch repeated after a failure finds nothing left to change and writes
+    nothing; parts whose exchange did not end are put in place when the stream
+    starts again.
     """
     store = PathStore(spark, base, spec)
 
@@ -52,70 +59,100 @@ def stream_ingest(
     return writer.trigger(**_trigger(every)).start()
 
 
-# -- latest state ---------------------------------------------------------------
-
+# -- keyed state ----------------------------------------------------------------
 
-def stream_latest_state(
-    statuses: DataFrame, out: str, checkpoint: str, every: str | None = None, merge_every: int = 50
-) -> StreamingQuery:
-    """Keeps the newest row per entity; every batch writes the entities that changed.
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_PACKAGE = "org.apache.spark.sql.execution.streaming.state."
 
-    One folder per batch id makes a repeated batch overwrite itself. After
-    ``merge_every`` batches they are merged into one table, the next version of
-    the last one, and dropped, so readers never meet more folders than that.
-    """
-    latest = latest_per_entity(statuses)
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{out}/batches/batch={batch_id}")
-        if (batch_id + 1) % merge_every == 0:
-            merged = _merged(spark, out, batch.schema)
-            # A batch that is repeated after its merge has nothing to add to it.
-            if batch_id not in merged.versions():
-                merged.commit(_latest(spark, out, batch.schema), batch_id)
-            for old in _batches(merged):
-                if old <= batch_id:
-                    merged._hadoop().delete(merged._hadoop_path(f"../batches/batch={old}"), True)
-
-    writer = latest.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint)
-    return writer.trigger(**_trigger(every)).start()
 
+@contextlib.contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, not in memory, unless the session names a store of its own."""
+    chosen = spark.conf.get(_STORE)
+    if chosen.endswith(".HDFSBackedStateStoreProvider"):
+        spark.conf.set(_STORE, f"{_PACKAGE}RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_STORE, chosen)
 
-def _merged(spark: SparkSession, out: str, schema: StructType) -> VersionedTable:
-    return VersionedTable(spark, f"{out}/merged", schema, "parquet")
 
+# -- latest state ---------------------------------------------------------------
 
-def _batches(merged: VersionedTable) -> list[int]:
-    found = merged._hadoop().globStatus(merged._hadoop_path("../batches/batch=*")) or []
-    return sorted(int(f.getPath().getName()[6:]) for f in found)
 
+def stream_latest_state(
+    statuses: DataFrame,
+    checkpoint: str,
+    every: str | None = None,
+    changed: Callable[[DataFrame, int], None] | None = None,
+) -> StreamingQuery:
+    """Keeps the newest row per entity in the engine's keyed state, below ``checkpoint``.
 
-def _latest(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
-    """The newest rows of the last merged table and the batches since."""
-    merged = _merged(spark, out, schema)
-    done = merged.versions()[-1:]
-    newer = [n for n in _batches(merged) if not done or n > done[0]]
-    rows = merged.read()
-    if newer:
-        rows = rows.unionByName(spark.read.schema(schema).parquet(*[f"{out}/batches/batch={n}" for n in newer]))
-    return latest_per_entity(rows)
+    A batch reads and writes the state of its own entities only.
+    ``changed(rows, batch_id)`` gets the entities of each batch with their newest
+    rows; a batch that is repeated after a failure is given to it again.
+    """
+    writer = latest_per_entity(statuses).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    writer = writer.format("noop") if changed is None else writer.foreachBatch(changed)
+    with _state_on_disk(statuses.sparkSession):
+        return writer.trigger(**_trigger(every)).start()
 
 
-def read_latest_state(spark: SparkSession, out: str) -> DataFrame:
-    """The newest row per entity that the stream has written."""
-    known = _merged(spark, out, StructType())
-    folders = [known.location(v) for v in known.versions()] + [f"{out}/batches/batch={n}" for n in _batches(known)]
-    return _latest(spark, out, spark.read.parquet(folders[-1]).schema)
+def read_latest_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The newest row per entity as of the stream's last finished batch, from its state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.*", "value.valueWithExtremumOrdering.*")
 
 
 # -- reached state --------------------------------------------------------------
 
 COMMAND = ["flow_id", "entity_id", "target_state", "ts"]
-
-
-def _seconds(n: float) -> Column:
-    return F.make_dt_interval(secs=F.lit(n).cast("decimal(18,6)"))
+_KEY = ["flow_id", "entity_id", "state_key", "slot"]
+_ANSWER = "flow_id string, entity_id string, target_state string, asked_at bigint, reached boolean, reached_at bigint"
+_WAITING = "asked_at array<bigint>, target_state array<string>, seen_at array<bigint>"
+
+#: Length of a time slot of an entity, in windows. A shorter one spreads a busy entity over more of them; a status
+#: that lies less than a window behind the start of its slot goes to the slot before as well.
+SLOT_WINDOWS = 16
+
+
+class _Waiting:
+    """What is known of one entity, target state and time slot, as lists of microseconds."""
+
+    def __init__(self, slot_end: int, within: int, watermark: int, state: GroupState) -> None:
+        asked_at, targets, seen_at = state.get if state.exists else ((), (), ())
+        self.asked, self.seen = set(zip(asked_at, targets)), set(seen_at)
+        self.slot_end, self.within, self.watermark, self.state = slot_end, within, watermark, state
+
+    def add(self, rows: pd.DataFrame) -> None:
+        is_command = rows["is_command"].to_numpy(bool)
+        at = rows["at"].to_numpy()
+        self.seen.update(at[~is_command].tolist())
+        self.asked.update(zip(at[is_command].tolist(), rows["target_state"][is_command]))
+
+    def close(self) -> list[tuple[str, int, int | None]]:
+        """Commands whose answer no row to come can change: (target state, asked, reached)."""
+        seen, done, still_open, wake = sorted(self.seen), [], [], []
+        for asked_at, target in sorted(self.asked):
+            at = bisect.bisect_left(seen, asked_at)
+            first = seen[at] if at < len(seen) and seen[at] <= asked_at + self.within else None
+            known_at = asked_at + self.within if first is None else first
+            if known_at <= self.watermark:
+                done.append((target, asked_at, first))
+            else:
+                still_open.append((asked_at, target))
+                wake.append(known_at)
+        # Commands to come lie behind the watermark; until the slot is over they may ask for what was seen.
+        oldest = min([self.watermark, *(asked_at for asked_at, _ in still_open)])
+        seen = [t for t in seen if t >= oldest]
+        if not still_open and (not seen or self.slot_end <= self.watermark):
+            self.state.remove()
+        else:
+            self.state.update(([a for a, _ in still_open], [t for _, t in still_open], seen))
+            # A time-out fires once the watermark lies behind it.
+            due = -(-min(wake, default=self.slot_end) // 1000) - 1
+            self.state.setTimeoutTimestamp(max(due, self.watermark // 1000 + 1))
+        return done
 
 
 def stream_reached_state(
@@ -127,51 +164,86 @@ def stream_reached_state(
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Answers every command once its state is reached, and once more if its window passes without.
-
-    Both streams carry a watermark of ``delay_seconds`` and lose their copies;
-    then the engine's outer join over the time interval keeps, per key, what can
-    still meet. A command is answered by every status in its window as it comes
-    in, of which :func:`read_reached_state` takes the first, and by none when
-    the watermark has passed the window. Rows behind the watermark are dropped
-    on arrival; :func:`command_outcomes` tells which commands that concerns.
+    """Answers every command once, as soon as no status to come can change the answer.
+
+    Keyed state holds, per entity, target state and time slot, the commands
+    without an answer and the instants of statuses that may still answer one; an
+    event-time timer wakes it when the watermark, ``delay_seconds`` behind the
+    slower stream, has passed the first status in a command's window or the
+    window itself. No pairs are formed. Rows behind the watermark and rows
+    without a time are dropped on arrival; :func:`command_outcomes` tells which
+    commands that concerns.
     """
     delay = f"{int(delay_seconds * 1000)} milliseconds"
-    asked = commands.select(*COMMAND, F.lower("target_state").alias("state_key"))
-    asked = asked.withWatermark("ts", delay).dropDuplicates(COMMAND)
-    reported = statuses.select(
-        F.col("flow_id").alias("s_flow_id"), F.col("entity_id").alias("s_entity_id"), F.lower("state").alias("s_state_key"),
-        F.col("ts").alias("status_ts"),
+    within = max(1, round(within_seconds * 1_000_000))
+    length = within * SLOT_WINDOWS
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    slot = F.floor(at / F.lit(length))
+    slots = F.when(at - slot * length <= within, F.array(slot, slot - 1)).otherwise(F.array(slot))
+    asked = commands.withWatermark("ts", delay).select(
+        "flow_id", "entity_id", F.lower("target_state").alias("state_key"), slot.alias("slot"), "ts", "target_state",
+        F.lit(True).alias("is_command"),
+    )
+    reported = statuses.withWatermark("ts", delay).select(
+        "flow_id", "entity_id", F.lower("state").alias("state_key"),
+        F.explode(slots).alias("slot"), "ts", F.lit(None).cast("string").alias("target_state"),
+        F.lit(False).alias("is_command"),
+    )
+    events = asked.unionByName(reported).filter("ts IS NOT NULL").withColumn("at", at)
+
+    def answer(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting = _Waiting((int(key[3]) + 1) * length, within, state.getCurrentWatermarkMs() * 1000, state)
+        for rows in chunks:
+            waiting.add(rows)
+        done = waiting.close()
+        if done:
+            yield pd.DataFrame(
+                {
+                    "flow_id": key[0],
+                    "entity_id": key[1],
+                    "target_state": [target for target, _, _ in done],
+                    "asked_at": [asked_at for _, asked_at, _ in done],
+                    "reached": [first is not None for _, _, first in done],
+                    "reached_at": [first or 0 for _, _, first in done],
+                }
+            )
+
+    answers = events.groupBy(*_KEY).applyInPandasWithState(answer, _ANSWER, _WAITING, "append", "EventTimeTimeout")
+    answers = answers.select(
+        "flow_id", "entity_id", "target_state", F.timestamp_micros("asked_at").alias("ts"),
+        F.when(F.col("reached"), F.timestamp_micros("reached_at")).alias("reached_ts"), "reached",
     )
-    reported = reported.withWatermark("status_ts", delay).dropDuplicates(["s_flow_id", "s_entity_id", "s_state_key", "status_ts"])
-    same = [F.col(f"s_{c}") == F.col(c) for c in ("flow_id", "entity_id", "state_key")]
-    # As text: the engine derives the limits of its state from an interval it can read as a literal.
-    within = F.expr(f"status_ts >= ts AND status_ts <= ts + INTERVAL '{within_seconds:.6f}' SECOND")
-    answers = asked.join(reported, reduce(and_, [*same, within]), "leftOuter").select(*COMMAND, "status_ts")
     writer = answers.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    return writer.outputMode("append").trigger(**_trigger(every)).start()
+    with _state_on_disk(commands.sparkSession):
+        return writer.outputMode("append").trigger(**_trigger(every)).start()
 
 
 def read_reached_state(spark: SparkSession, out: str) -> DataFrame:
     """One row per answered command: the first status in its window, and whether there was one."""
-    schema = "flow_id string, entity_id string, target_state string, ts timestamp, status_ts timestamp"
-    found = spark.read.schema(schema).parquet(out).groupBy(*COMMAND).agg(F.min("status_ts").alias("reached_ts"))
-    return found.withColumn("reached", F.col("reached_ts").isNotNull())
+    schema = "flow_id string, entity_id string, target_state string, ts timestamp, reached_ts timestamp, reached boolean"
+    return spark.read.schema(schema).parquet(out)
+
 
+def read_open_commands(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The commands that wait for their answer as of the stream's last finished batch, from its state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    asked = F.explode(F.arrays_zip("value.groupState.asked_at", "value.groupState.target_state")).alias("asked")
+    return state.select("key.flow_id", "key.entity_id", asked).select(
+        "flow_id", "entity_id", "asked.target_state", F.timestamp_micros("asked.asked_at").alias("ts")
+    )
 
-def command_outcomes(commands: DataFrame, answers: DataFrame, watermark: Column, within_seconds: float) -> DataFrame:
+
+def command_outcomes(commands: DataFrame, answers: DataFrame, waiting: DataFrame) -> DataFrame:
     """Every command with what became of it: reached, missed, open, or late.
 
-    ``answers`` is what :func:`read_reached_state` gives and ``watermark`` how
-    far the stream has come. Unanswered commands whose window it has not passed
-    are open; others came behind it and were dropped.
+    ``answers`` and ``waiting`` are what :func:`read_reached_state` and
+    :func:`read_open_commands` give. A command the stream has read and that is in
+    neither came behind the watermark and was dropped: it is late.
     """
-    still_open = F.col("ts") + _seconds(within_seconds) >= watermark
-    outcome = (
-        F.when(F.col("reached"), "reached")
-        .when(~F.col("reached"), "missed")
-        .otherwise(F.when(still_open, "open").otherwise("late"))
-    )
-    keyed = answers.select(*[F.col(c).alias(f"a_{c}") for c in COMMAND], "reached_ts", "reached")
-    same = reduce(and_, [F.col(c) == F.col(f"a_{c}") for c in COMMAND])
-    return commands.join(keyed, same, "left").select(*commands.columns, "reached_ts", outcome.alias("outcome"))
+    answered = answers.withColumn("outcome", F.when(F.col("reached"), "reached").otherwise("missed")).drop("reached")
+    still_open = waiting.select(*COMMAND, F.lit(None).cast("timestamp").alias("reached_ts"), F.lit("open").alias("outcome"))
+    known = answered.unionByName(still_open)
+    keyed = known.select(*[F.col(c).alias(f"a_{c}") for c in COMMAND], "reached_ts", "outcome")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"a_{c}")) for c in COMMAND])
+    outcome = F.coalesce("outcome", F.lit("late")).alias("outcome")
+    return commands.join(keyed, same, "left").select(*commands.columns, "reached_ts", outcome)

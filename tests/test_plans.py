@@ -12,7 +12,7 @@ from flowline.operators import merge as m
 from flowline.operators import reconcile as r
 from flowline.operators import status as st
 from flowline.operators.catalog import TableSpec
-from flowline.plans.ingestion import compacted
+from flowline.sources import tables
 
 SPEC = TableSpec("item", (("id", "bigint"), ("v", "string"), ("grp", "int")), ("id",), "grp")
 
@@ -100,25 +100,58 @@ def test_descent_broadcasts_its_frontier(spark):
     assert "SortMergeJoin" not in final_plan(found)
 
 
-def test_merging_a_small_delta_moves_nothing_of_the_table(spark, tmp_path):
-    spark.range(50_000).selectExpr("id", "uuid() v", "cast(id % 5 as int) grp", "uuid() checksum", "now() watermark").write.orc(f"{tmp_path}/t")
-    target = spark.read.orc(f"{tmp_path}/t")
-    delta = target.limit(1).withColumn("checksum", F.lit("new"))
-    merged = m.merge_current(target, delta, SPEC, gather=m.key_part(SPEC))
-    merged.write.orc(f"{tmp_path}/out")
-    plan = final_plan(merged)
-    kept = plan[: plan.index("BroadcastQueryStage")]
-    assert "BroadcastHashJoin" in kept and "Exchange" not in kept and "Sort" not in kept
-
-
-def test_compaction_spreads_a_hot_cluster_value(spark, tmp_path):
-    hot = spark.range(200_000).selectExpr("id", "uuid() v", "if(id % 3 > 0, 1, cast(id as int)) grp")
-    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="500KB"):
-        compacted(hot, SPEC).write.parquet(str(tmp_path / "out"))
-    files = spark.read.parquet(str(tmp_path / "out")).withColumn("file", F.input_file_name())
-    per_file = [r.n for r in files.groupBy("file").agg(F.count("*").alias("n")).collect()]
-    assert len(per_file) > 3 and max(per_file) < 100_000
-    assert files.filter("grp = 1").select("file").distinct().count() > 1
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """A stored table of which a tenth has no key, and the store that holds it."""
+    base = str(tmp_path_factory.mktemp("stored"))
+    rows = spark.range(50_000).selectExpr("if(id % 10 = 0, null, id) id", "uuid() v", "cast(id % 5 as int) grp")
+    store = tables.PathStore(spark, base, SPEC)
+    store.current.overwrite(m.stage_to_delta(rows, SPEC, F.lit("2024-01-01").cast("timestamp")), 4)
+    return store
+
+
+def incoming_of(spark, ids):
+    rows = ids.selectExpr("id", "'y' v", "1 grp")
+    return m.incoming_rows(m.stage_to_delta(rows, SPEC, F.lit("2024-02-01").cast("timestamp")), SPEC)
+
+
+def above(plan, scan="FileScan orc"):
+    """The lines of a plan from its top down to the scan of the table."""
+    final = plan.split("== Initial Plan ==")[0].splitlines()
+    at = next(i for i, line in enumerate(final) if scan in line and "Bucketed" in line)
+    depth = len(final[at]) - len(final[at].lstrip(" :+-"))
+    chain = []
+    for line in reversed(final[:at]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < depth:
+            chain, depth = [line, *chain], own
+    return "\n".join(chain)
+
+
+def test_merging_a_small_delta_moves_nothing_of_the_table(spark, stored):
+    incoming = incoming_of(spark, spark.range(100, 200))
+    rows = stored.current.rows([0, 1])
+    changes = m.changes_of(rows, incoming)
+    assert changes.count()
+    updated = m.updated_rows(rows, incoming.withColumn("action", F.lit("update")), SPEC)
+    plan = final_plan(updated)
+    chain = above(plan)
+    assert "BroadcastHashJoin" in chain and "Exchange" not in chain and "Sort" not in chain
+    assert "part#" in plan and "IN (0,1)" in plan
+    keys = final_plan(rows.select("merge_key", "checksum").join(incoming.select("merge_key"), "merge_key"))
+    assert "struct<checksum:string,merge_key:bigint>" in keys
+
+
+def test_merging_a_large_delta_shuffles_only_the_delta(spark, stored):
+    incoming = incoming_of(spark, spark.range(0, 40_000, 2))
+    with settings(spark, **SKEW):
+        rows = stored.current.rows()
+        updated = m.updated_rows(rows, incoming.withColumn("action", F.lit("update")), SPEC)
+        chain = above(final_plan(updated))
+        assert "SortMergeJoin" in chain and "Exchange" not in chain, chain
+        met = rows.select("merge_key", "checksum").join(incoming.select("merge_key"), "merge_key")
+        chain = above(final_plan(met))
+        assert "SortMergeJoin" in chain and "Exchange" not in chain, chain
 
 
 @pytest.fixture(scope="module")
