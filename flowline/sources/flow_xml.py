@@ -53,8 +53,12 @@ _FIELDS = {
 def _parse_batches(batch_rows: int = 10_000):
     """The function for ``mapInArrow``.
 
-    Everything it needs is local to it, so executors do not have to have this
-    package installed.
+    A document is read piece by piece, unpacked as it is read, and an element is
+    forgotten when it ends, so that memory follows the depth of the groups and
+    the size of a batch. A document with more components than a batch is read
+    through once before its first row leaves, as one that breaks off halfway
+    must give none. Everything the function needs is local to it, so executors
+    do not have to have this package installed.
     """
     kinds, fields = frozenset(_KINDS), dict(_FIELDS)
     blocks = {"processGroup": SEQ_BLOCK, "processor": 2 * SEQ_BLOCK, "connection": 3 * SEQ_BLOCK}
@@ -63,8 +67,9 @@ def _parse_batches(batch_rows: int = 10_000):
 
     def parse(batches):
         import gzip
-        import xml.etree.ElementTree as ET
+        import io
         import zlib
+        from xml.parsers import expat
 
         import pyarrow as pa
 
@@ -74,77 +79,171 @@ def _parse_batches(batch_rows: int = 10_000):
             + [("properties", pa.map_(pa.string(), pa.string())), ("relationships", pa.list_(pa.string()))]
         )
 
-        def local(el):
-            tag = el.tag
-            return tag if tag[0] != "{" else tag[tag.index("}") + 1 :]
-
-        def component(el, kind, seq, parent, depth):
-            row = {"kind": kind, "seq": seq, "parent_group_id": parent, "group_depth": depth}
-            properties = {}
-            for child in el:
-                tag = local(child)
-                if tag in fields:
-                    row.setdefault(fields[tag], child.text or "")
-                elif tag == "relationship":
-                    row.setdefault("relationships", []).append(child.text or "")
-                elif tag == "property":
-                    pair = {local(c): c.text or "" for c in child}
-                    properties[pair.get("name", "")] = pair.get("value")
-            if kind in ("processor", "controllerService"):
-                row["properties"] = list(properties.items())
-            return row
-
-        def rows_of(content):
-            """All components of a document, numbered in document order; or why there are none."""
-            if content and content[:2] == b"\x1f\x8b":
-                content = gzip.decompress(content)
-            if not content:
-                return None, "empty file"
-            root = next((el for el in ET.fromstring(content).iter() if local(el) == "rootGroup"), None)
-            if root is None:
-                return None, "no rootGroup"
-            own = {local(el): el.text or "" for el in reversed(root) if local(el) in ("id", "name")}
-            for needed in ("id", "name"):
-                if needed not in own:
-                    return None, f"rootGroup without {needed}"
-            rows = [{"kind": "rootGroup", "seq": 0, "group_depth": 0, "encoding_version": root.get("encoding-version"), **own}]
-            seen = {}
-            open_groups = [(iter(root), own["id"], 0)]
-            while open_groups:
-                members, group_id, depth = open_groups[-1]
-                el = next(members, None)
-                if el is None:
-                    open_groups.pop()
-                    continue
-                kind = local(el)
-                if kind not in kinds:
-                    continue
+        class Rejected(Exception):
+            pass
+
+        class Open:
+            """A component whose element has not ended; ``number`` counts the groups."""
+
+            __slots__ = ("row", "depth", "inside", "group_depth", "number", "early", "properties")
+
+            def __init__(self, row, depth, inside, group_depth=None, number=None):
+                self.row, self.depth, self.inside, self.group_depth, self.number = row, depth, inside, group_depth, number
+                self.early, self.properties = False, {}
+
+        class Scan:
+            """Finished components of one document as (row, group that holds it), while its text comes in.
+
+            Components are numbered as they begin and done as they end.
+            ``late_ids`` gets the ids of groups that stand behind a member.
+            """
+
+            def __init__(self):
+                self.done, self.late_ids, self.open, self.counts = [], {}, [], {}
+                self.depth, self.n_groups, self.root = 0, 0, None
+                self.field = self.pair = self.pair_depth = None
+                self.text, self.listening = [], False
+                self.parser = expat.ParserCreate(namespace_separator="}")
+                self.parser.buffer_text = True
+                self.parser.StartElementHandler, self.parser.EndElementHandler = self.start, self.end
+                self.parser.CharacterDataHandler, self.parser.SkippedEntityHandler = self.characters, self.skipped
+
+            def characters(self, text):
+                if self.listening:
+                    self.text.append(text)
+
+            def skipped(self, name, is_parameter):
+                raise Rejected("unreadable: ParseError")
+
+            def listen(self, tag):
+                self.field, self.text, self.listening = (tag, self.depth), [], True
+
+            def start(self, name, attributes):
+                tag = name[name.rfind("}") + 1 :]
+                self.depth += 1
+                self.listening = False  # a field's text is what stands before its first child
+                if not self.open:
+                    if self.root is None and tag == "rootGroup":
+                        row = {"kind": tag, "seq": 0, "group_depth": 0, "encoding_version": attributes.get("encoding-version")}
+                        self.root = Open(row, self.depth, None, 0, 0)
+                        self.open.append(self.root)
+                    return
+                inside = self.open[-1]
+                if self.depth == inside.depth + 1:
+                    if inside.number is not None and tag in kinds:
+                        self.begin(tag, inside)
+                    elif tag == "property":
+                        self.pair, self.pair_depth = {}, self.depth
+                    elif tag in fields or tag == "relationship":
+                        self.listen(tag)
+                elif self.pair is not None and self.depth == self.pair_depth + 1:
+                    self.listen(tag)
+
+            def begin(self, kind, inside):
+                inside.early |= "id" not in inside.row
                 block = blocks.get(kind, other_block)
-                seen[block] = seen.get(block, 0) + 1
-                row = component(el, kind, block + seen[block], group_id, depth)
-                rows.append(row)
+                self.counts[block] = self.counts.get(block, 0) + 1
+                row = {"kind": kind, "seq": block + self.counts[block], "group_depth": inside.group_depth}
                 if kind == "processGroup":
-                    open_groups.append((iter(el), row.get("id"), depth + 1))
-            return rows, None
-
-        def batch_of(rows):
-            return pa.RecordBatch.from_pylist(rows, schema)
+                    self.n_groups += 1
+                    self.open.append(Open(row, self.depth, inside, inside.group_depth + 1, self.n_groups))
+                else:
+                    self.open.append(Open(row, self.depth, inside))
+
+            def end(self, name):
+                if self.field is not None and self.depth == self.field[1]:
+                    self.store(self.field[0], "".join(self.text))
+                    self.field, self.listening = None, False
+                elif self.pair is not None and self.depth == self.pair_depth:
+                    self.open[-1].properties[self.pair.get("name", "")] = self.pair.get("value")
+                    self.pair = None
+                elif self.open and self.depth == self.open[-1].depth:
+                    self.finish(self.open.pop())
+                self.depth -= 1
+
+            def store(self, tag, text):
+                row = self.open[-1].row
+                if self.pair is not None:
+                    self.pair[tag] = text
+                elif tag == "relationship":
+                    row.setdefault("relationships", []).append(text)
+                else:
+                    row.setdefault(fields[tag], text)
+
+            def finish(self, component):
+                row = component.row
+                if component is self.root:
+                    for needed in ("id", "name"):
+                        if needed not in row:
+                            raise Rejected(f"rootGroup without {needed}")
+                    row = {c: row[c] for c in ("kind", "seq", "group_depth", "encoding_version", "id", "name")}
+                elif row["kind"] in ("processor", "controllerService"):
+                    row["properties"] = list(component.properties.items())
+                if component.early:
+                    self.late_ids[component.number] = row.get("id")
+                self.done.append((row, component.inside))
+
+            def pieces(self, content, size=1 << 16):
+                """Hands over what is done after every piece of the document."""
+                if not content:
+                    raise Rejected("empty file")
+                packed = content[:2] == b"\x1f\x8b"
+                with gzip.open(io.BytesIO(content)) if packed else io.BytesIO(content) as stream:
+                    nothing = True
+                    while piece := stream.read(size):
+                        nothing = False
+                        self.parser.Parse(piece, False)
+                        done, self.done = self.done, []
+                        yield done
+                if nothing:
+                    raise Rejected("empty file")
+                self.parser.Parse(b"", True)
+                if self.root is None:
+                    raise Rejected("no rootGroup")
+                yield self.done
+
+        def rows_of(path, content):
+            """Batches of finished rows of a document, or one row that says why there are none."""
+            scan, late_ids = Scan(), None
+            held = []
+
+            def released():
+                known = scan.late_ids if late_ids is None else late_ids
+                for row, inside in held:
+                    row["path"] = path
+                    if inside is not None:
+                        row["parent_group_id"] = inside.row["id"] if "id" in inside.row else known.get(inside.number)
+                    yield row
+
+            try:
+                for done in scan.pieces(content):
+                    held += done
+                    if len(held) >= batch_rows:
+                        if late_ids is None:
+                            whole = Scan()
+                            for _ in whole.pieces(content):
+                                pass
+                            late_ids = whole.late_ids
+                        yield list(released())
+                        held = []
+                yield list(released())
+            except Rejected as why:
+                yield [{"path": path, "reject_reason": str(why)}]
+            except expat.ExpatError:
+                yield [{"path": path, "reject_reason": "unreadable: ParseError"}]
+            except (EOFError, OSError, LookupError, ValueError, zlib.error) as error:
+                yield [{"path": path, "reject_reason": f"unreadable: {type(error).__name__}"}]
 
         pending = []
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                try:
-                    rows, reason = rows_of(content)
-                except (ET.ParseError, EOFError, OSError, LookupError, ValueError, zlib.error) as error:
-                    rows, reason = None, f"unreadable: {type(error).__name__}"
-                for row in rows or [{"reject_reason": reason}]:
-                    row["path"] = path
-                    pending.append(row)
-                while len(pending) >= batch_rows:
-                    yield batch_of(pending[:batch_rows])
-                    pending = pending[batch_rows:]
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                for rows in rows_of(path.as_py(), content.as_py()):
+                    pending += rows
+                    for at in range(0, len(pending) - batch_rows + 1, batch_rows):
+                        yield pa.RecordBatch.from_pylist(pending[at : at + batch_rows], schema)
+                    del pending[: len(pending) // batch_rows * batch_rows]
         if pending:
-            yield batch_of(pending)
+            yield pa.RecordBatch.from_pylist(pending, schema)
 
     return parse
 

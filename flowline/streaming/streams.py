@@ -107,9 +107,10 @@ def read_latest_state(spark: SparkSession, checkpoint: str) -> DataFrame:
 # -- reached state --------------------------------------------------------------
 
 COMMAND = ["flow_id", "entity_id", "target_state", "ts"]
-_KEY = ["flow_id", "entity_id", "state_key", "slot"]
+_KEY = ["flow_id", "entity_id", "slot"]
 _ANSWER = "flow_id string, entity_id string, target_state string, asked_at bigint, reached boolean, reached_at bigint"
-_WAITING = "asked_at array<bigint>, target_state array<string>, seen_at array<bigint>"
+_WAITING = """asked_at array<bigint>, target_state array<string>, target_key array<string>,
+    seen_at array<bigint>, seen_key array<string>"""
 
 #: Length of a time slot of an entity, in windows. A shorter one spreads a busy entity over more of them; a status
 #: that lies less than a window behind the start of its slot goes to the slot before as well.
@@ -117,38 +118,45 @@ SLOT_WINDOWS = 16
 
 
 class _Waiting:
-    """What is known of one entity, target state and time slot, as lists of microseconds."""
+    """What is known of one entity in one time slot; instants are microseconds."""
 
     def __init__(self, slot_end: int, within: int, watermark: int, state: GroupState) -> None:
-        asked_at, targets, seen_at = state.get if state.exists else ((), (), ())
-        self.asked, self.seen = set(zip(asked_at, targets)), set(seen_at)
+        asked_at, targets, target_keys, seen_at, seen_keys = state.get if state.exists else ((),) * 5
+        self.asked = set(zip(asked_at, targets, target_keys))
+        self.seen = set(zip(seen_at, seen_keys))
         self.slot_end, self.within, self.watermark, self.state = slot_end, within, watermark, state
 
     def add(self, rows: pd.DataFrame) -> None:
-        is_command = rows["is_command"].to_numpy(bool)
-        at = rows["at"].to_numpy()
-        self.seen.update(at[~is_command].tolist())
-        self.asked.update(zip(at[is_command].tolist(), rows["target_state"][is_command]))
+        for is_command, at, target, key in zip(rows["is_command"], rows["at"].tolist(), rows["target_state"], rows["state_key"]):
+            if is_command:
+                self.asked.add((at, target, key))
+            else:
+                self.seen.add((at, key))
 
     def close(self) -> list[tuple[str, int, int | None]]:
         """Commands whose answer no row to come can change: (target state, asked, reached)."""
-        seen, done, still_open, wake = sorted(self.seen), [], [], []
-        for asked_at, target in sorted(self.asked):
-            at = bisect.bisect_left(seen, asked_at)
-            first = seen[at] if at < len(seen) and seen[at] <= asked_at + self.within else None
+        seen: dict[str, list[int]] = {}
+        for at, key in sorted(self.seen, key=lambda s: s[0]):
+            seen.setdefault(key, []).append(at)
+        done, still_open, wake = [], [], []
+        for asked_at, target, key in self.asked:
+            own = seen.get(key, []) if key is not None else []
+            at = bisect.bisect_left(own, asked_at)
+            first = own[at] if at < len(own) and own[at] <= asked_at + self.within else None
             known_at = asked_at + self.within if first is None else first
             if known_at <= self.watermark:
                 done.append((target, asked_at, first))
             else:
-                still_open.append((asked_at, target))
+                still_open.append((asked_at, target, key))
                 wake.append(known_at)
         # Commands to come lie behind the watermark; until the slot is over they may ask for what was seen.
-        oldest = min([self.watermark, *(asked_at for asked_at, _ in still_open)])
-        seen = [t for t in seen if t >= oldest]
-        if not still_open and (not seen or self.slot_end <= self.watermark):
+        oldest = min([self.watermark, *(asked_at for asked_at, _, _ in still_open)])
+        kept = [(at, key) for at, key in self.seen if at >= oldest]
+        if not still_open and (not kept or self.slot_end <= self.watermark):
             self.state.remove()
         else:
-            self.state.update(([a for a, _ in still_open], [t for _, t in still_open], seen))
+            lists = [list(column) for column in zip(*still_open)] or [[], [], []]
+            self.state.update((*lists, [at for at, _ in kept], [key for _, key in kept]))
             # A time-out fires once the watermark lies behind it.
             due = -(-min(wake, default=self.slot_end) // 1000) - 1
             self.state.setTimeoutTimestamp(max(due, self.watermark // 1000 + 1))
@@ -166,13 +174,12 @@ def stream_reached_state(
 ) -> StreamingQuery:
     """Answers every command once, as soon as no status to come can change the answer.
 
-    Keyed state holds, per entity, target state and time slot, the commands
-    without an answer and the instants of statuses that may still answer one; an
-    event-time timer wakes it when the watermark, ``delay_seconds`` behind the
-    slower stream, has passed the first status in a command's window or the
-    window itself. No pairs are formed. Rows behind the watermark and rows
-    without a time are dropped on arrival; :func:`command_outcomes` tells which
-    commands that concerns.
+    Keyed state holds, per entity and time slot, the commands without an answer
+    and the instants of statuses that may still answer one; an event-time timer
+    wakes it when the watermark, ``delay_seconds`` behind the slower stream, has
+    passed the first status in a command's window or the window itself. No pairs
+    are formed. Rows behind the watermark and rows without a time are dropped on
+    arrival; :func:`command_outcomes` tells which commands that concerns.
     """
     delay = f"{int(delay_seconds * 1000)} milliseconds"
     within = max(1, round(within_seconds * 1_000_000))
@@ -192,7 +199,7 @@ def stream_reached_state(
     events = asked.unionByName(reported).filter("ts IS NOT NULL").withColumn("at", at)
 
     def answer(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting = _Waiting((int(key[3]) + 1) * length, within, state.getCurrentWatermarkMs() * 1000, state)
+        waiting = _Waiting((int(key[2]) + 1) * length, within, state.getCurrentWatermarkMs() * 1000, state)
         for rows in chunks:
             waiting.add(rows)
         done = waiting.close()
