@@ -86,20 +86,22 @@ def _rules() -> list[tuple[str, tuple[str, ...] | None, str, Column]]:
 def validate_components(components: DataFrame) -> DataFrame:
     """(flow_id, component_id, rule, value), one row per broken rule, in a single pass.
 
-    Each rule is null or the violation; all of them are exploded and the nulls
-    dropped, which stays in generated code where a lambda over the array would not.
+    Of every rule that does not hold the number is exploded; name and value are
+    looked up for the numbers that are left, so what holds costs its test only.
+    All of it stays in generated code, where a lambda over an array would not.
     """
-    checks = []
-    for rule, kinds, column, holds in _rules():
+    rules = _rules()
+    shown = list(dict.fromkeys(column for _, _, column, _ in rules if column not in ("relationships", "properties")))
+    numbers = []
+    for number, (_, kinds, _, holds) in enumerate(rules):
         applies = F.lit(True) if kinds is None else F.col("kind").isin(*kinds)
-        value = F.lit(None).cast("string") if column in ("relationships", "properties") else F.col(column)
-        broken = F.struct(F.lit(rule).alias("rule"), value.alias("value"))
-        checks.append(F.when(applies & ~holds, broken))
-    return (
-        components.select("flow_id", F.col("id").alias("component_id"), F.explode(F.array(*checks)).alias("v"))
-        .filter(F.col("v").isNotNull())
-        .select("flow_id", "component_id", "v.rule", "v.value")
-    )
+        numbers.append(F.when(applies & ~holds, F.lit(number)))
+    found = components.select("flow_id", F.col("id").alias("component_id"), F.array(*shown).alias("shown"), F.explode(F.array(*numbers)).alias("n"))
+    # Small lookups keep the generated method at a size the virtual machine compiles.
+    rule = F.element_at(F.array(*[F.lit(rule) for rule, _, _, _ in rules]), F.col("n") + 1)
+    place = F.array(*[F.lit(shown.index(column) if column in shown else -1) for _, _, column, _ in rules])
+    value = F.get("shown", F.element_at(place, F.col("n") + 1))
+    return found.filter("n IS NOT NULL").select("flow_id", "component_id", rule.alias("rule"), value.alias("value"))
 
 
 # Connection fields that came with version 1.8 of the format.

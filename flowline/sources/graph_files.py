@@ -1,11 +1,11 @@
 """Lineage graphs as GraphML and GraphSON files.
 
-Both formats put much into one unit: GraphML a whole graph into one document,
-GraphSON a vertex with all its edges into one line, and a unit is made by one
-task. The writers take a number of parts: with more than one, the elements of
-every graph, or the edges of every vertex, are dealt out over as many documents
-or lines, each valid by itself, that the readers put together again. The form
-follows that number alone, never the size of a graph.
+Every element says itself which flow it belongs to, so a file holds as many
+flows as fit and a folder as many files as the graphs need: a GraphML file has
+one graph element per flow in it, a flow with more elements than a file has one
+in each of several. GraphSON puts a vertex with its edges into one line; a
+vertex with very many edges has several. Each file and each line is valid by
+itself, and the readers put together what belongs together.
 """
 
 from __future__ import annotations
@@ -14,11 +14,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowline.operators.keys import group_apart
+from flowline.session import cut_lineage
 from flowline.sources.documents import BAD, json_lines, line_rejects, readable
 
 # Names under which a vertex's own fields appear among its properties.
 OWN_FIELDS = {"isRoot": "is_root", "pgId": "pg_id", "pgName": "pg_name", "procId": "proc_id", "procName": "proc_name"}
 
+# The name under which an element carries its flow.
+FLOW_KEY = "__flow_id"
+
+#: Elements of a GraphML file, and edges of a GraphSON line, up to which they are not split.
+ELEMENTS_PER_FILE = 100_000
+EDGES_PER_LINE = 10_000
+
 _GRAPHML_HEAD = (
     '<?xml version="1.0" encoding="UTF-8"?>'
     '<graphml xmlns="http://graphml.graphdrawing.org/xmlns" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" '
@@ -28,7 +36,7 @@ _GRAPHML_HEAD = (
 
 def _as_vertices(df: DataFrame) -> DataFrame:
     """(flow_id, id, label, all) with one map of all properties -> vertices."""
-    own = F.array(*[F.lit(k) for k in OWN_FIELDS])
+    own = F.array(*[F.lit(k) for k in (*OWN_FIELDS, FLOW_KEY)])
     fields = {name: F.col("all")[key] for key, name in OWN_FIELDS.items()}
     return df.select(
         "flow_id",
@@ -49,18 +57,14 @@ def _own() -> dict[str, Column]:
 
 def _extra() -> Column:
     """Entries of the open properties; own names and nulls are left out."""
-    own = F.array(*[F.lit(k) for k in OWN_FIELDS])
+    own = F.array(*[F.lit(k) for k in (*OWN_FIELDS, FLOW_KEY)])
     kept = F.map_filter("properties", lambda k, v: v.isNotNull() & ~F.array_contains(own, k))
     return F.coalesce(F.map_entries(kept), F.array().cast("array<struct<key:string,value:string>>"))
 
 
-def _with_flow(df: DataFrame, flow_id: str | None) -> DataFrame:
-    return df if flow_id is None else df.withColumn("flow_id", F.lit(flow_id))
-
-
-def _schema(ddl: str, flow_id: str | None) -> str:
-    """A directory written by this module carries the flow in its path."""
-    return ddl if flow_id is not None else f"{ddl}, flow_id string"
+def _flow(own: Column, flow_id: str | None) -> Column:
+    """The flow an element names, or else that of the whole read."""
+    return F.coalesce(own, F.lit(flow_id)).alias("flow_id")
 
 
 # -- GraphML --------------------------------------------------------------------
@@ -69,19 +73,33 @@ def _schema(ddl: str, flow_id: str | None) -> str:
 _DATA = "data array<struct<_VALUE:string,_key:string>>"
 
 
-def _graphml(spark: SparkSession, path: str, flow_id: str | None, tag: str, ddl: str) -> DataFrame:
-    """The elements of a name, ids as text, with the text of what cannot be read."""
+def _graphml(spark: SparkSession, path: str, tag: str, ddl: str) -> DataFrame:
+    """The elements of a name, ids as text, with their file and the text of what cannot be read."""
     reader = spark.read.format("xml").option("rowTag", tag).option("ignoreSurroundingSpaces", "false")
-    reader = reader.option("columnNameOfCorruptRecord", BAD)
-    return _with_flow(reader.schema(_schema(f"{ddl}, {BAD} string", flow_id)).load(path), flow_id)
+    found = reader.option("columnNameOfCorruptRecord", BAD).schema(f"{ddl}, {BAD} string").load(path)
+    return found.withColumn("path", F.col("_metadata.file_path"))
+
 
+def _named(elements: DataFrame, names: DataFrame) -> DataFrame:
+    """Elements with ``entries``, their data by name, and ``twice``, a name that several of them have."""
 
-def _nodes(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
-    return _graphml(spark, path, flow_id, "node", f"_id string, {_DATA}")
+    def name(key: Column) -> Column:
+        return F.coalesce(F.col("names")[key], key)
 
+    entry = lambda d: F.struct(name(d["_key"]).alias("key"), F.coalesce(d["_VALUE"], F.lit("")).alias("value"))
+    # Data without a key is nobody's.
+    data = F.filter(F.coalesce("data", F.array().cast("array<struct<_VALUE:string,_key:string>>")), lambda d: d["_key"].isNotNull())
+    keys = F.transform("entries", lambda e: e["key"])
+    again = F.filter(keys, lambda k, i: F.array_position(keys, k) <= i)
+    return elements.join(names, "path", "left").withColumn("entries", F.transform(data, entry)).withColumn("twice", F.get(again, F.lit(0)))
 
-def _links(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
-    return _graphml(spark, path, flow_id, "edge", f"_id string, _source string, _target string, {_DATA}")
+
+def _nodes(spark: SparkSession, path: str) -> DataFrame:
+    return _named(_graphml(spark, path, "node", f"_id string, {_DATA}"), _key_names(spark, path))
+
+
+def _links(spark: SparkSession, path: str) -> DataFrame:
+    return _named(_graphml(spark, path, "edge", f"_id string, _source string, _target string, {_DATA}"), _key_names(spark, path))
 
 
 def _number(c: str) -> Column:
@@ -92,43 +110,37 @@ def _all_numbers(*columns: str) -> Column:
     return F.coalesce(*[F.when(_number(c).isNull(), False) for c in columns], F.lit(True))
 
 
-def _key_names(spark: SparkSession, path: str, flow_id: str | None) -> DataFrame:
-    """(flow_id, names): per flow the attribute names of keys whose id is another; a document has few keys."""
-    keys = _graphml(spark, path, flow_id, "key", "_id string, `_attr.name` string")
-    named = keys.select("flow_id", F.col("_id").alias("key"), F.col("`_attr.name`").alias("name"))
-    named = named.filter("key is not null and name is not null and key <> name").groupBy("flow_id", "key").agg(F.min("name").alias("name"))
-    return group_apart(named, ["flow_id"], F.map_from_entries(F.collect_list(F.struct("key", "name"))).alias("names"))
+def _key_names(spark: SparkSession, path: str) -> DataFrame:
+    """(path, names): per file the attribute names of keys whose id is another; a file has few keys."""
+    keys = _graphml(spark, path, "key", "_id string, `_attr.name` string")
+    named = keys.select("path", F.col("_id").alias("key"), F.col("`_attr.name`").alias("name"))
+    named = named.filter("key is not null and name is not null and key <> name").groupBy("path", "key").agg(F.min("name").alias("name"))
+    return group_apart(named, ["path"], F.map_from_entries(F.collect_list(F.struct("key", "name"))).alias("names"))
 
 
 def read_graphml(spark: SparkSession, path: str, flow_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Vertices and edges; values keep their blanks and line breaks.
 
-    ``flow_id`` names the flow of a single file; without it the flows come from
-    the ``flow_id=`` folders below ``path``. The keys of a document give the
-    names of its data. Elements that cannot be read, or whose ids are not
-    numbers, are left out; :func:`graphml_rejects` lists them.
+    ``flow_id`` names the flow of elements that name none themselves. The keys
+    of a file give the names of its data. Elements that cannot be read, whose ids
+    are not numbers, or with two data of one name, are left out;
+    :func:`graphml_rejects` lists them.
     """
-    names = _key_names(spark, path, flow_id)
-
-    def with_map(df: DataFrame) -> DataFrame:
-        def name(key: Column) -> Column:
-            return F.coalesce(F.col("names")[key], key)
 
-        entry = lambda d: F.struct(name(d["_key"]), F.coalesce(d["_VALUE"], F.lit("")))
-        data = F.coalesce("data", F.array().cast("array<struct<_VALUE:string,_key:string>>"))
-        return df.join(names, "flow_id", "left").withColumn("all", F.map_from_entries(F.transform(data, entry)))
+    def readable_elements(df: DataFrame, *ids: str) -> DataFrame:
+        # The map is made only where no name stands twice, wherever Spark moves the filter to.
+        data = F.when(F.col("twice").isNull(), F.map_from_entries("entries"))
+        return df.filter(F.col(BAD).isNull() & _all_numbers(*ids) & F.col("twice").isNull()).withColumn("all", data)
 
-    nodes = _nodes(spark, path, flow_id).filter(F.col(BAD).isNull() & _all_numbers("_id"))
-    found = with_map(nodes)
+    nodes = readable_elements(_nodes(spark, path), "_id")
     vertices = _as_vertices(
-        found.select(
-            "flow_id", _number("_id").alias("id"), F.col("all")["labelV"].alias("label"),
+        nodes.select(
+            _flow(F.col("all")[FLOW_KEY], flow_id), _number("_id").alias("id"), F.col("all")["labelV"].alias("label"),
             F.map_filter("all", lambda k, _: k != "labelV").alias("all"),
         )
     )
-    links = _links(spark, path, flow_id).filter(F.col(BAD).isNull() & _all_numbers("_id", "_source", "_target"))
-    edges = with_map(links).select(
-        "flow_id",
+    edges = readable_elements(_links(spark, path), "_id", "_source", "_target").select(
+        _flow(F.col("all")[FLOW_KEY], flow_id),
         _number("_id").alias("id"),
         _number("_source").alias("src"),
         _number("_target").alias("dst"),
@@ -137,19 +149,19 @@ def read_graphml(spark: SparkSession, path: str, flow_id: str | None = None) ->
     return vertices, edges
 
 
-def graphml_rejects(spark: SparkSession, path: str, flow_id: str | None = None) -> DataFrame:
-    """(path, reason, element): nodes and edges that were cut, or whose ids are not numbers."""
+def graphml_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(path, reason, element): nodes and edges that were cut, whose ids are not numbers, or with two data of one name."""
 
     def bad(df: DataFrame, element: str, *ids: str) -> DataFrame:
-        cut = F.col(BAD).isNotNull()
-        rows = df.select(F.col("_metadata.file_path").alias("path"), BAD, *ids).filter(cut | ~_all_numbers(*ids))
-        reason = F.when(cut, F.lit("unreadable element")).otherwise(
-            F.concat(F.lit("ids that are not numbers: "), F.concat_ws(", ", *ids))
+        listed = F.concat_ws(", ", *ids)
+        reason = (
+            F.when(F.col(BAD).isNotNull(), F.lit("unreadable element"))
+            .when(~_all_numbers(*ids), F.concat(F.lit("ids that are not numbers: "), listed))
+            .when(F.col("twice").isNotNull(), F.concat(F.lit("two data of one name: "), "twice"))
         )
-        return rows.select("path", reason.alias("reason"), F.lit(element).alias("element"))
+        return df.select("path", reason.alias("reason"), F.lit(element).alias("element")).filter("reason IS NOT NULL")
 
-    nodes = bad(_nodes(spark, path, flow_id), "node", "_id")
-    return nodes.unionByName(bad(_links(spark, path, flow_id), "edge", "_id", "_source", "_target"))
+    return bad(_nodes(spark, path), "node", "_id").unionByName(bad(_links(spark, path), "edge", "_id", "_source", "_target"))
 
 
 def _xml(c: Column) -> Column:
@@ -158,73 +170,89 @@ def _xml(c: Column) -> Column:
     return c
 
 
-def graphml_documents(vertices: DataFrame, edges: DataFrame, parts: int = 1) -> DataFrame:
-    """(flow_id, part, document): GraphML documents, up to ``parts`` for each flow."""
+def _datum(key: Column, value: Column) -> Column:
+    return F.concat(F.lit('<data key="'), _xml(key), F.lit('">'), _xml(value), F.lit("</data>"))
+
+
+def _key_line(key: Column, target: str = "node", kind: str = "string") -> Column:
+    quoted = _xml(key)
+    return F.concat(
+        F.lit('<key id="'), quoted, F.lit(f'" for="{target}" attr.name="'), quoted, F.lit(f'" attr.type="{kind}"/>')
+    )
+
+
+def graphml_lines(
+    vertices: DataFrame, edges: DataFrame, elements_per_file: int = ELEMENTS_PER_FILE
+) -> tuple[DataFrame, int]:
+    """The lines of GraphML files as (file, line), a partition per file and its lines in order; and how many files.
 
-    def datum(key: Column, value: Column) -> Column:
-        return F.concat(F.lit('<data key="'), _xml(key), F.lit('">'), _xml(value), F.lit("</data>"))
+    Flows share files. A flow with more than ``elements_per_file`` elements is
+    dealt by a hash over several graph elements, so no file holds much more than
+    that. Header, keys, graphs and their ends are rows among the elements, which
+    the sort of a partition puts in their places.
+    """
+    counts = vertices.select("flow_id").unionByName(edges.select("flow_id")).groupBy("flow_id").agg(F.count("*").alias("n"))
+    spread = F.ceil(F.col("n") / F.lit(elements_per_file)).cast("int")
+    per_flow = cut_lineage(counts.select("flow_id", spread.alias("parts"), "n"), "flow-sizes")
+    total = per_flow.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_files = max(1, -(-total // elements_per_file))
+    # The parts of one flow go to different files.
+    file = F.pmod(F.xxhash64("flow_id") + F.col("part"), F.lit(n_files)).cast("int").alias("file")
 
     node = F.concat_ws(
         "",
         F.format_string('<node id="%d">', "id"),
-        datum(F.lit("labelV"), F.col("label")),
-        *[datum(F.lit(key), value) for key, value in _own().items()],
-        F.transform("extra", lambda e: datum(e["key"], e["value"])),
+        _datum(F.lit("labelV"), F.col("label")),
+        _datum(F.lit(FLOW_KEY), F.col("flow_id")),
+        *[_datum(F.lit(key), value) for key, value in _own().items()],
+        F.transform("extra", lambda e: _datum(e["key"], e["value"])),
         F.lit("</node>"),
     )
-    keys = F.array_compact(F.array(*[F.when(value.isNotNull(), key) for key, value in _own().items()]))
-    edge = F.concat(
+    edge = F.concat_ws(
+        "",
         F.format_string('<edge id="%d" source="%d" target="%d">', "id", "src", "dst"),
-        datum(F.lit("labelE"), F.col("label")),
+        _datum(F.lit("labelE"), F.col("label")),
+        _datum(F.lit(FLOW_KEY), F.col("flow_id")),
         F.lit("</edge>"),
     )
-    elements = vertices.withColumn("extra", _extra()).select(
-        "flow_id",
-        F.lit(0).alias("kind"),
-        "id",
-        node.alias("xml"),
-        F.concat(keys, F.transform("extra", lambda e: e["key"])).alias("keys"),
-    ).unionByName(
-        edges.select(
-            "flow_id", F.lit(1).alias("kind"), "id", edge.alias("xml"), F.array().cast("array<string>").alias("keys")
-        )
-    )
-    part = F.pmod(F.xxhash64("kind", "id"), F.lit(parts))
-
-    def key_line(key: Column) -> Column:
-        kind = F.when(key == "isRoot", "boolean").otherwise("string")
-        quoted = _xml(key)
-        return F.concat(
-            F.lit('<key id="'), quoted, F.lit('" for="node" attr.name="'), quoted,
-            F.lit('" attr.type="'), kind, F.lit('"/>'),
-        )
-
-    body = F.transform(F.array_sort(F.collect_list(F.struct("kind", "id", "xml"))), lambda e: e["xml"])
-    all_keys = F.array_sort(F.array_distinct(F.flatten(F.collect_set("keys"))))
-    placed = elements.withColumn("part", part)
-    return (
-        group_apart(placed, ["flow_id", "part"], body.alias("body"), all_keys.alias("all_keys"))
-        .select(
-            "flow_id",
-            "part",
-            F.concat(
-                F.lit(_GRAPHML_HEAD),
-                F.array_join(F.transform("all_keys", key_line), ""),
-                F.lit('<key id="labelV" for="node" attr.name="labelV" attr.type="string"/>'),
-                F.lit('<key id="labelE" for="edge" attr.name="labelE" attr.type="string"/>'),
-                F.lit('<graph id="G" edgedefault="directed">'),
-                F.array_join("body", ""),
-                F.lit("</graph></graphml>"),
-            ).alias("document"),
-        )
-    )
-
 
-def write_graphml(vertices: DataFrame, edges: DataFrame, path: str, parts: int = 1) -> None:
-    """One folder per flow and part, each holding one document."""
-    graphml_documents(vertices, edges, parts).select("flow_id", "part", "document").write.mode("overwrite").partitionBy(
-        "flow_id", "part"
-    ).text(path)
+    def dealt(df: DataFrame, kind: int) -> DataFrame:
+        part = F.pmod(F.xxhash64(F.lit(kind), "id"), F.col("parts")).cast("int").alias("part")
+        same = df["flow_id"].eqNullSafe(per_flow["flow_id"])
+        placed = df.join(per_flow.drop("n"), same).select(*[df[c] for c in df.columns], part)
+        return placed.select("*", file, F.lit(2).alias("section"), F.lit(kind).alias("kind"))
+
+    nodes = dealt(vertices.withColumn("extra", _extra()), 1)
+    columns = ["file", "section", "flow_id", "part", "kind", "id", "line"]
+    lines = nodes.select(*columns[:-1], node.alias("line")).unionByName(dealt(edges, 2).select(*columns[:-1], edge.alias("line")))
+
+    graphs = per_flow.select("flow_id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    opened = F.concat(F.lit('<graph id="'), _xml(F.coalesce("flow_id", F.lit("G"))), F.lit('" edgedefault="directed">'))
+    for kind, line in ((0, opened), (3, F.lit("</graph>"))):
+        own = graphs.select(file, F.lit(2).alias("section"), "flow_id", "part", F.lit(kind).alias("kind"), F.lit(0).alias("id"), line.alias("line"))
+        lines = lines.unionByName(own)
+
+    def around(df: DataFrame, section: int, line: Column) -> DataFrame:
+        nothing = [F.lit(None).cast("string").alias("flow_id"), *[F.lit(0).alias(c) for c in ("part", "kind", "id")]]
+        return df.select("file", F.lit(section).alias("section"), *nothing, line.alias("line"))
+
+    used = nodes.select("file", F.explode("extra.key").alias("key")).distinct()
+    fixed = [*[(k, "node", "boolean" if k == "isRoot" else "string") for k in OWN_FIELDS], ("labelV", "node", "string")]
+    fixed += [("labelE", "edge", "string"), (FLOW_KEY, "all", "string")]
+    head = F.concat(F.lit(_GRAPHML_HEAD), *[_key_line(F.lit(key), target, kind) for key, target, kind in fixed])
+    files = vertices.sparkSession.range(n_files).select(F.col("id").cast("int").alias("file"))
+    lines = lines.unionByName(around(files, 0, head))
+    lines = lines.unionByName(around(used, 1, _key_line(F.col("key"))))
+    lines = lines.unionByName(around(files, 3, F.lit("</graphml>")))
+    ordered = lines.repartitionById(n_files, "file").sortWithinPartitions("section", "flow_id", "part", "kind", "id", "line")
+    return ordered.select("file", "line"), n_files
+
+
+def write_graphml(
+    vertices: DataFrame, edges: DataFrame, path: str, elements_per_file: int = ELEMENTS_PER_FILE
+) -> None:
+    """GraphML files, as many as the graphs need."""
+    graphml_lines(vertices, edges, elements_per_file)[0].select("line").write.mode("overwrite").text(path)
 
 
 # -- GraphSON -------------------------------------------------------------------
@@ -232,7 +260,7 @@ def write_graphml(vertices: DataFrame, edges: DataFrame, path: str, parts: int =
 
 _REF = "struct<`@value`:bigint>"
 _GRAPHSON_LINE = (
-    f"id {_REF}, label string, outE map<string,array<struct<id:{_REF},inV:{_REF}>>>, "
+    f"id {_REF}, label string, `{FLOW_KEY}` string, outE map<string,array<struct<id:{_REF},inV:{_REF}>>>, "
     "properties map<string,array<struct<value:string>>>"
 )
 
@@ -243,9 +271,12 @@ def graphson_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_graphson(spark: SparkSession, path: str, flow_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Vertices and edges; :func:`graphson_rejects` lists the lines that cannot be read."""
-    lines = _with_flow(readable(json_lines(spark, path, _schema(_GRAPHSON_LINE, flow_id))), flow_id)
-    lines = lines.withColumn("vid", F.col("id")["@value"])
+    """Vertices and edges; ``flow_id`` names the flow of lines that name none themselves.
+
+    :func:`graphson_rejects` lists the lines that cannot be read.
+    """
+    lines = readable(json_lines(spark, path, _GRAPHSON_LINE))
+    lines = lines.select("*", _flow(F.col(FLOW_KEY), flow_id), F.col("id")["@value"].alias("vid"))
     # Only a vertex's first line carries properties; every vertex has some.
     vertices = _as_vertices(
         lines.filter(F.size("properties") > 0).select(
@@ -273,8 +304,12 @@ def _json_text(c: Column) -> Column:
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
-def graphson_lines(vertices: DataFrame, edges: DataFrame, parts: int = 1) -> DataFrame:
-    """(flow_id, line): a vertex with its in and out edges on a line, or these over up to ``parts`` lines."""
+def graphson_lines(vertices: DataFrame, edges: DataFrame, edges_per_line: int = EDGES_PER_LINE) -> DataFrame:
+    """(flow_id, line): a vertex with its in and out edges on a line.
+
+    A vertex with more than ``edges_per_line`` of them has several lines, over
+    which a hash deals them; its properties stand on the first.
+    """
     ends = edges.select(
         "flow_id",
         F.col("id").alias("edge_id"),
@@ -286,7 +321,10 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, parts: int = 1) -> Dat
             )
         ).alias("s"),
     ).select("flow_id", F.col("s.v").alias("v"), "s.side", "label", "edge_id", "s.other")
-    chunk = F.pmod(F.xxhash64("edge_id"), F.lit(parts).cast("bigint"))
+    busy = group_apart(ends, ["flow_id", "v"], F.count("*").alias("n")).filter(F.col("n") > edges_per_line)
+    ends = ends.join(busy, ["flow_id", "v"], "left")
+    n_lines = F.coalesce(F.ceil(F.col("n") / F.lit(edges_per_line)), F.lit(1))
+    chunk = F.pmod(F.xxhash64("edge_id"), n_lines)
     # Hash-partitioned by vertex line first, so that grouping per label and then
     # per line needs no further shuffle.
     links = (
@@ -322,11 +360,13 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, parts: int = 1) -> Dat
         .join(vertices.select("flow_id", "id", "label"), ["flow_id", "id"])
         .withColumn("props", F.lit(None).cast("string")),
     )
-    shell = F.to_json(F.struct(_typed(F.col("id")).alias("id"), "label", "inE", "outE"))
+    shell = F.to_json(F.struct(_typed(F.col("id")).alias("id"), "label", F.col("flow_id").alias(FLOW_KEY), "inE", "outE"))
     body = F.substring(shell, F.lit(1), F.length(shell) - 1)
     line = F.concat(body, F.coalesce(F.concat(F.lit(',"properties":{'), "props", F.lit("}")), F.lit("")), F.lit("}"))
     return joined.select("flow_id", line.alias("line"))
 
 
-def write_graphson(vertices: DataFrame, edges: DataFrame, path: str, parts: int = 1) -> None:
-    graphson_lines(vertices, edges, parts).write.mode("overwrite").partitionBy("flow_id").text(path)
+def write_graphson(
+    vertices: DataFrame, edges: DataFrame, path: str, edges_per_line: int = EDGES_PER_LINE
+) -> None:
+    graphson_lines(vertices, edges, edges_per_line).select("line").write.mode("overwrite").text(path)

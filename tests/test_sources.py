@@ -1,5 +1,6 @@
 import gzip
 import json
+import xml.etree.ElementTree as ET
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,6 +112,11 @@ def test_ids_follow_document_order(parts):
     assert [e.label for e in edges] == ["parent"] * 5 + ["dependent"] * 2
 
 
+VERTICES = """flow_id string, id bigint, label string, is_root boolean, pg_id string, pg_name string, proc_id string,
+    proc_name string, properties map<string,string>"""
+EDGES = "flow_id string, id bigint, src bigint, dst bigint, label string"
+
+
 def graph_rows(rows, vertices, edges):
     flat = vertices.withColumn("properties", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("properties")))))
     return rows(flat, *sorted(flat.columns)), rows(edges, *sorted(edges.columns))
@@ -131,7 +137,7 @@ def test_archive_to_graph_and_back(spark, archive, rows, tmp_path):
     assert graph_rows(rows, *gf.read_graphson(spark, f"{tmp_path}/graphson")) == expected
 
 
-def test_large_units_are_split_and_put_together(spark, rows):
+def test_large_units_are_split_and_put_together(spark, rows, tmp_path):
     """A hub with many edges, and documents and lines far smaller than the graph."""
     n = 60
     vertices = spark.range(n).selectExpr(
@@ -143,19 +149,72 @@ def test_large_units_are_split_and_put_together(spark, rows):
     edges = spark.range(1, n).selectExpr("'f' flow_id", "id", "0L src", "id dst", "'parent' label").unionByName(
         spark.range(2).selectExpr("'f' flow_id", "id + 100 id", "id src", "1 - id dst", "'dependent' label")
     )
-    documents = gf.graphml_documents(vertices, edges, parts=5)
-    assert documents.count() == 5
-    lines = gf.graphson_lines(vertices, edges, parts=6)
-    hub = [json.loads(r.line) for r in lines.collect() if json.loads(r.line)["id"]["@value"] == 0]
-    assert len(hub) > 3 and sum("properties" in h for h in hub) == 1
+    lines = gf.graphson_lines(vertices, edges, edges_per_line=10)
+    found = [json.loads(r.line) for r in lines.collect()]
+    hub = [line for line in found if line["id"]["@value"] == 0]
+    assert len(hub) > 3 and sum("properties" in h for h in hub) == 1 and len(found) == n - 1 + len(hub)
     assert sum(len(e) for h in hub for e in h["outE"].values()) == n
-
-    base = f"{spark.conf.get('spark.checkpoint.dir', '/tmp')}/split-{id(documents)}"
-    documents.write.mode("overwrite").partitionBy("flow_id", "part").text(f"{base}/ml")
-    lines.write.mode("overwrite").partitionBy("flow_id").text(f"{base}/json")
+    gf.write_graphml(vertices, edges, f"{tmp_path}/ml", elements_per_file=25)
+    gf.write_graphson(vertices, edges, f"{tmp_path}/json", edges_per_line=10)
+    assert len(list((tmp_path / "ml").glob("part-*"))) == 5  # 121 elements
     expected = graph_rows(rows, vertices, edges)
-    assert graph_rows(rows, *gf.read_graphml(spark, f"{base}/ml")) == expected
-    assert graph_rows(rows, *gf.read_graphson(spark, f"{base}/json")) == expected
+    assert graph_rows(rows, *gf.read_graphml(spark, f"{tmp_path}/ml")) == expected
+    assert graph_rows(rows, *gf.read_graphson(spark, f"{tmp_path}/json")) == expected
+
+
+def test_many_flows_share_files_that_are_valid_by_themselves(spark, rows, tmp_path):
+    """200 small flows, a large one and one without a name; clashing property names."""
+    vertices = spark.range(2000).selectExpr(
+        "case when id < 1000 then concat('flow <', id % 200, '>') when id < 1900 then 'large' end flow_id", "id", "'processor' label",
+        "cast(null as boolean) is_root", "cast(null as string) pg_id", "cast(null as string) pg_name", "concat('p', id) proc_id",
+        "'n' proc_name", "map('__flow_id', 'other', concat('k', id % 7), 'v') properties",
+    )
+    edges = vertices.selectExpr("flow_id", "id + 5000 id", "id src", "id dst", "'dependent' label")
+    gf.write_graphml(vertices, edges, f"{tmp_path}/ml", elements_per_file=500)
+    gf.write_graphson(vertices, edges, f"{tmp_path}/json")
+    files = list((tmp_path / "ml").glob("part-*"))
+    assert len(files) == 8 and not [d for d in (tmp_path / "ml").iterdir() if d.is_dir()]
+    assert not [d for d in (tmp_path / "json").iterdir() if d.is_dir()]
+    sizes, ns = [], "{http://graphml.graphdrawing.org/xmlns}"
+    for file in files:
+        root = ET.parse(file).getroot()
+        sizes.append(len(list(root.iter(f"{ns}node"))) + len(list(root.iter(f"{ns}edge"))))
+        used = {d.get("key") for d in root.iter(f"{ns}data")}
+        assert used <= {k.get("id") for k in root.findall(f"{ns}key")}
+        assert [e.tag.removeprefix(ns) for e in root] == sorted([e.tag.removeprefix(ns) for e in root], reverse=True)  # keys, graphs
+        for graph in root.findall(f"{ns}graph"):
+            own = {d.text for d in graph.iter(f"{ns}data") if d.get("key") == gf.FLOW_KEY}
+            assert own <= {graph.get("id")}
+            assert [int(n.get("id")) for n in graph.findall(f"{ns}node")] == sorted(int(n.get("id")) for n in graph.findall(f"{ns}node"))
+    assert sum(sizes) == 4000 and max(sizes) < 1200
+    kept = vertices.withColumn("properties", F.map_filter("properties", lambda k, _: k != gf.FLOW_KEY))
+    expected = graph_rows(rows, kept, edges)
+    assert graph_rows(rows, *gf.read_graphml(spark, f"{tmp_path}/ml")) == expected
+    assert graph_rows(rows, *gf.read_graphson(spark, f"{tmp_path}/json")) == expected
+
+
+def test_an_empty_graph_is_one_empty_file(spark, tmp_path):
+    vertices, edges = (spark.createDataFrame([], schema) for schema in (VERTICES, EDGES))
+    gf.write_graphml(vertices, edges, f"{tmp_path}/ml")
+    assert [ET.parse(f).getroot().tag[-7:] for f in (tmp_path / "ml").glob("part-*")] == ["graphml"]
+    assert all(df.isEmpty() for df in gf.read_graphml(spark, f"{tmp_path}/ml"))
+
+
+def test_one_name_twice_is_a_reject(spark, rows, tmp_path):
+    (tmp_path / "a.graphml").write_text(
+        '<graphml><key id="d9" for="node" attr.name="procId"/><graph>'
+        '<node id="1"><data key="labelV">processor</data><data key="a">1</data><data key="a">2</data></node>'
+        '<node id="2"><data key="labelV">processor</data><data key="d9">p</data><data key="procId">q</data></node>'
+        '<node id="3"><data key="labelV">processor</data><data key="procId">r</data><data>x</data></node>'
+        '<edge id="4" source="1" target="1"><data key="labelE">x</data><data key="labelE">x</data></edge>'
+        '<edge id="5" source="1" target="1"><data key="labelE">parent</data></edge></graph></graphml>'
+    )
+    vertices, edges = gf.read_graphml(spark, str(tmp_path), "f")
+    assert rows(vertices, "id", "proc_id", "flow_id") == [(3, "r", "f")] and rows(edges, "id") == [(5,)]
+    assert rows(vertices.filter("label = 'processor'"), "id") == [(3,)]
+    assert rows(gf.graphml_rejects(spark, str(tmp_path)), "reason", "element") == [
+        ("two data of one name: a", "node"), ("two data of one name: labelE", "edge"), ("two data of one name: procId", "node"),
+    ]
 
 
 def test_single_graph_files(spark, rows, tmp_path):
@@ -200,7 +259,7 @@ def test_bad_graphml_elements_are_listed(spark, rows, tmp_path):
     (tmp_path / "cut.graphml").write_text('<graphml><graph><node id="5"><data key="labelV">processor</data></node><node id="6"><data key="lab')
     vertices, edges = gf.read_graphml(spark, str(tmp_path), "f")
     assert rows(vertices, "id") == [(1,), (5,)] and edges.isEmpty()
-    bad = gf.graphml_rejects(spark, str(tmp_path), "f").select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason", "element")
+    bad = gf.graphml_rejects(spark, str(tmp_path)).select(F.element_at(F.split("path", "/"), -1).alias("file"), "reason", "element")
     assert rows(bad) == [
         ("a.graphml", "ids that are not numbers: 3, 1, n2", "edge"), ("a.graphml", "ids that are not numbers: n2", "node"),
         ("cut.graphml", "unreadable element", "node"),
