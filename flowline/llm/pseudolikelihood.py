@@ -23,6 +23,7 @@ from __future__ import annotations
 import functools
 import pickle
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,16 +50,20 @@ HIDDEN = 24
 #: Times the copies are averaged; in each of the rounds every ROUNDS-th token of every document is predicted, in all
 #: rounds together every token once.
 ROUNDS = 3
-RATE = 0.1
-#: Windows of a training step, and tokens scored at a time.
-STEP_WINDOWS = 512
+RATE = 0.3
+#: Windows of a training step, tokens scored at a time, and windows of which the classes are held at a time.
+STEP_WINDOWS = 2048
 SCORE_TOKENS = 8192
+BLOCK_WINDOWS = 1024
 
 NAMES = ("near", "hidden", "out", "bias", "inner", "inner_bias")
 ENCODED = T.StructType(
     [T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("ids", T.BinaryType())]
     + [T.StructField("within", T.DoubleType()), T.StructField("rare", T.ArrayType(T.StringType()))]
 )
+COUNTED = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
+#: Different words that a task counts before it hands them on.
+COUNTED_WORDS = 200_000
 WEIGHTS = T.StructType([T.StructField("place", T.IntegerType()), T.StructField("value", T.DoubleType())])
 SCORED = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("row", "doc_id", "n_tokens")] + [T.StructField("known", T.DoubleType())]
@@ -123,9 +128,29 @@ def _vocabulary_of(pickled: bytes) -> tuple[np.ndarray, Memory]:
 
 
 def count_words(df: DataFrame) -> DataFrame:
-    """(word, n) over all texts; words are runs of characters other than ASCII white space."""
-    words = df.select(F.explode(F.split("text", r"[ \t-\r]+")).alias("word")).filter("word != ''")
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """(word, n) over all texts; words are runs of characters other than ASCII white space.
+
+    A task hands on its words with their counts, in several pieces where it
+    meets many different ones.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[bytes] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            words = pa.array(list(counts), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], COUNTED.names)
+
+        for part in slices(batches):
+            for text in part.column("text").to_pylist():
+                counts.update(text.encode().split())
+            if len(counts) > COUNTED_WORDS:
+                yield counted()
+                counts.clear()
+        if counts:
+            yield counted()
+
+    return map_arrow(df.select("text"), run, COUNTED).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def learn_vocabulary(df: DataFrame) -> Vocabulary:
@@ -249,62 +274,101 @@ def _windows(row: np.ndarray, places: np.ndarray, ids: int = CLASSES) -> np.ndar
     return np.stack([row[places + d].astype(np.int64) + k * ids for k, d in enumerate(offsets)], 1)
 
 
-def _forward(p: dict[str, np.ndarray], windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden units and log probabilities of the classes."""
-    h = p["hidden"] + p["near"][windows[:, 0]]
+def _hidden(p: dict[str, np.ndarray], windows: np.ndarray) -> np.ndarray:
+    """Hidden units, and a last column of ones that stands for the biases of what comes after."""
+    h = np.empty((len(windows), HIDDEN + 1), p["near"].dtype)
+    units = h[:, :HIDDEN]
+    np.add(p["near"][windows[:, 0]], p["hidden"], out=units)
     for k in range(1, windows.shape[1]):
-        h += p["near"][windows[:, k]]
-    np.tanh(h, out=h)
-    z = h @ p["out"]
-    z += p["bias"]
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return h, z
+        units += p["near"][windows[:, k]]
+    np.tanh(units, out=units)
+    h[:, HIDDEN] = 1
+    return h
+
+
+def _exponentials(h: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the classes' values less the row's greatest, and that; it counts as 0 where no value can be too great.
+
+    Hidden units lie between -1 and 1, so the weights bound the values.
+    """
+    z = h @ weights
+    if np.abs(weights).sum(0).max() < 60:
+        greatest = np.zeros((len(z), 1), z.dtype)
+    else:
+        greatest = z.max(1, keepdims=True)
+        z -= greatest
+    return np.exp(z, out=z), greatest
+
+
+def _weights(p: dict[str, np.ndarray]) -> np.ndarray:
+    return np.vstack([p["out"], p["bias"]])
 
 
 def _inner(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray, group: np.ndarray) -> Iterator[tuple]:
-    """For each class of endings with known words: its rows of ``inner``, the places of its targets, and the log
-    probabilities of their words within the class, the first column being all unknown words."""
+    """For each class of endings with known words: its rows of ``inner``, the places of its targets with their hidden
+    units, and the log probabilities of their words within the class, the first column being all unknown words."""
     first = p["first"].astype(np.int64)
-    order = np.argsort(group, kind="stable")
+    order = np.argsort(group.astype(np.uint8), kind="stable")
     bounds = np.searchsorted(group[order], np.arange(OWN + 1, CLASSES + 1))
     for k in np.flatnonzero((np.diff(first) > 0) & (np.diff(bounds) > 0)):
         rows = slice(int(first[k] + k), int(first[k + 1] + k + 1))
         at = order[bounds[k] : bounds[k + 1]]
-        z = h[at] @ p["inner"][rows].T
+        own = h[at, :HIDDEN]
+        z = own @ p["inner"][rows].T
         z += p["inner_bias"][rows]
         z -= z.max(1, keepdims=True)
         z -= np.log(np.exp(z).sum(1, keepdims=True))
-        yield rows, at, np.maximum(target[at].astype(np.int64) - (CLASSES + first[k]) + 1, 0), z
+        yield rows, at, own, np.maximum(target[at].astype(np.int64) - (CLASSES + first[k]) + 1, 0), z
+
+
+def _sums_by_row(windows: np.ndarray, dh: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of ``dh`` by row of ``near``: its rows in the order of the windows' ids, added up run by run."""
+    flat = windows.ravel()
+    order = np.argsort(flat.astype(np.uint16) if rows <= 1 << 16 else flat, kind="stable")
+    ordered = flat[order]
+    heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    out = np.zeros((rows, dh.shape[1]), dh.dtype)
+    out[ordered[heads]] = np.add.reduceat(dh[order // windows.shape[1]], heads)
+    return out
 
 
 def gradients(p: dict[str, np.ndarray], windows: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log probability of the targets."""
     n = len(target)
     group = p["group"][target].astype(np.int64)
-    h, z = _forward(p, windows)
-    dz = np.exp(z)
-    dz[np.arange(n), group] -= 1
-    dz /= n
-    dh = dz @ p["out"].T
+    h = _hidden(p, windows)
+    dh = np.empty((n, HIDDEN), h.dtype)
+    weights = _weights(p)
+    d_weights = np.zeros_like(weights)
+    for at in range(0, n, BLOCK_WINDOWS):  # what is as wide as the classes stays in the processor's memory
+        block = slice(at, at + BLOCK_WINDOWS)
+        dz, _ = _exponentials(h[block], weights)
+        dz *= (1 / n) / dz.sum(1, keepdims=True)
+        dz[np.arange(len(dz)), group[block]] -= dz.dtype.type(1 / n)
+        np.matmul(dz, p["out"].T, out=dh[block])
+        d_weights += h[block].T @ dz
     inner, inner_bias = np.zeros_like(p["inner"]), np.zeros_like(p["inner_bias"])
-    for rows, at, word, within in _inner(p, h, target, group):
+    for rows, at, own, word, within in _inner(p, h, target, group):
         d = np.exp(within)
         d[np.arange(len(at)), word] -= 1
         d /= n
         dh[at] += d @ p["inner"][rows]
-        inner[rows], inner_bias[rows] = d.T @ h[at], d.sum(0)
-    dh *= 1 - h**2
-    # Sums of dh by row of ``near``; bincount is several times as fast as add.at.
-    cells = (windows[:, :, None] * HIDDEN + np.arange(HIDDEN)).ravel()
-    near = np.bincount(cells, np.repeat(dh[:, None], windows.shape[1], 1).ravel(), p["near"].size)
-    near = near.reshape(p["near"].shape).astype(p["near"].dtype)
-    return {"near": near, "hidden": dh.sum(0), "out": h.T @ dz, "bias": dz.sum(0), "inner": inner, "inner_bias": inner_bias}
+        inner[rows], inner_bias[rows] = d.T @ own, d.sum(0)
+    units = h[:, :HIDDEN]
+    dh *= 1 - units * units
+    near = _sums_by_row(windows, dh, len(p["near"]))
+    return {
+        "near": near, "hidden": dh.sum(0), "out": d_weights[:HIDDEN], "bias": d_weights[HIDDEN],
+        "inner": inner, "inner_bias": inner_bias,
+    }
 
 
 def _turn(owner: np.ndarray, rounds: int) -> np.ndarray:
     """The round that predicts each token: its place in its own document, modulo ``rounds``."""
-    return (np.arange(len(owner)) - np.searchsorted(owner, owner)) % rounds
+    number = np.arange(len(owner))
+    begins = np.ones(len(owner), bool)
+    begins[1:] = owner[1:] != owner[:-1]
+    return (number - np.maximum.accumulate(np.where(begins, number, 0))) % rounds
 
 
 class Trainer:
@@ -359,13 +423,18 @@ def document_scores(p: dict[str, np.ndarray], documents: list[bytes]) -> np.ndar
     """Per document the summed log probability of its tokens' classes and known words, each seen from both sides."""
     ids = len(p["group"])
     row, places, owner = _joined(documents, ids)
-    out = np.zeros(len(documents))
+    out, weights = np.zeros(len(documents)), _weights(p)
     for at in range(0, len(places), SCORE_TOKENS):
         own = places[at : at + SCORE_TOKENS]
         group = p["group"][row[own]].astype(np.int64)
-        h, z = _forward(p, _windows(row, own, ids))
-        found = z[np.arange(len(own)), group]
-        for _, of, word, within in _inner(p, h, row[own], group):
+        h = _hidden(p, _windows(row, own, ids))
+        found = np.empty(len(own))
+        for k in range(0, len(own), BLOCK_WINDOWS):
+            block = slice(k, k + BLOCK_WINDOWS)
+            e, greatest = _exponentials(h[block], weights)
+            value = (h[block] * weights.T[group[block]]).sum(1)
+            found[block] = value - greatest[:, 0] - np.log(e.sum(1))
+        for _, of, _, word, within in _inner(p, h, row[own], group):
             found[of] += within[np.arange(len(of)), word]
         out += np.bincount(owner[at : at + SCORE_TOKENS], found, len(documents))
     return out
