@@ -12,6 +12,7 @@ looked up within one stage; nothing but hits is ever shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,38 +39,53 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _BETWEEN), "")
 
 
-def _seed_hashes(words: Column, at: Column) -> Column:
+def _whole_masks(sizes: Sequence[int]) -> dict[int, Sequence[int]]:
+    """By number, masks that select all words of items too short for a spaced seed."""
+    return {len(MASKS) + size: range(size) for size in sizes}
+
+
+def _seed_hashes(words: Column, at: Column, sizes: Sequence[int] = ()) -> Column:
     """A seed per mask; null for the masks that do not fit any more at the end of the words."""
-    hashed = [F.xxhash64(F.lit(number), *[F.get(words, at + k) for k in mask]) for number, mask in enumerate(MASKS)]
-    return F.array(*[F.when(F.get(words, at + mask[-1]).isNotNull(), seed) for mask, seed in zip(MASKS, hashed)])
+    masks = {**dict(enumerate(MASKS)), **_whole_masks(sizes)}
+    hashed = [F.xxhash64(F.lit(number), *[F.get(words, at + k) for k in mask]) for number, mask in masks.items()]
+    return F.array(*[F.when(F.get(words, at + mask[-1]).isNotNull(), seed) for mask, seed in zip(masks.values(), hashed)])
 
 
-def _starts(words: Column) -> Column:
+def _starts(words: Column, shortest: int = SHORTEST) -> Column:
     """Every place where the shortest seed fits; the size is asked here so that words are split once."""
-    places = F.sequence(F.lit(0), F.size(words) - SHORTEST)
-    return F.explode(F.when(F.size(words) >= SHORTEST, places).otherwise(F.array().cast("array<int>")))
+    places = F.sequence(F.lit(0), F.size(words) - shortest)
+    return F.explode(F.when(F.size(words) >= shortest, places).otherwise(F.array().cast("array<int>")))
 
 
 def benchmark_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(seed, context, before, needed, item_id) of every position of every item.
 
     context holds the words up to WINDOW around the seed, ``before`` of them in
-    front of it. Equal contexts of several items are one row with the smallest
-    id. Items of fewer than WINDOW words are only found whole, unchanged; those
-    of fewer than SPAN words, empty and null ones are not looked for.
+    front of it, and ``needed`` says how many of them must be equal: EQUAL, of
+    items shorter than WINDOW all but one, of items of fewer than EQUAL words
+    all. Items too short for a spaced seed have one seed of all their words.
+    Equal contexts of several items are one row with the smallest id. Empty and
+    null items have nothing to look for.
     """
     items = pick(benchmark, item_id=id_col, text=text_col).select("item_id", words_of(F.col("text")).alias("words"))
-    items = items.filter(F.size("words") >= SPAN).groupBy("words").agg(F.min("item_id").alias("item_id"))
-    at, words = F.col("at"), F.col("words")
+    items = items.filter(F.size("words") > 0).groupBy("words").agg(F.min("item_id").alias("item_id"))
+    at, words, size = F.col("at"), F.col("words"), F.size("words")
     first = F.greatest(at - WINDOW, F.lit(0))
+    needed = F.when(size >= WINDOW, EQUAL).when(size >= EQUAL, size - 1).otherwise(size)
     placed = items.select("*", _starts(words).alias("at")).select(
         F.explode(_seed_hashes(words, at)).alias("seed"),
         F.slice(words, first + 1, F.lit(SPAN + 2 * WINDOW)).alias("context"),
         (at - first).alias("before"),
-        F.when(F.size(words) < WINDOW, F.size(words)).otherwise(EQUAL).alias("needed"),
+        needed.alias("needed"),
         "item_id",
     )
-    placed = placed.filter(F.col("seed").isNotNull())
+    whole = F
+    for number, mask in _whole_masks(range(1, SHORTEST)).items():
+        whole = whole.when(size == len(mask), F.xxhash64(F.lit(number), *[F.get(words, F.lit(k)) for k in mask]))
+    short = items.filter(size < SHORTEST).select(
+        whole.alias("seed"), words.alias("context"), F.lit(0).alias("before"), size.alias("needed"), "item_id"
+    )
+    placed = placed.filter(F.col("seed").isNotNull()).unionByName(short)
     return placed.groupBy("seed", "context", "before", "needed").agg(F.min("item_id").alias("item_id"))
 
 
@@ -107,11 +123,13 @@ def find_passages(
     """
     seeds = cut_lineage(seeds, "seeds")
     blocks = max(1, -(-seeds.count() // block_seeds))
+    # Places of documents are hashed whole for the lengths that such items have, of which there are few, if any.
+    sizes = sorted(r.needed for r in seeds.filter(F.col("needed") < SHORTEST).select("needed").distinct().collect())
     texts = pick(documents, doc_id=id_col, text=text_col).select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words_of(F.col("text")).alias("words")
     )
-    own = texts.select("*", _starts(F.col("words")).alias("at"))
-    own = own.select("*", F.explode(_seed_hashes(F.col("words"), F.col("at"))).alias("seed"))
+    own = texts.select("*", _starts(F.col("words"), min([SHORTEST, *sizes])).alias("at"))
+    own = own.select("*", F.explode(_seed_hashes(F.col("words"), F.col("at"), sizes)).alias("seed"))
     own = own.filter(F.col("seed").isNotNull())
 
     def hits(block: int) -> DataFrame:

@@ -18,9 +18,9 @@ def plain_words(text):
 def plain_match(text, item):
     """Whether some alignment has enough equal words close together."""
     w, v = plain_words(text), plain_words(item)
-    if len(v) < D.SPAN or len(w) < D.SPAN:
+    if not v:
         return False
-    needed = len(v) if len(v) < D.WINDOW else D.EQUAL
+    needed = min(D.EQUAL, len(v) - (len(v) >= D.EQUAL))
     for shift in range(-len(v), len(w)):
         m = [k for k in range(len(v)) if 0 <= shift + k < len(w) and w[shift + k] == v[k]]
         if any(m[j + needed - 1] - m[j] < D.WINDOW for j in range(len(m) - needed + 1)):
@@ -39,7 +39,7 @@ def test_masks_miss_no_window():
 def cases():
     chance = random.Random(11)
     word = lambda: chance.choice("ab cd ef gh ij kl mn op qr st uv wx yz éa ño 12".split())
-    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((30, 14, 12, 11, 9, 8, 7, 3, 0, 40))]
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate((30, 14, 12, 11, 10, 9, 8, 7, 6, 5, 0, 40))]
     items += [(20, None), (21, items[0][1]), (None, items[1][1])]
     docs = [(1000, None), (1001, ""), (1002, "short one"), (None, items[0][1])]
     for i, text in items:
@@ -99,6 +99,30 @@ def test_seeds_miss_no_window_at_either_end(spark):
     assert [texts[r.doc_id] for r in D.contamination(documents, benchmark).collect() if not r.contaminated] == []
 
 
+def test_short_items_are_found_whole_or_with_a_word_replaced(spark):
+    """Every length up to WINDOW, and for the longer ones every single word replaced; one missing word is too many."""
+    docs, items, want = [], [], []
+    for size in range(1, D.WINDOW):
+        own = [f"s{size}x{k}" for k in range(size)]
+        items.append((size, " ".join(own)))
+        variants = [(own, True)]
+        for k in range(size):
+            variants.append((own[:k] + ["other"] + own[k + 1 :], size >= D.EQUAL))
+        variants += [(own[1:], size >= D.EQUAL), (own[:-1] + ["x", own[-1]], size == 1 or size >= D.EQUAL)]
+        for words, hit in variants:
+            for front, behind in (([], []), (["y"] * 5, ["z"] * 5)):
+                docs.append((len(docs), " ".join([*front, *words, *behind])))
+                want.append(hit)
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {r.doc_id: r.contaminated for r in D.contamination(documents, benchmark).collect()}
+    wrong = [text for i, text in docs if found[i] != want[i]]
+    assert wrong == [] and want == [any(plain_match(t, x) for _, x in items) for _, t in docs]
+    seven = spark.createDataFrame([(1, "What is the capital city of France?")], "item_id bigint, text string")
+    asked = spark.createDataFrame([(1, "he said: what is the capital city of France, and left")], "doc_id bigint, text string")
+    assert D.contamination(asked, seven).first().contaminated
+
+
 def test_query_and_plan(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
