@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from flowline.llm.components import connected_components
 from flowline.llm.tables import documents_of, map_arrow, numbered, slices
-from flowline.operators.keys import distinct_apart
+from flowline.operators.keys import group_apart
 from flowline.session import cut_lineage
 
 BITS = 64
@@ -224,7 +224,8 @@ def near_duplicates(
     nodes = connected_components(near_links(different.select("fp"), distance, segments, bucket_pairs))
     placed = different.join(nodes.select(F.col("node").alias("fp"), "root"), "fp", "left")
     placed = placed.select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # A component may hold much of the table, so its rows stay splittable at the join.
+    named = group_apart(placed, ["root"], F.min("first_id").alias("component_id"))
     classes = cut_lineage(placed.join(named, "root").select("fp", "root", "component_id"), "print-classes")
     return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
