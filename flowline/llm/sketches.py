@@ -292,6 +292,6 @@ def compare_with_edits(df: DataFrame, parts: int, id_col: str = "doc_id", text_c
     # As many rows as there are ranges, so they may be broadcast.
     ahead = rows.join(F.broadcast(before), begun).select("part", *rows.columns).dropDuplicates(["part"])
     inside = map_arrow(rows, dealt, schema).withColumn("ahead", F.lit(False))
-    whole = inside.unionByName(ahead.withColumn("ahead", F.lit(True))).repartition(parts, "part")
+    whole = inside.unionByName(ahead.withColumn("ahead", F.lit(True))).repartitionById(max(1, len(begins)), "part")
     whole = whole.sortWithinPartitions("part", "ahead", *order, "text")
     return map_arrow(whole.select("doc_id", "text", "ahead"), _compare_versions, COMPARED)
