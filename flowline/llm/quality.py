@@ -278,9 +278,11 @@ def fit(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
     labels = estimate(patterns)
     good = [p for p in patterns if labels.posterior(p) >= 0.5]
     one_each = voted.groupBy("text_hash").agg(F.min("pattern").alias("pattern"), F.min("buckets").alias("buckets"))
+    one_each = cut_lineage(one_each, "different-votes")
     is_good = F.col("pattern").isin(good)
-    n_good = sum(patterns[p] for p in good)
-    sides = ((is_good, n_good), (~is_good, sum(patterns.values()) - n_good))
+    # Different texts are sampled, so these are counted, however often one of them occurs.
+    n = {r.good: r["count"] for r in one_each.groupBy(is_good.alias("good")).count().collect()}
+    sides = ((is_good, n.get(True, 0)), (~is_good, n.get(False, 0)))
     rows = [r for side, n in sides for r in bounded_sample(one_each.filter(side), TRAIN_ROWS, n, "text_hash").collect()]
     targets = np.array([labels.posterior(r.pattern) for r in rows])
     weights, intercept = train_linear([r.buckets for r in rows], targets)
