@@ -12,6 +12,7 @@ are worth, they are worth nothing.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import itertools
 import json
@@ -25,7 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,12 +42,14 @@ TRAIN_CLEAN = 8_000
 THRESHOLD = 0.7
 #: Lengths of the stems that are tried as terms.
 STEMS = (4, 5, 6, 7)
-#: A term stands in at least so many toxic training documents, and in this share of them.
+#: A term stands in at least so many toxic training documents, whatever their number.
 LEAST_DOCS = 4
-LEAST_SHARE = 0.01
-#: Log odds from which a term marks abuse, and the most terms of a lexicon.
+#: Log odds from which a term marks abuse.
 LEAST_ODDS = 2.5
-MOST_TERMS = 1_000
+#: Of all terms tried about so many may come to mark abuse by chance.
+BY_CHANCE = 0.1
+#: Terms of a lexicon and words around its hits, of which the ones with most evidence are kept.
+MOST_TERMS = 20_000
 #: Letters from which a word, or a stem, may be misspelled.
 FUZZY_WORD = 5
 FUZZY_STEM = 6
@@ -161,10 +164,14 @@ class Scorer:
         for at, _, _ in hits:
             quoted = False
             if marks:
-                line = max((p for p in lines if p < starts[at]), default=-1)
-                after = min((p for p in lines if p > starts[at]), default=len(lowered))
-                before = sum(line < p < starts[at] for p in marks)
-                quoted = before % 2 == 1 and any(starts[at] < p < after for p in marks)
+                here = starts[at]
+                line = bisect.bisect_left(lines, here)
+                begin = lines[line - 1] if line else -1
+                after = bisect.bisect_right(lines, here)
+                end = lines[after] if after < len(lines) else len(lowered)
+                in_front = bisect.bisect_left(marks, here) - bisect.bisect_right(marks, begin)
+                behind = bisect.bisect_right(marks, here)
+                quoted = in_front % 2 == 1 and behind < len(marks) and marks[behind] < end
             around = itertools.chain(words[max(0, at - WINDOW) : at], words[at + 1 : at + 1 + WINDOW])
             out.append(quoted or sum(self.model.contexts.get(w, 0.0) for w in around) < 0)
         return out
@@ -202,28 +209,36 @@ def terms_of(words: Iterable[str]) -> set[str]:
     return found
 
 
-def lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """The terms that mark abuse, with their log odds.
+def odds_of(n: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    """Log odds of a term in toxic documents against clean ones."""
+    return F.log((n + 0.5) / (n_toxic + 1)) - F.log((clean + 0.5) / (n_clean + 1))
 
-    Of terms that begin one another, the one that says most in most toxic
-    documents stands for all, the longest of those that say the same.
+
+def evidence_of(n: Column, clean: Column, n_toxic: int, n_clean: int) -> Column:
+    """How much more likely the counts of a term are, in logarithms, by its own rate on either side than by one for both."""
+    share = n_toxic / max(1, n_toxic + n_clean)
+
+    def part(count: Column, expected: Column) -> Column:
+        return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
+
+    return part(n, (n + clean) * share) + part(clean, (n + clean) * (1 - share))
+
+
+def lexicon(marking: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """The terms that mark abuse, with their log odds, of terms with odds and evidence.
+
+    Of terms that begin one another, the one with most evidence stands for all,
+    the longest of those that have the same.
     """
-    odds = {
-        t: math.log((n + 0.5) / (n_toxic + 1)) - math.log((clean.get(t, 0) + 0.5) / (n_clean + 1)) for t, n in toxic.items()
-    }
-    least = max(LEAST_DOCS, LEAST_SHARE * n_toxic)
-    marking = [t for t, n in toxic.items() if n >= least and odds[t] >= LEAST_ODDS]
     chosen: dict[str, float] = {}
     taken: set[str] = set()
-    for term in sorted(marking, key=lambda t: (-toxic[t] * odds[t], -len(t), t)):
+    for term in sorted(marking, key=lambda t: (-marking[t][1], -len(t), t)):
         letters = term.removesuffix(END)
         heads = {letters[:n] for n in range(1, len(letters) + 1)}
         if heads & chosen.keys() or letters in taken or letters + END in chosen:
             continue
-        chosen[term] = odds[term]
+        chosen[term] = marking[term][0]
         taken |= heads
-        if len(chosen) == MOST_TERMS:
-            break
     return chosen
 
 
@@ -253,15 +268,14 @@ def _sample(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return cut_lineage(marked.dropDuplicates(["signature", "toxic"]), "toxic-training")
 
 
-def _count_terms(sample: DataFrame, toxic: int, wanted: frozenset[str] | None = None) -> DataFrame:
-    """(term, n): training documents of a label with each term, or with each of the wanted ones."""
+def _count_terms(sample: DataFrame, toxic: int) -> DataFrame:
+    """(term, n): training documents of a label with each term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         for part in slices(batches):
             for text in part.column("text").to_pylist():
-                found = terms_of(set(WORD.findall(text.lower())))
-                counts.update(found if wanted is None else found & wanted)
+                counts.update(terms_of(set(WORD.findall(text.lower()))))
         yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], TERM_COUNTS.names)
 
     rows = map_arrow(sample.filter(F.col("toxic") == toxic).select("text"), run, TERM_COUNTS)
@@ -312,12 +326,20 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     sample = _sample(documents_of(documents, id_col, text_col), labels)
     sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    # No more terms come to the driver than MOST_TERMS documents' worth of the most frequent ones.
-    least = max(LEAST_DOCS, LEAST_SHARE * sizes.get(1, 0))
-    often = _count_terms(sample, 1).filter(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(50 * MOST_TERMS)
-    toxic = {r.term: r.n for r in often.collect()}
-    clean = {r.term: r.n for r in _count_terms(sample, 0, frozenset(toxic)).collect()}
-    terms = lexicon(toxic, clean, sizes.get(1, 0), sizes.get(0, 0))
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    # Both counts meet before any term is judged.
+    clean = _count_terms(sample, 0).withColumnRenamed("n", "clean")
+    counted = _count_terms(sample, 1).filter(F.col("n") >= LEAST_DOCS).join(clean, "term", "left").fillna(0, ["clean"])
+    judged = counted.select(
+        "term",
+        odds_of(F.col("n"), F.col("clean"), n_toxic, n_clean).alias("odds"),
+        evidence_of(F.col("n"), F.col("clean"), n_toxic, n_clean).alias("evidence"),
+    )
+    judged = cut_lineage(judged, "toxic-terms")
+    least = math.log(max(1, judged.count()) / BY_CHANCE)
+    marking = judged.filter((F.col("odds") >= LEAST_ODDS) & (F.col("evidence") >= least))
+    top = marking.orderBy(F.desc("evidence"), F.desc(F.length("term")), "term").limit(MOST_TERMS).collect()
+    terms = lexicon({r.term: (r.odds, r.evidence) for r in top})
     if not terms:
         return Model({})
     contexts = _context_odds(sample, terms, sizes)
