@@ -32,18 +32,22 @@ from flowline.llm import lstm
 from flowline.llm.tables import bounded_sample, map_arrow, pick, slices
 from flowline.llm.units import Memory
 
-#: Pages of the table that are learned from, and made-up ones; the longest html among the former.
+#: Pages of the table that are learned from, whole, and their characters in all; and made-up pages.
 TRAIN_PAGES = 300
-MADE_PAGES = 500
-TRAIN_HTML_CHARS = 100_000
-TRAIN_BLOCKS = 150
+TRAIN_HTML_CHARS = 8_000_000
+MADE_PAGES = 900
+#: Blocks after which a training page goes on as another sequence.
+TRAIN_BLOCKS = 2_000
 #: Size of the hashed path and word vectors, of the LSTM's state, and passes over the training pages.
 PATH_BUCKETS = 96
 WORD_BUCKETS = 24
 HIDDEN = 16
-ROUNDS = 12
+ROUNDS = 22
 #: Blocks that are labelled at a time, padding included.
 BATCH_BLOCKS = 8192
+#: Paths remembered per Python worker, and elements inside each other up to which they are.
+PATHS = 100_000
+PATH_DEPTH = 100
 
 # Elements of HTML that begin a block of their own.
 BLOCK_TAGS = frozenset(
@@ -55,8 +59,10 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style noscript template textarea iframe svg math object title".split())
 # A start tag of the left ends an open element of the right.
-ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
-        "option": {"option"}}
+ENDS = {
+    "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
+    "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
+}
 
 # A tag whose quoted values hold no '>' is matched whole, any other one up to its name. No part goes past a '>' in vain.
 _MARKUP = re.compile(
@@ -76,14 +82,132 @@ PAGE_TEXT = T.StructType(
 )
 
 
+class Node:
+    """An open element, or the page itself, with what its path comes to.
+
+    ``everywhere`` and ``far`` count the hashed words of the path, so that a
+    block deep down costs no more than one at the top.
+    """
+
+    __slots__ = ("parent", "element", "depth", "inside", "hard", "said", "below", "everywhere", "far", "vector")
+
+    def __init__(self, parent: Node | None, element: tuple[str, ...]) -> None:
+        self.parent, self.element, self.below = parent, element, None
+        self.depth = parent.depth + 1 if parent else 0
+        self.everywhere = self.far = self.vector = None
+        self._label()
+
+    def _label(self) -> None:
+        """``said``: 1 or 0 where an element of the path says what the block is, the innermost that does; else -1.
+
+        Class words say nothing about an article itself, and a header inside an
+        article is its headline. An article in a sidebar or menu is none, nor is
+        one in a part of an article that is not main text, like its comments.
+        """
+        parent = self.parent
+        if parent is None:
+            self.said, self.inside, self.hard = -1, False, False
+            return
+        tag, *words = self.element
+        self.inside, self.hard, self.said = parent.inside, parent.hard, parent.said
+        if tag in MAIN_TAGS:
+            if not (parent.hard or (parent.inside and parent.said == 0)):
+                self.said = 1
+            self.inside = True
+            return
+        says = _OTHER_WORDS.intersection(words)
+        if parent.inside:
+            says = says - {"header"}
+        if says or (tag in OTHER_TAGS and not (tag == "header" and parent.inside)):
+            self.said = 0
+            self.hard = self.hard or tag in HARD_TAGS
+
+    def path(self) -> tuple[tuple[str, ...], ...]:
+        found, node = [], self
+        while node.parent is not None:
+            found.append(node.element)
+            node = node.parent
+        return tuple(reversed(found))
+
+    def _counted(self) -> None:
+        """Fills the counts of this node and of those above it that have none yet."""
+        chain, node = [], self
+        while node is not None and node.everywhere is None:
+            chain.append(node)
+            node = node.parent
+        for node in reversed(chain):
+            if node.parent is None:
+                node.everywhere = node.far = np.zeros(PATH_BUCKETS, np.uint8)
+            else:
+                node.everywhere = np.minimum(node.parent.everywhere + _bucket_counts(node.element, ""), 2)
+                node.far = np.minimum(node.parent.far + _bucket_counts(node.element, "<True"), 2)
+
+    def path_vector(self) -> np.ndarray:
+        """Counts of the path's words, up to two, those of the two innermost elements and of the others once more by themselves."""
+        if self.vector is None:
+            self._counted()
+            total, node = self.everywhere.copy(), self
+            for _ in range(2):
+                if node.parent is not None:
+                    total += _bucket_counts(node.element, "<False")
+                    node = node.parent
+            self.vector = np.minimum(total + node.far, 2)
+        return self.vector
+
+
+class _Paths:
+    """Nodes met again get back what they have come to; very deep ones are not kept."""
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.root, self.size = Node(None, ()), 0
+
+    def begin(self) -> Node:
+        if self.size > PATHS:
+            self.forget()
+        return self.root
+
+    def below(self, node: Node, element: tuple[str, ...]) -> Node:
+        if node.depth >= PATH_DEPTH:
+            return Node(node, element)
+        if node.below is None:
+            node.below = {}
+        found = node.below.get(element)
+        if found is None:
+            found = node.below[element] = Node(node, element)
+            self.size += 1
+        return found
+
+    def of(self, path: Sequence[tuple[str, ...]]) -> Node:
+        node = self.root
+        for element in path:
+            node = self.below(node, element)
+        return node
+
+
 @dataclass
 class Block:
-    """A leaf: its path, outermost element first, its text, and how many characters of it stand in links."""
+    """A leaf: the innermost element around it, its text, and how many characters of it stand in links."""
 
-    path: tuple[tuple[str, ...], ...]
+    node: Node
     text: str
     linked: int
 
+    @property
+    def path(self) -> tuple[tuple[str, ...], ...]:
+        return self.node.path()
+
+
+@functools.lru_cache(maxsize=50_000)
+def _bucket_counts(element: tuple[str, ...], where: str) -> np.ndarray:
+    counts = np.zeros(PATH_BUCKETS, np.uint8)
+    for word in element:
+        at = zlib.crc32(f"{word}{where}".encode()) % PATH_BUCKETS
+        counts[at] = min(2, counts[at] + 1)
+    return counts
+
 
 @functools.lru_cache(maxsize=100_000)
 def _element(tag: str, attributes: str) -> tuple[str, ...]:
@@ -114,10 +238,56 @@ def _tag_end(page: str, at: int, unclosed: set[int]) -> int:
     return page.find(">", at)
 
 
+class _Open:
+    """The open elements of a page, with the places of each tag and of the block elements among them."""
+
+    def __init__(self) -> None:
+        self.nodes: list[Node] = [_paths.begin()]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        # Block elements that no start tag looks past.
+        self.walls: list[int] = []
+
+    def push(self, tag: str, element: tuple[str, ...]) -> None:
+        at = len(self.nodes)
+        self.nodes.append(_paths.below(self.nodes[-1], element))
+        self.places.setdefault(tag, []).append(at)
+        if tag in BLOCK_TAGS:
+            self.blocks.append(at)
+            if tag not in ("tbody", "thead"):
+                self.walls.append(at)
+
+    def cut(self, at: int) -> None:
+        """Ends the element at a place and all inside it."""
+        for node in self.nodes[at:]:
+            self.places[node.element[0]].pop()
+        del self.nodes[at:]
+        for list_of in (self.blocks, self.walls):
+            while list_of and list_of[-1] >= at:
+                list_of.pop()
+
+    def last(self, tag: str) -> int:
+        own = self.places.get(tag)
+        return own[-1] if own else 0
+
+    def end(self, tag: str) -> None:
+        at = self.last(tag)
+        # An inline end tag ends no block.
+        if at and (tag in BLOCK_TAGS or not self.blocks or self.blocks[-1] < at):
+            self.cut(at)
+
+    def begin(self, tag: str, element: tuple[str, ...]) -> None:
+        ended = ENDS.get(tag, frozenset()) | ({"p"} if tag in BLOCK_TAGS else frozenset())
+        at = max(map(self.last, ended), default=0)
+        if at and at >= (self.walls[-1] if self.walls else 0):
+            self.cut(at)
+        self.push(tag, element)
+
+
 def blocks_of(page: str) -> list[Block]:
-    """The leaf blocks of a page in order; forgives missing and wrong end tags."""
+    """The leaf blocks of a page in order; forgives missing and wrong end tags. Linear in the page, however deep it is."""
     out: list[Block] = []
-    path: list[tuple[str, ...]] = []
+    elements = _Open()
     parts: list[str] = []
     linked = at = 0
     unclosed: set[int] = set()
@@ -128,7 +298,7 @@ def blocks_of(page: str) -> list[Block]:
             text = "".join(parts)
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
-                out.append(Block(tuple(path), text, min(linked, len(text))))
+                out.append(Block(elements.nodes[-1], text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -136,7 +306,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         if text:
             parts.append(text)
-            if any(element[0] == "a" for element in path):
+            if elements.last("a"):
                 linked += len(text)
 
     while True:
@@ -158,31 +328,17 @@ def blocks_of(page: str) -> list[Block]:
         if tag is None:
             continue
         tag, closing = tag.lower(), bool(found[1] or found[4])
-        block = tag in BLOCK_TAGS
-        if block:
+        if tag in BLOCK_TAGS:
             finish()
         elif tag == "br":
             parts.append(" ")
         if closing:
-            for depth in range(len(path) - 1, -1, -1):
-                if path[depth][0] == tag:
-                    if any(element[0] in BLOCK_TAGS for element in path[depth + 1 :]) and not block:
-                        break  # an inline end tag ends no block
-                    del path[depth:]
-                    break
+            elements.end(tag)
         elif tag in RAW_TAGS:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.IGNORECASE).search(page, at)
             at = end.end() if end else len(page)
         elif tag not in VOID_TAGS:
-            ended = {"p"} if block else set()
-            ended = ended | ENDS.get(tag, set())
-            for depth in range(len(path) - 1, -1, -1):
-                if path[depth][0] in ended:
-                    del path[depth:]
-                    break
-                if path[depth][0] in BLOCK_TAGS and path[depth][0] not in ("tbody", "thead"):
-                    break
-            path.append(_element(tag, attributes))
+            elements.begin(tag, _element(tag, attributes))
     take(page[at:])
     finish()
     return out
@@ -191,22 +347,11 @@ def blocks_of(page: str) -> list[Block]:
 _word_buckets = Memory(lambda word: zlib.crc32(word.encode()) % WORD_BUCKETS)
 
 
-@functools.lru_cache(maxsize=50_000)
-def _path_vector(path: tuple[tuple[str, ...], ...]) -> np.ndarray:
-    """Counts of the path's words, those of the innermost named elements once more by themselves."""
-    vector = np.zeros(PATH_BUCKETS, np.float32)
-    for depth, element in enumerate(path):
-        for word in element:
-            vector[zlib.crc32(word.encode()) % PATH_BUCKETS] += 1
-            vector[zlib.crc32(f"{word}<{len(path) - depth > 2}".encode()) % PATH_BUCKETS] += 1
-    return np.minimum(vector, 2)
-
-
 def vectors(blocks: Sequence[Block]) -> np.ndarray:
     """One row per block: path, words and measures."""
     out = np.zeros((len(blocks), PATH_BUCKETS + WORD_BUCKETS + 7), np.float32)
     for row, (at, block) in zip(out, enumerate(blocks)):
-        row[:PATH_BUCKETS] = _path_vector(block.path)
+        row[:PATH_BUCKETS] = block.node.path_vector()
         words = block.text.lower().split()
         counts = np.bincount(list(map(_word_buckets.__getitem__, words)), minlength=WORD_BUCKETS)
         row[PATH_BUCKETS : PATH_BUCKETS + WORD_BUCKETS] = counts / max(1.0, float(counts @ counts) ** 0.5)
@@ -214,7 +359,7 @@ def vectors(blocks: Sequence[Block]) -> np.ndarray:
         ends = block.text.count(".") + block.text.count(",")
         row[-7:] = (
             np.log1p(n) / 8, block.linked / n, min(1.0, 5 * ends / max(1, len(words))), np.log1p(len(words)) / 6,
-            at / len(blocks), len(block.path) / 10, block.text[-1] in ".!?",
+            at / len(blocks), min(3.0, block.node.depth / 10), block.text[-1] in ".!?",
         )
     return out
 
@@ -224,14 +369,8 @@ MAIN_TAGS = frozenset(["article", "main"])
 OTHER_TAGS = frozenset("nav footer aside form header button select menu dialog head label".split())
 
 
-def said(path: tuple[tuple[str, ...], ...]) -> int:
-    """1 or 0 where an element of the path says what the block is, the innermost that does; else -1."""
-    for element in reversed(path):
-        if element[0] in OTHER_TAGS or _OTHER_WORDS.intersection(element[1:]):
-            return 0
-        if element[0] in MAIN_TAGS:
-            return 1
-    return -1
+# Elements whose articles are no article of the page.
+HARD_TAGS = frozenset("aside nav footer menu dialog head".split())
 
 
 # Layouts of the made-up pages: elements of parts that are not main text, by what they are.
@@ -250,46 +389,70 @@ _MAIN = ["article", "main", "div.content", "div.post", "section#main", "div.arti
 _OTHER_WORDS = frozenset(w for own in _PARTS.values() for e in own for w in re.split(r"[.#]", e)[1:])
 
 
+#: Shared by the pages that a Python worker reads.
+_paths = _Paths()
+
+
 def _made_element(element: str) -> tuple[str, ...]:
     return tuple(re.split(r"[.#]", element))
 
 
+def _nameless(chance: random.Random, tag: str = "div") -> tuple[str, ...]:
+    """An element whose class words mean nothing."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return tag, *("".join(chance.choices(letters, k=chance.randrange(1, 8))) for _ in range(chance.randrange(3)))
+
+
 def made_page(chance: random.Random, long: Sequence[str], short: Sequence[str]) -> tuple[list[Block], list[int]]:
     """Blocks of a page in a random layout, and which of them are main text."""
     base: tuple[tuple[str, ...], ...] = (("html",), ("body",))
-    if chance.random() < 0.3:
-        base += (chance.choice([("div", "page"), ("div", "wrapper"), ("div",), ("div", "container")]),)
+    while chance.random() < 0.35:
+        base += (chance.choice([("div", "page"), ("div", "wrapper"), ("div",), ("div", "container"), _nameless(chance)]),)
     blocks: list[Block] = []
     labels: list[int] = []
 
     def add(path: tuple[tuple[str, ...], ...], text: str, label: int, linked: bool = False) -> None:
         if text:
-            blocks.append(Block(path, text, len(text) if linked else 0))
+            blocks.append(Block(_paths.of(path), text, len(text) if linked else 0))
             labels.append(label)
 
     def part(path: tuple[tuple[str, ...], ...], kind: str) -> None:
-        path += (_made_element(chance.choice(_PARTS[kind])),)
+        bare = kind in ("menu", "footer") and chance.random() < 0.2
+        path += (_nameless(chance) if bare else _made_element(chance.choice(_PARTS[kind])),)
         for _ in range(chance.randrange(1, 7)):
             text = chance.choice(short)
-            if kind in ("menu", "share", "sidebar") and chance.random() < 0.7:
+            if bare or (kind in ("menu", "share", "sidebar") and chance.random() < 0.7):
                 add((*path, ("ul",), ("li",)), " ".join(text.split()[:3]), 0, True)
             elif kind == "comments" or chance.random() < 0.2:
                 add((*path, ("p",)), chance.choice(long) if chance.random() < 0.4 else text, 0)
             else:
                 add(path if chance.random() < 0.5 else (*path, chance.choice([("p",), ("div",), ("span",), ("label",)])), text, 0)
 
-    def main(path: tuple[tuple[str, ...], ...]) -> None:
+    def main(path: tuple[tuple[str, ...], ...], named: bool) -> None:
+        # In some articles much, or all, stands in links; elsewhere linked text is no sign of an article.
+        links = chance.choice([0.0, 0.0, 0.0, 0.3, 1.0]) if named else 0.0
         if chance.random() < 0.8:
-            add((*path, ("h1",)), chance.choice(short), 1)
+            heading = (("header",),) if named and chance.random() < 0.3 else ()
+            add((*path, *heading, chance.choice([("h1",), ("h1",), ("h2",)])), chance.choice(short), 1)
         for _ in range(chance.choice([1, 2, 3, 5, 8, 13, 30])):
             kind, text = chance.random(), chance.choice(long)
-            if kind < 0.75:
-                add((*path, ("p",)) if chance.random() < 0.8 else (*path, ("p",), ("b",)), text, 1)
-            elif kind < 0.85:
+            if kind < 0.62:
+                around = ("p",) if chance.random() < 0.8 else chance.choice([("div",), _nameless(chance)])
+                add((*path, around), text, 1, chance.random() < links)
+            elif kind < 0.72:
                 add((*path, chance.choice([("h2",), ("h3",), ("blockquote",), ("pre",), ("figure",)])), chance.choice(short), 1)
-            elif kind < 0.93:
+            elif kind < 0.77:
+                add((*path, ("figure",), ("figcaption",)), chance.choice(short), 1)
+            elif kind < 0.83:
                 for _ in range(chance.randrange(1, 5)):
-                    add((*path, ("ul",), ("li",)), chance.choice(short), 1)
+                    add((*path, ("ul",), ("li",)), chance.choice(short if chance.random() < 0.7 else long), 1, chance.random() < links)
+            elif kind < 0.88:
+                row = chance.choice([(("table",), ("tr",)), (("table",), ("tbody",), ("tr",))])
+                for _ in range(chance.randrange(2, 9)):
+                    words = chance.choice(short).split()[: chance.randrange(1, 6)]
+                    add((*path, *row, chance.choice([("td",), ("td",), ("th",)])), " ".join(words), 1)
+            elif kind < 0.91:
+                add((*path, ("p",)), chance.choice(short), 1, chance.random() < links)
             else:
                 part(path, chance.choice(["advert", "sidebar", "form", "share", "notice"]))
 
@@ -297,8 +460,18 @@ def made_page(chance: random.Random, long: Sequence[str], short: Sequence[str])
         if chance.random() < 0.5:
             part(base, kind)
     if chance.random() < 0.95:
-        own = base if chance.random() < 0.1 else (*base, _made_element(chance.choice(_MAIN)))
-        main(own)
+        drawn = chance.random()
+        if drawn < 0.08:
+            own, named = base, False
+        elif drawn < 0.3:
+            own, named = (*base, _nameless(chance)), False
+        else:
+            element = _made_element(chance.choice(_MAIN))
+            named = element != ("div",)
+            if element[0] in MAIN_TAGS and chance.random() < 0.4:  # whatever an article is called, it is one
+                element += tuple(chance.choices([*sorted(_OTHER_WORDS), *_nameless(chance)], k=chance.randrange(1, 4)))
+            own = (*base, element)
+        main(own, named)
         if chance.random() < 0.3:
             part(own, "comments")
     for kind in ("advert", "comments", "sidebar", "form", "menu", "footer"):
@@ -318,7 +491,7 @@ def learn(pages: Sequence[str], seed: int = 5) -> dict[str, np.ndarray]:
         for at in range(0, len(blocks), TRAIN_BLOCKS):
             part = blocks[at : at + TRAIN_BLOCKS]
             sequences.append(vectors(part))
-            labels.append(np.array([said(b.path) for b in part]))
+            labels.append(np.array([b.node.said for b in part]))
     long = [t for t in texts if len(t) > 80] or ["Some words that make a sentence, and then another one with a few more words."]
     short = [t for t in texts if len(t) <= 80] or ["A few words", "Another line here."]
     for _ in range(MADE_PAGES):
@@ -330,15 +503,21 @@ def learn(pages: Sequence[str], seed: int = 5) -> dict[str, np.ndarray]:
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> bytes:
-    """Learns from TRAIN_PAGES pages of at most TRAIN_HTML_CHARS characters, chosen by a hash of their ids.
+    """Learns from TRAIN_PAGES whole pages, chosen by a hash, of TRAIN_HTML_CHARS characters together.
 
-    Without pages it learns from made-up ones alone.
+    Pages are taken in the order of their hashes while they fit. Without pages it
+    learns from made-up ones alone.
     """
-    found = pick(pages, page_id=id_col, html=html_col)
-    total = found.count()
-    short = found.filter(F.length("html") <= TRAIN_HTML_CHARS)
-    sample = bounded_sample(short, TRAIN_PAGES, total, "page_id", "html").collect()
-    return pickle.dumps(learn([r.html for r in sample]))
+    found = pick(pages, page_id=id_col, html=html_col).filter("html IS NOT NULL")
+    sizes = found.select("page_id", F.xxhash64("html").alias("hash"), F.length("html").alias("n"))
+    chosen, room = set(), TRAIN_HTML_CHARS
+    for r in bounded_sample(sizes, TRAIN_PAGES, found.count(), "page_id", "hash").collect():
+        if r.n <= room:
+            chosen.add(r.hash)
+            room -= r.n
+    # At most TRAIN_PAGES hashes; of equal pages one is enough.
+    sample = found.withColumn("hash", F.xxhash64("html")).filter(F.col("hash").isin(chosen)).dropDuplicates(["hash"])
+    return pickle.dumps(learn([r.html for r in sample.orderBy("hash").select("html").collect()]))
 
 
 @functools.lru_cache(maxsize=2)

@@ -131,14 +131,15 @@ def batches_by_length(lengths: Sequence[int], cells: int) -> Iterator[list[int]]
 def train(
     sequences: Sequence[np.ndarray], labels: Sequence[np.ndarray], hidden: int, rounds: int, rate: float = 0.01, seed: int = 0
 ) -> dict[str, np.ndarray]:
-    """Parameters fitted by Adam; a label of -1 is unknown."""
+    """Parameters fitted by Adam, with steps that shrink to a tenth; a label of -1 is unknown."""
     p = initial(sequences[0].shape[1], hidden, seed)
     chance = np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
     batches = list(batches_by_length([len(s) for s in sequences], 1024))
     step = 0
-    for _ in range(rounds):
+    for number in range(rounds):
+        own_rate = rate * (1 - 0.9 * number / max(1, rounds - 1))
         for at in chance.permutation(len(batches)):
             x, mask = padded([sequences[k] for k in batches[at]])
             y, _ = padded([np.asarray(labels[k], np.float32) for k in batches[at]])
@@ -148,5 +149,5 @@ def train(
                 first[name] += 0.1 * (gradient - first[name])
                 second[name] += 0.001 * (gradient**2 - second[name])
                 corrected = first[name] / (1 - 0.9**step)
-                p[name] = p[name] - rate * corrected / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
+                p[name] = p[name] - own_rate * corrected / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
     return p

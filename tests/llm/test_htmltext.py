@@ -4,6 +4,7 @@ import html
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -44,6 +45,32 @@ def texts(page):
     return [b.text for b in blocks_of(page)]
 
 
+def plain_logits(p, x):
+    """The network step by step for one page, from its definition."""
+
+    def scan(rows, wx, wh, b):
+        h, c, out = np.zeros(len(wh)), np.zeros(len(wh)), []
+        for row in rows:
+            i, f, o, g = np.split(row @ wx + h @ wh + b, 4)
+            c = c / (1 + np.exp(-f)) + np.tanh(g) / (1 + np.exp(-i))
+            h = np.tanh(c) / (1 + np.exp(-o))
+            out.append(h)
+        return out
+
+    ahead = scan(x, p["fx"], p["fh"], p["fb"])
+    back = scan(x[::-1], p["bx"], p["bh"], p["bb"])[::-1]
+    return np.array([np.concatenate(both) @ p["w"] + p["b"][0] for both in zip(ahead, back)])
+
+
+def test_forward_pass_equals_the_plain_one():
+    chance = np.random.default_rng(8)
+    p = {k: v + chance.normal(0, 0.3, v.shape) for k, v in lstm.initial(6, 4).items()}
+    pages = [chance.normal(size=(n, 6)) for n in (1, 2, 7, 30)]
+    found = lstm.logits(p, *lstm.padded(pages))
+    for column, page in enumerate(pages):
+        assert np.allclose(found[: len(page), column], plain_logits(p, page), atol=1e-4)
+
+
 def test_blocks():
     assert texts("") == [] and texts(" \n ") == [] and texts("plain &amp; text") == ["plain & text"]
     assert texts("<p>a<b>b</b>c<br>d<p>e</p>f") == ["abc d", "e", "f"]
@@ -74,6 +101,39 @@ def test_reading_is_linear():
         assert time.process_time() - start < 10
 
 
+def test_depth_costs_nothing():
+    n = 50_000
+    for page in ("<div>x" * n, "<span>x" * n, "<i>" * n + "<b>" + "<div>" * n + "</b>" * n, "<tbody>" * n + "x", "<a>" * n + "</b>" * n):
+        start = time.process_time()
+        blocks = blocks_of(page)
+        htmltext.vectors(blocks[:200])
+        [b.node.path_vector() for b in blocks]
+        assert time.process_time() - start < 10
+
+
+def test_path_vectors_are_those_of_the_whole_path():
+    chance = random.Random(2)
+    words = ["div", "p", "article", "ad", "x", "nav"]
+    for depth in (0, 1, 2, 3, 9, 150):
+        path = tuple(tuple(chance.choices(words, k=chance.randrange(1, 4))) for _ in range(depth))
+        want = np.zeros(htmltext.PATH_BUCKETS)
+        for at, element in enumerate(path):
+            for word in element:
+                for name in (word, f"{word}<{len(path) - at > 2}"):
+                    want[zlib.crc32(name.encode()) % htmltext.PATH_BUCKETS] += 1
+        for _ in range(2):
+            node = htmltext._paths.of(path)
+            assert node.path() == path and node.path_vector().tolist() == np.minimum(want, 2).tolist()
+
+
+def test_what_elements_say():
+    said = lambda page: [b.node.said for b in blocks_of(page)]
+    assert said("<p>a</p><article><header><h1>b</h1></header><p>c</p><footer>d</footer></article><header>e</header>") == [-1, 1, 1, 0, 0]
+    assert said('<article class="has-ads banner-wide"><p>a</p><div class="ads">b</div></article>') == [1, 0]
+    assert said('<div class="banner"><p>a</p><article><p>b</p></article></div>') == [0, 1]
+    assert said('<main><section class="comments"><article><p>a</p></article></section></main><aside><article>b</article></aside>') == [0, 0]
+
+
 @pytest.fixture(scope="module")
 def learned():
     chance = random.Random(1)
@@ -102,6 +162,38 @@ def test_layouts_it_was_not_shown(learned):
     assert not any(text in found for text in other[:11])
 
 
+def test_articles_of_every_kind(learned):
+    """Linked prose, misleading and meaningless names, headlines in headers, tables and captions."""
+    parameters, line = learned
+    text = [line(25) for _ in range(12)]
+    around = lambda inner: f"<body><nav><ul><li><a href=1>{text[10][:20]}</a></ul></nav>{inner}<footer><p>{text[11][:30]}</p></footer>"
+    prose = "".join(f"<p>{t}</p>" for t in text[:4])
+    cases = [
+        (f"<article><p><a href=1>{text[0]}</a></p><ul><li><a href=2>{text[1]}</a></ul></article>", text[:2]),
+        (f'<article class="has-ads banner-wide">{prose}</article>', text[:4]),
+        (f"<article><header><h1>A headline of five words</h1></header>{prose}</article>", ["A headline of five words", *text[:4]]),
+        (f"<article><p>{text[0]}</p><table><tr><td>one cell<td>4 711</tr></table><figure><img src=x><figcaption>What is seen</figcaption>"
+         f"</figure><p>{text[1]}</p></article>", [text[0], "one cell", "4 711", "What is seen", text[1]]),
+        (f'<div class="qx"><div class="zz9 kk"><h1>A headline of five words</h1>{prose}</div></div>', ["A headline of five words", *text[:4]]),
+        (f'<div class="banner sidebar"><article>{prose}<section class="comments"><p>{text[5]}</p></section></article></div>', text[:4]),
+    ]
+    for inner, want in cases:
+        assert htmltext.main_blocks([around(inner)], parameters)[0] == want, inner[:60]
+
+
+def test_long_pages_are_learned_from_whole(spark, monkeypatch):
+    """Pages are chosen by a hash and the room that is left, not by their length."""
+    seen = []
+    monkeypatch.setattr(htmltext, "learn", lambda pages: seen.append(pages) or {})
+    long, short = "<p>word</p>" * 30_000, [f"<p>{k}</p>" for k in range(20)]
+    df = spark.createDataFrame(list(enumerate([long, None, *short, *short])), "page_id bigint, html string")
+    htmltext.fit(df)
+    assert sorted(seen[-1]) == sorted([long, *short])
+    monkeypatch.setattr(htmltext, "TRAIN_HTML_CHARS", 100)
+    htmltext.fit(df)
+    assert sum(map(len, seen[-1])) <= 100 and set(seen[-1]) <= set(short)
+
+
 def test_made_pages_it_was_not_shown(learned):
     parameters, line = learned
     chance = random.Random(77)
