@@ -43,7 +43,7 @@ OWN = 95
 #: Other words that the network knows: as many as there are different words, to this power.
 KNOWN_POWER = 0.4
 #: Counts of words that make up one of so many tokens or more are broadcast, so there are at most so many of these.
-FREQUENT = 500_000
+FREQUENT = 1_000_000
 #: Tokens on either side that the network sees, and its hidden units.
 SIDE = 2
 HIDDEN = 24
