@@ -21,6 +21,7 @@ documents, and the copies are averaged, weighted by what they have seen.
 from __future__ import annotations
 
 import functools
+import itertools
 import pickle
 import zlib
 from collections import Counter
@@ -34,7 +35,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowline.llm.tables import documents_of, map_arrow, slices
-from flowline.llm.units import Memory
 from flowline.session import cut_lineage
 
 #: Classes: 0 stands outside of texts, the next OWN are frequent words, the others are endings.
@@ -94,15 +94,11 @@ class Vocabulary:
         seen = np.where(np.arange(CLASSES) <= OWN, 1 - 1e-6, np.maximum(self.totals, 1e-6) / whole)
         return np.log(np.stack([seen, 1 - seen], 1)).ravel()
 
-    def place(self) -> Memory:
-        """word -> its id << 40 | its count; the count is 1 for words of the network and 0 for those to be looked up."""
-        ids = {word: k + 1 for k, word in enumerate(self.own)} | {word: CLASSES + k for k, word in enumerate(self.known)}
-
-        def find(word: bytes) -> int:
-            own = ids.get(word)
-            return own << 40 | 1 if own is not None else class_of(word) << 40 | self.frequent.get(word, 0)
-
-        return Memory(find)
+    def places(self) -> dict[bytes, int]:
+        """word -> its id << 40 | its count, which is 1 for words of the network; other words are to be looked up."""
+        found = {word: class_of(word) << 40 | n for word, n in self.frequent.items()}
+        found |= {word: k + 1 << 40 | 1 for k, word in enumerate(self.own)}
+        return found | {word: CLASSES + k << 40 | 1 for k, word in enumerate(self.known)}
 
     def base(self) -> np.ndarray:
         """By id, what is added to the logarithm of a word's count; 0 for words of the network."""
@@ -113,7 +109,7 @@ class Vocabulary:
 
 def class_of(word: bytes) -> int:
     """The class of a word's ending."""
-    return OWN + 1 + zlib.crc32(word[-2:]) % (CLASSES - OWN - 1)
+    return _class_of_ending(word[-2:])
 
 
 def _class_column(word: Column) -> Column:
@@ -122,9 +118,14 @@ def _class_column(word: Column) -> Column:
 
 
 @functools.lru_cache(maxsize=2)
-def _vocabulary_of(pickled: bytes) -> tuple[np.ndarray, Memory]:
+def _vocabulary_of(pickled: bytes) -> tuple[np.ndarray, dict[bytes, int]]:
     vocabulary = pickle.loads(pickled)
-    return vocabulary.base(), vocabulary.place()
+    return vocabulary.base(), vocabulary.places()
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _class_of_ending(ending: bytes) -> int:
+    return OWN + 1 + zlib.crc32(ending) % (CLASSES - OWN - 1)
 
 
 def count_words(df: DataFrame) -> DataFrame:
@@ -194,16 +195,19 @@ def encode(df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, places = _vocabulary_of(shared.value)
+        place_of = places.get
         for part in slices(batches):
-            places.tidy()
             ids, within, rare = [], [], []
             for text in part.column("text").to_pylist():
                 words = text.encode().split()
-                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+                at = np.fromiter(map(place_of, words, itertools.repeat(-1)), np.int64, len(words))
+                unknown = np.flatnonzero(at < 0)
+                others = [words[k] for k in unknown.tolist()]
+                at[unknown] = [class_of(word) << 40 | 1 for word in others]
                 own, n = at >> 40, at & (1 << 40) - 1
                 ids.append(own.astype(code).tobytes())
-                within.append(float(base[own].sum() + np.log(np.maximum(n, 1)).sum()))
-                rare.append([words[k].decode() for k in np.flatnonzero(n == 0)])
+                within.append(float(base[own].sum() + np.log(n).sum()))
+                rare.append([word.decode() for word in others])
             columns = [part.column("row"), part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(within, pa.float64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(rare, pa.list_(pa.string()))], ENCODED.names)
 
