@@ -282,6 +282,22 @@ def graph_search_many(spark, sf_dir):
     return hits.select("id", "proc_id", "matched")
 
 
+@check(
+    "graph_search_table",
+    WITH + GROUPS + f"""SELECT p.id, p.proc_id, t.text AS matched FROM vprocs p
+    JOIN (SELECT DISTINCT p_type || ' ' || substr(p_brand, 1, 5) AS text FROM part UNION SELECT c_mktsegment FROM customer
+        UNION SELECT substr(o_orderpriority, 1, 3) FROM orders UNION SELECT 'order#' || (s_suppkey * 7) FROM supplier) t
+    ON contains({MATCHES}, lower(t.text))""",
+)
+def graph_search_table(spark, sf_dir):
+    """Texts from four tables, some of which occur often, some once and some nowhere."""
+    text = lambda name, column: b.table(spark, sf_dir, name).select(column.alias("text"))
+    texts = text("part", F.concat_ws(" ", "p_type", F.substring("p_brand", 1, 5)))
+    texts = texts.union(text("customer", F.col("c_mktsegment"))).union(text("orders", F.substring("o_orderpriority", 1, 3)))
+    texts = texts.union(text("supplier", F.concat(F.lit("order#"), F.col("s_suppkey") * 7)))
+    return g.search_properties(graph(spark, sf_dir)[0], texts).select("id", "proc_id", "matched")
+
+
 @check(
     "graph_search_documents",
     """SELECT doc_id AS id, 'doc-' || doc_id AS proc_id FROM documents

@@ -9,8 +9,8 @@ the same for all processors of a group is done once per group and joined on.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,9 +30,6 @@ DEPENDENT = "dependent"
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 PRUNED_RANK_LIMIT = 1000
 
-HOPS_PER_STEP = 5
-
-
 # -- building ---------------------------------------------------------------
 
 
@@ -194,64 +191,113 @@ def _requested_groups(vertices: DataFrame, ids: DataFrame | None) -> DataFrame:
     return groups.join(ids.select("flow_id", "pg_id").distinct(), ["flow_id", "pg_id"], "left_semi")
 
 
+def _doubled(jump: DataFrame) -> DataFrame:
+    """(flow_id, at, pg) of twice as many hops: from each group to where the jump leads from where the jump leads."""
+    near = jump.select("flow_id", "at", F.col("pg.id").alias("via"))
+    far = jump.select("flow_id", F.col("at").alias("via"), "pg")
+    return near.join(far, ["flow_id", "via"]).select("flow_id", "at", "pg")
+
+
+def _jumps(links: DataFrame, hops: int) -> tuple[list[DataFrame], bool]:
+    """Jumps of 1, 2, 4, ... hops along the links, until none is left or ``hops`` are spanned; and whether none is.
+
+    Every second kind is written, so a chain of n groups takes about half the
+    logarithm of n rounds, each of them one join of the links that are left.
+    """
+    found = [links]
+    while (1 << len(found)) <= hops:
+        jump = _doubled(found[-1])
+        if len(found) % 2 == 0:
+            jump = cut_lineage(jump, "jumps")
+            if jump.isEmpty():
+                return found, True
+        found.append(jump)
+    return found, False
+
+
+def _climb(start: DataFrame, jumps: Sequence[DataFrame], max_depth: int | None) -> DataFrame:
+    """(flow_id, group_id, depth, pg) of each start and all that the jumps can reach from it.
+
+    The widest jumps come first; after each kind a row stands for itself and for
+    where it leads, so that every depth, a sum of jumps, comes out once.
+    """
+    rows = start
+    for kind in reversed(range(len(jumps))):
+        jump = jumps[kind].select("flow_id", F.col("at").alias("node"), F.col("pg").alias("next"))
+        # Groups without such a jump go through; the roots, on which most walks end, have none at all.
+        there = F.col("next").isNotNull()
+        if max_depth is not None:
+            there = there & (F.col("depth") + (1 << kind) <= max_depth)
+        after = F.struct((F.col("depth") + (1 << kind)).alias("depth"), F.col("next").alias("pg"))
+        both = F.array(F.struct("depth", "pg"), F.when(there, after))
+        rows = (
+            rows.withColumn("node", F.col("pg.id"))
+            .join(jump, ["flow_id", "node"], "left")
+            .select("flow_id", "group_id", F.explode(both).alias("step"))
+            .filter("step IS NOT NULL")
+            .select("flow_id", "group_id", "step.depth", "step.pg")
+        )
+    return rows
+
+
+def _around(circle_links: DataFrame) -> DataFrame:
+    """(flow_id, at, depth, pg): from each group of a circle once around it, the group itself left out."""
+    rows = circle_links.select("flow_id", "at", F.lit(1).alias("depth"), "pg").filter("at <> pg.id")
+    steps = circle_links.select("flow_id", F.col("at").alias("node"), F.col("pg").alias("next"))
+    parts, last = [], cut_lineage(rows, "circle")
+    while not last.isEmpty():
+        parts.append(last)
+        on = last.withColumn("node", F.col("pg.id")).join(steps, ["flow_id", "node"])
+        on = on.filter(F.col("next.id") != F.col("at"))
+        last = cut_lineage(on.select("flow_id", "at", (F.col("depth") + 1).alias("depth"), F.col("next").alias("pg")), "circle")
+    return reduce(DataFrame.unionByName, parts, last)
+
+
 def group_ancestors(
     vertices: DataFrame, edges: DataFrame, ids: DataFrame | None = None, max_depth: int = -1
 ) -> DataFrame:
     """Each group followed by its parents up to the root, or ``max_depth`` hops if that is not -1.
 
-    (flow_id, group_id, depth, pg), depth 0 being the group itself. One hop is
-    one equi join along the parent links; finished groups leave the walk, and
-    the walk ends as soon as nothing is left. Without a limit a group met again
-    ends its walk, so circles end too. The parent's fields travel with the link,
-    so ancestors are never looked up again (all of them converge on a few hot
-    groups near the root).
+    (flow_id, group_id, depth, pg), depth 0 being the group itself. Jumps of 1,
+    2, 4, ... hops are made by joining each kind with itself, so the number of
+    rounds grows with the logarithm of the depth; the walks then take each kind
+    at most once. The parent's fields travel with the jump, so ancestors are
+    never looked up again (all of them converge on a few hot groups near the
+    root). Without a limit a group met again ends its walk, so circles end too;
+    these are gone around hop by hop, by themselves.
     """
     if max_depth < -1:
         raise ValueError("max_depth must be -1 (no limit) or at least 0")
-    unlimited = max_depth == -1
-    walk = _requested_groups(vertices, ids).select(
-        "flow_id", F.col("id").alias("group_id"), F.array(group_struct()).alias("path")
+    start = _requested_groups(vertices, ids).select(
+        "flow_id", F.col("id").alias("group_id"), F.lit(0).alias("depth"), group_struct().alias("pg")
     )
+    if max_depth == 0:
+        return start
     groups = filter_label(vertices, GROUP)
     links = (
         immediate_parent(vertices, edges)
         .join(groups.filter(~F.col("is_root")).select("flow_id", "id"), ["flow_id", "id"], "left_semi")
-        .select("flow_id", F.col("id").alias("last"), F.lit(True).alias("open"), F.col("parent").alias("next"))
+        .select("flow_id", F.col("id").alias("at"), F.col("parent").alias("pg"))
+    )
+    if 0 < max_depth < 4:  # two kinds of jumps at most, in one go with the walk
+        return _climb(start, _jumps(links, max_depth)[0], max_depth)
+    links = cut_lineage(links, "parent-links")
+    if max_depth > 0:
+        return _climb(start, _jumps(links, max_depth)[0], max_depth)
+
+    jumps, ended = _jumps(links, 2 * links.count())
+    if ended or jumps[-1].isEmpty():
+        return _climb(start, jumps, None)
+    # A jump over more hops than there are groups leads into a circle, and to all groups of it from within.
+    circles = cut_lineage(jumps[-1].select("flow_id", F.col("pg.id").alias("at")).distinct(), "circles")
+    tails = cut_lineage(links.join(circles, ["flow_id", "at"], "left_anti"), "parent-links")
+    climbed = cut_lineage(_climb(start, _jumps(tails, 2 * tails.count())[0], None), "ancestors")
+    around = _around(links.join(circles, ["flow_id", "at"], "left_semi"))
+    entered = climbed.select("flow_id", "group_id", F.col("depth").alias("before"), F.col("pg.id").alias("at"))
+    rest = entered.join(around, ["flow_id", "at"]).select(
+        "flow_id", "group_id", (F.col("before") + F.col("depth")).alias("depth"), "pg"
     )
-    if unlimited or max_depth > HOPS_PER_STEP:
-        links = cut_lineage(links, "parent-links")
-
-    finished = []
-    for hops in itertools.count(0, HOPS_PER_STEP):
-        if not unlimited and hops >= max_depth:
-            break
-        steps = HOPS_PER_STEP if unlimited else min(HOPS_PER_STEP, max_depth - hops)
-        # A walk is open while its last hop found a parent. The group's own id
-        # stands in as the key of a closed one, so closed walks spread evenly
-        # instead of meeting in one null-keyed task.
-        walk = walk.withColumn("open", F.lit(True))
-        for _ in range(steps):
-            last = F.when(F.col("open"), F.element_at("path", -1)["id"]).otherwise(F.col("group_id"))
-            walk = walk.withColumn("last", last).join(links, ["flow_id", "last", "open"], "left")
-            found = F.col("next").isNotNull()
-            if unlimited:
-                found = found & ~F.array_contains(F.col("path")["id"], F.col("next")["id"])
-            walk = walk.select(
-                "flow_id",
-                "group_id",
-                F.when(found, F.concat("path", F.array("next"))).otherwise(F.col("path")).alias("path"),
-                F.coalesce(found, F.lit(False)).alias("open"),
-            )
-        if unlimited or hops + steps < max_depth:
-            walk = cut_lineage(walk, "ancestors")
-            finished.append(walk.filter(~F.col("open")).drop("open"))
-            walk = walk.filter("open").drop("open")
-            if walk.isEmpty():
-                break
-    paths = walk.drop("open")
-    for part in finished:
-        paths = paths.unionByName(part)
-    return paths.select("flow_id", "group_id", F.posexplode("path").alias("depth", "pg"))
+    return climbed.unionByName(rest)
 
 
 def _first_edges(incident: DataFrame, limit: int) -> DataFrame:
@@ -457,11 +503,16 @@ def _any_value_contains(text: str, joined: Column) -> Column:
     return contains_ignore_case(joined, F.lit(text))
 
 
-def search_properties(vertices: DataFrame, text: str | Sequence[str]) -> DataFrame:
+#: Letters of the pieces by which a table of texts is looked up.
+GRAM = 3
+
+
+def search_properties(vertices: DataFrame, text: str | Sequence[str] | DataFrame) -> DataFrame:
     """Processors with any property value, id or name containing the text, ignoring case.
 
     Empty text matches all. Several texts are one pass; column ``matched`` tells
-    which of them a processor contains.
+    which of them a processor contains. A handful may be given as a list; any
+    number as column ``text`` of a DataFrame.
     """
     procs = filter_label(vertices, PROCESSOR)
     # One joined text instead of a lambda per value keeps the test in generated
@@ -469,11 +520,54 @@ def search_properties(vertices: DataFrame, text: str | Sequence[str]) -> DataFra
     joined = F.concat_ws("\0", *_values())
     if isinstance(text, str):
         return procs.filter(_any_value_contains(text, joined))
+    if isinstance(text, DataFrame):
+        return _search_table(procs.withColumn("_joined", F.lower(joined)), text)
     procs = procs.withColumn("_joined", joined)
     hits = F.array_compact(F.array(*[F.when(_any_value_contains(t, F.col("_joined")), F.lit(t)) for t in text]))
     return procs.withColumn("matched", F.explode(hits)).drop("_joined")
 
 
+def _grams(text: str, size: Column | int) -> Column:
+    """The different pieces of ``size`` letters of a text."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.array_distinct(F.transform(places, lambda at: F.substring(F.col(text), at, F.lit(size) if isinstance(size, int) else size)))
+
+
+def _search_table(procs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Matches of a table of texts, found by the piece of each that the fewest processors have.
+
+    The processors' pieces are counted, each text takes its rarest one, and the
+    processors that have this piece are asked for the whole text. So the plan
+    does not grow with the texts, and a text meets few processors but its own.
+    Shorter texts than GRAM are looked up by all their letters. Null texts match
+    nothing, repeated ones once.
+    """
+    wanted = texts.select(F.col("text").alias("matched")).filter("matched IS NOT NULL").distinct()
+    wanted = cut_lineage(wanted.withColumn("_low", F.lower("matched")), "search-texts")
+    size = F.least(F.length("_low"), F.lit(GRAM))
+    pieces = wanted.filter("_low <> ''").select("matched", "_low", F.explode(_grams("_low", size)).alias("_gram"))
+    # Pieces of all sizes that texts have; more than GRAM sizes there cannot be.
+    sizes = sorted(r[0] for r in pieces.select(F.length("_gram")).distinct().collect())
+    everything = procs.join(wanted.filter("_low = ''").select("matched"))
+    if not sizes:
+        return everything.drop("_joined")
+    own = F.explode(F.array_distinct(F.flatten(F.array(*[_grams("_joined", n) for n in sizes])))).alias("_gram")
+    known = pieces.select("_gram").distinct()
+    counts = procs.select(own).join(known, "_gram", "left_semi").groupBy("_gram").agg(F.count("*").alias("_n"))
+    rated = pieces.join(counts, "_gram", "left")
+    # A piece that no processor has ends the search for its text.
+    rarest = rated.groupBy("matched", "_low").agg(
+        F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"), F.min(F.coalesce("_n", F.lit(0))).alias("_n")
+    )
+    rarest = cut_lineage(rarest.filter("_n > 0").select("matched", "_low", "_gram"), "search-pieces")
+    met = procs.select("*", own).join(rarest, "_gram")
+    values = F.flatten(F.array(F.array(*_values()[:2]), F.coalesce(_values()[2], F.array().cast("array<string>"))))
+    within = F.exists(values, lambda v: F.contains(F.lower(v), F.col("_low")))
+    found = F.contains("_joined", "_low") & F.when(F.contains("_low", F.lit("\0")), F.coalesce(within, F.lit(False))).otherwise(True)
+    columns = [c for c in procs.columns if c != "_joined"]
+    return met.filter(found).select(*columns, "matched").unionByName(everything.select(*columns, "matched"))
+
+
 def dedupe_matches(matches: DataFrame) -> DataFrame:
     return matches.dropDuplicates(["flow_id", "proc_id"])
 
@@ -485,13 +579,13 @@ def drop_empty_processors(df: DataFrame) -> DataFrame:
 def search_processors(
     vertices: DataFrame,
     edges: DataFrame,
-    text: str,
+    text: str | DataFrame,
     max_depth: int = -1,
     max_edges: int = -1,
     with_dependents: bool = True,
     nested: bool = False,
 ) -> DataFrame:
-    """Report of every processor matching ``text``; the nested form needs ``max_edges`` for neighbours."""
+    """Report of every processor matching ``text``, or any of a table of texts; the nested form needs ``max_edges`` for neighbours."""
     matches = dedupe_matches(search_properties(vertices, text).select("flow_id", "proc_id"))
     report = nested_processor_report if nested else processor_report
     return drop_empty_processors(report(vertices, edges, matches, max_depth, max_edges, with_dependents))

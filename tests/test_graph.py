@@ -89,6 +89,52 @@ def test_long_chain_needs_several_steps(spark):
     assert g.group_ancestors(vertices, edges, None, 100).count() == n * (n + 1) // 2
 
 
+def hanging(spark, parents):
+    """A graph of groups with these parents; -1 is the root's."""
+    rows = [("f", i, "processGroup", p < 0, f"g{i}", "x") for i, p in enumerate(parents)]
+    vertices = spark.createDataFrame(rows, "flow_id string, id bigint, label string, is_root boolean, pg_id string, pg_name string")
+    links = [("f", i, p, i, "parent") for i, p in enumerate(parents) if p >= 0]
+    return vertices, spark.createDataFrame(links, "flow_id string, id bigint, src bigint, dst bigint, label string")
+
+
+def plain_ancestors(parents, group, max_depth):
+    path = [group]
+    while parents[path[-1]] >= 0 and (max_depth == -1 or len(path) <= max_depth):
+        following = parents[path[-1]]
+        if max_depth == -1 and following in path:
+            break
+        path.append(following)
+    return path
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ancestors_of_random_graphs_with_circles(spark, seed):
+    import random
+
+    draw = random.Random(seed)
+    n = 40
+    # Trees, circles with tails, groups that hang under themselves.
+    parents = [-1] + [draw.randrange(i) if seed == 0 or draw.random() < 0.8 else draw.randrange(n) for i in range(1, n)]
+    vertices, edges = hanging(spark, parents)
+    for max_depth in (-1, 1, 3, 9, 30):
+        found = {}
+        for r in g.group_ancestors(vertices, edges, None, max_depth).collect():
+            found.setdefault(r.group_id, []).append((r.depth, r.pg.id))
+        want = {i: list(enumerate(plain_ancestors(parents, i, max_depth))) for i in range(n)}
+        assert {i: sorted(rows) for i, rows in found.items()} == want
+
+
+def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch):
+    n, written = 5000, []
+    vertices, edges = hanging(spark, [-1, *range(n - 1)])
+    real = g.cut_lineage
+    monkeypatch.setattr(g, "cut_lineage", lambda df, name: written.append(name) or real(df, name))
+    start = spark.createDataFrame([("f", f"g{n - 1}"), ("f", "g17")], "flow_id string, pg_id string")
+    found = g.group_ancestors(vertices, edges, start).groupBy("group_id").agg(F.count("*").alias("n"), F.max("depth").alias("d"))
+    assert sorted((r.group_id, r.n, r.d) for r in found.collect()) == [(17, 18, 17), (n - 1, n, n - 1)]
+    assert len(written) <= 9
+
+
 def test_circle_is_bounded(spark):
     vertices = spark.range(3).selectExpr(
         "'f' flow_id", "id", "'processGroup' label", "false is_root", "concat('g', id) pg_id", "'x' pg_name"
@@ -239,6 +285,49 @@ def test_search(graph):
     assert g.search_properties(vertices, "p138\0Log").isEmpty()
 
 
+def test_search_a_table_of_texts(spark, rows):
+    """Against a plain search; texts of every length, in any case, with separators, repeated, null and empty."""
+    import random
+
+    draw = random.Random(7)
+    letters = lambda n: "".join(draw.choice("abAB é\n") for _ in range(n))
+    values = [(i, letters(4), letters(draw.randrange(9)), {letters(2): letters(draw.randrange(30)), "k": None}) for i in range(150)]
+    values += [(900, None, "", None), (901, "x\0y", "z", {}), (902, "x", "y", {})]
+    schema = "id bigint, proc_id string, proc_name string, properties map<string,string>"
+    vertices = spark.createDataFrame(values, schema).selectExpr("'f' flow_id", "*", "'processor' label")
+    others = spark.createDataFrame([(5000, "abab", "abab", {})], schema).selectExpr("'f' flow_id", "*", "'processGroup' label")
+    texts = [letters(draw.randrange(1, 6)) for _ in range(300)] + ["", None, "ABAB", "abab", "nowhere to be found", "x\0y", "X", "é"]
+    table = spark.createDataFrame([(t,) for t in texts + texts], "text string")
+    found = rows(g.search_properties(vertices.union(others), table), "id", "matched")
+
+    def has(row, text):
+        return any(text.lower() in v.lower() for v in [row[1], row[2], *(row[3] or {}).values()] if v is not None)
+
+    want = [(r[0], t) for r in values for t in set(texts) if t is not None and (t == "" or has(r, t))]
+    assert found == sorted(want)
+    none = spark.createDataFrame([], "text string")
+    assert g.search_properties(vertices, none).isEmpty()
+    assert g.search_properties(vertices, spark.createDataFrame([("",)], "text string")).count() == len(values)
+
+
+def test_many_texts_make_no_larger_plan(spark):
+    vertices = spark.range(300).selectExpr("'f' flow_id", "id", "'processor' label", "concat('proc ', id, ' of many') proc_id", "'n' proc_name", "map('a', 'b') properties")
+    plans = []
+    for n in (10, 10_000):
+        texts = spark.range(n).selectExpr("concat('PROC ', id, ' o') text")
+        hits = g.search_properties(vertices, texts)
+        assert hits.count() == min(n, 300)
+        plans.append(len(hits._jdf.queryExecution().optimizedPlan().toString()))
+    assert plans[1] < plans[0] * 1.1
+
+
+def test_report_for_a_table_of_texts(spark, graph):
+    texts = spark.createDataFrame([("generateflowfile",), ("warn",)], "text string")
+    both = {r.id for r in g.search_processors(*graph, texts, 10, with_dependents=False).collect()}
+    single = [{r.id for r in g.search_processors(*graph, t, 10, with_dependents=False).collect()} for t in ("generateflowfile", "warn")]
+    assert both == single[0] | single[1] and both
+
+
 def test_search_many(graph, rows):
     hits = g.search_properties(graph[0], ["warn", "LOG", "nothing"])
     assert rows(hits, "id", "matched") == [(138, "LOG"), (138, "warn"), (190, "warn")]

@@ -163,9 +163,9 @@ def test_large_units_are_split_and_put_together(spark, rows, tmp_path):
 
 
 def test_many_flows_share_files_that_are_valid_by_themselves(spark, rows, tmp_path):
-    """200 small flows, a large one and one without a name; clashing property names."""
+    """200 small flows, a large one and a middling one; clashing property names."""
     vertices = spark.range(2000).selectExpr(
-        "case when id < 1000 then concat('flow <', id % 200, '>') when id < 1900 then 'large' end flow_id", "id", "'processor' label",
+        "case when id < 1000 then concat('flow <', id % 200, '>') when id < 1900 then 'large' else 'rest' end flow_id", "id", "'processor' label",
         "cast(null as boolean) is_root", "cast(null as string) pg_id", "cast(null as string) pg_name", "concat('p', id) proc_id",
         "'n' proc_name", "map('__flow_id', 'other', concat('k', id % 7), 'v') properties",
     )
