@@ -42,8 +42,9 @@ CLASSES = 128
 OWN = 95
 #: Other words that the network knows: as many as there are different words, to this power.
 KNOWN_POWER = 0.4
-#: Counts of words that make up one of so many tokens or more are broadcast, so there are at most so many of these.
-FREQUENT = 1_000_000
+#: Counts of so many words at most, the most frequent ones, are broadcast; counts are told apart up to COUNT_STEPS.
+FREQUENT = 500_000
+COUNT_STEPS = 100_000
 #: Tokens on either side that the network sees, and its hidden units.
 SIDE = 2
 HIDDEN = 24
@@ -159,6 +160,19 @@ def learn_vocabulary(df: DataFrame) -> Vocabulary:
     return vocabulary_of_counts(cut_lineage(count_words(df), "word-counts"))
 
 
+def _least_frequent(counted: DataFrame, total: int) -> int:
+    """The smallest count that no more than FREQUENT words reach, from the number of words of each count."""
+    kinds = counted.groupBy(F.least("n", F.lit(COUNT_STEPS)).alias("n")).agg(F.count(F.lit(1)).alias("kinds"))
+    # No more words than FREQUENT can make up one of FREQUENT tokens each, should more of them reach the last step.
+    least, reached = max(COUNT_STEPS, -(-total // FREQUENT)), 0
+    for r in sorted(kinds.collect(), key=lambda r: -r.n):
+        reached += r.kinds
+        if reached > FREQUENT:
+            break
+        least = r.n
+    return least
+
+
 def vocabulary_of_counts(counted: DataFrame) -> Vocabulary:
     """From :func:`count_words`, written. The driver gets the network's words, at most FREQUENT counts, and sums by class."""
     size = counted.agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("n")).first()
@@ -167,7 +181,7 @@ def vocabulary_of_counts(counted: DataFrame) -> Vocabulary:
     known = sorted((class_of(r.word.encode()), r.word.encode()) for r in top[OWN:])
     first = np.searchsorted([k for k, _ in known], np.arange(OWN + 1, CLASSES + 1))
 
-    frequent = {r.word.encode(): r.n for r in counted.filter(F.col("n") * FREQUENT >= (size.n or 0)).collect()}
+    frequent = {r.word.encode(): r.n for r in counted.filter(F.col("n") >= _least_frequent(counted, size.n or 0)).collect()}
     totals, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     sums = counted.groupBy(_class_column(F.col("word")).alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
     for r in sums.collect():
