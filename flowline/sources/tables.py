@@ -172,7 +172,7 @@ def _current_ddl(spec: TableSpec, name: str, bucket_column: str, more: str = "")
 def current_table(spark: SparkSession, base: str, spec: TableSpec) -> CurrentTable:
     """The current table of an object in a folder below ``base``, whose definition this session's catalog learns."""
     path = f"{base.rstrip('/')}/{spec.name}"
-    if "://" not in path:
+    if ":/" not in path:
         path = f"file://{os.path.abspath(path)}" if spark.sparkContext.master.startswith("local") else path
     name = f"{FOLDER_TABLES}.t_{hashlib.md5(path.encode()).hexdigest()}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {FOLDER_TABLES}")
