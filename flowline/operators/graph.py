@@ -548,7 +548,9 @@ def _search_table(procs: DataFrame, texts: DataFrame) -> DataFrame:
     pieces = wanted.filter("_low <> ''").select("matched", "_low", F.explode(_grams("_low", size)).alias("_gram"))
     # Pieces of all sizes that texts have; more than GRAM sizes there cannot be.
     sizes = sorted(r[0] for r in pieces.select(F.length("_gram")).distinct().collect())
-    everything = procs.join(wanted.filter("_low = ''").select("matched"))
+    # The empty text is in all of them.
+    has_empty = not wanted.filter("_low = ''").isEmpty()
+    everything = procs.withColumn("matched", F.lit("")).filter(F.lit(has_empty))
     if not sizes:
         return everything.drop("_joined")
     own = F.explode(F.array_distinct(F.flatten(F.array(*[_grams("_joined", n) for n in sizes])))).alias("_gram")
