@@ -69,4 +69,4 @@ def test_registered():
 
     names = __spark_entry__.queries()
     assert names["pipeline"] is corpus_pipeline.run and "pipeline" not in __spark_entry__.oracle_sql()
-    assert sorted(n.split("_")[0] for n in names if n.startswith("op")) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(n.split("_")[0] for n in names if n.startswith("op")) == sorted(f"op{n}" for n in range(1, 14))
