@@ -94,12 +94,12 @@ def _named(elements: DataFrame, names: DataFrame) -> DataFrame:
     return elements.join(names, "path", "left").withColumn("entries", F.transform(data, entry)).withColumn("twice", F.get(again, F.lit(0)))
 
 
-def _nodes(spark: SparkSession, path: str) -> DataFrame:
-    return _named(_graphml(spark, path, "node", f"_id string, {_DATA}"), _key_names(spark, path))
+def _nodes(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
+    return _named(_graphml(spark, path, "node", f"_id string, {_DATA}"), names)
 
 
-def _links(spark: SparkSession, path: str) -> DataFrame:
-    return _named(_graphml(spark, path, "edge", f"_id string, _source string, _target string, {_DATA}"), _key_names(spark, path))
+def _links(spark: SparkSession, path: str, names: DataFrame) -> DataFrame:
+    return _named(_graphml(spark, path, "edge", f"_id string, _source string, _target string, {_DATA}"), names)
 
 
 def _number(c: str) -> Column:
@@ -111,11 +111,14 @@ def _all_numbers(*columns: str) -> Column:
 
 
 def _key_names(spark: SparkSession, path: str) -> DataFrame:
-    """(path, names): per file the attribute names of keys whose id is another; a file has few keys."""
+    """(path, names): per file the attribute names of keys whose id is another; a file has few keys.
+
+    Stored, as nodes and edges both ask it: one search of the files for both, and its size tells Spark to broadcast it.
+    """
     keys = _graphml(spark, path, "key", "_id string, `_attr.name` string")
     named = keys.select("path", F.col("_id").alias("key"), F.col("`_attr.name`").alias("name"))
     named = named.filter("key is not null and name is not null and key <> name").groupBy("path", "key").agg(F.min("name").alias("name"))
-    return group_apart(named, ["path"], F.map_from_entries(F.collect_list(F.struct("key", "name"))).alias("names"))
+    return cut_lineage(named.groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("key", "name"))).alias("names")), "key-names")
 
 
 def read_graphml(spark: SparkSession, path: str, flow_id: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -132,14 +135,15 @@ def read_graphml(spark: SparkSession, path: str, flow_id: str | None = None) ->
         data = F.when(F.col("twice").isNull(), F.map_from_entries("entries"))
         return df.filter(F.col(BAD).isNull() & _all_numbers(*ids) & F.col("twice").isNull()).withColumn("all", data)
 
-    nodes = readable_elements(_nodes(spark, path), "_id")
+    names = _key_names(spark, path)
+    nodes = readable_elements(_nodes(spark, path, names), "_id")
     vertices = _as_vertices(
         nodes.select(
             _flow(F.col("all")[FLOW_KEY], flow_id), _number("_id").alias("id"), F.col("all")["labelV"].alias("label"),
             F.map_filter("all", lambda k, _: k != "labelV").alias("all"),
         )
     )
-    edges = readable_elements(_links(spark, path), "_id", "_source", "_target").select(
+    edges = readable_elements(_links(spark, path, names), "_id", "_source", "_target").select(
         _flow(F.col("all")[FLOW_KEY], flow_id),
         _number("_id").alias("id"),
         _number("_source").alias("src"),
@@ -161,7 +165,8 @@ def graphml_rejects(spark: SparkSession, path: str) -> DataFrame:
         )
         return df.select("path", reason.alias("reason"), F.lit(element).alias("element")).filter("reason IS NOT NULL")
 
-    return bad(_nodes(spark, path), "node", "_id").unionByName(bad(_links(spark, path), "edge", "_id", "_source", "_target"))
+    names = _key_names(spark, path)
+    return bad(_nodes(spark, path, names), "node", "_id").unionByName(bad(_links(spark, path, names), "edge", "_id", "_source", "_target"))
 
 
 def _xml(c: Column) -> Column:
@@ -367,6 +372,8 @@ def graphson_lines(vertices: DataFrame, edges: DataFrame, edges_per_line: int =
 
 
 def write_graphson(
-    vertices: DataFrame, edges: DataFrame, path: str, edges_per_line: int = EDGES_PER_LINE
+    vertices: DataFrame, edges: DataFrame, path: str, edges_per_line: int = EDGES_PER_LINE, compression: str = "none"
 ) -> None:
-    graphson_lines(vertices, edges, edges_per_line).select("line").write.mode("overwrite").text(path)
+    """GraphSON files; ``compression`` is one of Spark's codecs for text, which the reader tells by the files' names."""
+    lines = graphson_lines(vertices, edges, edges_per_line).select("line")
+    lines.write.mode("overwrite").option("compression", compression).text(path)
