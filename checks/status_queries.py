@@ -259,7 +259,7 @@ def stream_reached(spark, sf_dir):
     for low, high in zip([None, *cuts], [*cuts, None]):
         after = F.lit(True) if low is None else F.unix_micros("ts") > low
         until = F.lit(True) if high is None else F.unix_micros("ts") <= high
-        events.filter(after & until).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        events.filter(after & until).repartition(1).write.mode("append").parquet(f"{base}/in")
     arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     out, checkpoint = f"{base}/out", f"{base}/checkpoint"
     stream_reached_state(commands_of(arriving), arriving, DAY, 3600, out, checkpoint).awaitTermination()

@@ -190,3 +190,45 @@ def test_a_batch_repeated_after_a_kill_changes_nothing(spark, rows, tmp_path, mo
     current = tables.current_table(spark, base, SPEC)
     assert written == [[]] and {r.file_path for r in current.files().collect()} == files
     assert rows(current.read(), "id", "v", "watermark") == [(None, "c", T), (1, "a", T), (2, "b", T)]
+
+
+def test_first_in_window_equals_the_plain_search(spark):
+    within, length = 10_000_000, 10_000_000 * streams.SLOT_WINDOWS
+    # Times at, before and behind the borders of slots and windows, for one busy entity, one without an id and one without a state.
+    base = 1_704_067_200_000_000 // length * length
+    times = sorted({base + k * length + d for k in range(3) for d in (-within, -1, 0, 1, within - 1, within, within + 1)})
+    events = [("f", e, s, s, t, c) for e, s in (("a", "up"), (None, "up"), ("a", None)) for t in times for c in (True, False)]
+    events = [row for i, row in enumerate(events) if i % 7]
+    columns = ["flow_id", "entity_id", "state_key", "target_state", "ts", "is_command"]
+    made = spark.createDataFrame(events, "flow_id string, entity_id string, state_key string, target_state string, ts bigint, is_command boolean")
+    found = streams.first_in_window(made.withColumn("ts", F.timestamp_micros("ts")), within)
+    assert found.columns == [*columns, "first_ts"]
+    got = {(r.entity_id, r.state_key, r.is_command, r.at): r.first for r in found.select("*", F.unix_micros("ts").alias("at"), F.unix_micros("first_ts").alias("first")).collect()}
+    want = {}
+    for _, e, s, _, t, c in events:
+        seen = [u for _, f, k, _, u, d in events if not d and (f, k) == (e, s) and t <= u <= t + within]
+        want[e, s, c, t] = min(seen, default=None) if c and s is not None else None
+    assert got == want and found.count() == len(events)
+
+
+def test_reached_runs_no_python_per_entity_and_repeats_a_batch(spark, rows, tmp_path, capsys):
+    commands, add_command = feed(spark, tmp_path, "commands", COMMANDS)
+    statuses, add_status = feed(spark, tmp_path, "statuses", STATUSES)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        query = streams.stream_reached_state(commands, statuses, 10, 5, out, checkpoint)
+        query.awaitTermination()
+        query.explain()
+        told = rows(streams.read_reached_state(spark, out)), rows(streams.read_open_commands(spark, checkpoint))
+        return told, capsys.readouterr().out
+
+    add_command([("f", "a", "UP", at(0)), ("f", "b", "up", at(30))])
+    add_status([("f", "a", "up", at(4)), ("f", "c", "up", at(40))])
+    told, plan = run()
+    assert told == ([("f", "a", "UP", at(0), at(4), True)], [("f", "b", "up", at(30))])
+    assert "Deduplicate" in plan and "Pandas" not in plan and "Python" not in plan
+    # Killed before the first batch counted: it is repeated, and gives no answer twice.
+    for name in [p for p in (tmp_path / "cp" / "commits").iterdir()]:
+        name.unlink()
+    assert run()[0] == told
