@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowline.llm.tables import documents_of, map_arrow, slices
-from flowline.llm.units import UnitEncoder
+from flowline.llm.units import UNIT, Memory, UnitEncoder
 
 SKIPPABLE = struct.Struct("<II")
 SKIPPABLE_MAGIC = 0x184D2A50  # fixed value of the zstandard format
@@ -46,6 +46,8 @@ READ = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("doc_id", "start", "n_tokens")] + [T.StructField("ids", T.BinaryType())]
 )
 
+#: Words that a writing task remembers, twice as many at most between two pieces of text.
+WORDS_HELD = 400_000
 #: Documents that a reading task takes from the seek table at a time.
 DOCS_PER_READ = 4096
 #: Bytes that a reader takes at once where frames follow each other.
@@ -121,15 +123,32 @@ class FrameReader:
 
 
 class IdBytes:
-    """Texts to the bytes of their ids, with a tokenizer that drops white space between words."""
+    """Texts to the bytes of their ids, with a tokenizer that drops white space between words.
+
+    What stands between white space is remembered, in small letters where the
+    tokenizer folds them; a word with marks around it is put together from the
+    units of :class:`UnitEncoder` once.
+    """
 
     def __init__(self, definition: str, end_id: int | None) -> None:
         self.units = UnitEncoder(definition)
+        self.words = Memory(self._encode, WORDS_HELD)
         self.end = b"" if end_id is None else np.array([end_id], ID_TYPE).tobytes()
 
+    def _encode(self, word: str) -> bytes:
+        found = [word] if word.isalpha() else UNIT.findall(word)
+        return self.units.encode_unit(word) if len(found) == 1 else b"".join(map(self.words.__getitem__, found))
+
+    def _text(self, text: str) -> bytes:
+        # Python counts these as white space, Unicode does not.
+        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return self.units.encode(text)
+        return b"".join(map(self.words.__getitem__, self.units.folded(text).split()))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         self.units.tidy()
-        return [self.units.encode(text) + self.end for text in texts]
+        self.words.tidy()
+        return [self._text(text) + self.end for text in texts]
 
 
 _ENCODERS: dict[tuple[str, int | None], IdBytes] = {}

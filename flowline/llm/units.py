@@ -77,6 +77,15 @@ def tokenizer_of(definition: str):
     return Tokenizer.from_str(definition)
 
 
+def _is_latin(text: str) -> bool:
+    """Whether no character lies beyond U+00FF."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def read_definition(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         return file.read()
@@ -93,21 +102,34 @@ class UnitEncoder:
     def __init__(self, definition: str) -> None:
         self.tokenizer = tokenizer_of(definition)
         self.model = self.tokenizer.model
-        self.units = Memory(self._encode)
+        self.units = Memory(self.encode_unit)
         spaced = self._piece(" " + _LOWER) or ""
         self.folds = self._piece(_UPPER) == written(_UPPER.lower())
         self.plain = self._piece(_LOWER) == written(_LOWER) and spaced.endswith(written(_LOWER))
         self.plain = self.plain and (self.folds or self._piece(_UPPER) == written(_UPPER))
+        self.added = [token.content.lower() for token in self.tokenizer.get_added_tokens_decoder().values()]
         # What stands for a space in front of a word.
         self.space = spaced.removesuffix(written(_LOWER))
 
+    def folded(self, text: str) -> str:
+        """The text in small letters where that gives the same ids, else as it is.
+
+        Where the tokenizer folds its letters and each has one small letter, and
+        no added token comes about by it.
+        """
+        if not self.folds or not (text.isascii() or _is_latin(text)):
+            return text
+        small = text.lower()
+        return text if any(token in small for token in self.added) else small
+
     def _piece(self, text: str) -> str | None:
         if self.tokenizer.normalizer is not None:
             text = self.tokenizer.normalizer.normalize_str(text)
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
         return pieces[0][0] if len(pieces) == 1 else None
 
-    def _encode(self, unit: str) -> bytes:
+    def encode_unit(self, unit: str) -> bytes:
+        """The ids of one unit, not remembered."""
         found = _PLAIN.fullmatch(unit) if self.plain else None
         if found:
             word = found[2].lower() if self.folds else found[2]

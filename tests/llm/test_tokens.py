@@ -134,6 +134,24 @@ def expected_ids(rows):
     return out
 
 
+def test_words_are_remembered_once_in_small_letters():
+    own = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    encoder = frames.IdBytes(read_definition(P.path("word_bpe_49k.json")), None)
+    texts = ["Straße\u00c9t\u00e9, \u00c9T\u00c9! it's IT'S it'S", "a\x1cb \x1dC\x1f\u0085D\u00a0E\u2028F", "<|ENDOFTEXT|> x", "<|endoftext|> X<|endoftext|>Y"]
+    texts += ["\u0391\u03a3 \u0130I E\u0301 \u212b \u4e2d\u6587\u3002", "", " \n\t", "9a.B,c;;D 1.5% A.", "\u03a3A \u00b5\u00df\u00ff\u00d7\u00d0"]
+    chance = random.Random(5)
+    alphabet = "aBcZ\u00c9\u00e9\u00df\u00d7 '.,!<|>9\n\x1e\u00a0\u03a3\u0301\u0130<"
+    texts += ["".join(chance.choices(alphabet, k=chance.randrange(40))) for _ in range(3000)]
+    want = [np.array(own.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want and encoder.encode(texts[::-1]) == want[::-1]
+    encoder = frames.IdBytes(read_definition(P.path("word_bpe_49k.json")), None)
+    asked = []
+    real = encoder.units.encode_unit
+    encoder.units.encode_unit = lambda unit: asked.append(unit) or real(unit)
+    encoder.encode(["The cat, the CAT.\nTHE Cat! the\tcat cat,"])
+    assert sorted(asked) == ["!", ",", ".", "cat", "the"]
+
+
 def test_files_hold_the_ids_in_order(spark, odd):
     folder = scratch_path(spark, "frames-test")
     frames.write_token_files(odd, folder, read_definition(P.path("word_bpe_49k.json")), 2, 3)
