@@ -8,7 +8,7 @@ that looks at the table first decompresses only the documents it was asked for.
     frame ... frame | skippable: entry ... entry, footer
 
 An entry is ENTRY (place of the frame, its bytes, ids before it in the file, its
-ids, crc32 of its ids, document id, 1 if it has one), the footer is the number
+ids, crc32 of its ids, document id, 1 if it has one, crc32 of the frame), the footer is the number
 of entries and MAGIC. Files are numbered in the order of their documents;
 ``_manifest`` has a row for each.
 """
@@ -33,10 +33,11 @@ from flowline.llm.units import UNIT, Memory, UnitEncoder
 SKIPPABLE = struct.Struct("<II")
 SKIPPABLE_MAGIC = 0x184D2A50  # fixed value of the zstandard format
 ENTRY = np.dtype(
-    [("place", "<u8"), ("size", "<u4"), ("before", "<u8"), ("n_ids", "<u8"), ("crc32", "<u4"), ("doc_id", "<i8"), ("has_id", "u1")]
+    [("place", "<u8"), ("size", "<u4"), ("before", "<u8"), ("n_ids", "<u8"), ("crc32", "<u4"), ("doc_id", "<i8"), ("has_id", "u1"),
+     ("stored_crc32", "<u4")]
 )
 FOOTER = struct.Struct("<Q8s")
-MAGIC = b"IDFRAMES"
+MAGIC = b"IDFRAME2"
 ID_TYPE = np.dtype("<u4")
 
 MANIFEST = T.StructType(
@@ -74,7 +75,8 @@ class FrameWriter:
     def add(self, doc_id: int | None, raw: bytes) -> None:
         frame = self.compress(raw)
         n = len(raw) // ID_TYPE.itemsize
-        self.entries.append((self.place, len(frame), self.n_ids, n, zlib.crc32(raw), doc_id or 0, doc_id is not None))
+        known = doc_id or 0, doc_id is not None
+        self.entries.append((self.place, len(frame), self.n_ids, n, zlib.crc32(raw), *known, zlib.crc32(frame)))
         self.sink.write(frame)
         self.place += len(frame)
         self.n_ids += n
@@ -113,10 +115,13 @@ class FrameReader:
         own = self.entries[chosen]
         columns = [own[name].tolist() for name in ENTRY.names]
         begin, held = 0, b""
-        for place, size, before, n_ids, crc32, doc_id, has_id in zip(*columns):
+        for place, size, before, n_ids, crc32, doc_id, has_id, stored_crc32 in zip(*columns):
             if not begin <= place <= place + size <= begin + len(held):
                 begin, held = place, self.source.read_at(max(size, min(READ_BYTES, self.end - place)), place)
-            raw = decompress(held[place - begin : place - begin + size], max_output_size=n_ids * ID_TYPE.itemsize)
+            frame = held[place - begin : place - begin + size]
+            if zlib.crc32(frame) != stored_crc32:
+                raise ValueError(f"damaged frame at {place}")
+            raw = decompress(frame, max_output_size=n_ids * ID_TYPE.itemsize)
             if len(raw) != n_ids * ID_TYPE.itemsize or zlib.crc32(raw) != crc32:
                 raise ValueError(f"damaged frame at {place}")
             yield doc_id if has_id else None, before, n_ids, raw

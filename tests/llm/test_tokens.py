@@ -171,6 +171,19 @@ def test_files_hold_the_ids_in_order(spark, odd):
         frames.read_token_files(spark, folder).collect()
 
 
+def test_any_changed_byte_of_a_frame_is_an_error(tmp_path):
+    with open(tmp_path / "ids", "wb") as file:
+        writer = frames.FrameWriter(file)
+        writer.add(1, np.full(5000, 7, "<u4").tobytes())  # some bytes of its frame can change and give the same ids
+        writer.close()
+    raw = (tmp_path / "ids").read_bytes()
+    files, root = frames.open_folder(str(tmp_path))
+    for at in range(writer.entries[0][1]):
+        (tmp_path / "ids").write_bytes(raw[:at] + bytes([raw[at] ^ 1]) + raw[at + 1 :])
+        with files.open_input_file(f"{root}/ids") as source, pytest.raises(ValueError, match="damaged frame"):
+            list(frames.FrameReader(source).frames(np.arange(1)))
+
+
 def test_cut_file_is_an_error():
     class Source:
         def __init__(self, raw):
