@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import math
 import pickle
 import zlib
 from collections import Counter
@@ -181,7 +182,9 @@ def vocabulary_of_counts(counted: DataFrame) -> Vocabulary:
     known = sorted((class_of(r.word.encode()), r.word.encode()) for r in top[OWN:])
     first = np.searchsorted([k for k, _ in known], np.arange(OWN + 1, CLASSES + 1))
 
-    frequent = {r.word.encode(): r.n for r in counted.filter(F.col("n") >= _least_frequent(counted, size.n or 0)).collect()}
+    # In the order of their counts, so that what tasks look up most lies side by side in their memory.
+    counts = counted.filter(F.col("n") >= _least_frequent(counted, size.n or 0)).orderBy(F.desc("n"), "word")
+    frequent = {r.word.encode(): r.n for r in counts.collect()}
     totals, kinds = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     sums = counted.groupBy(_class_column(F.col("word")).alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
     for r in sums.collect():
@@ -286,98 +289,191 @@ def _joined(documents: list[bytes], ids: int = CLASSES) -> tuple[np.ndarray, np.
     return row, np.arange(len(owner)) + SIDE * (owner + 1), owner
 
 
+class _Space:
+    """Arrays by name that are used again and again, so that no step asks for its memory anew.
+
+    What one call took under a name is lost with the next. A worker runs one task at a time.
+    """
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, dtype: np.dtype, *shape: int) -> np.ndarray:
+        size = math.prod(shape)
+        held = self.held.get(name)
+        if held is None or held.dtype != dtype or held.size < size:
+            held = self.held[name] = np.empty(size, dtype)
+        return held[:size].reshape(shape)
+
+
+_space = _Space()
+
+
 def _windows(row: np.ndarray, places: np.ndarray, ids: int = CLASSES) -> np.ndarray:
     """Rows of ``near`` for the tokens on both sides of each place."""
-    offsets = [d for d in range(-SIDE, SIDE + 1) if d]
-    return np.stack([row[places + d].astype(np.int64) + k * ids for k, d in enumerate(offsets)], 1)
+    offsets = np.array([d for d in range(-SIDE, SIDE + 1) if d])
+    return row.take(places[:, None] + offsets) + np.arange(len(offsets)) * ids
 
 
 def _hidden(p: dict[str, np.ndarray], windows: np.ndarray) -> np.ndarray:
     """Hidden units, and a last column of ones that stands for the biases of what comes after."""
-    h = np.empty((len(windows), HIDDEN + 1), p["near"].dtype)
-    units = h[:, :HIDDEN]
-    np.add(p["near"][windows[:, 0]], p["hidden"], out=units)
-    for k in range(1, windows.shape[1]):
-        units += p["near"][windows[:, k]]
-    np.tanh(units, out=units)
+    n, near = len(windows), p["near"]
+    units, beside = _space("units", near.dtype, n, HIDDEN), _space("beside", near.dtype, n, HIDDEN)
+    places = np.ascontiguousarray(windows.T)
+    np.take(near[: len(p["group"])] + p["hidden"], places[0], 0, units, "clip")
+    for own in places[1:]:
+        units += np.take(near, own, 0, beside, "clip")
+    h = np.empty((n, HIDDEN + 1), near.dtype)
+    np.tanh(units, out=h[:, :HIDDEN])
     h[:, HIDDEN] = 1
     return h
 
 
-def _exponentials(h: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the classes' values less the row's greatest, and that; it counts as 0 where no value can be too great.
+def _bounded(weights: np.ndarray) -> bool:
+    """Whether no value can be too great for its exponential: hidden units lie between -1 and 1."""
+    return bool(np.abs(weights).sum(0).max() < 60)
 
-    Hidden units lie between -1 and 1, so the weights bound the values.
-    """
-    z = h @ weights
-    if np.abs(weights).sum(0).max() < 60:
-        greatest = np.zeros((len(z), 1), z.dtype)
-    else:
-        greatest = z.max(1, keepdims=True)
-        z -= greatest
-    return np.exp(z, out=z), greatest
+
+def _values(h: np.ndarray, weights: np.ndarray, bounded: bool) -> np.ndarray:
+    """The classes' values, less the row's greatest unless they are bounded."""
+    z = np.matmul(h, weights, out=_space("values", h.dtype, len(h), CLASSES))
+    if not bounded:
+        z -= z.max(1, keepdims=True)
+    return z
 
 
 def _weights(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.vstack([p["out"], p["bias"]])
 
 
+def _by_group(group: np.ndarray) -> np.ndarray:
+    """The order that :func:`_within` wants."""
+    return np.argsort(group.astype(np.uint8), kind="stable")
+
+
+@dataclass(frozen=True)
+class _Within:
+    """Targets in classes of endings with known words, in the order of the classes.
+
+    ``parts`` has for each class its rows of ``inner``, the places of its targets, and where their values begin and end
+    in ``values``, which has a row of the class's width for each target. ``values`` are less the row's greatest unless
+    they are bounded, ``total`` has the sums of their exponentials, ``widths`` the rows' widths, ``chosen`` the places of
+    the words themselves.
+    """
+
+    parts: list[tuple[slice, slice, int, int]]
+    values: np.ndarray
+    exponentials: np.ndarray
+    total: np.ndarray
+    widths: np.ndarray
+    chosen: np.ndarray
+
+
+def _within(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray, group: np.ndarray) -> _Within | None:
+    """Of targets in the order of their groups; None where there is no such class.
+
+    All values lie in one array, so only products are taken class by class.
+    """
+    first = p["first"].astype(np.int64)
+    bounds = np.searchsorted(group, np.arange(OWN + 1, CLASSES + 1))
+    counts, widths = np.diff(bounds), np.diff(first) + 1
+    counts[widths == 1] = 0
+    classes = np.flatnonzero(counts)
+    if not len(classes):
+        return None
+    ends = np.cumsum(counts * widths)
+    values, weights = _space("within", h.dtype, int(ends[-1])), np.column_stack([p["inner"], p["inner_bias"]]).T
+    parts = []
+    columns = [classes, *(of_class[classes] for of_class in (bounds, counts, widths, ends, first))]
+    for k, begin, count, width, end, row in np.stack(columns, 1).tolist():
+        rows, at, start = slice(row + k, row + k + width), slice(begin, begin + count), end - count * width
+        np.matmul(h[at], weights[:, rows], out=values[start:end].reshape(count, width))
+        parts.append((rows, at, start, end))
+    each = np.repeat(widths, counts)
+    heads = np.cumsum(each) - each
+    if not _bounded(weights):
+        values -= np.repeat(np.maximum.reduceat(values, heads), each)
+    e = np.exp(values, out=_space("within exponentials", h.dtype, len(values)))
+    # A known word is as many places behind the column of unknown words as it is in its class, a class's own id none.
+    places = np.concatenate([target[at] for _, at, _, _ in parts]).astype(np.int64)
+    word = np.maximum(places - CLASSES - np.repeat(first[:-1], counts) + 1, 0)
+    return _Within(parts, values, e, np.add.reduceat(e, heads), each, heads + word)
+
+
 def _inner(p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray, group: np.ndarray) -> Iterator[tuple]:
     """For each class of endings with known words: its rows of ``inner``, the places of its targets with their hidden
-    units, and the log probabilities of their words within the class, the first column being all unknown words."""
-    first = p["first"].astype(np.int64)
-    order = np.argsort(group.astype(np.uint8), kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(OWN + 1, CLASSES + 1))
-    for k in np.flatnonzero((np.diff(first) > 0) & (np.diff(bounds) > 0)):
-        rows = slice(int(first[k] + k), int(first[k + 1] + k + 1))
-        at = order[bounds[k] : bounds[k + 1]]
-        own = h[at, :HIDDEN]
-        z = own @ p["inner"][rows].T
-        z += p["inner_bias"][rows]
-        z -= z.max(1, keepdims=True)
-        z -= np.log(np.exp(z).sum(1, keepdims=True))
-        yield rows, at, own, np.maximum(target[at].astype(np.int64) - (CLASSES + first[k]) + 1, 0), z
+    units, and the log probabilities of their words within the class, the first column being all unknown words.
+
+    Targets are in the order of their groups.
+    """
+    found = _within(p, h, target, group)
+    if found is None:
+        return
+    found.values[:] -= np.repeat(np.log(found.total), found.widths)
+    done = 0
+    for rows, at, start, end in found.parts:
+        count = at.stop - at.start
+        within = found.values[start:end].reshape(count, -1)
+        word = found.chosen[done : done + count] - start - np.arange(count) * within.shape[1]
+        yield rows, at, h[at, :HIDDEN], word, within
+        done += count
 
 
 def _sums_by_row(windows: np.ndarray, dh: np.ndarray, rows: int) -> np.ndarray:
     """Sums of ``dh`` by row of ``near``: its rows in the order of the windows' ids, added up run by run."""
-    flat = windows.ravel()
-    order = np.argsort(flat.astype(np.uint16) if rows <= 1 << 16 else flat, kind="stable")
+    flat = windows.ravel().astype(np.uint16) if rows <= 1 << 16 else windows.ravel()
+    order = np.argsort(flat, kind="stable")
     ordered = flat[order]
     heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    repeated = _space("repeated", dh.dtype, len(flat), dh.shape[1])
+    np.take(dh, order // windows.shape[1], 0, repeated, "clip")
     out = np.zeros((rows, dh.shape[1]), dh.dtype)
-    out[ordered[heads]] = np.add.reduceat(dh[order // windows.shape[1]], heads)
+    # Complex numbers add two columns at a time; HIDDEN is even.
+    pairs = np.result_type(dh.dtype, np.complex64)
+    out[ordered[heads]] = np.add.reduceat(repeated.view(pairs), heads).view(dh.dtype)
     return out
 
 
 def gradients(p: dict[str, np.ndarray], windows: np.ndarray, target: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log probability of the targets."""
     n = len(target)
+    order = _by_group(p["group"][target])
+    windows, target = windows.take(order, 0), target[order]
     group = p["group"][target].astype(np.int64)
     h = _hidden(p, windows)
-    dh = np.empty((n, HIDDEN), h.dtype)
+    dh = _space("dh", h.dtype, n, HIDDEN)
     weights = _weights(p)
+    bounded, ones, back = _bounded(weights), np.ones(CLASSES, h.dtype), np.ascontiguousarray(p["out"].T)
     d_weights = np.zeros_like(weights)
     for at in range(0, n, BLOCK_WINDOWS):  # what is as wide as the classes stays in the processor's memory
         block = slice(at, at + BLOCK_WINDOWS)
-        dz, _ = _exponentials(h[block], weights)
-        dz *= (1 / n) / dz.sum(1, keepdims=True)
-        dz[np.arange(len(dz)), group[block]] -= dz.dtype.type(1 / n)
-        np.matmul(dz, p["out"].T, out=dh[block])
-        d_weights += h[block].T @ dz
-    inner, inner_bias = np.zeros_like(p["inner"]), np.zeros_like(p["inner_bias"])
-    for rows, at, own, word, within in _inner(p, h, target, group):
-        d = np.exp(within)
-        d[np.arange(len(at)), word] -= 1
-        d /= n
-        dh[at] += d @ p["inner"][rows]
-        inner[rows], inner_bias[rows] = d.T @ own, d.sum(0)
-    units = h[:, :HIDDEN]
-    dh *= 1 - units * units
+        e = _values(h[block], weights, bounded)
+        np.exp(e, out=e)
+        total = e @ ones
+        e[np.arange(len(e)), group[block]] -= total
+        # Each row stands for its own share of 1 / n.
+        share = (1 / (n * total))[:, None]
+        np.matmul(e, back, out=dh[block])
+        dh[block] *= share
+        d_weights += (h[block] * share).T @ e
+    inner = np.zeros((len(p["inner"]), HIDDEN + 1), h.dtype)
+    found = _within(p, h, target, group)
+    if found is not None:
+        d = found.exponentials
+        d[found.chosen] -= found.total
+        d *= np.repeat(1 / (n * found.total), found.widths)
+        for rows, at, start, end in found.parts:
+            own = d[start:end].reshape(at.stop - at.start, -1)
+            dh[at] += own @ p["inner"][rows]
+            np.matmul(own.T, h[at], out=inner[rows])
+    slope = _space("units", h.dtype, n, HIDDEN)
+    np.square(h[:, :HIDDEN], out=slope)
+    np.subtract(1, slope, out=slope)
+    dh *= slope
     near = _sums_by_row(windows, dh, len(p["near"]))
     return {
         "near": near, "hidden": dh.sum(0), "out": d_weights[:HIDDEN], "bias": d_weights[HIDDEN],
-        "inner": inner, "inner_bias": inner_bias,
+        "inner": inner[:, :HIDDEN], "inner_bias": inner[:, HIDDEN],
     }
 
 
@@ -405,8 +501,10 @@ class Trainer:
         for at in range(0, len(places), STEP_WINDOWS):
             own = places[at : at + STEP_WINDOWS]
             for name, gradient in gradients(self.p, _windows(row, own, ids), row[own]).items():
-                self.memory[name] += gradient**2
-                self.p[name] -= RATE * gradient / np.sqrt(self.memory[name])
+                step = np.square(gradient, out=_space("step", gradient.dtype, *gradient.shape))
+                self.memory[name] += step
+                np.sqrt(self.memory[name], out=step)
+                self.p[name] -= np.divide(RATE * gradient, step, out=step)
             self.seen += len(own)
 
 
@@ -442,19 +540,23 @@ def document_scores(p: dict[str, np.ndarray], documents: list[bytes]) -> np.ndar
     ids = len(p["group"])
     row, places, owner = _joined(documents, ids)
     out, weights = np.zeros(len(documents)), _weights(p)
+    bounded, ones = _bounded(weights), np.ones(CLASSES, weights.dtype)
     for at in range(0, len(places), SCORE_TOKENS):
         own = places[at : at + SCORE_TOKENS]
-        group = p["group"][row[own]].astype(np.int64)
+        order = _by_group(p["group"][row[own]])
+        own = own[order]
+        target = row[own]
+        group = p["group"][target].astype(np.int64)
         h = _hidden(p, _windows(row, own, ids))
         found = np.empty(len(own))
         for k in range(0, len(own), BLOCK_WINDOWS):
             block = slice(k, k + BLOCK_WINDOWS)
-            e, greatest = _exponentials(h[block], weights)
-            value = (h[block] * weights.T[group[block]]).sum(1)
-            found[block] = value - greatest[:, 0] - np.log(e.sum(1))
-        for _, of, _, word, within in _inner(p, h, row[own], group):
-            found[of] += within[np.arange(len(of)), word]
-        out += np.bincount(owner[at : at + SCORE_TOKENS], found, len(documents))
+            z = _values(h[block], weights, bounded)
+            value = z[np.arange(len(z)), group[block]]
+            found[block] = value - np.log(np.exp(z, out=z) @ ones)
+        for _, of, _, word, within in _inner(p, h, target, group):
+            found[of] += within[np.arange(len(word)), word]
+        out += np.bincount(owner[at : at + SCORE_TOKENS][order], found, len(documents))
     return out
 
 

@@ -1,6 +1,7 @@
 """Pseudo-likelihood: gradients, scores against a plain loop, and what training makes of order."""
 
 import random
+import resource
 from collections import Counter
 
 import numpy as np
@@ -142,6 +143,76 @@ def test_gradients_and_scores_with_known_words():
     assert total == pytest.approx(1)
 
 
+def known_network(seed, wide=1.0):
+    """A network in float64 with 9 known words in most classes of endings, none in some, and a document of its ids."""
+    chance = np.random.default_rng(seed)
+    first = np.minimum(np.arange(L.CLASSES - L.OWN), 20) * 9
+    p = {k: v.astype(np.float64) for k, v in L.initial(seed, first).items()}
+    for name, size in (("inner", 0.5), ("inner_bias", 0.5), ("out", 0.2), ("bias", 0.5)):
+        p[name] = (p[name] + chance.normal(0, size, p[name].shape)) * wide
+    return p, chance.integers(1, L.CLASSES + int(first[-1]), 400).astype(np.uint16)
+
+
+@pytest.mark.parametrize("wide", [1, 60])
+def test_gradients_in_any_order_and_with_large_weights(wide):
+    p, ids = known_network(8, wide)
+    assert L._bounded(L._weights(p)) == (wide == 1)
+    row, places, _ = L._joined([ids.tobytes()], len(p["group"]))
+    loss = lambda q: -L.document_scores(q, [ids.tobytes()])[0] / len(places)
+    found = {k: v.copy() for k, v in L.gradients(p, L._windows(row, places, len(p["group"])), row[places]).items()}
+    L.gradients(p, L._windows(row, places[:50], len(p["group"])), row[places[:50]])  # what a smaller step leaves behind
+    shuffled = np.random.default_rng(1).permutation(places)
+    again = L.gradients(p, L._windows(row, shuffled, len(p["group"])), row[shuffled])
+    for name in L.NAMES:
+        assert found[name].shape == p[name].shape and np.allclose(found[name], again[name], rtol=1e-9, atol=1e-12)
+        for at in np.argwhere(np.abs(found[name]) > 1e-4)[:40:8]:
+            near = []
+            for step in (1e-6, -1e-6):
+                moved = {**p, name: p[name].copy()}
+                moved[name][tuple(at)] += step
+                near.append(loss(moved))
+            assert found[name][tuple(at)] == pytest.approx((near[0] - near[1]) / 2e-6, rel=1e-2, abs=1e-6)
+
+
+def test_scores_with_known_words_as_a_plain_loop():
+    for wide in (1, 60):
+        p, ids = known_network(11, wide)
+        want, n = 0.0, len(p["group"])
+        for at in range(len(ids)):
+            beside = [int(ids[at + d]) if 0 <= at + d < len(ids) else 0 for d in (-2, -1, 1, 2)]
+            h, z = log_probabilities(p, np.array([[k * n + b for k, b in enumerate(beside)]]))
+            group = int(p["group"][ids[at]])
+            want += z[0, group]
+            k = group - L.OWN - 1
+            if k >= 0 and p["first"][k + 1] > p["first"][k]:
+                rows = slice(int(p["first"][k]) + k, int(p["first"][k + 1]) + k + 1)
+                own = p["inner"][rows] @ h[0] + p["inner_bias"][rows]
+                word = max(int(ids[at]) - L.CLASSES - int(p["first"][k]) + 1, 0)
+                want += own[word] - own.max() - np.log(np.exp(own - own.max()).sum())
+        assert L.document_scores(p, [ids.tobytes()])[0] == pytest.approx(want)
+
+
+def test_steps_use_their_memory_again():
+    """Fresh memory is a page at a time that the system has to hand out, some 450 a step before."""
+    p, _ = known_network(6)
+    trainer = L.Trainer({k: v.astype(np.float32) if k in L.NAMES else v for k, v in p.items()})
+    chance = np.random.default_rng(6)
+    documents = [chance.integers(1, len(p["group"]), 6000).astype(np.uint16).tobytes() for _ in range(4)]
+    trainer.learn(documents, 0, 1)
+    pages = resource.getrusage(resource.RUSAGE_THREAD).ru_minflt
+    for _ in range(3):
+        trainer.learn(documents, 0, 1)
+    steps = 3 * 24_000 / L.STEP_WINDOWS
+    assert (resource.getrusage(resource.RUSAGE_THREAD).ru_minflt - pages) / steps < 150
+
+
+def test_frequent_words_come_in_the_order_of_their_counts(spark):
+    rows = [(i, " ".join(f"w{k}" for k in range(2000) if i % (k % 7 + 1) == 0)) for i in range(40)]
+    counted = L.cut_lineage(L.count_words(spark.createDataFrame(rows, "doc_id bigint, text string")), "word-counts")
+    counts = list(L.vocabulary_of_counts(counted).frequent.values())
+    assert len(set(counts)) > 3 and counts == sorted(counts, reverse=True)
+
+
 def test_words_have_their_own_counts(spark, monkeypatch):
     """However many words there are, and whether their counts are broadcast or joined."""
     rows = [(i, " ".join(f"w{k}xq" for k in range(i % 40, 20_000, 40))) for i in range(80)] + [(80, "zzyxq zzyxq w7xq é z"), (81, "")]
